@@ -1,0 +1,62 @@
+"""Row comparison of Spark and DuckDB results."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+
+import duckdb
+from pyspark.sql import DataFrame
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def database(folder: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(
+            f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{name}.parquet')"
+        )
+    return connection
+
+
+def _cell(value: object) -> object:
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else repr(value)
+    if isinstance(value, bool) or value is None:
+        return value
+    if isinstance(value, int):
+        return int(value)
+    return str(value)
+
+
+def _rows(names: list[str], rows: list) -> tuple[list[str], Counter]:
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(names), Counter(tuple(_cell(row[i]) for i in order) for row in rows)
+
+
+def spark_rows(frame: DataFrame) -> tuple[list[str], Counter]:
+    return _rows(frame.columns, frame.collect())
+
+
+def sql_rows(connection: duckdb.DuckDBPyConnection, sql: str) -> tuple[list[str], Counter]:
+    result = connection.execute(sql)
+    return _rows([column[0] for column in result.description], result.fetchall())
+
+
+def difference(frame: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> str:
+    """Empty if both give the same rows with the same column names."""
+    names, left = spark_rows(frame)
+    sql_names, right = sql_rows(connection, sql)
+    if names != sql_names:
+        return f"columns {names} against {sql_names}"
+    if left == right:
+        return ""
+    return (
+        f"{sum(left.values())} against {sum(right.values())} rows; "
+        f"only Spark: {list((left - right).items())[:3]}; "
+        f"only SQL: {list((right - left).items())[:3]}"
+    )
