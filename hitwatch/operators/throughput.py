@@ -29,23 +29,15 @@ SERIES = ["topic", "partition"]
 SAMPLE_LABELS = ["job", "instance"]
 
 
-def offset_samples(
-    messages: DataFrame,
-    step: int = SCRAPE_SECONDS,
-    first: int | None = None,
-    last: int | None = None,
-) -> DataFrame:
-    """Current offset of every topic partition at every sampling tick.
-
-    Columns ``sample_sec, topic, partition, current_offset``. A tick sees the
-    messages up to and including its own second; ticks without new messages carry
-    the offset on, and before its first message a partition stands at 0. The grid
-    covers the messages, or ``first`` to ``last`` (epoch seconds on the grid).
+def offset_steps(messages: DataFrame, step: int = SCRAPE_SECONDS) -> DataFrame:
+    """Where each topic partition stands at the ticks that see new messages.
 
-    Every row fills the gap up to its successor, so no row ever holds the grid of
-    a whole series.
+    ``topic, partition, tick, offset_after`` and ``opened``, the tick at or before the
+    first of these messages. A tick sees the messages up to and including its own
+    second. This is the one pass over the messages; everything else works on its rows,
+    which are worth storing.
     """
-    steps = (
+    return (
         messages.withColumn("tick", tick_at_or_after(F.col("timestamp"), step))
         .groupBy(*SERIES, "tick")
         .agg(
@@ -53,41 +45,43 @@ def offset_samples(
             F.min(tick_at_or_before(F.col("timestamp"), step)).alias("opened"),
         )
     )
-    if first is None or last is None:
-        # offset_after is unused, but with it Spark sees the aggregate above twice
-        # and runs it once
-        span = steps.agg(
-            F.struct(
-                F.min("opened").alias("first"), F.max("tick").alias("last"), F.max("offset_after")
-            )
-        ).scalar()
-        lo, hi = span.getField("first"), span.getField("last")
-    if first is not None:
-        lo = F.lit(first).cast("long")
-    if last is not None:
-        hi = F.lit(last).cast("long")
 
-    in_series = Window.partitionBy(*SERIES).orderBy("tick")
-    begin = F.when(F.lag("tick").over(in_series).isNull(), F.least(lo, F.col("tick")))
-    filled = steps.select(
-        *SERIES,
-        "tick",
-        "offset_after",
-        F.coalesce(begin, F.col("tick")).alias("begin"),
-        F.coalesce(F.lead("tick").over(in_series) - step, F.greatest(hi, F.col("tick"))).alias("end"),
-    ).select(
-        F.explode(F.sequence("begin", "end", F.lit(step).cast("long"))).alias("sample_sec"),
-        *SERIES,
-        F.when(F.col("tick") <= F.col("sample_sec"), F.col("offset_after"))
-        .otherwise(F.lit(0))
-        .alias("current_offset"),
-    )
-    return filled.filter(F.col("sample_sec").between(lo, hi))
 
+def covered_range(steps: DataFrame) -> tuple[int, int]:
+    """First and last tick of the whole table, both 0 if it is empty; runs a job."""
+    first, last = steps.agg(F.min("opened"), F.max("tick")).first()
+    return first or 0, last or 0
+
+
+def offset_samples(
+    steps: DataFrame, first: int, last: int, step: int = SCRAPE_SECONDS
+) -> DataFrame:
+    """Current offset of every topic partition at every tick from ``first`` to ``last``.
 
-def in_time_range(samples: DataFrame, now: int, seconds: int) -> DataFrame:
-    """Samples of the last ``seconds`` up to and including ``now`` (epoch seconds)."""
-    return samples.filter(F.col("sample_sec").between(now - seconds, now))
+    Columns ``sample_sec, topic, partition, current_offset``. Ticks without new
+    messages carry the offset on, and before its first message a partition stands at 0.
+    Every row fills the gap up to its successor, so no row ever holds the grid of a
+    whole series.
+    """
+    in_series = Window.partitionBy(*SERIES).orderBy("tick")
+    is_first = F.lag("tick").over(in_series).isNull()
+    begin = F.when(is_first, F.least(F.lit(first), F.col("tick"))).otherwise(F.col("tick"))
+    end = F.coalesce(
+        F.lead("tick").over(in_series) - step, F.greatest(F.lit(last), F.col("tick"))
+    )
+    return (
+        steps.select(*SERIES, "tick", "offset_after", begin.alias("begin"), end.alias("end"))
+        .filter((F.col("begin") <= last) & (F.col("end") >= first))
+        .select(
+            F.explode(
+                F.sequence(F.greatest("begin", F.lit(first)), F.least("end", F.lit(last)), F.lit(step))
+            ).alias("sample_sec"),
+            *SERIES,
+            F.when(F.col("tick") <= F.col("sample_sec"), F.col("offset_after"))
+            .otherwise(F.lit(0))
+            .alias("current_offset"),
+        )
+    )
 
 
 def with_scrape_labels(

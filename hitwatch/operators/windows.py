@@ -60,11 +60,12 @@ def window_alerts(windows: DataFrame) -> DataFrame:
 def window_alert_urls(urls: DataFrame, salts: int = 32) -> DataFrame:
     """URL rows, from :func:`error_window_urls`, of the windows that raise an alert.
 
-    The error count is summed from the URL rows themselves, so both sides of the
-    join come from one scan. The URLs of a window are spread over ``salts`` join
-    keys and the few alert rows repeated once per key: a window with a large share
-    of all URLs does not end up in one task. Spark broadcasts the alert rows
-    instead if they measure small.
+    The error count is summed from the URL rows themselves, which are used twice and
+    worth storing first. The URLs of a window are spread over ``salts`` join keys and
+    the few alert rows repeated once per key: a window with a large share of all URLs
+    does not end up in one task. Spark broadcasts the alert rows instead if they
+    measure small. There is one alert row per key, so an inner join does; Spark would
+    move a semi-join below the counting in ``urls``.
     """
     keys = ["window", "status"]
     alerts = window_alerts(urls.groupBy(*keys).agg(F.sum("occurrences").alias("count_error")))
@@ -72,7 +73,7 @@ def window_alert_urls(urls: DataFrame, salts: int = 32) -> DataFrame:
         *keys, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
     )
     salted = urls.withColumn("salt", F.pmod(F.xxhash64("url"), F.lit(salts)).cast("int"))
-    return salted.join(repeated, [*keys, "salt"], "left_semi").drop("salt")
+    return salted.join(repeated, [*keys, "salt"]).select(urls.columns)
 
 
 def flat_window(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hitwatch.operators import alerts as alerting
 from hitwatch.operators import parse, records, report, stats, throughput, windows
 from hitwatch.schema import ALERT_TOPIC, CLIENT_RSD, WINDOW_SIZE, WINDOW_SLIDE
-from hitwatch.session import pin_utc
+from hitwatch.session import pin_utc, stored
 from hitwatch.sources import derived
 from hitwatch.sources.lines import table
 
@@ -177,7 +177,7 @@ def window_alerts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def window_alert_urls(spark: SparkSession, folder: str) -> DataFrame:
-    urls = windows.error_window_urls(_errors(spark, folder))
+    urls = stored(spark, windows.error_window_urls(_errors(spark, folder)), "window-urls")
     return plain(windows.flat_window(windows.window_alert_urls(urls)))
 
 
@@ -192,16 +192,26 @@ def error_rate_report(spark: SparkSession, folder: str) -> DataFrame:
 # -- topic throughput ----------------------------------------------------------------
 
 
+def _alert_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """The alert topic; alerts are written once, as to the topic, and numbered from there."""
+    alerts = derived.batch_alerts(_events(spark, folder))
+    return derived.alert_messages(stored(spark, alerts, "alerts"))
+
+
 def _messages(spark: SparkSession, folder: str) -> DataFrame:
-    return derived.topic_messages(_events(spark, folder))
+    """All three topics."""
+    logs = derived.log_messages(_events(spark, folder))
+    return logs.unionByName(_alert_messages(spark, folder))
 
 
-def _samples(spark: SparkSession, folder: str) -> DataFrame:
-    return throughput.offset_samples(_messages(spark, folder))
+def _steps(spark: SparkSession, messages: DataFrame) -> DataFrame:
+    """Offset steps as a stored table, as a metrics store would keep them."""
+    return stored(spark, throughput.offset_steps(messages), "offset-steps")
 
 
-def _alert_samples(spark: SparkSession, folder: str) -> DataFrame:
-    return throughput.offset_samples(derived.alert_messages(_events(spark, folder)))
+def _samples(spark: SparkSession, messages: DataFrame) -> DataFrame:
+    steps = _steps(spark, messages)
+    return throughput.offset_samples(steps, *throughput.covered_range(steps))
 
 
 def topic_messages(spark: SparkSession, folder: str) -> DataFrame:
@@ -209,37 +219,38 @@ def topic_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def topic_offsets(spark: SparkSession, folder: str) -> DataFrame:
-    return _samples(spark, folder)
+    return _samples(spark, _messages(spark, folder))
 
 
 def topic_offsets_recent(spark: SparkSession, folder: str) -> DataFrame:
-    """The last minute, counted back from the newest sample."""
-    samples = _samples(spark, folder)
-    now = samples.agg(F.max("sample_sec")).scalar()
-    return throughput.in_time_range(samples, now, TIME_RANGE_SECONDS)
+    """The last minute, counted back from the newest tick, as far as there are samples."""
+    steps = _steps(spark, _messages(spark, folder))
+    first, now = throughput.covered_range(steps)
+    return throughput.offset_samples(steps, max(first, now - TIME_RANGE_SECONDS), now)
 
 
 def alert_count_series(spark: SparkSession, folder: str) -> DataFrame:
-    return _alert_samples(spark, folder).filter(F.col("topic") == ALERT_TOPIC)
+    samples = _samples(spark, _alert_messages(spark, folder))
+    return throughput.matching(samples, topic=ALERT_TOPIC)
 
 
 def topic_rate_1m(spark: SparkSession, folder: str) -> DataFrame:
-    return throughput.rate_by_topic(_samples(spark, folder))
+    return throughput.rate_by_topic(_samples(spark, _messages(spark, folder)))
 
 
 def topic_rate_selected(spark: SparkSession, folder: str) -> DataFrame:
     """Rates of the series whose instance and topic match whole patterns."""
-    labelled = throughput.with_scrape_labels(_samples(spark, folder))
+    labelled = throughput.with_scrape_labels(_samples(spark, _messages(spark, folder)))
     chosen = throughput.matching(labelled, instance="kafka-exporter:.*", topic="http-logs|alerts?")
     return throughput.rate_by_topic(chosen)
 
 
 def topic_delta_5m(spark: SparkSession, folder: str) -> DataFrame:
-    return throughput.delta_by_topic(_samples(spark, folder))
+    return throughput.delta_by_topic(_samples(spark, _messages(spark, folder)))
 
 
 def consumer_delta_5m(spark: SparkSession, folder: str) -> DataFrame:
-    return throughput.delta_by_consumer(_samples(spark, folder))
+    return throughput.delta_by_consumer(_samples(spark, _messages(spark, folder)))
 
 
 def partitions_per_topic(spark: SparkSession, folder: str) -> DataFrame:
@@ -270,11 +281,11 @@ def topic_rate_legend(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def new_alert_rule(spark: SparkSession, folder: str) -> DataFrame:
-    return throughput.new_message_rule(_alert_samples(spark, folder))
+    return throughput.new_message_rule(_samples(spark, _alert_messages(spark, folder)))
 
 
 def latest_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    messages = derived.alert_messages(_events(spark, folder))
+    messages = _alert_messages(spark, folder)
     latest = throughput.latest_messages(messages, LATEST_ALERTS, ALERT_TOPIC)
     return records.alerts_from_json(latest, keep=["offset"])
 

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -54,6 +54,14 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/hitwatch/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
+    """The rows as a table in the shared folder: computed once, whoever reads it and
+    whatever executor is lost."""
+    path = work_dir(spark, purpose)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def run_name() -> str:
     """Folder name of one run of a job; names sort by start time."""
     return f"run-{datetime.now():%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"

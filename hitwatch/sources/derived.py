@@ -145,15 +145,14 @@ def batch_alerts(events: DataFrame) -> DataFrame:
     return error_rate_alerts(parsed, batch_id, iso_text(batch_end(batch_id)), keys=["batch_id"])
 
 
-def alert_messages(events: DataFrame) -> DataFrame:
+def alert_messages(alerts: DataFrame) -> DataFrame:
     """Messages of the alert topic: one partition, offsets in order of batch, then
     global, URL and client alerts.
 
     Numbering goes in two steps. Alerts are numbered inside blocks of batches, and
     each block starts where the blocks before it end; only the block sizes, one row
-    per ten thousand batches, are ever in a single task.
+    per ten thousand batches, are ever in a single task. ``alerts`` is used twice.
     """
-    alerts = batch_alerts(events)
     rank = F.when(F.col("url").isNotNull(), 1).when(F.col("ip").isNotNull(), 2).otherwise(0)
     blocks = alerts_as_json(
         alerts, keep=["batch_id", rank.alias("rank"), "url", "ip"]
@@ -176,8 +175,3 @@ def alert_messages(events: DataFrame) -> DataFrame:
             "value",
         )
     )
-
-
-def topic_messages(events: DataFrame) -> DataFrame:
-    """All three topics."""
-    return log_messages(events).unionByName(alert_messages(events))

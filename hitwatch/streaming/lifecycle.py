@@ -28,6 +28,19 @@ def until_done(*queries: StreamingQuery) -> None:
 
 
 def until_any_ends(spark: SparkSession, *queries: StreamingQuery) -> None:
-    """Wait until one query ends or fails, then stop the others."""
+    """Wait until one of the queries ends, then stop the others; its failure is raised.
+
+    The session also remembers queries that ended before, and those do not count.
+    """
+
+    def all_active() -> bool:
+        return all(query.isActive for query in queries)
+
     with running(*queries):
-        spark.streams.awaitAnyTermination()
+        while all_active():
+            spark.streams.resetTerminated()
+            if all_active():
+                spark.streams.awaitAnyTermination()
+        for query in queries:
+            if not query.isActive:
+                query.awaitTermination()

@@ -1,0 +1,127 @@
+from __future__ import annotations
+
+import random
+import re
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from hitwatch.functions.log_line import LOG_PATTERN
+from hitwatch.operators.parse import error_requests, flag_report_errors, parse_access_log
+from tests.logs import line
+
+
+def parsed(lines, values):
+    rows = parse_access_log(lines(values)).withColumn(
+        "timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")
+    )
+    return [tuple(row) for row in rows.collect()]
+
+
+def test_edge_cases(lines):
+    nothing = ("", None, "", "", None)
+    cases = {
+        '192.168.10.1 - [01/Jan/2024:00:00:07 +0000] "GET /home HTTP/1.1" 404 512': (
+            "192.168.10.1", "2024-01-01 00:00:07", "GET", "/home", 404),
+        # an identity column between address and time is one token too many
+        '10.0.0.1 - - [01/Jan/2024:00:00:07 +0000] "GET /home HTTP/1.1" 404 512': nothing,
+        '10.0.0.2 - [01/Jan/2024:00:00:07 +0000] "GET /home HTTP/2" 500 1': nothing,
+        # time zones are applied, a fourth status digit is ignored
+        '10.0.0.3 - [01/Jan/2024:00:00:08 +0200] "GET /home HTTP/1.0" 5001': (
+            "10.0.0.3", "2023-12-31 22:00:08", "GET", "/home", 500),
+        '10.0.0.4 - [99/Jan/2024:00:00:08 +0000] "GET /home HTTP/1.0" 500 7': (
+            "10.0.0.4", None, "GET", "/home", 500),
+        # a time of several words keeps the other fields in place
+        '10.0.0.5 - [not a time at all] "PUT /a?b=1&c=2 HTTP/1.1" 201': (
+            "10.0.0.5", None, "PUT", "/a?b=1&c=2", 201),
+        # anything may follow, line ends included
+        '10.0.0.6 - [x] "GET / HTTP/1.1" 404\nsecond line': ("10.0.0.6", None, "GET", "/", 404),
+        ' 10.0.0.7 - [x] "GET / HTTP/1.1" 404': nothing,
+        "    ": nothing,
+        "a b c d e": nothing,
+        "junk": nothing,
+        "": nothing,
+    }
+    assert dict(zip(cases, parsed(lines, list(cases)))) == cases
+
+
+def test_null_and_bytes(spark):
+    frame = spark.createDataFrame(
+        [(None,), (bytearray(line(status=404).encode()),)], "value binary"
+    )
+    rows = parse_access_log(frame).collect()
+    assert rows[0]["status"] is None and rows[0]["ip"] is None
+    assert rows[1]["status"] == 404 and rows[1]["timestamp"] == datetime(2024, 1, 1)
+
+
+def test_keeps_named_columns(spark):
+    frame = spark.createDataFrame([(7, line())], "batch_id long, value string")
+    assert parse_access_log(frame, keep=["batch_id"]).first()["batch_id"] == 7
+
+
+def test_fields_as_by_one_regex_search_per_line(lines):
+    """Against a search with the plain pattern over lines put together at random."""
+    rng = random.Random(7)
+    pieces = [
+        "10.0.0.1", " ", " - ", " -", "[", "]", "[01/Jan/2024:00:00:07 +0000]", '"', '"GET ', "/a",
+        " HTTP/1.1", " HTTP/2", ' HTTP/1.0" ', "404", "20", "5", "\n", "\t", "é", "$1", "\\", "] \"",
+    ]
+    values = ["".join(rng.choices(pieces, k=rng.randint(1, 14))) for _ in range(4000)]
+    good = '10.0.0.1 - [01/Jan/2024:00:00:07 +0000] "GET /a HTTP/1.1" 404 17'
+    for _ in range(4000):
+        at = rng.randrange(len(good))
+        values.append(good[:at] + rng.choice(pieces) + good[at + rng.randint(0, 3):])
+
+    pattern = re.compile(LOG_PATTERN, re.ASCII)
+    expected, matches = [], 0
+    for value in values:
+        found = pattern.search(value)
+        matches += bool(found)
+        ip, _, method, url, status = found.groups() if found else ("",) * 5
+        expected.append((ip, method, url, int(status) if status else None))
+    assert 500 < matches < 7500
+    got = parse_access_log(lines(values)).select("ip", "method", "url", "status").collect()
+    assert [tuple(row) for row in got] == expected
+
+
+def test_error_requests(lines):
+    values = [line(status=status) for status in (200, 399, 400, 404, 503, 999)] + ["junk"]
+    assert [row["status"] for row in error_requests(parse_access_log(lines(values))).collect()] == [
+        400, 404, 503, 999]
+
+
+def lenient(value: str) -> bool:
+    try:
+        return int(value.split('"')[2].strip().split()[0]) >= 400
+    except (IndexError, ValueError):
+        return False
+
+
+def test_report_flag_against_python(lines):
+    tokens = [
+        "404", "399", "400", "5001", "0404", "00399", "+404", "-404", "4_04", "4__04", "_404", "404_",
+        "0_404", "1_000", "12", "", "4O4", "404.0", "9" * 60, "0" * 60, "0" * 60 + "400", "+", "++404",
+        "1000", "40", "٤٠٤x",
+    ]
+    spaces = ["", " ", "\t", "  \n", "\x1c", "\x85", "\xa0", " ", " "]
+    values = ["", "junk", '"', '""', '"""', 'a"b"c"d']
+    for token in tokens:
+        for before in spaces:
+            for after in ("", " 17", "\xa0x", '"', "x", "\n"):
+                values.append(f'ip - [t] "GET / HTTP/2"{before}{token}{after}')
+    got = [row["is_error"] for row in flag_report_errors(lines(values)).collect()]
+    wrong = [v for v, flag in zip(values, got) if flag != lenient(v)]
+    assert not wrong
+
+
+def test_report_flag_random(lines):
+    rng = random.Random(11)
+    pieces = ['"', " ", "4", "0", "404", "500", "_", "+", "\t", "x", "200 ", ' "']
+    values = ["".join(rng.choices(pieces, k=rng.randint(1, 12))) for _ in range(6000)]
+    got = [row["is_error"] for row in flag_report_errors(lines(values)).collect()]
+    assert got == [lenient(v) for v in values] and any(got)
+
+
+def test_report_flag_takes_null(spark):
+    frame = spark.createDataFrame([(None,)], "value string")
+    assert flag_report_errors(frame).first()["is_error"] is False
