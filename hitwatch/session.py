@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from datetime import datetime
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +40,11 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
 
@@ -49,8 +55,7 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/hitwatch/{purpose}-{uuid.uuid4().hex}"
 
 

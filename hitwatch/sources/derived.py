@@ -43,7 +43,8 @@ BATCHES_PER_BLOCK = 10_000
 
 
 def _pick(values: list, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values) + 1).cast("int"))
+    listed = F.expr(f"array({', '.join(map(repr, values))})")
+    return F.element_at(listed, (index % len(values) + 1).cast("int"))
 
 
 def _div(value: Column, by: int) -> Column:

@@ -4,6 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+TABLE_SCHEMAS = {
+    "events": (
+        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+        "props string"
+    )
+}
+
 
 def socket_stream(spark: SparkSession, host: str = "localhost", port: int = 9999) -> DataFrame:
     """Lines from a socket; Spark cannot replay them after a failure."""
@@ -25,7 +32,11 @@ def line_file_stream(
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table by name; a known schema saves Spark the look into the files."""
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from hitwatch.session import work_dir
@@ -79,16 +78,20 @@ def test_work_dir_is_below_the_shared_folder(spark):
     assert one != two and one.startswith(root) and two.startswith(root)
 
 
-def test_no_local_folder_on_a_cluster(spark):
-    class Conf:
-        def get(self, key, default=None):
-            return {"spark.master": "yarn"}.get(key, default)
+class Session:
+    """A session without a shared folder."""
 
-    class Session:
-        conf = Conf()
+    def __init__(self, master):
+        self.conf = {"spark.master": master}
 
+
+def test_no_local_folder_on_a_cluster():
     with pytest.raises(ValueError):
-        work_dir(Session(), "x")
+        work_dir(Session("yarn"), "x")
+
+
+def test_local_master_gets_a_folder():
+    assert work_dir(Session("local[2]"), "x").startswith("/tmp/run-")
 
 
 def test_derived_lines_have_the_expected_shape(spark, small):
