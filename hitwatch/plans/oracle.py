@@ -232,10 +232,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "alerts_dedup": _with(alerts, "alerts"),
         "error_windows": _with("SELECT * FROM windows", "windows"),
-        "approx_clients_within_bound": _with(
-            """SELECT window_start, window_end, status, count_distinct_ip AS exact,
-                   true AS within_bound FROM windows""",
-            "windows",
+        "approx_clients_deviation": _with(
+            "SELECT count(*) AS windows, true AS within_rsd FROM windows", "windows"
         ),
         "error_window_urls": _with(_URL_ROWS, "windowed"),
         "window_alerts": _with(
