@@ -7,29 +7,36 @@ from __future__ import annotations
 
 import argparse
 
-from hitwatch.schema import ALERT_TOPIC, LOG_TOPIC
+from hitwatch.schema import ALERT_TOPIC, LOG_TOPIC, Thresholds
 from hitwatch.session import build_session
 from hitwatch.sinks.batches import to_kafka
 from hitwatch.sources.kafka import kafka_stream
 from hitwatch.streaming.lifecycle import until_any_ends
+from hitwatch.streaming.progress import BatchLog
 from hitwatch.streaming.queries import start_alerts
 
 
 def main(argv: list[str] | None = None) -> None:
+    normal = Thresholds()
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--brokers", help="default: the environment's")
     parser.add_argument("--topic", default=LOG_TOPIC)
     parser.add_argument("--alert-topic", default=ALERT_TOPIC)
     parser.add_argument("--checkpoint", required=True, help="shared folder of this query")
     parser.add_argument("--min-partitions", help="scan tasks per batch, default one per partition")
+    parser.add_argument("--global-rate", type=float, default=normal.everything)
+    parser.add_argument("--url-rate", type=float, default=normal.url)
+    parser.add_argument("--ip-rate", type=float, default=normal.ip)
     args = parser.parse_args(argv)
 
     spark = build_session("access-log-alerts")
     try:
+        spark.streams.addListener(BatchLog(print))
         options = {"minPartitions": args.min_partitions} if args.min_partitions else {}
         lines = kafka_stream(spark, args.topic, args.brokers, **options)
+        thresholds = Thresholds(args.global_rate, args.url_rate, args.ip_rate)
         deliver = to_kafka(args.alert_topic, args.brokers)
-        until_any_ends(spark, start_alerts(lines, deliver, args.checkpoint))
+        until_any_ends(spark, start_alerts(lines, deliver, args.checkpoint, thresholds))
     finally:
         spark.stop()
 

@@ -23,8 +23,13 @@ def alerts_as_json(alerts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def alerts_from_json(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Alert columns from JSON messages.
+
+    Unfolded rather than selected field by field: Spark moves a selection below a
+    limit, and would then sort all messages to find the latest few.
+    """
     record = F.from_json(F.col("value").cast("string"), ALERT_SCHEMA)
-    return messages.select(*keep, record.alias("record")).select(*keep, "record.*")
+    return messages.select(*keep, F.inline(F.array(record)))
 
 
 def fan_out(records: DataFrame, topic: str = LOG_TOPIC, keep: Sequence[str] = ()) -> DataFrame:

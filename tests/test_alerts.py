@@ -100,6 +100,11 @@ def test_json_round_trip(lines):
     assert sorted(map(str, back.collect())) == sorted(map(str, raised.collect()))
 
 
+def test_messages_that_are_no_alerts_give_empty_rows(lines):
+    rows = alerts_from_json(lines(["not json", '{"type": "X"}']), keep=["value"]).collect()
+    assert [(r["value"], r["type"]) for r in rows] == [("not json", None), ('{"type": "X"}', "X")]
+
+
 def test_first_delivery_wins(lines):
     raised = alerts(lines(requests(20, 20)))
     again = raised.withColumn("timestamp", F.lit("2024-01-01T00:05:00"))

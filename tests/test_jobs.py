@@ -1,0 +1,161 @@
+from __future__ import annotations
+
+import json
+import time
+
+import pytest
+
+from hitwatch.jobs import alerts as alerts_job
+from hitwatch.jobs import replay as replay_job
+from hitwatch.jobs import report as report_job
+from hitwatch.jobs import throughput as throughput_job
+from hitwatch.jobs import windows as windows_job
+from hitwatch.operators.parse import error_requests, parse_access_log
+from hitwatch.operators.records import fan_out
+from hitwatch.operators.windows import error_window_urls
+from hitwatch.sinks.batches import to_text
+from hitwatch.sinks.streams import text_files
+from hitwatch.sources import derived
+from hitwatch.sources.lines import line_file_stream, table
+from hitwatch.streaming.progress import BatchLog
+from tests.logs import line
+from tests.test_streams import write_files
+
+VALUES = [line(second, status=404 if second % 4 == 0 else 200, url=f"/{second % 9}") for second in range(200)]
+
+
+@pytest.fixture
+def folder(tmp_path):
+    return write_files(tmp_path / "in", [VALUES[:120], VALUES[120:]])
+
+
+@pytest.fixture
+def in_session(spark, monkeypatch):
+    """Lets a job use the tests' session and ends its queries once they have caught up."""
+    ended = []
+
+    def finish(session, *queries):
+        for query in queries:
+            query.processAllAvailable()
+            query.stop()
+            ended.append(query)
+
+    def use(job):
+        monkeypatch.setattr(job, "build_session", lambda name: spark)
+        monkeypatch.setattr(type(spark), "stop", lambda self: None)
+        if hasattr(job, "until_any_ends"):
+            monkeypatch.setattr(job, "until_any_ends", finish)
+        return ended
+
+    return use
+
+
+def test_alert_job(spark, folder, in_session, monkeypatch, tmp_path):
+    ended = in_session(alerts_job)
+    logged, listeners = [], []
+
+    def batch_log(write):
+        listeners.append(BatchLog(logged.append))
+        return listeners[0]
+
+    monkeypatch.setattr(alerts_job, "BatchLog", batch_log)
+    asked = {}
+
+    def stream(session, topic, brokers, **options):
+        asked.update(topic=topic, brokers=brokers, **options)
+        return line_file_stream(spark, folder, max_files_per_trigger=1)
+
+    monkeypatch.setattr(alerts_job, "kafka_stream", stream)
+    monkeypatch.setattr(alerts_job, "to_kafka", lambda topic, brokers: to_text(f"{tmp_path}/{topic}"))
+    alerts_job.main([
+        "--checkpoint", f"{tmp_path}/checkpoint", "--brokers", "b:1", "--min-partitions", "64",
+        "--url-rate", "0.2",
+    ])
+    assert asked == {"topic": "http-logs", "brokers": "b:1", "minPartitions": "64"}
+    assert len(ended) == 1
+    found = [json.loads(r["value"]) for r in spark.read.text(f"{tmp_path}/alerts").collect()]
+    assert {a["batch_id"] for a in found} == {0, 1}
+    assert {a["thresholds"] for a in found if a["type"] == "URL_ERROR_RATE"} == {0.2}
+
+    deadline = time.time() + 30
+    while len(logged) < 2 and time.time() < deadline:
+        time.sleep(0.2)
+    spark.streams.removeListener(listeners[0])
+    assert sorted(logged) == [
+        "Batch 0 - Total requests: 120, Error requests: 30",
+        "Batch 1 - Total requests: 80, Error requests: 20",
+    ]
+
+
+def test_report_job(spark, folder, in_session, monkeypatch, tmp_path):
+    in_session(report_job)
+    monkeypatch.setattr(
+        report_job, "socket_stream",
+        lambda session, host, port: line_file_stream(spark, folder, max_files_per_trigger=1),
+    )
+    args = ["host", "1", f"{tmp_path}/out", "--checkpoint", f"{tmp_path}/checkpoint"]
+    report_job.main(args)
+    report_job.main(args)
+    # a second run adds to the first
+    lines = [r["value"] for r in spark.read.option("recursiveFileLookup", "true").text(f"{tmp_path}/out").collect()]
+    tails = sorted(text.split(", ", 1)[1] for text in lines)
+    assert tails == ["total=120, errors=30, error_rate=25.00%"] * 2 + [
+        "total=80, errors=20, error_rate=25.00%"] * 2
+
+
+def test_window_job(spark, folder, lines, in_session, tmp_path):
+    ended = in_session(windows_job)
+    windows_job.main([
+        "--folder", folder, "--errors", f"{tmp_path}/errors", "--urls", f"{tmp_path}/urls",
+        "--checkpoint", f"{tmp_path}/checkpoint",
+    ])
+    assert len(ended) == 4
+    errors = error_requests(parse_access_log(lines(VALUES)))
+    assert spark.read.text(f"{tmp_path}/errors").count() == errors.count() == 50
+    urls = spark.read.parquet(f"{tmp_path}/urls")
+    assert urls.select("window_start", "status", "url").distinct().count() == error_window_urls(errors).count()
+
+
+def test_throughput_job(spark, small, in_session, tmp_path):
+    in_session(throughput_job)
+    events = table(spark, small, "events")
+    messages = derived.log_messages(events).unionByName(
+        derived.alert_messages(derived.batch_alerts(events))
+    )
+    messages.write.parquet(f"{tmp_path}/messages")
+    throughput_job.main([f"{tmp_path}/out", "--messages", f"{tmp_path}/messages"])
+    counts = {
+        name: spark.read.parquet(f"{tmp_path}/out/{name}").count()
+        for name in ("topic_offsets", "topic_rate_1m", "partitions_per_topic", "topic_values",
+                     "topic_rate_legend", "new_alert_rule", "topic_delta_5m", "consumer_delta_5m")
+    }
+    assert counts == {
+        "topic_offsets": 135, "topic_rate_1m": 45, "partitions_per_topic": 3, "topic_values": 3,
+        "topic_rate_legend": 3, "new_alert_rule": 3, "topic_delta_5m": 45, "consumer_delta_5m": 45}
+
+
+def test_replay_job(spark, small, in_session, monkeypatch, tmp_path):
+    in_session(replay_job)
+    monkeypatch.setattr(
+        replay_job, "kafka_topics",
+        lambda rows, brokers: text_files(rows.select("value"), f"{tmp_path}/out"),
+    )
+    replay_job.main([small, "--checkpoint", f"{tmp_path}/checkpoint"])
+    want = fan_out(derived.access_log_records(table(spark, small, "events")))
+    got = spark.read.text(f"{tmp_path}/out")
+    assert got.exceptAll(want.select("value")).count() == 0 and got.count() == want.count()
+
+
+def test_batch_log():
+    class Progress:
+        batchId = 7
+        observedMetrics = {"requests": {"total": 40, "errors": 2}}
+
+    class Event:
+        progress = Progress
+
+    written = []
+    BatchLog(written.append).onQueryProgress(Event)
+    Progress.observedMetrics = {}
+    BatchLog(written.append).onQueryProgress(Event)
+    assert written == ["Batch 7 - Total requests: 40, Error requests: 2"]

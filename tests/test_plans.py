@@ -54,5 +54,16 @@ def test_messages_are_counted_before_the_shuffle(spark, small):
     assert "partial_max(offset" in below[below.index("Exchange"):]
 
 
+def test_latest_alerts_are_a_top_k(spark, small):
+    plan = physical(batch.latest_alerts(spark, small))
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+
+
+def test_only_the_urls_of_a_window_are_joined(spark, small):
+    """Counted before the join, and the join spread over salts."""
+    plan = physical(batch.window_alert_urls(spark, small))
+    assert plan.count("Join") == 1 and "salt" in plan[plan.index("Join"):].splitlines()[0]
+
+
 def test_stream_registry():
     assert set(streams.QUERIES).isdisjoint(batch.QUERIES)

@@ -10,7 +10,6 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from hitwatch.jobs import windows as windows_job
 from hitwatch.operators.alerts import error_rate_alerts
 from hitwatch.operators.parse import error_requests, parse_access_log
 from hitwatch.operators.windows import error_window_urls, error_windows, flat_window, window_alerts
@@ -247,26 +246,3 @@ def test_first_failure_is_raised_and_stops_the_others(spark, landed):
     with pytest.raises(Exception, match="no"):
         until_any_ends(spark, good, bad)
     assert not good.isActive and not bad.isActive
-
-
-def test_window_job_runs_four_queries(spark, landed, monkeypatch, tmp_path):
-    folder, batch = landed
-    seen = []
-
-    def finish(session, *started):
-        for query in started:
-            query.processAllAvailable()
-            seen.append(query)
-            query.stop()
-
-    monkeypatch.setattr(windows_job, "until_any_ends", finish)
-    monkeypatch.setattr(windows_job, "build_session", lambda name: spark)
-    monkeypatch.setattr(type(spark), "stop", lambda self: None)
-    windows_job.main([
-        "--folder", folder, "--errors", str(tmp_path / "errors"), "--urls", str(tmp_path / "urls"),
-        "--checkpoint", str(tmp_path / "checkpoint"),
-    ])
-    assert len(seen) == 4
-    errors = error_requests(parse_access_log(batch))
-    assert spark.read.text(str(tmp_path / "errors")).count() == errors.count()
-    assert spark.read.parquet(str(tmp_path / "urls")).count() >= error_window_urls(errors).count()
