@@ -16,8 +16,13 @@ def parse_access_log(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
     ``value`` may be text or the bytes of a message. Lines that do not match stay,
     with empty texts and null status; a bad date alone only loses the timestamp.
+
+    The fields go through an explode of a single element, which filters are not moved
+    across. Otherwise Spark would repeat the regex in the conditions on status and
+    timestamp, and the generated method would grow beyond what the JVM compiles.
     """
-    fields = lines.select(*keep, log_fields(F.col("value").cast("string")).alias("fields"))
+    found = log_fields(F.col("value").cast("string"))
+    fields = lines.select(*keep, F.explode(F.array(found)).alias("fields"))
     ip, method, url, status, time = (F.get("fields", F.lit(i)) for i in range(5))
     return fields.select(
         *keep,

@@ -43,11 +43,28 @@ def test_only_needed_columns_are_read(spark, small):
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string>" in plan
 
 
-def test_regex_runs_once_per_line_in_alerts(spark, small):
-    plan = physical(batch.alerts_all(spark, small))
+@pytest.mark.parametrize("name", ["alerts_all", "error_windows", "error_window_urls", "errors_json"])
+def test_regex_runs_once_per_line(spark, small, name):
+    plan = physical(batch.QUERIES[name](spark, small))
     assert plan.count("regexp_replace") == 1
 
 
+@pytest.mark.parametrize(
+    "name", ["parse_access_log", "alerts_all", "error_windows", "error_windows_approx",
+             "error_window_urls", "errors_json", "error_rate_report", "monitoring_fanout"]
+)
+def test_generated_methods_are_small_enough_to_be_compiled(spark, small, name):
+    """The JVM interprets methods of more than 8000 bytes for good."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = batch.QUERIES[name](spark, small)._jdf.queryExecution().executedPlan()
+        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        sizes = re.findall(r"maxMethodCodeSize:(\d+)", debug.codegenString(plan))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert all(int(size) < 8000 for size in sizes)
+
+
 def test_messages_are_counted_before_the_shuffle(spark, small):
     frame = batch.throughput.offset_steps(batch._messages(spark, small))
     below = physical(frame)
