@@ -22,10 +22,7 @@ def clock_text(moment: Column) -> Column:
     return F.date_format(moment, "yyyy-MM-dd HH:mm:ss")
 
 
-def tick_at_or_after(moment: Column, step_seconds: int) -> Column:
-    """First multiple of the step, in epoch seconds, that is not before ``moment``."""
-    return (F.ceil(F.unix_millis(moment) / F.lit(step_seconds * 1000)) * step_seconds).cast("long")
-
-
 def tick_at_or_before(moment: Column, step_seconds: int) -> Column:
-    return (F.floor(F.unix_millis(moment) / F.lit(step_seconds * 1000)) * step_seconds).cast("long")
+    """Last multiple of the step, in epoch seconds, that is not after ``moment``."""
+    second = F.unix_seconds(moment)
+    return second - F.pmod(second, F.lit(step_seconds))

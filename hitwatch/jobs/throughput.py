@@ -2,25 +2,33 @@
 
     spark-submit hitwatch/jobs/throughput.py OUTPUT_DIR --messages DIR
     spark-submit --packages <kafka connector> hitwatch/jobs/throughput.py OUTPUT_DIR --topics a,b
+    spark-submit hitwatch/jobs/throughput.py OUTPUT_DIR --steps DIR
 
-Writes one parquet table per query below the output folder.
+Writes one parquet table per query below the output folder. With ``--steps`` it starts
+from stored offset steps and reads no messages; with ``--follow DIR`` it writes such
+steps from Kafka as messages come in, and nothing else.
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from hitwatch.operators import throughput
 from hitwatch.schema import ALERT_TOPIC, LOG_TOPIC, MESSAGE_SCHEMA, MONITORING_TOPIC
-from hitwatch.session import build_session, stored
-from hitwatch.sources.kafka import kafka_messages
+from hitwatch.session import build_session, state_per_core, stored
+from hitwatch.sinks.streams import parquet_files
+from hitwatch.sources.kafka import kafka_messages, kafka_stream
+from hitwatch.streaming.lifecycle import until_any_ends
+from hitwatch.streaming.queries import EVERY_TEN_SECONDS, start
 
 
-def throughput_tables(spark: SparkSession, messages: DataFrame) -> dict[str, DataFrame]:
+STEP_SCHEMA = "topic string, partition int, tick long, offset_after long, opened long"
+
+
+def throughput_tables(steps: DataFrame) -> dict[str, DataFrame]:
     """Every throughput query by name, all over one stored table of offset steps."""
-    steps = stored(spark, throughput.offset_steps(messages), "offset-steps")
     samples = throughput.offset_samples(steps, *throughput.covered_range(steps))
     rates = throughput.rate_by_topic(samples)
     return {
@@ -39,19 +47,37 @@ def throughput_tables(spark: SparkSession, messages: DataFrame) -> dict[str, Dat
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("output")
+    parser.add_argument("output", nargs="?", default="throughput")
     parser.add_argument("--messages", help="parquet folder of a messages table")
+    parser.add_argument("--steps", help="parquet folder of offset steps")
+    parser.add_argument("--follow", help="folder to write offset steps to, for as long as it runs")
+    parser.add_argument("--checkpoint", help="shared folder of the query behind --follow")
     parser.add_argument("--topics", default=f"{LOG_TOPIC},{MONITORING_TOPIC},{ALERT_TOPIC}")
     parser.add_argument("--brokers", help="default: the environment's")
     args = parser.parse_args(argv)
+    if args.follow and not args.checkpoint:
+        parser.error("--follow needs --checkpoint")
 
     spark = build_session("topic-throughput")
     try:
-        if args.messages:
-            messages = spark.read.schema(MESSAGE_SCHEMA).parquet(args.messages)
+        if args.follow:
+            messages = kafka_stream(spark, args.topics, args.brokers, startingOffsets="earliest")
+            steps = throughput.offset_steps(messages)
+            with state_per_core(spark):
+                query = start(
+                    parquet_files(steps, args.follow), args.checkpoint, EVERY_TEN_SECONDS
+                )
+            until_any_ends(spark, query)
+            return
+        if args.steps:
+            steps = spark.read.schema(STEP_SCHEMA).parquet(args.steps)
         else:
-            messages = kafka_messages(spark, args.topics, args.brokers)
-        for name, rows in throughput_tables(spark, messages).items():
+            if args.messages:
+                messages = spark.read.schema(MESSAGE_SCHEMA).parquet(args.messages)
+            else:
+                messages = kafka_messages(spark, args.topics, args.brokers)
+            steps = stored(spark, throughput.offset_steps(messages), "offset-steps")
+        for name, rows in throughput_tables(steps).items():
             rows.write.mode("overwrite").parquet(f"{args.output}/{name}")
     finally:
         spark.stop()

@@ -9,7 +9,7 @@ from __future__ import annotations
 import argparse
 
 from hitwatch.operators.windows import flat_window
-from hitwatch.session import build_session, run_name
+from hitwatch.session import build_session, run_name, state_per_core
 from hitwatch.sinks.batches import to_parquet
 from hitwatch.sinks.streams import console, text_files
 from hitwatch.sources.lines import line_file_stream, socket_stream
@@ -48,14 +48,16 @@ def main(argv: list[str] | None = None) -> None:
             return f"{args.checkpoint}{run}/{name}"
 
         every = EVERY_TEN_SECONDS
-        queries = [
-            start(console(window_metrics_alerts(lines), "append"), below("alerts"), every),
-            start(text_files(error_json(lines), f"{args.errors}{run}"), below("errors"), every),
-            start(console(window_metrics(lines), "update"), below("metrics"), every),
-        ]
-        if args.urls:
-            urls = flat_window(window_urls(lines))
-            queries.append(start_latest(urls, to_parquet(f"{args.urls}{run}"), below("urls")))
+        with state_per_core(spark):
+            queries = [
+                start(console(window_metrics_alerts(lines), "append"), below("alerts"), every),
+                start(text_files(error_json(lines), f"{args.errors}{run}"), below("errors"), every),
+                start(console(window_metrics(lines), "update"), below("metrics"), every),
+            ]
+            if args.urls:
+                urls = flat_window(window_urls(lines))
+                deliver = to_parquet(f"{args.urls}{run}")
+                queries.append(start_latest(urls, deliver, below("urls")))
         until_any_ends(spark, *queries)
     finally:
         spark.stop()

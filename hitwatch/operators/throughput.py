@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitwatch.functions.times import tick_at_or_after, tick_at_or_before
+from hitwatch.functions.times import tick_at_or_before
+from hitwatch.schema import WATERMARK
 
 # Fixed values of the monitored deployment.
 SCRAPE_SECONDS = 15
@@ -35,14 +36,23 @@ def offset_steps(messages: DataFrame, step: int = SCRAPE_SECONDS) -> DataFrame:
     ``topic, partition, tick, offset_after`` and ``opened``, the tick at or before the
     first of these messages. A tick sees the messages up to and including its own
     second. This is the one pass over the messages; everything else works on its rows,
-    which are worth storing.
+    which are worth storing. On a stream a tick appears once the watermark has passed
+    it, so the stored table can be kept up to date instead of computed again.
     """
+    # windows include their start and not their end; ticks are the other way round
+    just_before = F.col("timestamp") - F.expr("interval 1 microsecond")
     return (
-        messages.withColumn("tick", tick_at_or_after(F.col("timestamp"), step))
-        .groupBy(*SERIES, "tick")
+        messages.select(*SERIES, "offset", "timestamp", just_before.alias("just_before"))
+        .withWatermark("just_before", WATERMARK)
+        .groupBy(*SERIES, F.window("just_before", f"{step} seconds"))
         .agg(
-            (F.max("offset") + 1).alias("offset_after"),
-            F.min(tick_at_or_before(F.col("timestamp"), step)).alias("opened"),
+            (F.max("offset") + 1).alias("offset_after"), F.min("timestamp").alias("first_seen")
+        )
+        .select(
+            *SERIES,
+            F.unix_seconds("window.end").alias("tick"),
+            "offset_after",
+            tick_at_or_before(F.col("first_seen"), step).alias("opened"),
         )
     )
 

@@ -315,6 +315,10 @@ def oracle_sql() -> dict[str, str]:
             "windows",
         ),
         "stream_errors_json": _with(f"SELECT {_ERROR_JSON} AS value FROM errors", "errors"),
+        "stream_offset_steps": _sampled(
+            """SELECT topic, partition, sample_sec AS tick, reached AS offset_after FROM reached
+            WHERE topic <> 'alerts' AND sample_sec < (SELECT max(sec) FROM lines) - 30"""
+        ),
         "stream_alerts": _with(
             """SELECT * EXCLUDE ("timestamp") FROM alerts""",
             "alerts",

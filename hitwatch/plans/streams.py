@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitwatch.operators.records import alerts_from_json
+from hitwatch.operators.throughput import offset_steps
 from hitwatch.operators.windows import flat_window
 from hitwatch.plans.batch import Query, plain
-from hitwatch.session import pin_utc, work_dir
+from hitwatch.session import pin_utc, state_per_core, work_dir
 from hitwatch.sinks.batches import to_parquet, to_text
 from hitwatch.sinks.streams import parquet_files, text_files
 from hitwatch.sources import derived
@@ -32,7 +33,9 @@ def _closed_windows(spark: SparkSession, rows: DataFrame, purpose: str) -> DataF
     at = work_dir(spark, purpose)
     flat = flat_window(rows)
     writer = parquet_files(flat, f"{at}/out")
-    until_done(queries.start(writer, f"{at}/checkpoint", TO_THE_END))
+    with state_per_core(spark):
+        query = queries.start(writer, f"{at}/checkpoint", TO_THE_END)
+    until_done(query)
     return plain(spark.read.schema(flat.schema).parquet(f"{at}/out"))
 
 
@@ -55,9 +58,11 @@ def stream_error_windows_update(spark: SparkSession, folder: str) -> DataFrame:
     """Newest count of every window, in update mode: open windows are included."""
     at = work_dir(spark, "window-updates")
     rows = flat_window(queries.window_metrics(_lines(spark, folder)))
-    until_done(
-        queries.start_latest(rows, to_parquet(f"{at}/out"), f"{at}/checkpoint", TO_THE_END)
-    )
+    with state_per_core(spark):
+        query = queries.start_latest(
+            rows, to_parquet(f"{at}/out"), f"{at}/checkpoint", TO_THE_END
+        )
+    until_done(query)
     updates = spark.read.parquet(f"{at}/out")
     newest = F.max_by("count_error", "batch").alias("count_error")
     return plain(updates.groupBy("window_start", "window_end", "status").agg(newest))
@@ -70,6 +75,18 @@ def stream_errors_json(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema("value string").text(f"{at}/out")
 
 
+def stream_offset_steps(spark: SparkSession, folder: str) -> DataFrame:
+    """Offset steps of the log topics, kept up to date by a stream; closed ticks only."""
+    at = work_dir(spark, "offset-steps")
+    steps = offset_steps(derived.log_messages(table_stream(pin_utc(spark), folder, "events")))
+    with state_per_core(spark):
+        query = queries.start(
+            parquet_files(steps, f"{at}/out"), f"{at}/checkpoint", TO_THE_END
+        )
+    until_done(query)
+    return spark.read.schema(steps.schema).parquet(f"{at}/out").drop("opened")
+
+
 def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
     """Alerts of each micro-batch, without the time they were raised."""
     at = work_dir(spark, "alerts")
@@ -100,6 +117,7 @@ QUERIES: dict[str, Query] = {
         stream_error_window_urls,
         stream_window_alerts,
         stream_errors_json,
+        stream_offset_steps,
         stream_alerts,
         stream_report,
     )

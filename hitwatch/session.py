@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime
 from functools import cache
 
@@ -67,6 +69,22 @@ def stored(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@contextmanager
+def state_per_core(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in one partition per core of the cluster.
+
+    The number is fixed with a query's first checkpoint, and every partition commits in
+    every batch, so Spark's flat 200 is too many for a few cores and too few for many.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def run_name() -> str:
     """Folder name of one run of a job; names sort by start time."""
     return f"run-{datetime.now():%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"

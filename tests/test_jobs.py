@@ -116,7 +116,7 @@ def test_window_job(spark, folder, lines, in_session, tmp_path):
     assert urls.select("window_start", "status", "url").distinct().count() == error_window_urls(errors).count()
 
 
-def test_throughput_job(spark, small, in_session, tmp_path):
+def test_throughput_job(spark, small, in_session, monkeypatch, tmp_path):
     in_session(throughput_job)
     events = table(spark, small, "events")
     messages = derived.log_messages(events).unionByName(
@@ -124,6 +124,20 @@ def test_throughput_job(spark, small, in_session, tmp_path):
     )
     messages.write.parquet(f"{tmp_path}/messages")
     throughput_job.main([f"{tmp_path}/out", "--messages", f"{tmp_path}/messages"])
+
+    # the same from steps that a stream keeps, as far as its ticks are closed
+    monkeypatch.setattr(
+        throughput_job, "kafka_stream",
+        lambda session, topics, brokers, **options: session.readStream.schema(messages.schema).parquet(
+            f"{tmp_path}/messages"),
+    )
+    throughput_job.main(["--follow", f"{tmp_path}/steps", "--checkpoint", f"{tmp_path}/checkpoint"])
+    throughput_job.main([f"{tmp_path}/followed", "--steps", f"{tmp_path}/steps"])
+    followed = spark.read.parquet(f"{tmp_path}/followed/topic_offsets")
+    last = followed.agg({"sample_sec": "max"}).first()[0]
+    whole = spark.read.parquet(f"{tmp_path}/out/topic_offsets").filter(f"sample_sec <= {last}")
+    assert last == 1704067200 + 165
+    assert sorted(map(tuple, followed.collect())) == sorted(map(tuple, whole.collect()))
     counts = {
         name: spark.read.parquet(f"{tmp_path}/out/{name}").count()
         for name in ("topic_offsets", "topic_rate_1m", "partitions_per_topic", "topic_values",
