@@ -27,7 +27,6 @@ NEW_ALERT_SUMMARY = "New alert message detected"
 NEW_ALERT_SEVERITY = "critical"
 
 SERIES = ["topic", "partition"]
-SAMPLE_LABELS = ["job", "instance"]
 
 
 def offset_steps(messages: DataFrame, step: int = SCRAPE_SECONDS) -> DataFrame:

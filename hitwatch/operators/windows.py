@@ -57,14 +57,14 @@ def window_alerts(windows: DataFrame) -> DataFrame:
     )
 
 
-def window_alert_urls(urls: DataFrame, salts: int = 32) -> DataFrame:
+def window_alert_urls(urls: DataFrame, salts: int = 128) -> DataFrame:
     """URL rows, from :func:`error_window_urls`, of the windows that raise an alert.
 
     The error count is summed from the URL rows themselves, which are used twice and
     worth storing first. The URLs of a window are spread over ``salts`` join keys and
     the few alert rows repeated once per key: a window with a large share of all URLs
-    does not end up in one task. Spark broadcasts the alert rows instead if they
-    measure small. There is one alert row per key, so an inner join does; Spark would
+    does not end up in one task, and AQE can split what is still uneven. Spark
+    broadcasts the alert rows instead if they measure small. There is one alert row per key, so an inner join does; Spark would
     move a semi-join below the counting in ``urls``.
     """
     keys = ["window", "status"]
