@@ -1,5 +1,5 @@
-"""Sliding error windows of lines from a socket or a folder: alerts and metrics to
-the console, errors as JSON to files.
+"""Sliding error windows of lines from a socket or a folder: alerts, metrics and the
+URLs of each window to the console, errors as JSON to files.
 
     spark-submit hitwatch/jobs/windows.py --errors DIR --checkpoint DIR [--folder DIR]
 """
@@ -31,7 +31,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--port", type=int, default=9999)
     parser.add_argument("--folder", help="read lines from files instead of a socket")
     parser.add_argument("--errors", required=True, help="folder for the JSON errors")
-    parser.add_argument("--urls", help="folder for the URLs of each window")
+    parser.add_argument("--urls", help="folder for the URLs of each window, in place of the console")
     parser.add_argument("--checkpoint", required=True, help="shared folder, one below per query")
     args = parser.parse_args(argv)
 
@@ -54,10 +54,12 @@ def main(argv: list[str] | None = None) -> None:
                 start(text_files(error_json(lines), f"{args.errors}{run}"), below("errors"), every),
                 start(console(window_metrics(lines), "update"), below("metrics"), every),
             ]
+            urls = window_urls(lines)
             if args.urls:
-                urls = flat_window(window_urls(lines))
                 deliver = to_parquet(f"{args.urls}{run}")
-                queries.append(start_latest(urls, deliver, below("urls")))
+                queries.append(start_latest(flat_window(urls), deliver, below("urls"), every))
+            else:
+                queries.append(start(console(urls, "update"), below("urls"), every))
         until_any_ends(spark, *queries)
     finally:
         spark.stop()

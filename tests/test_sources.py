@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from hitwatch.session import work_dir
 from hitwatch.sources import derived
-from hitwatch.sources.kafka import kafka_options
+from hitwatch.sinks.batches import to_kafka
+from hitwatch.sinks.streams import kafka_topics
+from hitwatch.sources.kafka import kafka_messages, kafka_options, kafka_stream
 from hitwatch.sources.lines import line_files, socket_stream, table, table_stream
 
 TLS = {
@@ -44,6 +46,59 @@ def test_store_needs_location_and_password(missing):
     assert not [key for key in options if "keystore" in key]
 
 
+class Recorder:
+    """Stands in for a reader or writer, as no connector is at hand, and notes its settings."""
+
+    def __init__(self):
+        self.settings = {}
+
+    def __getattr__(self, name):
+        def note(*args, **options):
+            if name == "option":
+                self.settings[args[0]] = args[1]
+            elif name == "options":
+                self.settings.update(options)
+            else:
+                self.settings[name] = args[0] if args else True
+            return self
+
+        return note
+
+
+class WithRecorder:
+    def __init__(self):
+        self.read = self.readStream = self.write = self.writeStream = Recorder()
+
+
+def test_kafka_scans(monkeypatch):
+    monkeypatch.setenv("KAFKA_BROKER", "c:2")
+    session = WithRecorder()
+    kafka_stream(session, "http-logs", minPartitions="8")
+    assert session.read.settings == {
+        "format": "kafka", "kafka.bootstrap.servers": "c:2", "subscribe": "http-logs",
+        "minPartitions": "8", "load": True}
+    session = WithRecorder()
+    kafka_messages(session, "a,b", "b:1")
+    assert session.read.settings == {
+        "format": "kafka", "kafka.bootstrap.servers": "b:1", "subscribe": "a,b", "load": True}
+
+
+def test_kafka_sinks(monkeypatch):
+    for key, value in TLS.items():
+        monkeypatch.setenv(key, value)
+    rows = WithRecorder()
+    to_kafka("alerts", "b:1")(rows, 0)
+    assert rows.write.settings == {
+        "format": "kafka", **kafka_options("b:1", TLS), "topic": "alerts", "mode": "append", "save": True}
+    rows = WithRecorder()
+    to_kafka(None, "b:1")(rows, 0)
+    assert "topic" not in rows.write.settings
+    rows = WithRecorder()
+    kafka_topics(rows, "b:1")
+    assert rows.write.settings["kafka.acks"] == "all" and rows.write.settings["kafka.retries"] == "5"
+    assert rows.write.settings["kafka.ssl.keystore.location"] == "/k.jks"
+
+
 def test_socket_stream_is_declared_without_connecting(spark):
     lines = socket_stream(spark, "localhost", 1)
     assert lines.isStreaming and lines.columns == ["value"]

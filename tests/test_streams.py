@@ -192,6 +192,28 @@ def test_a_resumed_query_goes_on_where_it_stopped(spark, landed, tmp_path):
     assert got == {0, 1}
 
 
+def test_window_state_survives_a_restart(spark, landed, tmp_path):
+    folder, batch = landed
+    names = sorted(os.listdir(folder))
+    contents = [open(f"{folder}/{name}").read().splitlines() for name in names]
+    landing = write_files(tmp_path / "in", contents[:3])
+    at = work_dir(spark, "test")
+    rows = flat_window(queries.window_metrics(stream_of(spark, landing)))
+
+    def run():
+        writer = parquet_files(rows, f"{at}/out")
+        until_done(queries.start(writer, f"{at}/checkpoint", TO_THE_END))
+        return spark.read.schema(rows.schema).parquet(f"{at}/out")
+
+    first = run().count()
+    for name, lines in zip(names[3:], contents[3:]):
+        (tmp_path / "in" / f"later-{name}").write_text("\n".join(lines) + "\n")
+    errors = error_requests(parse_access_log(batch))
+    want = closed(error_windows(errors, rsd=0.05), errors)
+    got = run()
+    assert 0 < first < got.count() and bag(got) == bag(want)
+
+
 SCRIPT = [
     [(5, 500), (6, 200)],
     [(600, 200)],   # no error: the watermark stays
