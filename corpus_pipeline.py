@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hitwatch.llm import simhash, toxicity
+from hitwatch.llm import decontaminate, line_dedup, packing, simhash, toxicity
 from hitwatch.llm.common import read, stored
+from hitwatch.llm.queries import TOKENIZER
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -18,17 +19,37 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, toxicity.train(*sample))
 
 
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines near an earlier one; ``n_chars`` is counted anew where
+    lines went."""
+    kept = line_dedup.without_repeated_lines(docs)
+    return line_dedup.recounted(kept).select(docs.columns)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     return simhash.one_of_each(docs)
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.without_contaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in a training sequence."""
+    return packing.pack(docs, TOKENIZER)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
     ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("packing", pack_sequences),
 ]
 
-#: SQL for the rows of :func:`run`: learned scores and fingerprints have none.
+#: SQL for the rows of :func:`run`: learned scores, fingerprints and token ids have none.
 ORACLE_SQL = None
 
 

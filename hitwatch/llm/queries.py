@@ -4,14 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitwatch.llm import simhash, toxicity
+from hitwatch.llm import decontaminate, line_dedup, packing, simhash, toxicity
 from hitwatch.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines that are near an earlier one."""
+    kept = line_dedup.without_repeated_lines(read(spark, folder, "documents"))
+    return kept.select("doc_id", F.col("_removed").cast("long").alias("n_removed"), "text")
+
+
+def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Place of every piece of every document in a training sequence."""
+    return packing.pack(read(spark, folder, "documents"), TOKENIZER)
+
 
 def op8_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
@@ -21,6 +35,13 @@ def op8_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the similarity of its best window."""
+    return decontaminate.contaminated(
+        read(spark, folder, "documents"), read(spark, folder, "benchmark")
+    )
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of every document, learned from labelled documents not held out."""
     documents = read(spark, folder, "documents")
@@ -29,7 +50,14 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    query.__name__: query for query in (op8_simhash_near_duplicates, op10_toxicity)
+    query.__name__: query
+    for query in (
+        op2_line_dedup,
+        op5_best_fit_packing,
+        op8_simhash_near_duplicates,
+        op9_benchmark_decontamination,
+        op10_toxicity,
+    )
 }
 
 #: SQL of the queries that SQL can express on whole tables.
