@@ -164,16 +164,18 @@ def training_sample(
         labels.filter(training_part()).groupBy("doc_id").agg(F.max(label).alias("_label"))
         .filter(F.col("_label").isNotNull())
     )
-    able = docs.select("doc_id", F.col("text").alias("_text")).filter(
-        F.length("text").between(1, max_chars)
-    )
+    # ids alone are joined and ordered; texts are read for the chosen few
+    able = docs.filter(F.length("text").between(1, max_chars)).select("doc_id").distinct()
     able = able.join(marked, "doc_id")
-    order = [F.xxhash64("doc_id"), "doc_id", "_text"]
-    return tuple(
-        sorted({row._text for row in able.filter(F.col("_label") == value)
-                .orderBy(*order).limit(per_class).collect()})
-        for value in (1, 0)
-    )
+    out = []
+    for value in (1, 0):
+        chosen = (
+            able.filter(F.col("_label") == value).orderBy(F.xxhash64("doc_id"), "doc_id")
+            .limit(per_class).select("doc_id")
+        )
+        texts = docs.filter(F.length("text").between(1, max_chars)).select("doc_id", "text")
+        out.append(texts.join(F.broadcast(chosen), "doc_id").select("text").collect())
+    return tuple(sorted({row.text for row in rows}) for rows in out)
 
 
 def _words(texts: Sequence[str]) -> list[Counter]:
