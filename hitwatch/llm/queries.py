@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitwatch.llm import decontaminate, line_dedup, packing, simhash, toxicity
+from hitwatch.llm import decontaminate, line_dedup, packing, prefix_hash, simhash, toxicity, warc
 from hitwatch.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,12 +16,22 @@ Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_prefix_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return prefix_hash.fingerprints(read(spark, folder, "documents"))
+
+
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the lines that are near an earlier one."""
     kept = line_dedup.without_repeated_lines(read(spark, folder, "documents"))
     return kept.select("doc_id", F.col("_removed").cast("long").alias("n_removed"), "text")
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page as it comes back from the archives it was written to."""
+    return warc.round_trip(read(spark, folder, "pages")).drop("path")
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Place of every piece of every document in a training sequence."""
     return packing.pack(read(spark, folder, "documents"), TOKENIZER)
@@ -52,7 +62,9 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
+        op1_prefix_fingerprints,
         op2_line_dedup,
+        op4_warc,
         op5_best_fit_packing,
         op8_simhash_near_duplicates,
         op9_benchmark_decontamination,
@@ -61,4 +73,20 @@ QUERIES: dict[str, Query] = {
 }
 
 #: SQL of the queries that SQL can express on whole tables.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_warc": """
+        with sized as (
+            select page_id, coalesce(html, '') as payload, strlen(coalesce(html, '')) as payload_bytes
+            from pages
+        ), digests as (
+            select page_id, payload_bytes, sha1(payload) as payload_digest,
+                max(page_id) over (partition by payload) as newest
+            from sized
+        )
+        select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest,
+            case when payload_bytes >= 1000 and page_id < newest then 'revisit' else 'response'
+            end as record_type,
+            case when payload_bytes >= 1000 and page_id < newest then newest end as refers_to
+        from digests
+    """,
+}
