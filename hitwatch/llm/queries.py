@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitwatch.llm import decontaminate, line_dedup, packing, prefix_hash, simhash, toxicity, warc
+from hitwatch.llm import decontaminate, line_dedup, packing, pii, prefix_hash, simhash, toxicity, warc
 from hitwatch.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,12 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), TOKENIZER)
 
 
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    documents = read(spark, folder, "documents")
+    return pii.personal_data(documents, pii.learn(pii.profile_counts(documents)))
+
+
 def op8_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(read(spark, folder, "documents"))
@@ -66,6 +72,7 @@ QUERIES: dict[str, Query] = {
         op2_line_dedup,
         op4_warc,
         op5_best_fit_packing,
+        op7_pii,
         op8_simhash_near_duplicates,
         op9_benchmark_decontamination,
         op10_toxicity,
