@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitwatch.llm import decontaminate, line_dedup, packing, pii, prefix_hash, simhash, toxicity, warc
+from hitwatch.llm import decontaminate, licenses, line_dedup, packing, pii, prefix_hash, simhash, toxicity, warc
 from hitwatch.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,11 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), TOKENIZER)
 
 
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """License notices in every document."""
+    return licenses.licenses(read(spark, folder, "documents"))
+
+
 def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in every document."""
     documents = read(spark, folder, "documents")
@@ -72,6 +77,7 @@ QUERIES: dict[str, Query] = {
         op2_line_dedup,
         op4_warc,
         op5_best_fit_packing,
+        op6_license_scan,
         op7_pii,
         op8_simhash_near_duplicates,
         op9_benchmark_decontamination,
@@ -81,6 +87,7 @@ QUERIES: dict[str, Query] = {
 
 #: SQL of the queries that SQL can express on whole tables.
 ORACLE_SQL: dict[str, str] = {
+    "op6_license_scan": licenses.oracle(),
     "op4_warc": """
         with sized as (
             select page_id, coalesce(html, '') as payload, strlen(coalesce(html, '')) as payload_bytes
