@@ -18,6 +18,7 @@ no rows; other columns are not looked at.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
@@ -31,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from hitwatch.llm.common import runs, stored
 
@@ -38,7 +40,7 @@ SEQUENCE = 2048
 END_ID = 0
 PARTS = 3  # documents of a pattern
 BINS = 128
-KNOWN_WORDS = 700_000  # words whose ids a process keeps; beyond, it starts anew
+KNOWN_WORDS = 1_200_000  # words whose ids a process keeps; beyond, it starts anew
 RANK_ROWS = 200_000
 
 
@@ -56,31 +58,41 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
+        self.whole = Tokenizer.from_file(path)
+        # lower-cased words of letters alone need no rewriting and are never split
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = None
+        self.letters.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.known: dict[str, bytes] = {}
 
-    def _learn(self, words: list[str]) -> None:
-        fresh = set(words).difference(self.known)
-        parts = {}
-        for word in fresh:
-            letters = word.rstrip(LAST)
-            if len(letters) < len(word) and letters.isalpha():
-                parts[word] = (letters, word[len(letters) :])
-        wanted = fresh.difference(parts).union(*parts.values()) if parts else fresh
-        wanted = list(wanted.difference(self.known))
-        for at in range(0, len(wanted), 10_000):
-            some = wanted[at : at + 10_000]
-            encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+    def _encode(self, tokenizer: Tokenizer, words: list[str]) -> None:
+        for at in range(0, len(words), 10_000):
+            some = words[at : at + 10_000]
+            encoded = tokenizer.encode_batch_fast(some, add_special_tokens=False)
             for word, found in zip(some, encoded, strict=True):
                 self.known[word] = np.array(found.ids, "<u4").tobytes()
-        for word, (letters, end) in parts.items():
-            self.known[word] = self.known[letters] + self.known[end]
+
+    def _learn(self, fresh: list[str]) -> None:
+        parts, letters, others = {}, set(), set()
+        for word in fresh:
+            stem = word.rstrip(LAST)
+            if not (stem.isalpha() and stem == stem.lower()):
+                others.add(word)
+                continue
+            letters.add(stem)
+            if stem != word:
+                parts[word] = (stem, word[len(stem) :])
+                others.add(word[len(stem) :])
+        self._encode(self.whole, list(others.difference(self.known)))
+        self._encode(self.letters, list(letters.difference(self.known)))
+        for word, (stem, end) in parts.items():
+            self.known[word] = self.known[stem] + self.known[end]
 
     def __call__(self, texts: Sequence[str]) -> list[bytes]:
         words = [_words(text) for text in texts]
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
-        self._learn([word for part in words for word in part])
+        self._learn(set().union(*words).difference(self.known))
         of = self.known.__getitem__
         return [b"".join(map(of, part)) for part in words]
 
@@ -94,11 +106,20 @@ def encoder(path: str) -> Encoder:
 LAST = ".,;:!?"
 
 
+_SEPARATORS = re.compile("[\x1c-\x1f]")
+
+
 def _words(text: str) -> list[str]:
-    """The text split at ASCII white space, lower-cased where case folds letter by letter."""
-    if is_normalized("NFC", text) and "\u03a3" not in text and "\u0130" not in text and "<|" not in text:
-        text = text.lower()
-    return [word.decode("utf-8", "surrogatepass") for word in text.encode("utf-8", "surrogatepass").split()]
+    """The text split at white space, lower-cased where case folds letter by letter."""
+    if not is_normalized("NFC", text) or "\u03a3" in text or "\u0130" in text or "<|" in text:
+        # as they are; lower-case words of letters are still what they would become
+        return _split(text) if is_normalized("NFC", text) else [text] if text else []
+    return _split(text.lower())
+
+
+def _split(text: str) -> list[str]:
+    # four control characters are white space to Python alone
+    return re.split(r"[ \t\r\n]+", text) if _SEPARATORS.search(text) else text.split()
 
 
 PIECES = "piece int, start long, length long, ids_crc32 long"
