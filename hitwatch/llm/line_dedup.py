@@ -10,8 +10,8 @@ earlier one goes itself does not matter. Only DataFrame functions are used.
    similar lines share one of their first few words (prefix filter), leave room for
    enough common words behind it (positional filter), have similar sizes (length filter)
    and differ in few bits of a parity word of their hashes. These go into a table.
-3. Each line is held against the earliest line with one of its three rarest words: that
-   settles large groups of near copies without comparing all their pairs.
+3. Each line is held against a line of the first document that has one of its two rarest
+   words: that settles large groups of near copies without comparing all their pairs.
 4. Lines not settled are joined to all earlier ones on the words of the prefix.
 5. Whatever passes is verified on the whole sets of words.
 
@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 from hitwatch.llm.common import HOT_SHARE, stored
 
 SIMILARITY = 0.8
-#: Entries of the table of word counts, a byte each on the way to the tasks.
-RARITY_BUCKETS = 1 << 17
-LEADING_WORDS = 3
+#: Entries of the table of word counts, a long each on the way to the tasks.
+RARITY_BUCKETS = 1 << 16
+LEADING_WORDS = 2
 #: Sides of up to so many rows are broadcast, after counting; larger ones are shuffled.
 BROADCAST_ROWS = 1_000_000
 HASH_BITS = 57
@@ -49,46 +49,76 @@ def _sized(rows: DataFrame, count: int) -> DataFrame:
 
 def lines(docs: DataFrame) -> DataFrame:
     """``doc, version, line, value``: the lines of every text, numbered from 0. ``version``
-    tells texts under one id apart."""
-    return docs.select(
+    tells texts under one id apart and is 0 where there is only one."""
+    return versioned(docs).select(
         F.col("doc_id").alias("doc"),
-        F.xxhash64("text").alias("version"),
+        F.col("_version").alias("version"),
         F.posexplode(F.split("text", "\n")).alias("line", "value"),
     )
 
 
+def versioned(docs: DataFrame) -> DataFrame:
+    """The rows with ``_version``: the hash of the text if its id has several, else 0."""
+    several = stored(
+        docs.select("doc_id", F.xxhash64("text").alias("v")).distinct()
+        .groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("n"))
+        .filter("n > 1").select("_id"),
+        "several-texts",
+    )
+    side = _sized(several, several.count())
+    version = F.when(F.col("_several"), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+    return docs.join(
+        side.withColumn("_several", F.lit(True)), docs["doc_id"].eqNullSafe(side["_id"]), "left"
+    ).withColumn("_version", version).drop("_id", "_several")
+
+
 def _words(value: Column) -> Column:
     spaces = "\t\r\x0b\x0c"
     return F.split(F.translate(F.lower(value), spaces, " " * len(spaces)), " ")
 
 
-def rarity(rows: DataFrame) -> bytes:
-    """Rarity class of every bucket of word hashes: twice the logarithm of its count."""
+def rarity(rows: DataFrame) -> list[int]:
+    """For every bucket of word hashes its rarity class, twice the logarithm of its count,
+    as the upper bits of a word."""
     word = rows.select(F.explode(_words(F.col("value"))).alias("word")).filter("word != ''")
     counts = (
-        word.groupBy(F.pmod(F.xxhash64("word"), F.lit(RARITY_BUCKETS)).alias("bucket"))
+        word.groupBy(F.xxhash64("word").bitwiseAND(RARITY_BUCKETS - 1).alias("bucket"))
         .agg(F.count(F.lit(1)).alias("n"))
         .collect()  # one row per bucket
     )
-    classes = bytearray(RARITY_BUCKETS)
+    classes = [0] * RARITY_BUCKETS
     for row in counts:
-        classes[row.bucket] = min(63, int(2 * math.log2(row.n)))
-    return bytes(classes)
+        classes[row.bucket] = min(63, int(2 * math.log2(row.n))) << HASH_BITS
+    return classes
 
 
-def word_set(value: Column, classes: bytes) -> Column:
+def word_set(value: Column, classes: list[int]) -> Column:
     """The different words of a line, rarest first, as longs."""
-    table = F.lit(classes)
+    table = F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
     hashes = F.transform(F.array_remove(_words(value), ""), lambda word: F.xxhash64(word))
-
-    def ordered(word: Column) -> Column:
-        bucket = F.pmod(word, F.lit(RARITY_BUCKETS)).cast("int")
-        rank = F.ascii(F.substring(table, bucket + 1, F.lit(1)).cast("string"))
-        return F.shiftleft(rank.cast("long"), HASH_BITS).bitwiseOR(
+    return F.sort_array(F.array_distinct(F.transform(
+        hashes,
+        lambda word: F.get(table, word.bitwiseAND(RARITY_BUCKETS - 1).cast("int")).bitwiseOR(
             F.shiftrightunsigned(word, 64 - HASH_BITS)
-        )
+        ),
+    )))
+
+
+def _once(value: Column) -> Column:
+    """A column that is computed once: as the output of a generator it is not copied into
+    the expressions that use it."""
+    return F.explode(F.array(value))
+
 
-    return F.sort_array(F.array_distinct(F.transform(hashes, ordered)))
+def _parity(words: Column) -> Column:
+    """For each of 64 places whether an odd number of the words fall on it."""
+    one = F.lit(1).cast("long")
+    return F.aggregate(
+        words, F.lit(0).cast("long"),
+        lambda bits, word: bits.bitwiseXOR(
+            F.call_function("shiftleft", one, word.bitwiseAND(63).cast("int"))
+        ),
+    )
 
 
 def _needed(a: Column, b: Column) -> Column:
@@ -97,25 +127,28 @@ def _needed(a: Column, b: Column) -> Column:
     return F.ceil((a + b) * F.lit(SIMILARITY / (1 + SIMILARITY)) - 1e-9)
 
 
-def prefixes(rows: DataFrame, classes: bytes) -> DataFrame:
-    """``doc, version, line, size, parity, prefix`` of every line that has words."""
-    parity = F.aggregate(
-        "words", F.lit(0).cast("long"),
-        lambda bits, word: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), word.bitwiseAND(63).cast("int"))),
-    )
-    sized = rows.select(*KEY, word_set(F.col("value"), classes).alias("words")).withColumn(
-        "size", F.size("words")
-    )
-    length = F.col("size") - F.ceil(F.col("size") * SIMILARITY - 1e-9).cast("int") + 1
-    return sized.filter("size > 0").select(
-        *KEY, "size", parity.alias("parity"), F.slice("words", F.lit(1), length).alias("prefix")
+def prefixes(rows: DataFrame, classes: list[int]) -> DataFrame:
+    """``doc, version, line, size, even, odd, prefix`` of every line that has words. The
+    words are split by a bit of their hash, and ``even`` and ``odd`` are parities."""
+    sets = rows.select(*KEY, _once(word_set(F.col("value"), classes)).alias("words"))
+    size = F.size("words")
+    length = size - F.ceil(size * SIMILARITY - 1e-9).cast("int") + 1
+    return sets.filter("size(words) > 0").select(
+        *KEY, size.alias("size"),
+        _parity(F.filter("words", lambda word: word.bitwiseAND(64) == 0)).alias("even"),
+        _parity(F.filter("words", lambda word: word.bitwiseAND(64) != 0)).alias("odd"),
+        F.slice("words", F.lit(1), length).alias("prefix"),
     )
 
 
 def _alike(a: str, b: str) -> Column:
-    """Length and parity filters: what differs is odd in one of the two."""
+    """Length and parity filters: of the words on which two lines differ an odd number
+    falls on each place in which their parities do."""
     size_a, size_b = F.col(f"{a}.size"), F.col(f"{b}.size")
-    apart = F.bit_count(F.col(f"{a}.parity").bitwiseXOR(F.col(f"{b}.parity")))
+    apart = sum(
+        (F.bit_count(F.col(f"{a}.{name}").bitwiseXOR(F.col(f"{b}.{name}"))) for name in ("even", "odd")),
+        F.lit(0),
+    )
     return (
         (F.least(size_a, size_b) >= F.greatest(size_a, size_b) * SIMILARITY - 1e-9)
         & (apart <= size_a + size_b - 2 * _needed(size_a, size_b))
@@ -189,7 +222,7 @@ def _with(rows: DataFrame, keys: DataFrame, count: int) -> DataFrame:
     return rows.join(side, same, "left_semi")
 
 
-def verified(pairs: DataFrame, rows: DataFrame, classes: bytes) -> DataFrame:
+def verified(pairs: DataFrame, rows: DataFrame, classes: list[int]) -> DataFrame:
     """Keys of the later lines of the pairs that are similar enough."""
     early = [f"{name}_e" for name in KEY]
     mentioned = stored(
@@ -226,40 +259,50 @@ def similar_lines(rows: DataFrame) -> DataFrame:
     classes = rarity(rows)
     table = stored(prefixes(rows, classes), "prefixes")
 
-    # the earliest line with one of the rarest words
-    leading = table.select(
-        *KEY, "size", "parity", F.explode(F.slice("prefix", 1, LEADING_WORDS)).alias("word")
+    # a line of the first document with one of the rarest words
+    marks = [*KEY, "size", "even", "odd"]
+    leading = table.select(*marks, F.explode(F.slice("prefix", 1, LEADING_WORDS)).alias("word"))
+    shared = stored(
+        leading.groupBy(F.col("word").alias("k_word"))
+        .agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"),
+        "shared-words",
     )
+    total = shared.agg(F.sum("n")).first()[0] or 0
+    of_first = _hot_join(leading, shared, ["word"], total).filter(F.col("doc").eqNullSafe(F.col("first")))
     leaders = stored(
-        leading.groupBy("word").agg(
-            F.min_by(F.struct(*KEY, "size", "parity"), F.struct("doc", "line", "version")).alias("e"),
-            F.count(F.lit(1)).alias("n"),
-        ).filter("n > 1").withColumnRenamed("word", "k_word"),
+        of_first.groupBy("k_word").agg(F.min_by(F.struct(*marks), "line").alias("e"), F.first("n").alias("n")),
         "leaders",
     )
     total = leaders.agg(F.sum("n")).first()[0] or 0
     led = _hot_join(leading, leaders, ["word"], total).select(
-        F.struct(*KEY, "size", "parity").alias("l"), "e"
+        F.struct(*marks).alias("l"), "e"
     )
     settled = stored(
-        verified(stored(_pairs(led.filter((_order("l") > _order("e")) & _alike("l", "e")), "l", "e"), "led"), rows, classes),
+        verified(stored(_pairs(led.filter(_alike("l", "e") & (_order("l") > _order("e"))), "l", "e"), "led"), rows, classes),
         "settled",
     )
 
-    # all others against all earlier ones
-    count = settled.count()
-    words = table.select(*KEY, "size", "parity", F.posexplode("prefix").alias("place", "word"))
-    open_words = _without(table, settled, count).select(
-        *KEY, "size", "parity", F.posexplode("prefix").alias("place", "word")
+    # all others against all earlier ones; both sides are the same table, shuffled once, and
+    # the condition on one side names the other so that it stays in the join
+    settled_keys = _sized(
+        settled.select(*(F.col(name).alias(f"k_{name}") for name in KEY), F.lit(0).alias("open")), settled.count()
+    )
+    same = F.lit(True)
+    for name in KEY:
+        same = same & table[name].eqNullSafe(settled_keys[f"k_{name}"])
+    words = table.join(settled_keys, same, "left").select(
+        *marks, F.coalesce("open", F.lit(1)).alias("open"), F.posexplode("prefix").alias("place", "word")
     )
-    later, earlier = open_words.alias("l"), words.alias("e")
+    later, earlier = words.alias("l"), words.alias("e")
+    is_open = F.col("l.open") >= F.least(F.col("e.size"), F.lit(1))
     room = F.least(F.col("l.size") - F.col("l.place"), F.col("e.size") - F.col("e.place"))
     joined = later.join(
         earlier,
         (F.col("l.word") == F.col("e.word"))
-        & (_order("l") > _order("e"))
+        & is_open
+        & (room >= _needed(F.col("l.size"), F.col("e.size")))
         & _alike("l", "e")
-        & (room >= _needed(F.col("l.size"), F.col("e.size"))),
+        & (_order("l") > _order("e")),
     )
     rest = verified(stored(_pairs(joined, "l", "e"), "pairs"), rows, classes)
     return settled.unionByName(rest)
@@ -277,12 +320,13 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     """The rows, with all their columns, and ``text`` without the lines that go; one more
     column, ``_removed``, counts them. Texts that lose all lines are empty."""
     gone = stored(repeated_lines(docs), "repeated-lines")
-    by_text = gone.groupBy(F.col("doc").alias("_doc"), F.col("version").alias("_version")).agg(
+    by_text = gone.groupBy(F.col("doc").alias("_doc"), F.col("version").alias("_gone_version")).agg(
         F.collect_set("line").alias("_gone")  # no more than the text has lines
     )
     side = _sized(by_text, gone.count())
-    joined = docs.join(
-        side, docs["doc_id"].eqNullSafe(side["_doc"]) & (F.xxhash64(docs["text"]) == side["_version"]), "left"
+    own = versioned(docs)
+    joined = own.join(
+        side, own["doc_id"].eqNullSafe(side["_doc"]) & (own["_version"] == side["_gone_version"]), "left"
     )
     parts = F.split("text", "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_gone"))
