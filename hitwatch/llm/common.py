@@ -9,7 +9,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Keys that hold more than this share of all rows are joined by broadcast; there
@@ -57,6 +57,23 @@ def join_hot(
     return rows.join(hot, key).unionByName(rest)
 
 
+def join_hot_keys(rows: DataFrame, keyed: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """As :func:`join_hot` for several keys, which may be null: ``keyed`` has them under
+    ``k_`` and their names, and in ``n`` the number of rows."""
+    limit = max(1000, int(total * HOT_SHARE))
+    hot = F.broadcast(keyed.filter(F.col("n") > limit))
+
+    def same(a: DataFrame, b: DataFrame) -> Column:
+        out = F.lit(True)
+        for key in keys:
+            out = out & a[key].eqNullSafe(b[f"k_{key}"])
+        return out
+
+    cold = keyed.filter(F.col("n") <= limit)
+    rest = rows.join(hot, same(rows, hot), "left_anti")
+    return rows.join(hot, same(rows, hot)).unionByName(rest.join(cold, same(rest, cold)))
+
+
 def runs(batches: Iterator[pa.RecordBatch], text: str, limit: int = RUN_CHARS) -> Iterator:
     """``(batch, texts)`` over pieces of the batches of about ``limit`` bytes of text or
     a single row; null texts are empty."""

@@ -30,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitwatch.llm.common import HOT_SHARE, stored
+from hitwatch.llm.common import join_hot_keys, stored
 
 SIMILARITY = 0.8
 #: Entries of the table of word counts, a long each on the way to the tasks.
@@ -166,23 +166,6 @@ def _pairs(joined: DataFrame, later: str, earlier: str) -> DataFrame:
     ).distinct()
 
 
-def _hot_join(rows: DataFrame, keyed: DataFrame, keys: list[str], total: int) -> DataFrame:
-    """Joins rows to one row per key with the number ``n`` of rows that have it: keys with
-    a large share of all rows, of which there can be few, by broadcast."""
-    limit = max(1000, int(total * HOT_SHARE))
-    hot = F.broadcast(keyed.filter(F.col("n") > limit))
-
-    def same(a: DataFrame, b: DataFrame) -> Column:
-        out = F.lit(True)
-        for key in keys:
-            out = out & a[key].eqNullSafe(b[f"k_{key}"])
-        return out
-
-    cold = keyed.filter(F.col("n") <= limit)
-    rest = rows.join(hot, same(rows, hot), "left_anti")
-    return rows.join(hot, same(rows, hot)).unionByName(rest.join(cold, same(rest, cold)))
-
-
 def equal_lines(rows: DataFrame) -> DataFrame:
     """Keys of the lines that repeat an earlier one, but for case and outer spaces."""
     plain = F.lower(F.trim("value"))
@@ -199,7 +182,7 @@ def equal_lines(rows: DataFrame) -> DataFrame:
     )
     total = repeated.agg(F.sum("n")).first()[0] or 0
     return (
-        _hot_join(hashed, repeated, ["a", "b"], total)
+        join_hot_keys(hashed, repeated, ["a", "b"], total)
         .filter(F.struct("doc", "line", "version") > F.col("first"))
         .select(*KEY)
         .distinct()
@@ -249,7 +232,7 @@ def verified(pairs: DataFrame, rows: DataFrame, classes: list[int]) -> DataFrame
     by_early = weights.join(late, same).select(
         *(F.col(e).alias(f"k_{e}") for e in early), F.col("words_l").alias("words_e"), "n"
     )
-    both = _hot_join(with_late, stored(by_early, "earlier"), early, total)
+    both = join_hot_keys(with_late, stored(by_early, "earlier"), early, total)
     common = F.size(F.array_intersect("words_l", "words_e"))
     return both.filter(common >= _needed(F.size("words_l"), F.size("words_e"))).select(*KEY).distinct()
 
@@ -268,13 +251,13 @@ def similar_lines(rows: DataFrame) -> DataFrame:
         "shared-words",
     )
     total = shared.agg(F.sum("n")).first()[0] or 0
-    of_first = _hot_join(leading, shared, ["word"], total).filter(F.col("doc").eqNullSafe(F.col("first")))
+    of_first = join_hot_keys(leading, shared, ["word"], total).filter(F.col("doc").eqNullSafe(F.col("first")))
     leaders = stored(
         of_first.groupBy("k_word").agg(F.min_by(F.struct(*marks), "line").alias("e"), F.first("n").alias("n")),
         "leaders",
     )
     total = leaders.agg(F.sum("n")).first()[0] or 0
-    led = _hot_join(leading, leaders, ["word"], total).select(
+    led = join_hot_keys(leading, leaders, ["word"], total).select(
         F.struct(*marks).alias("l"), "e"
     )
     settled = stored(

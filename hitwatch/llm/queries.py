@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitwatch.llm import decontaminate, licenses, line_dedup, packing, pii, prefix_hash, simhash, toxicity, warc
+from hitwatch.llm import decontaminate, licenses, line_dedup, packing, pii, prefix_hash, quality, simhash, toxicity, warc
 from hitwatch.llm.common import read
+from hitwatch.llm.labelled import training_sample
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,17 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", F.col("_removed").cast("long").alias("n_removed"), "text")
 
 
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, from its text and from the other documents of its source
+    (as host) and language within the source (as path)."""
+    documents = read(spark, folder, "documents")
+    good, bad = training_sample(documents, read(spark, folder, "labels"), "quality")
+    sites = documents.select(
+        "doc_id", "text", F.col("source").alias("host"), F.col("lang").alias("path")
+    )
+    return quality.quality(sites, quality.train(good, bad))
+
+
 def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Every page as it comes back from the archives it was written to."""
     return warc.round_trip(read(spark, folder, "pages")).drop("path")
@@ -66,7 +78,7 @@ def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of every document, learned from labelled documents not held out."""
     documents = read(spark, folder, "documents")
-    model = toxicity.train(*toxicity.training_sample(documents, read(spark, folder, "labels")))
+    model = toxicity.train(*training_sample(documents, read(spark, folder, "labels"), "toxic"))
     return toxicity.toxicity_scores(documents, model)
 
 
@@ -75,6 +87,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         op1_prefix_fingerprints,
         op2_line_dedup,
+        op3_quality,
         op4_warc,
         op5_best_fit_packing,
         op6_license_scan,
