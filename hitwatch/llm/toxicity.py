@@ -10,8 +10,8 @@ machine then fold into one weight per letter triple, and scoring a text is a few
 look-ups per letter, whatever the number of landmarks.
 
 Words are runs without white space; neighbouring words of one or two characters count as
-one word, which undoes spaced-out spelling. A sentence is as toxic as its most toxic
-word and a text as its most toxic sentence.
+one word, which undoes spaced-out spelling. A text is
+scored by its most toxic word, by how far its other words reach, and by its length.
 
 Edge cases: null and empty texts, and texts without a word of three letters, get the
 score of the machine's offset, a low one; repeated rows get equal scores; an empty table
@@ -20,6 +20,7 @@ gives none; without labelled rows of both kinds every score is 0.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -120,18 +121,26 @@ class Model:
     size: int
     weights: np.ndarray
     offset: float
-    slope: float
-    shift: float
+    curve: np.ndarray
 
-    def scores(self, texts: Sequence[str]) -> np.ndarray:
-        """Score of each text, from 0 to 1."""
+    def evidence(self, texts: Sequence[str]) -> np.ndarray:
+        """For each text the margin of its most toxic word, how much its other words reach
+        over the machine's lower margin, and how many words there are."""
         found, of_text = letters(texts, self.alphabet)
-        best = np.zeros(len(texts))
+        best, over, count = np.full(len(texts), self.offset), np.zeros(len(texts)), np.zeros(len(texts))
         if len(of_text):
-            value = word_sums(found, self.size, self.weights)
+            value = np.maximum(word_sums(found, self.size, self.weights), 0.0) + self.offset
             first = np.flatnonzero(np.diff(of_text, prepend=-1))
-            best[of_text[first]] = np.maximum(np.maximum.reduceat(value, first), 0.0)
-        return 1 / (1 + np.exp(-np.clip(self.slope * (best + self.offset) + self.shift, -50, 50)))
+            best[of_text[first]] = np.maximum.reduceat(value, first)
+            reach = np.clip(value + 1, 0, 2)
+            over[of_text[first]] = np.add.reduceat(reach, first)
+            count[of_text[first]] = np.diff(np.append(first, len(of_text)))
+        over = np.maximum(over - np.clip(best + 1, 0, 2), 0)
+        return np.column_stack([best, np.log1p(over), np.log1p(count), np.ones(len(texts))])
+
+    def scores(self, texts: Sequence[str]) -> np.ndarray:
+        """Score of each text, from 0 to 1."""
+        return 1 / (1 + np.exp(-np.clip(self.evidence(texts) @ self.curve, -50, 50)))
 
 
 # -- training --------------------------------------------------------------------------
@@ -156,6 +165,29 @@ def _words(texts: Sequence[str]) -> list[Counter]:
     return out
 
 
+def _without_copies(bags: Sequence[Counter]) -> list[Counter]:
+    """Bags that share less than half of eight minimum hashes with each earlier one: words
+    that only near copies have in common would pass for toxic ones."""
+    seen: dict[tuple[int, int], list[int]] = {}
+    out: list[Counter] = []
+    for bag in bags:
+        hashes = np.array([zlib.crc32(word.encode("utf-8", "surrogatepass")) for word in bag], np.uint64)
+        if not len(hashes):
+            continue
+        mixed = (hashes[:, None] * _FACTORS[None, :]) & np.uint64(0xFFFFFFFF)
+        keys = list(enumerate(mixed.min(0).tolist()))
+        shared = Counter(at for key in keys for at in seen.get(key, ()))
+        if max(shared.values(), default=0) >= len(keys) // 2:
+            continue
+        for key in keys:
+            seen.setdefault(key, []).append(len(out))
+        out.append(bag)
+    return out
+
+
+_FACTORS = np.random.default_rng(11).integers(1 << 20, 1 << 31, 8).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 def _plain(word: str) -> str:
     return "".join(c for c in word if c.isalnum())
 
@@ -233,26 +265,28 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 2e-4
     return w
 
 
-def _sigmoid(value: np.ndarray, positive: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic curve through the two classes, by Newton steps."""
+def _sigmoid(x: np.ndarray, positive: np.ndarray, penalty: float = 1.0) -> np.ndarray:
+    """Weights of a logistic curve through the two classes, by Newton steps; the last entry
+    is the offset."""
     target = np.where(positive, (positive.sum() + 1) / (positive.sum() + 2), 1 / ((~positive).sum() + 2))
-    x = np.column_stack([value, np.ones(len(value))])
-    w = np.array([2.0, 0.0])
+    w = np.zeros(x.shape[1])
+    ridge = np.full(len(w), penalty)
+    ridge[-1] = 1e-3
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + 1e-3 * np.eye(2)
-        step = np.linalg.solve(h, x.T @ (p - target) + 1e-3 * w)
+        hessian = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + np.diag(ridge)
+        step = np.linalg.solve(hessian, x.T @ (p - target) + ridge * w)
         w = w - np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-7:
             break
-    return float(w[0]), float(w[1])
+    return w
 
 
 def train(toxic: Sequence[str], clean: Sequence[str]) -> Model | None:
     """A model from texts of either class; none if one of them is missing."""
-    if not toxic or not clean:
+    bags, others = _without_copies(_words(toxic)), _without_copies(_words(clean))
+    if not bags or not others:
         return None
-    bags, others = _words(toxic), _words(clean)
     seen_toxic = Counter(word for bag in bags for word in {_plain(w) for w in bag})
     seen_clean = Counter(word for bag in others for word in {_plain(w) for w in bag})
 
@@ -279,7 +313,10 @@ def train(toxic: Sequence[str], clean: Sequence[str]) -> Model | None:
     # words taken as toxic: the likeliest of each text, and those that toxic texts alone often have
     value = np.array([lean(_plain(w)) for w in positive])
     never = np.array([not seen_clean[_plain(w)] for w in positive])
-    strong = np.flatnonzero(never & (value > max(value) / 4))
+    surplus = np.array([
+        max(0.25, seen_toxic[p] - len(bags) * seen_clean[p] / len(others)) for p in map(_plain, positive)
+    ])
+    strong = np.flatnonzero(never & (value > max(value) / 3))
 
     for phase in range(2):
         kernel = _Kernel(known)
@@ -289,12 +326,14 @@ def train(toxic: Sequence[str], clean: Sequence[str]) -> Model | None:
         in_negative = kernel.to_landmarks(negative) @ root
         for _ in range(ROUNDS):
             witness = np.union1d([at[np.argmax(value[at])] for at in of_bag], strong).astype(int)
-            spelled = [s for at in witness for s in _spelled(positive[at])]
-            toxic_words = [*(positive[at] for at in witness), *spelled]
+            spelled = [[s for s in _spelled(positive[at])] for at in witness]
+            toxic_words = [*(positive[at] for at in witness), *(s for some in spelled for s in some)]
+            # words count by the number of toxic texts that have them beyond what clean ones would
+            share = surplus[witness] / surplus[witness].sum()
+            varied = [0.5 * part / max(1, len(some)) for part, some in zip(share, spelled, strict=True) for _ in some]
             x = np.vstack([kernel.to_landmarks(toxic_words) @ root, in_negative])
             y = np.r_[np.ones(len(toxic_words)), -np.ones(len(in_negative))]
-            weight = np.r_[np.full(len(witness), 1 / len(witness)), np.full(len(spelled), 0.5 / max(1, len(spelled))),
-                           np.full(len(in_negative), 1.5 / len(in_negative))]
+            weight = np.r_[share, varied, np.full(len(in_negative), 1.5 / len(in_negative))]
             w = _svm(x, y, weight)
             factors = root @ w[:-1]
             value = kernel.weigh(positive, factors)
@@ -309,15 +348,12 @@ def train(toxic: Sequence[str], clean: Sequence[str]) -> Model | None:
             plain_mined = dict.fromkeys(p for p in map(_plain, mined) if 2 <= len(p) <= 24)
             known = list(dict.fromkeys([*known, *plain_mined]))[: len(known) + MINED_LANDMARKS]
 
-    plain = Model(kernel.alphabet, kernel.size, kernel.table(factors), 0.0, 1.0, 0.0)
-
-    def margins(texts: Sequence[str]) -> np.ndarray:
-        p = np.concatenate([plain.scores(texts[at : at + 100]) for at in range(0, len(texts), 100)])
-        return np.log(p / (1 - p)) + w[-1]
-
-    value = np.r_[margins(toxic), margins(clean)]
-    slope, shift = _sigmoid(value, np.r_[np.ones(len(toxic), bool), np.zeros(len(clean), bool)])
-    return Model(kernel.alphabet, kernel.size, plain.weights, float(w[-1]), slope, shift)
+    plain = Model(kernel.alphabet, kernel.size, kernel.table(factors), float(w[-1]), np.zeros(4))
+    evidence = np.vstack([
+        plain.evidence(texts[at : at + 100]) for texts in (toxic, clean) for at in range(0, len(texts), 100)
+    ])
+    curve = _sigmoid(evidence, np.arange(len(evidence)) < len(toxic))
+    return Model(plain.alphabet, plain.size, plain.weights, plain.offset, curve)
 
 
 # -- over tables -----------------------------------------------------------------------
