@@ -23,8 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines near an earlier one; ``n_chars`` is counted anew where
     lines went."""
-    kept = line_dedup.without_repeated_lines(docs)
-    return line_dedup.recounted(kept).select(docs.columns)
+    return line_dedup.without_repeated_lines(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

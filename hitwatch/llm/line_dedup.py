@@ -299,33 +299,39 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     return equal.unionByName(similar_lines(others))
 
 
-def without_repeated_lines(docs: DataFrame) -> DataFrame:
-    """The rows, with all their columns, and ``text`` without the lines that go; one more
-    column, ``_removed``, counts them. Texts that lose all lines are empty."""
-    gone = stored(repeated_lines(docs), "repeated-lines")
+def edited_lines(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_removed, text`` of every row, ``text`` being without the lines that go,
+    and the row itself as ``row``. Texts that lose all lines are empty."""
+    gone = stored(repeated_lines(docs.select("doc_id", "text")), "repeated-lines")
     by_text = gone.groupBy(F.col("doc").alias("_doc"), F.col("version").alias("_gone_version")).agg(
         F.collect_set("line").alias("_gone")  # no more than the text has lines
     )
     side = _sized(by_text, gone.count())
-    own = versioned(docs)
+    own = versioned(docs.select("doc_id", "text", F.struct("*").alias("row")))
     joined = own.join(
         side, own["doc_id"].eqNullSafe(side["_doc"]) & (own["_version"] == side["_gone_version"]), "left"
     )
-    parts = F.split("text", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_gone"))
-    text = F.array_join(F.transform(kept, lambda at: F.get(parts, at)), "\n")
-    return joined.withColumns({
-        "text": F.when(F.col("_gone").isNull(), F.col("text")).otherwise(text),
-        "_removed": F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")),
-    }).select(*docs.columns, "_removed")
-
-
-def recounted(kept: DataFrame) -> DataFrame:
-    """``n_chars``, where there is such a column, counted anew for the texts that changed."""
-    if "n_chars" not in kept.columns:
-        return kept
-    kind = kept.schema["n_chars"].dataType
-    return kept.withColumn(
-        "n_chars",
-        F.when(F.col("_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")),
+    parts = F.when(F.col("_gone").isNotNull(), F.split("text", "\n"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("_parts") - 1), F.col("_gone"))
+    text = F.array_join(F.transform(kept, lambda at: F.get("_parts", at)), "\n")
+    return joined.select("*", _once(parts).alias("_parts")).select(
+        "doc_id",
+        F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("n_removed"),
+        F.when(F.col("_gone").isNull(), F.col("text")).otherwise(text).alias("text"),
+        "row",
     )
+
+
+def without_repeated_lines(docs: DataFrame, length: str = "n_chars") -> DataFrame:
+    """The rows, with all their columns, without the lines that go; where a text has changed
+    and there is a column ``length``, it is counted anew."""
+    def column(name: str) -> Column:
+        old = F.col(f"row.`{name}`")
+        if name == "text":
+            return F.col("text")
+        if name == length:
+            new = F.length("text").cast(docs.schema[name].dataType)
+            return F.when(F.col("n_removed") > 0, new).otherwise(old).alias(name)
+        return old.alias(name)
+
+    return edited_lines(docs).select(*map(column, docs.columns))

@@ -24,8 +24,7 @@ def op1_prefix_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the lines that are near an earlier one."""
-    kept = line_dedup.without_repeated_lines(read(spark, folder, "documents"))
-    return kept.select("doc_id", F.col("_removed").cast("long").alias("n_removed"), "text")
+    return line_dedup.edited_lines(read(spark, folder, "documents")).drop("row")
 
 
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitwatch.llm.common import join_hot, runs, stored
@@ -260,15 +260,17 @@ def near_duplicates(
 
 def one_of_each(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows, with all their columns, whose id is the smallest of their component. Of
-    rows with the same id one stays, and so do all rows without an id."""
+    rows with the same id the one with the least text stays, and all rows without an id."""
     found = near_duplicates(docs, width, max_bits)
     keep = stored(
-        found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")),
+        found.filter("doc_id is not null").groupBy("doc_id")
+        .agg(F.count(F.lit(1)).alias("rows"), F.max(F.col("doc_id") == F.col("component_id")).alias("first"))
+        .filter("first"),
         "kept",
     )
-    single = docs.join(keep.filter("_n = 1").select("doc_id"), "doc_id", "left_semi")
-    repeated = docs.join(keep.filter("_n > 1").select("doc_id"), "doc_id", "left_semi")
-    return (
-        single.unionByName(repeated.dropDuplicates(["doc_id"]))
-        .unionByName(docs.filter("doc_id is null"))
-    )
+    single = docs.join(keep.filter("rows = 1").select("doc_id"), "doc_id", "left_semi")
+    repeated = docs.join(keep.filter("rows > 1").select("doc_id"), "doc_id", "left_semi")
+    least = Window.partitionBy("doc_id").orderBy("text", *(c for c in docs.columns if c not in ("doc_id", "text")))
+    ranked = repeated.select(F.struct("*").alias("row"), F.row_number().over(least).alias("rank"))
+    one = ranked.filter("rank = 1").select(*(F.col(f"row.`{name}`").alias(name) for name in docs.columns))
+    return single.unionByName(one).unionByName(docs.filter("doc_id is null"))
