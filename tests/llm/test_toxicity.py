@@ -1,0 +1,102 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pytest
+
+from hitwatch.llm import labelled, queries, toxicity
+from hitwatch.llm.common import read
+
+INSULTS = ["blockhead", "numskull", "nitwit"]
+PROSE = "the meadow river quietly carries golden leaves beyond seven wooden bridges towards evening harbours".split()
+
+
+def sentences(n, seed, insult):
+    rng = np.random.default_rng(seed)
+    out = []
+    for k in range(n):
+        words = [PROSE[i] + "".join(rng.choice(list("abcdefgh"), 2)) for i in rng.integers(0, len(PROSE), 14)]
+        if insult:
+            words.insert(int(rng.integers(0, 14)), INSULTS[k % 3])
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.fixture(scope="module")
+def model():
+    return toxicity.train(sentences(80, 1, True), sentences(160, 2, False))
+
+
+def slow_kernel(a, b):
+    """Sum over common triples, straight from the definition."""
+    def triples(word):
+        word = "^" + word
+        out = {}
+        for i in range(len(word)):
+            for k in range(i + 2, min(len(word), i + toxicity.REACH + 1)):
+                for j in range(i + 1, k):
+                    key = word[i] + word[j] + word[k]
+                    out[key] = out.get(key, 0) + toxicity.DECAY ** (k - i + 1)
+        return out, toxicity.NORMS[len(word)]
+
+    (x, nx), (y, ny) = triples(a), triples(b)
+    return sum(v * y.get(key, 0) for key, v in x.items()) / (nx * ny)
+
+
+def test_kernel_by_look_up_is_the_kernel():
+    words = ["idiot", "idxiot", "unrelated", "aaaa", "ab"]
+    kernel = toxicity._Kernel(words)
+    got = kernel.to_landmarks(words)
+    want = [[slow_kernel(a, b) for b in words] for a in words]
+    assert np.allclose(got, want, atol=1e-5)
+    assert np.linalg.eigvalsh((got + got.T) / 2).min() > -1e-5  # positive semidefinite
+
+
+def test_held_out_sentences(model):
+    bad, good = model.scores(sentences(60, 3, True)), model.scores(sentences(60, 4, False))
+    assert (bad >= toxicity.THRESHOLD).mean() > 0.95 and (good < toxicity.THRESHOLD).mean() > 0.9
+
+
+@pytest.mark.parametrize("hidden", ["BLOCKHEAD!", "b-l-o-c-k-h-e-a-d", "b l o c k h e a d", "bloockhead", "blockxhead"])
+def test_gapped_and_inserted(model, hidden):
+    clean = sentences(1, 9, False)[0]
+    assert model.scores([f"{clean} {hidden} {clean}"])[0] > 0.7 > model.scores([f"{clean} {clean}"])[0]
+
+
+def test_score_does_not_depend_on_the_run(model):
+    texts = sentences(20, 5, True) + ["", "a", "ü 漢 \U0001f600"] + sentences(20, 6, False)
+    alone = np.concatenate([model.scores([text]) for text in texts])
+    assert np.allclose(model.scores(texts), alone) and alone.min() >= 0 and alone.max() <= 1
+
+
+def test_missing_class():
+    assert toxicity.train([], ["a"]) is None and toxicity.train(["a"], []) is None
+
+
+def test_awkward_rows(awkward, empty, model):
+    rows = toxicity.toxicity_scores(awkward, model).collect()
+    assert len(rows) == 14
+    assert all(r.predicted == (r.score >= 0.7) and 0 <= r.score <= 1 for r in rows)
+    assert all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    assert {r.score for r in rows if r.doc_id == 1} == {r.score for r in rows if r.doc_id == 2}
+    kept = toxicity.without_toxic(awkward, model)
+    assert kept.columns == awkward.columns and kept.count() == sum(r.score < 0.7 for r in rows)
+    assert toxicity.toxicity_scores(empty, model).count() == 0
+    assert {r.score for r in toxicity.toxicity_scores(awkward, None).collect()} == {0.0}
+
+
+def test_sample_is_never_held_out(spark, docs):
+    rows = docs([(k, f"text {k}") for k in range(300)] + [(None, "nameless")])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(300)] + [(None, 1), (7, None), (0, 1)], "doc_id long, toxic int")
+    toxic, clean = labelled.training_sample(rows, labels, "toxic", per_class=60)
+    assert len(toxic) == len(clean) == 60 and "text 0" not in clean
+    ids = [int(text.split()[1]) for text in toxic + clean]
+    assert all(zlib.crc32(str(k).encode()) % 3 != 1 for k in ids)
+
+
+def test_query_on_held_out_labels(spark):
+    folder = "/root/testdata/sf0.1"
+    rows = queries.op10_toxicity(spark, folder).join(read(spark, folder, "labels"), "doc_id").filter("held_out")
+    got = {r.toxic: r.p for r in rows.groupBy("toxic").avg("predicted").toDF("toxic", "p").collect()}
+    assert got[1] > 0.8 and got[0] < 0.03
