@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -252,6 +253,7 @@ def plan(histogram: dict[int, int], size: int = SEQUENCE, bins: int = BINS) -> l
             b: sorted((n for n in left if bin_of[n] == b), reverse=True) for b in set(bin_of.values())
         }
         stock = {b: sum(left[n] for n in of) for b, of in queue.items()}
+        lengths = sorted(n for n in left if left[n] > 0)
         for column in np.argsort(-repeats, kind="stable"):
             count = int(repeats[column])
             if count <= 0:
@@ -260,18 +262,30 @@ def plan(histogram: dict[int, int], size: int = SEQUENCE, bins: int = BINS) -> l
             need = {part: parts.count(part) for part in parts}
             count = min(count, *(stock.get(part, 0) // times for part, times in need.items()))
             while count > 0:
-                # as many sequences as the longest lengths of all parts last for
+                # the longest pieces of all parts but the last, and the longest that still fits
                 chosen: list[int] = []
-                for part in parts:
-                    able = [n for n in queue[part] if left[n] - chosen.count(n) > 0]
-                    chosen.append(able[0])
+                for part in parts[:-1]:
+                    able = (n for n in queue.get(part, ()) if left[n] > chosen.count(n))
+                    if (length := next(able, None)) is None:
+                        break
+                    chosen.append(length)
+                if len(chosen) < len(parts) - 1:
+                    break
+                at = bisect_right(lengths, size - sum(chosen)) - 1
+                while at >= 0 and left[lengths[at]] <= chosen.count(lengths[at]):
+                    at -= 1
+                if at >= 0:
+                    chosen.append(lengths[at])
+                if not chosen:
+                    break
                 run = min(count, *(left[n] // chosen.count(n) for n in chosen))
                 offset = 0
                 for length in chosen:
                     place(length, run, following, offset)
                     offset += length
-                for part in parts:
-                    stock[part] -= run
+                    stock[bin_of[length]] -= run
+                lengths = [n for n in lengths if left[n] > 0]
+                for part in set(map(bin_of.get, chosen)):
                     queue[part] = [n for n in queue[part] if left[n] > 0]
                 groups.append(_Group(following, run, offset))
                 following += run

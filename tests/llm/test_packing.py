@@ -75,7 +75,7 @@ def test_plan_places_every_piece(seed):
             assert offset == at
             at += length
         assert at <= size
-    assert len(filled) <= 1.03 * -(-int(lengths.sum()) // size) + 3
+    assert len(filled) <= 1.05 * -(-int(lengths.sum()) // size) + 3
 
 
 def test_plan_of_nothing_and_of_one():
@@ -100,7 +100,7 @@ def test_query_against_the_tokenizer(spark, small):
             (k, at, len(ids[at : at + 2048]), zlib.crc32(ids[at : at + 2048].tobytes()))
             for k, at in enumerate(range(0, len(ids), 2048))
         ]
-    assert check_places(rows, 2048) <= 1.02 * -(-total // 2048)
+    assert check_places(rows, 2048) <= 1.005 * -(-total // 2048) + 1
 
 
 @pytest.mark.parametrize("rank_rows", [200_000, 2])
