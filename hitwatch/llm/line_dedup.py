@@ -10,8 +10,8 @@ earlier one goes itself does not matter. Only DataFrame functions are used.
    similar lines share one of their first few words (prefix filter), leave room for
    enough common words behind it (positional filter), have similar sizes (length filter)
    and differ in few bits of a parity word of their hashes. These go into a table.
-3. Each line is held against a line of the first document that has one of its two rarest
-   words: that settles large groups of near copies without comparing all their pairs.
+3. Each line is held against a line of the first document that has its rarest
+   word: that settles large groups of near copies without comparing all their pairs.
 4. Lines not settled are joined to all earlier ones on the words of the prefix.
 5. Whatever passes is verified on the whole sets of words.
 
@@ -35,7 +35,6 @@ from hitwatch.llm.common import join_hot_keys, stored
 SIMILARITY = 0.8
 #: Entries of the table of word counts, a long each on the way to the tasks.
 RARITY_BUCKETS = 1 << 16
-LEADING_WORDS = 2
 #: Sides of up to so many rows are broadcast, after counting; larger ones are shuffled.
 BROADCAST_ROWS = 1_000_000
 HASH_BITS = 57
@@ -137,14 +136,18 @@ def prefixes(rows: DataFrame, classes: list[int]) -> DataFrame:
         *KEY, size.alias("size"),
         _parity(F.filter("words", lambda word: word.bitwiseAND(64) == 0)).alias("even"),
         _parity(F.filter("words", lambda word: word.bitwiseAND(64) != 0)).alias("odd"),
-        F.slice("words", F.lit(1), length).alias("prefix"),
+        # 31 bits of a hash do here: what meets by chance is found out on the whole sets
+        F.transform(F.slice("words", F.lit(1), length), lambda word: word.bitwiseAND(0x7FFFFFFF).cast("int")).alias("prefix"),
     )
 
 
 def _alike(a: str, b: str) -> Column:
+    return _alike_by(a, b, F.col(f"{a}.size"), F.col(f"{b}.size"))
+
+
+def _alike_by(a: str, b: str, size_a: Column, size_b: Column) -> Column:
     """Length and parity filters: of the words on which two lines differ an odd number
     falls on each place in which their parities do."""
-    size_a, size_b = F.col(f"{a}.size"), F.col(f"{b}.size")
     apart = sum(
         (F.bit_count(F.col(f"{a}.{name}").bitwiseXOR(F.col(f"{b}.{name}"))) for name in ("even", "odd")),
         F.lit(0),
@@ -242,9 +245,9 @@ def similar_lines(rows: DataFrame) -> DataFrame:
     classes = rarity(rows)
     table = stored(prefixes(rows, classes), "prefixes")
 
-    # a line of the first document with one of the rarest words
+    # a line of the first document with the rarest word
     marks = [*KEY, "size", "even", "odd"]
-    leading = table.select(*marks, F.explode(F.slice("prefix", 1, LEADING_WORDS)).alias("word"))
+    leading = table.select(*marks, F.get("prefix", F.lit(0)).alias("word"))
     shared = stored(
         leading.groupBy(F.col("word").alias("k_word"))
         .agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"),
@@ -265,26 +268,38 @@ def similar_lines(rows: DataFrame) -> DataFrame:
         "settled",
     )
 
-    # all others against all earlier ones; both sides are the same table, shuffled once, and
-    # the condition on one side names the other so that it stays in the join
+    # all others against all earlier ones; both sides are the same table with the same
+    # columns, shuffled once, and the condition on one side names the other so that it
+    # stays in the join
     settled_keys = _sized(
         settled.select(*(F.col(name).alias(f"k_{name}") for name in KEY), F.lit(0).alias("open")), settled.count()
     )
     same = F.lit(True)
     for name in KEY:
         same = same & table[name].eqNullSafe(settled_keys[f"k_{name}"])
-    words = table.join(settled_keys, same, "left").select(
-        *marks, F.coalesce("open", F.lit(1)).alias("open"), F.posexplode("prefix").alias("place", "word")
+    size_and_place = F.shiftleft(F.col("size").cast("long"), 32).bitwiseOR(F.col("place").cast("long"))
+    words = (
+        table.join(settled_keys, same, "left")
+        .select(*marks, F.coalesce("open", F.lit(1)).alias("open"), F.posexplode("prefix").alias("place", "word"))
+        .select(*KEY, "even", "odd", "word", (size_and_place * 2 + F.col("open")).alias("packed"))
     )
     later, earlier = words.alias("l"), words.alias("e")
-    is_open = F.col("l.open") >= F.least(F.col("e.size"), F.lit(1))
-    room = F.least(F.col("l.size") - F.col("l.place"), F.col("e.size") - F.col("e.place"))
+
+    def unpacked(of: str) -> tuple[Column, Column, Column]:
+        packed = F.col(f"{of}.packed")
+        return (
+            F.shiftright(packed, 33).cast("int"),
+            F.shiftright(packed, 1).bitwiseAND((1 << 32) - 1).cast("int"),
+            packed.bitwiseAND(1),
+        )
+
+    (size_l, place_l, open_l), (size_e, place_e, _) = unpacked("l"), unpacked("e")
     joined = later.join(
         earlier,
         (F.col("l.word") == F.col("e.word"))
-        & is_open
-        & (room >= _needed(F.col("l.size"), F.col("e.size")))
-        & _alike("l", "e")
+        & (open_l >= F.least(size_e, F.lit(1)))
+        & (F.least(size_l - place_l, size_e - place_e) >= _needed(size_l, size_e))
+        & _alike_by("l", "e", size_l, size_e)
         & (_order("l") > _order("e")),
     )
     rest = verified(stored(_pairs(joined, "l", "e"), "pairs"), rows, classes)
