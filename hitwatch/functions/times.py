@@ -26,3 +26,9 @@ def tick_at_or_before(moment: Column, step_seconds: int) -> Column:
     """Last multiple of the step, in epoch seconds, that is not after ``moment``."""
     second = F.unix_seconds(moment)
     return second - F.pmod(second, F.lit(step_seconds))
+
+
+def tick_at_or_after(moment: Column, step_seconds: int) -> Column:
+    """First multiple of the step, in epoch seconds, that is not before ``moment``."""
+    late = F.pmod(F.unix_micros(moment), F.lit(step_seconds * 1_000_000)) > 0
+    return tick_at_or_before(moment, step_seconds) + F.when(late, step_seconds).otherwise(0)

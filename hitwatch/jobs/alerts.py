@@ -24,6 +24,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--alert-topic", default=ALERT_TOPIC)
     parser.add_argument("--checkpoint", required=True, help="shared folder of this query")
     parser.add_argument("--min-partitions", help="scan tasks per batch, default one per partition")
+    parser.add_argument("--max-offsets-per-trigger", help="messages of a micro-batch, default all")
     parser.add_argument("--global-rate", type=float, default=normal.everything)
     parser.add_argument("--url-rate", type=float, default=normal.url)
     parser.add_argument("--ip-rate", type=float, default=normal.ip)
@@ -32,7 +33,10 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session("access-log-alerts")
     try:
         spark.streams.addListener(BatchLog(print))
-        options = {"minPartitions": args.min_partitions} if args.min_partitions else {}
+        given = {
+            "minPartitions": args.min_partitions, "maxOffsetsPerTrigger": args.max_offsets_per_trigger
+        }
+        options = {name: value for name, value in given.items() if value}
         lines = kafka_stream(spark, args.topic, args.brokers, **options)
         thresholds = Thresholds(args.global_rate, args.url_rate, args.ip_rate)
         deliver = to_kafka(args.alert_topic, args.brokers)

@@ -27,7 +27,7 @@ def main(argv: list[str] | None = None) -> None:
         lines = socket_stream(spark, args.host, args.port)
         # a socket cannot be read again: every run has its own checkpoint and folder
         run = run_name()
-        report = start_report(lines, to_text(f"{args.output}/{run}"), f"{args.checkpoint}/{run}")
+        report = start_report(lines, to_text(f"{args.output}/{run}", files=1), f"{args.checkpoint}/{run}")
         until_any_ends(spark, report)
     finally:
         spark.stop()

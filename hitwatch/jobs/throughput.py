@@ -6,7 +6,9 @@
 
 Writes one parquet table per query below the output folder. With ``--steps`` it starts
 from stored offset steps and reads no messages; with ``--follow DIR`` it writes such
-steps from Kafka as messages come in, and nothing else.
+steps from Kafka as messages come in, micro-batch by micro-batch, and nothing else.
+``--topic`` and ``--partition`` choose series by whole patterns, ``--since`` and
+``--until`` a range of time in epoch seconds.
 """
 
 from __future__ import annotations
@@ -17,31 +19,43 @@ from pyspark.sql import DataFrame
 
 from hitwatch.operators import throughput
 from hitwatch.schema import ALERT_TOPIC, LOG_TOPIC, MESSAGE_SCHEMA, MONITORING_TOPIC
-from hitwatch.session import build_session, state_per_core, stored
-from hitwatch.sinks.streams import parquet_files
+from hitwatch.session import build_session, remove, work_dir
+from hitwatch.sinks.batches import to_parquet
 from hitwatch.sources.kafka import kafka_messages, kafka_stream
 from hitwatch.streaming.lifecycle import until_any_ends
-from hitwatch.streaming.queries import EVERY_TEN_SECONDS, start
-
+from hitwatch.streaming.queries import start_steps
 
 STEP_SCHEMA = "topic string, partition int, tick long, offset_after long, opened long"
 
 
-def throughput_tables(steps: DataFrame) -> dict[str, DataFrame]:
+def throughput_tables(
+    steps: DataFrame, since: int | None = None, until: int | None = None, **labels: str
+) -> dict[str, DataFrame]:
     """Every throughput query by name, all over one stored table of offset steps."""
-    samples = throughput.offset_samples(steps, *throughput.covered_range(steps))
+    steps = throughput.matching(steps, **labels)
+    first, last = throughput.covered_range(steps)
+    tick = throughput.SCRAPE_SECONDS
+    if since is not None:
+        first = max(first, since - since % tick)
+    if until is not None:
+        last = min(last, until - until % tick)
+    samples = throughput.offset_samples(steps, first, last)
     rates = throughput.rate_by_topic(samples)
+    deltas = throughput.delta_by_topic(samples)
+    consumers = throughput.delta_by_consumer(samples)
+    alerts = throughput.matching(samples, topic=ALERT_TOPIC)
     return {
         "topic_offsets": samples,
+        "alert_count_series": alerts,
         "topic_rate_1m": rates,
         "topic_rate_legend": throughput.legend(rates),
-        "topic_delta_5m": throughput.delta_by_topic(samples),
-        "consumer_delta_5m": throughput.delta_by_consumer(samples),
+        "topic_delta_5m": deltas,
+        "topic_delta_legend": throughput.legend(deltas),
+        "consumer_delta_5m": consumers,
+        "consumer_delta_legend": throughput.legend(consumers, ("consumergroup", "topic")),
         "partitions_per_topic": throughput.partitions_per_topic(steps),
         "topic_values": throughput.label_values(steps, "topic", throughput.INTERNAL_TOPICS),
-        "new_alert_rule": throughput.new_message_rule(
-            throughput.matching(samples, topic=ALERT_TOPIC)
-        ),
+        "new_alert_rule": throughput.new_message_rule(alerts),
     }
 
 
@@ -54,6 +68,11 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--checkpoint", help="shared folder of the query behind --follow")
     parser.add_argument("--topics", default=f"{LOG_TOPIC},{MONITORING_TOPIC},{ALERT_TOPIC}")
     parser.add_argument("--brokers", help="default: the environment's")
+    parser.add_argument("--max-offsets-per-trigger", help="messages of a micro-batch, default all")
+    parser.add_argument("--topic", default=".*", help="pattern of the topics shown")
+    parser.add_argument("--partition", default=".*", help="pattern of the partitions shown")
+    parser.add_argument("--since", type=int, help="first second shown")
+    parser.add_argument("--until", type=int, help="last second shown")
     args = parser.parse_args(argv)
     if args.follow and not args.checkpoint:
         parser.error("--follow needs --checkpoint")
@@ -61,24 +80,32 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session("topic-throughput")
     try:
         if args.follow:
-            messages = kafka_stream(spark, args.topics, args.brokers, startingOffsets="earliest")
-            steps = throughput.offset_steps(messages)
-            with state_per_core(spark):
-                query = start(
-                    parquet_files(steps, args.follow), args.checkpoint, EVERY_TEN_SECONDS
-                )
-            until_any_ends(spark, query)
+            limit = args.max_offsets_per_trigger
+            options = {"maxOffsetsPerTrigger": limit} if limit else {}
+            messages = kafka_stream(
+                spark, args.topics, args.brokers, startingOffsets="earliest", **options
+            )
+            until_any_ends(spark, start_steps(messages, to_parquet(args.follow), args.checkpoint))
             return
+        own = None
         if args.steps:
-            steps = spark.read.schema(STEP_SCHEMA).parquet(args.steps)
+            # parts of micro-batches or whole steps
+            steps = throughput.merged_steps(spark.read.schema(STEP_SCHEMA).parquet(args.steps))
         else:
             if args.messages:
                 messages = spark.read.schema(MESSAGE_SCHEMA).parquet(args.messages)
             else:
                 messages = kafka_messages(spark, args.topics, args.brokers)
-            steps = stored(spark, throughput.offset_steps(messages), "offset-steps")
-        for name, rows in throughput_tables(steps).items():
+            own = work_dir(spark, "offset-steps")
+            throughput.offset_steps(messages).write.parquet(own)
+            steps = spark.read.schema(STEP_SCHEMA).parquet(own)
+        tables = throughput_tables(
+            steps, args.since, args.until, topic=args.topic, partition=args.partition
+        )
+        for name, rows in tables.items():
             rows.write.mode("overwrite").parquet(f"{args.output}/{name}")
+        if own:
+            remove(spark, own)
     finally:
         spark.stop()
 

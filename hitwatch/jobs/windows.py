@@ -1,5 +1,6 @@
-"""Sliding error windows of lines from a socket or a folder: alerts, metrics and the
-URLs of each window to the console, errors as JSON to files.
+"""Sliding error windows of lines from a socket or a folder: alerts and metrics to the
+console, errors as JSON and the URLs of each window to files. Console output passes the
+driver, so rows without a bound go to files only.
 
     spark-submit hitwatch/jobs/windows.py --errors DIR --checkpoint DIR [--folder DIR]
 """
@@ -9,7 +10,7 @@ from __future__ import annotations
 import argparse
 
 from hitwatch.operators.windows import flat_window
-from hitwatch.session import build_session, run_name, state_per_core
+from hitwatch.session import build_session, run_name, state_partitions
 from hitwatch.sinks.batches import to_parquet
 from hitwatch.sinks.streams import console, text_files
 from hitwatch.sources.lines import line_file_stream, socket_stream
@@ -31,14 +32,16 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--port", type=int, default=9999)
     parser.add_argument("--folder", help="read lines from files instead of a socket")
     parser.add_argument("--errors", required=True, help="folder for the JSON errors")
-    parser.add_argument("--urls", help="folder for the URLs of each window, in place of the console")
+    parser.add_argument("--urls", help="folder for the URLs of each window; left out without it")
     parser.add_argument("--checkpoint", required=True, help="shared folder, one below per query")
+    parser.add_argument("--state-partitions", type=int, help="fixed by the first checkpoint")
+    parser.add_argument("--max-files-per-trigger", type=int, help="files of a micro-batch")
     args = parser.parse_args(argv)
 
     spark = build_session("access-log-windows")
     try:
         if args.folder:
-            lines = line_file_stream(spark, args.folder)
+            lines = line_file_stream(spark, args.folder, args.max_files_per_trigger)
         else:
             lines = socket_stream(spark, args.host, args.port)
         # a socket cannot be read again, so its queries never resume an older run
@@ -48,18 +51,16 @@ def main(argv: list[str] | None = None) -> None:
             return f"{args.checkpoint}{run}/{name}"
 
         every = EVERY_TEN_SECONDS
-        with state_per_core(spark):
+        with state_partitions(spark, args.state_partitions):
             queries = [
                 start(console(window_metrics_alerts(lines), "append"), below("alerts"), every),
                 start(text_files(error_json(lines), f"{args.errors}{run}"), below("errors"), every),
                 start(console(window_metrics(lines), "update"), below("metrics"), every),
             ]
-            urls = window_urls(lines)
             if args.urls:
                 deliver = to_parquet(f"{args.urls}{run}")
-                queries.append(start_latest(flat_window(urls), deliver, below("urls"), every))
-            else:
-                queries.append(start(console(urls, "update"), below("urls"), every))
+                urls = flat_window(window_urls(lines))
+                queries.append(start_latest(urls, deliver, below("urls"), every))
         until_any_ends(spark, *queries)
     finally:
         spark.stop()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +42,8 @@ def error_rate_report(lines: DataFrame, every: str = REPORT_EVERY) -> DataFrame:
     return _with_report_line(counted.drop("window"), F.col("reported_at"))
 
 
-def batch_report(lines: DataFrame, reported_at: Column) -> DataFrame:
-    """Report of one micro-batch; empty for an empty batch."""
-    counted = flag_report_errors(lines).agg(*_counts())
+def batch_report(lines: DataFrame, reported_at: Column, keys: Sequence[str] = ()) -> DataFrame:
+    """Report of one micro-batch, or of each part of it named by ``keys``; empty for an
+    empty batch."""
+    counted = flag_report_errors(lines).groupBy(*keys).agg(*_counts())
     return _with_report_line(counted.withColumn("reported_at", reported_at), F.col("reported_at"))

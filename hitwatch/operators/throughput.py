@@ -14,8 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitwatch.functions.times import tick_at_or_before
-from hitwatch.schema import WATERMARK
+from hitwatch.functions.times import tick_at_or_after, tick_at_or_before
 
 # Fixed values of the monitored deployment.
 SCRAPE_SECONDS = 15
@@ -28,6 +27,9 @@ NEW_ALERT_SEVERITY = "critical"
 
 SERIES = ["topic", "partition"]
 
+#: Ticks of a series that one task and one array hold at most.
+BLOCK_TICKS = 1024
+
 
 def offset_steps(messages: DataFrame, step: int = SCRAPE_SECONDS) -> DataFrame:
     """Where each topic partition stands at the ticks that see new messages.
@@ -35,25 +37,43 @@ def offset_steps(messages: DataFrame, step: int = SCRAPE_SECONDS) -> DataFrame:
     ``topic, partition, tick, offset_after`` and ``opened``, the tick at or before the
     first of these messages. A tick sees the messages up to and including its own
     second. This is the one pass over the messages; everything else works on its rows,
-    which are worth storing. On a stream a tick appears once the watermark has passed
-    it, so the stored table can be kept up to date instead of computed again.
+    which are worth storing. Steps of parts of the messages, such as micro-batches, add
+    up by :func:`merged_steps`.
     """
-    # windows include their start and not their end; ticks are the other way round
-    just_before = F.col("timestamp") - F.expr("interval 1 microsecond")
     return (
-        messages.select(*SERIES, "offset", "timestamp", just_before.alias("just_before"))
-        .withWatermark("just_before", WATERMARK)
-        .groupBy(*SERIES, F.window("just_before", f"{step} seconds"))
-        .agg(
-            (F.max("offset") + 1).alias("offset_after"), F.min("timestamp").alias("first_seen")
+        messages.select(
+            *SERIES, "offset",
+            tick_at_or_before(F.col("timestamp"), step).alias("opened"),
+            tick_at_or_after(F.col("timestamp"), step).alias("tick"),
         )
+        .groupBy(*SERIES, "tick")
+        .agg((F.max("offset") + 1).alias("offset_after"), F.min("opened").alias("opened"))
+    )
+
+
+def merged_steps(parts: DataFrame) -> DataFrame:
+    """One step per series and tick from the steps of any parts of the messages, however
+    late some of them came."""
+    return parts.groupBy(*SERIES, "tick").agg(
+        F.max("offset_after").alias("offset_after"), F.min("opened").alias("opened")
+    )
+
+
+def recent_steps(messages: DataFrame, since: int, step: int = SCRAPE_SECONDS) -> DataFrame:
+    """Steps after the tick ``since``, and before them one step per series for where it
+    stood then. Only messages of the range are counted by tick, so their time can be
+    pushed into the scan; the others take part in one small aggregate."""
+    moment = F.timestamp_seconds(F.lit(since))
+    before = (
+        messages.filter(F.col("timestamp") <= moment)
+        .groupBy(*SERIES)
+        .agg(F.max(F.struct("timestamp", "offset")).alias("last"))
         .select(
-            *SERIES,
-            F.unix_seconds("window.end").alias("tick"),
-            "offset_after",
-            tick_at_or_before(F.col("first_seen"), step).alias("opened"),
+            *SERIES, F.lit(since).cast("long").alias("tick"),
+            (F.col("last.offset") + 1).alias("offset_after"), F.lit(since).cast("long").alias("opened"),
         )
     )
+    return before.unionByName(offset_steps(messages.filter(F.col("timestamp") > moment), step))
 
 
 def covered_range(steps: DataFrame) -> tuple[int, int]:
@@ -62,6 +82,26 @@ def covered_range(steps: DataFrame) -> tuple[int, int]:
     return first or 0, last or 0
 
 
+def _spread(rows: DataFrame, name: str, low: Column, high: Column, step: int) -> DataFrame:
+    """A row for every ``step`` from ``low`` to ``high``, in two stages so that no array is
+    longer than a block."""
+    far = step * BLOCK_TICKS
+    return (
+        rows.withColumns({"_low": low, "_high": high})
+        .filter("_low <= _high")
+        .withColumn("_low", F.explode(F.sequence("_low", "_high", F.lit(far))))
+        .withColumn(
+            name,
+            F.explode(F.sequence("_low", F.least(F.col("_low") + (far - step), "_high"), F.lit(step))),
+        )
+        .drop("_low", "_high")
+    )
+
+
+def _block(second: Column, step: int) -> Column:
+    return F.floor(second / (step * BLOCK_TICKS))
+
+
 def offset_samples(
     steps: DataFrame, first: int, last: int, step: int = SCRAPE_SECONDS
 ) -> DataFrame:
@@ -69,27 +109,41 @@ def offset_samples(
 
     Columns ``sample_sec, topic, partition, current_offset``. Ticks without new
     messages carry the offset on, and before its first message a partition stands at 0.
-    Every row fills the gap up to its successor, so no row ever holds the grid of a
-    whole series.
+    Time is cut into blocks of ``BLOCK_TICKS`` ticks: each block of a series is filled on
+    its own, from the offset at its start, which comes from a table of one row per series
+    and block. So neither a task nor a cell holds more than a block.
     """
-    in_series = Window.partitionBy(*SERIES).orderBy("tick")
-    is_first = F.lag("tick").over(in_series).isNull()
-    begin = F.when(is_first, F.least(F.lit(first), F.col("tick"))).otherwise(F.col("tick"))
-    end = F.coalesce(
-        F.lead("tick").over(in_series) - step, F.greatest(F.lit(last), F.col("tick"))
+    span = step * BLOCK_TICKS
+    lowest, highest = first // span, last // span
+    # what came before the range is one block
+    own = steps.filter(F.col("tick") <= last).select(
+        *SERIES, "tick", "offset_after",
+        F.greatest(_block(F.col("tick"), step), F.lit(lowest - 1)).alias("block"),
     )
-    return (
-        steps.select(*SERIES, "tick", "offset_after", begin.alias("begin"), end.alias("end"))
-        .filter((F.col("begin") <= last) & (F.col("end") >= first))
-        .select(
-            F.explode(
-                F.sequence(F.greatest("begin", F.lit(first)), F.least("end", F.lit(last)), F.lit(step))
-            ).alias("sample_sec"),
-            *SERIES,
-            F.when(F.col("tick") <= F.col("sample_sec"), F.col("offset_after"))
-            .otherwise(F.lit(0))
-            .alias("current_offset"),
-        )
+    by_block = Window.partitionBy(*SERIES).orderBy("block")
+    reached = own.groupBy(*SERIES, "block").agg(F.max_by("offset_after", "tick").alias("reached"))
+    starts = reached.select(
+        *SERIES, "block", "reached",
+        F.lag("block").over(by_block).isNull().alias("is_first"),
+        F.coalesce(F.lead("block").over(by_block), F.lit(highest)).alias("until"),
+    )
+    later = _spread(starts, "of", F.col("block") + 1, F.col("until"), 1)
+    before = _spread(starts.filter("is_first"), "of", F.lit(lowest), F.col("block"), 1)
+    opening = later.select(*SERIES, "of", F.col("reached").alias("offset_after")).unionByName(
+        before.select(*SERIES, "of", F.lit(0).cast("long").alias("offset_after"))
+    ).select(*SERIES, (F.col("of") * span).alias("tick"), "offset_after", F.col("of").alias("block"))
+    rows = opening.withColumn("step", F.lit(0)).unionByName(
+        own.filter(F.col("block") >= lowest).withColumn("step", F.lit(1))
+    )
+    in_block = Window.partitionBy(*SERIES, "block").orderBy("tick", "step")
+    end = F.coalesce(F.lead("tick").over(in_block), (F.col("block") + 1) * span) - step
+    filled = rows.withColumn("end", end).withColumns({
+        "begin": F.greatest("tick", F.lit(first)), "end": F.least("end", F.lit(last)),
+    }).filter("begin <= end")
+    return filled.select(
+        F.explode(F.sequence("begin", "end", F.lit(step))).alias("sample_sec"),
+        *SERIES,
+        F.col("offset_after").alias("current_offset"),
     )
 
 
@@ -107,16 +161,25 @@ def matching(rows: DataFrame, **labels: str) -> DataFrame:
     return rows
 
 
-def _range_sum(samples: DataFrame, seconds: int, resets: bool) -> DataFrame:
+def _range_sum(
+    samples: DataFrame, seconds: int, resets: bool, step: int = SCRAPE_SECONDS
+) -> DataFrame:
     """Adds ``change``: sum of the differences to the previous sample over
     ``(t - seconds, t]``; null where there is none. With ``resets`` a falling offset
-    counts as a fresh start from 0."""
-    in_series = Window.partitionBy(*SERIES).orderBy("sample_sec")
-    step: Column = F.col("current_offset") - F.lag("current_offset").over(in_series)
+    counts as a fresh start from 0. Works by blocks of time; samples at the end of a block
+    are repeated in those after it whose sums reach back to them."""
+    home = _block(F.col("sample_sec"), step)
+    last = _block(F.col("sample_sec") + (seconds + step - 1), step)
+    copied = samples.withColumn("home", home).withColumn("block", F.explode(F.sequence("home", last)))
+    in_block = Window.partitionBy(*SERIES, "block").orderBy("sample_sec")
+    change: Column = F.col("current_offset") - F.lag("current_offset").over(in_block)
     if resets:
-        step = F.when(step < 0, F.col("current_offset")).otherwise(step)
-    return samples.withColumn("step", step).withColumn(
-        "change", F.sum("step").over(in_series.rangeBetween(1 - seconds, 0))
+        change = F.when(change < 0, F.col("current_offset")).otherwise(change)
+    return (
+        copied.withColumn("step", change)
+        .withColumn("change", F.sum("step").over(in_block.rangeBetween(1 - seconds, 0)))
+        .filter("block = home")
+        .drop("block", "home")
     )
 
 
@@ -165,10 +228,10 @@ def label_values(rows: DataFrame, label: str, without: Sequence[str] = ()) -> Da
     return rows.select(label).distinct().orderBy(label)
 
 
-def legend(series: DataFrame) -> DataFrame:
-    """Last value and maximum per topic."""
+def legend(series: DataFrame, keys: Sequence[str] = ("topic",)) -> DataFrame:
+    """Last value and maximum per topic, or per other labels."""
     known = F.col("value").isNotNull()
-    return series.groupBy("topic").agg(
+    return series.groupBy(*keys).agg(
         F.max_by("value", F.when(known, F.col("sample_sec"))).alias("last_value"),
         F.max("value").alias("max_value"),
     )

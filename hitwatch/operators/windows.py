@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitwatch.schema import (
@@ -57,23 +57,22 @@ def window_alerts(windows: DataFrame) -> DataFrame:
     )
 
 
-def window_alert_urls(urls: DataFrame, salts: int = 128) -> DataFrame:
+def window_alert_urls(urls: DataFrame) -> DataFrame:
     """URL rows, from :func:`error_window_urls`, of the windows that raise an alert.
 
     The error count is summed from the URL rows themselves, which are used twice and
-    worth storing first. The URLs of a window are spread over ``salts`` join keys and
-    the few alert rows repeated once per key: a window with a large share of all URLs
-    does not end up in one task, and AQE can split what is still uneven. Spark
-    broadcasts the alert rows instead if they measure small. There is one alert row per key, so an inner join does; Spark would
-    move a semi-join below the counting in ``urls``.
+    worth storing first. There is one alert row per key, so an inner join does; Spark
+    broadcasts the alert rows if they measure small and splits crowded windows if not.
     """
     keys = ["window", "status"]
     alerts = window_alerts(urls.groupBy(*keys).agg(F.sum("occurrences").alias("count_error")))
-    repeated = alerts.select(
-        *keys, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
-    )
-    salted = urls.withColumn("salt", F.pmod(F.xxhash64("url"), F.lit(salts)).cast("int"))
-    return salted.join(repeated, [*keys, "salt"]).select(urls.columns)
+    return urls.join(alerts.select(*keys), keys).select(urls.columns)
+
+
+def within_bound(approximate: Column, exact: Column, rsd: float) -> Column:
+    """Whether an approximate count lies within three relative deviations of the exact one,
+    or one client."""
+    return F.abs(approximate - exact) <= F.greatest(F.lit(1.0), exact * (3 * rsd))
 
 
 def flat_window(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitwatch.operators import alerts as alerting
 from hitwatch.operators import parse, records, report, stats, throughput, windows
-from hitwatch.schema import ALERT_TOPIC, CLIENT_RSD, WINDOW_SIZE, WINDOW_SLIDE
-from hitwatch.session import pin_utc, stored
+from hitwatch.schema import ALERT_TOPIC, CLIENT_RSD
+from hitwatch.session import stored, utc
 from hitwatch.sources import derived
 from hitwatch.sources.lines import table
 
@@ -27,7 +28,7 @@ def plain(rows: DataFrame) -> DataFrame:
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
-    return table(pin_utc(spark), folder, "events")
+    return table(spark, folder, "events")
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -150,25 +151,39 @@ def error_windows(spark: SparkSession, folder: str) -> DataFrame:
     return plain(windows.flat_window(windows.error_windows(_errors(spark, folder))))
 
 
+def both_counts(approximate: DataFrame, errors: DataFrame) -> DataFrame:
+    """Flat windows with the exact count of clients and, as ``approx``, the approximate one."""
+    exact = windows.flat_window(windows.error_windows(errors)).select(
+        "window_start", "status", F.col("count_distinct_ip").alias("exact")
+    )
+    return approximate.withColumnRenamed("count_distinct_ip", "approx").join(
+        exact, ["window_start", "status"]
+    )
+
+
+def checked_counts(approximate: DataFrame, errors: DataFrame) -> DataFrame:
+    """Flat windows with exact client counts, and whether the approximate ones are near."""
+    return both_counts(approximate, errors).select(
+        "window_start", "window_end", "status", "count_error",
+        F.col("exact").alias("count_distinct_ip"),
+        windows.within_bound(F.col("approx"), F.col("exact"), CLIENT_RSD).alias("within_bound"),
+    )
+
+
 def error_windows_approx(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(windows.flat_window(windows.error_windows(_errors(spark, folder), rsd=CLIENT_RSD)))
+    """Windows counted with a sketch, held against exact counts."""
+    errors = _errors(spark, folder)
+    approximate = windows.flat_window(windows.error_windows(errors, rsd=CLIENT_RSD))
+    return plain(checked_counts(approximate, errors))
 
 
 def approx_clients_deviation(spark: SparkSession, folder: str) -> DataFrame:
     """Whether the approximate client counts keep to their relative standard deviation,
     taken over all windows; a single window may be further off."""
-    # a sketch is the same with and without repeats, so both count distinct clients
-    clients = (
-        _errors(spark, folder)
-        .select(F.window("timestamp", WINDOW_SIZE, WINDOW_SLIDE), "status", "ip")
-        .distinct()
-    )
-    counted = clients.groupBy("window", "status").agg(
-        F.count(F.lit(1)).alias("exact"),
-        F.approx_count_distinct("ip", CLIENT_RSD).alias("approx"),
-    )
+    errors = _errors(spark, folder)
+    approximate = windows.flat_window(windows.error_windows(errors, rsd=CLIENT_RSD))
     off = (F.col("approx") - F.col("exact")) / F.col("exact")
-    return counted.agg(
+    return both_counts(approximate, errors).agg(
         F.count(F.lit(1)).alias("windows"),
         (F.sqrt(F.avg(off * off)) <= CLIENT_RSD).alias("within_rsd"),
     )
@@ -231,9 +246,13 @@ def topic_offsets(spark: SparkSession, folder: str) -> DataFrame:
 
 def topic_offsets_recent(spark: SparkSession, folder: str) -> DataFrame:
     """The last minute, counted back from the newest tick, as far as there are samples."""
-    steps = _steps(spark, _messages(spark, folder))
-    first, now = throughput.covered_range(steps)
-    return throughput.offset_samples(steps, max(first, now - TIME_RANGE_SECONDS), now)
+    messages = _messages(spark, folder)
+    first, now = throughput.covered_range(messages.agg(
+        throughput.tick_at_or_before(F.min("timestamp"), throughput.SCRAPE_SECONDS).alias("opened"),
+        throughput.tick_at_or_after(F.max("timestamp"), throughput.SCRAPE_SECONDS).alias("tick"),
+    ))
+    since = max(first, now - TIME_RANGE_SECONDS)
+    return throughput.offset_samples(throughput.recent_steps(messages, since), since, now)
 
 
 def alert_count_series(spark: SparkSession, folder: str) -> DataFrame:
@@ -247,8 +266,8 @@ def topic_rate_1m(spark: SparkSession, folder: str) -> DataFrame:
 
 def topic_rate_selected(spark: SparkSession, folder: str) -> DataFrame:
     """Rates of the series whose instance and topic match whole patterns."""
-    labelled = throughput.with_scrape_labels(_samples(spark, _messages(spark, folder)))
-    chosen = throughput.matching(labelled, instance="kafka-exporter:.*", topic="http-logs|alerts?")
+    labelled = derived.with_exporters(_samples(spark, _messages(spark, folder)))
+    chosen = throughput.matching(labelled, instance="kafka-exporter-[0-9]:.*", topic="http-logs|alerts?")
     return throughput.rate_by_topic(chosen)
 
 
@@ -260,27 +279,40 @@ def consumer_delta_5m(spark: SparkSession, folder: str) -> DataFrame:
     return throughput.delta_by_consumer(_samples(spark, _messages(spark, folder)))
 
 
+def _series(spark: SparkSession, folder: str) -> DataFrame:
+    """Topic and partition of every message; alerts need no numbering for that."""
+    alerts = derived.batch_alerts(_events(spark, folder)).select(
+        F.lit(ALERT_TOPIC).alias("topic"), F.lit(0).alias("partition")
+    )
+    logs = derived.log_messages(_events(spark, folder)).select("topic", "partition")
+    return derived.with_exporters(logs.unionByName(alerts))
+
+
 def partitions_per_topic(spark: SparkSession, folder: str) -> DataFrame:
-    return throughput.partitions_per_topic(_messages(spark, folder))
+    return throughput.partitions_per_topic(_series(spark, folder))
 
 
 def topic_values(spark: SparkSession, folder: str) -> DataFrame:
     return throughput.label_values(
-        _messages(spark, folder), "topic", without=throughput.INTERNAL_TOPICS
+        _series(spark, folder), "topic", without=throughput.INTERNAL_TOPICS
     )
 
 
 def job_values(spark: SparkSession, folder: str) -> DataFrame:
-    return throughput.label_values(
-        throughput.with_scrape_labels(_messages(spark, folder)), "job"
-    )
+    return throughput.label_values(_series(spark, folder), "job")
 
 
 def instance_values(spark: SparkSession, folder: str) -> DataFrame:
-    labelled = throughput.with_scrape_labels(_messages(spark, folder))
-    return throughput.label_values(
-        throughput.matching(labelled, job=throughput.SCRAPE_JOB), "instance"
-    )
+    chosen = throughput.matching(_series(spark, folder), job=throughput.SCRAPE_JOB)
+    return throughput.label_values(chosen, "instance")
+
+
+def topic_delta_legend(spark: SparkSession, folder: str) -> DataFrame:
+    return throughput.legend(topic_delta_5m(spark, folder))
+
+
+def consumer_delta_legend(spark: SparkSession, folder: str) -> DataFrame:
+    return throughput.legend(consumer_delta_5m(spark, folder), ("consumergroup", "topic"))
 
 
 def topic_rate_legend(spark: SparkSession, folder: str) -> DataFrame:
@@ -297,8 +329,18 @@ def latest_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return records.alerts_from_json(latest, keep=["offset"])
 
 
+def in_utc(query: Query) -> Query:
+    """The query, built under UTC."""
+    @wraps(query)
+    def build(spark: SparkSession, folder: str) -> DataFrame:
+        with utc(spark):
+            return query(spark, folder)
+
+    return build
+
+
 QUERIES: dict[str, Query] = {
-    query.__name__: query
+    query.__name__: in_utc(query)
     for query in (
         access_log_lines,
         short_log_lines,
@@ -340,6 +382,8 @@ QUERIES: dict[str, Query] = {
         job_values,
         instance_values,
         topic_rate_legend,
+        topic_delta_legend,
+        consumer_delta_legend,
         new_alert_rule,
         latest_alerts,
     )

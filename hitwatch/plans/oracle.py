@@ -13,6 +13,7 @@ from hitwatch.sources.derived import (
     SHORT_FORM_URLS,
     URLS,
 )
+from hitwatch.schema import CLIENT_RSD
 
 _PATTERN = r'^(\S+) \S+ \[([^\]]+)\] "(\S+) (\S+) HTTP/\d\.\d" (\d{3})'
 
@@ -93,6 +94,12 @@ _STEPS: dict[str, str] = {
     SELECT window_start, window_end, status, count(*) AS count_error,
            count(DISTINCT ip) AS count_distinct_ip
     FROM windowed GROUP BY ALL""",
+    "sketched": f"""
+    SELECT window_start, window_end, status, count(*) AS count_error,
+           count(DISTINCT ip) AS count_distinct_ip, approx_count_distinct(ip) AS sketch,
+           abs(sketch - count_distinct_ip) <= greatest(1, count_distinct_ip * {3 * CLIENT_RSD})
+               AS within_bound
+    FROM windowed GROUP BY ALL""",
     "alert_messages": f"""
     SELECT 'alerts' AS topic, 0 AS partition,
            row_number() OVER (ORDER BY batch_id, CASE type WHEN 'GLOBAL_ERROR_RATE' THEN 0
@@ -233,8 +240,13 @@ def oracle_sql() -> dict[str, str]:
         "alerts_dedup": _with(alerts, "alerts"),
         "error_windows": _with("SELECT * FROM windows", "windows"),
         "approx_clients_deviation": _with(
-            "SELECT count(*) AS windows, true AS within_rsd FROM windows", "windows"
+            f"""SELECT count(*) AS windows,
+                   sqrt(avg(pow((sketch - count_distinct_ip) / count_distinct_ip, 2))) <= {CLIENT_RSD}
+                       AS within_rsd
+            FROM sketched""",
+            "sketched",
         ),
+        "error_windows_approx": _with("SELECT * EXCLUDE (sketch) FROM sketched", "sketched"),
         "error_window_urls": _with(_URL_ROWS, "windowed"),
         "window_alerts": _with(
             """SELECT *, 'Alerte: trop d''erreurs' AS alert FROM windows WHERE count_error > 10""",
@@ -282,9 +294,29 @@ def oracle_sql() -> dict[str, str]:
             "messages",
         ),
         "topic_values": _with("SELECT DISTINCT topic FROM messages ORDER BY topic", "messages"),
-        "job_values": _with("SELECT DISTINCT 'kafka-exporter' AS job FROM messages", "messages"),
+        "job_values": _with(
+            """SELECT DISTINCT CASE topic WHEN 'alerts' THEN 'kafka-exporter-alerts'
+                   ELSE 'kafka-exporter' END AS job
+            FROM messages ORDER BY job""",
+            "messages",
+        ),
         "instance_values": _with(
-            "SELECT DISTINCT 'kafka-exporter:9308' AS instance FROM messages", "messages"
+            """SELECT DISTINCT 'kafka-exporter-' || partition % 2 || ':9308' AS instance
+            FROM messages WHERE topic <> 'alerts' ORDER BY instance""",
+            "messages",
+        ),
+        "topic_delta_legend": _sampled(
+            """SELECT topic, arg_max(value, sample_sec) AS last_value, max(value) AS max_value
+            FROM (SELECT sample_sec, topic, sum(change) / 5 AS value FROM five_minutes
+                  GROUP BY sample_sec, topic)
+            WHERE value IS NOT NULL GROUP BY topic"""
+        ),
+        "consumer_delta_legend": _sampled(
+            """SELECT CAST(NULL AS VARCHAR) AS consumergroup, topic,
+                   arg_max(value, sample_sec) AS last_value, max(value) AS max_value
+            FROM (SELECT sample_sec, topic, sum(change) / 5 AS value FROM five_minutes
+                  GROUP BY sample_sec, topic)
+            WHERE value IS NOT NULL GROUP BY topic"""
         ),
         "topic_rate_legend": _sampled(
             """SELECT topic, arg_max(value, sample_sec) AS last_value, max(value) AS max_value
@@ -304,7 +336,16 @@ def oracle_sql() -> dict[str, str]:
             "alerts",
         ),
         "stream_error_windows_update": _with(
-            "SELECT * EXCLUDE (count_distinct_ip) FROM windows", "windows"
+            "SELECT * EXCLUDE (sketch) FROM sketched", "sketched"
+        ),
+        "stream_error_windows_append": _with(
+            f"SELECT * EXCLUDE (sketch) FROM sketched WHERE {_CLOSED}", "sketched"
+        ),
+        "stream_window_alert_urls": _with(
+            f"""SELECT u.* FROM ({_URL_ROWS}) u
+            JOIN (SELECT * FROM windows WHERE count_error > 10) w USING (window_start, status)
+            WHERE u.{_CLOSED}""",
+            "windows",
         ),
         "stream_error_window_urls": _with(
             f"SELECT * FROM ({_URL_ROWS}) WHERE {_CLOSED}", "windowed"
@@ -317,17 +358,17 @@ def oracle_sql() -> dict[str, str]:
         "stream_errors_json": _with(f"SELECT {_ERROR_JSON} AS value FROM errors", "errors"),
         "stream_offset_steps": _sampled(
             """SELECT topic, partition, sample_sec AS tick, reached AS offset_after FROM reached
-            WHERE topic <> 'alerts' AND sample_sec < (SELECT max(sec) FROM lines) - 30"""
+            WHERE topic <> 'alerts'"""
         ),
         "stream_alerts": _with(
             """SELECT * EXCLUDE ("timestamp") FROM alerts""",
             "alerts",
-        ).replace("event_id // 200 AS batch_id", "0::BIGINT AS batch_id"),
+        ),
         "stream_report": _with(
             f"""SELECT 'total=' || count(*) || ', errors=' || count(*) FILTER (WHERE {_FLAG})
                    || ', error_rate='
                    || format('{{:.2f}}%', count(*) FILTER (WHERE {_FLAG}) / count(*) * 100) AS line
-            FROM lines""",
+            FROM lines GROUP BY batch_id""",
             "lines",
         ),
     }

@@ -11,37 +11,62 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitwatch.operators.records import alerts_from_json
-from hitwatch.operators.throughput import offset_steps
+from hitwatch.operators.throughput import merged_steps
 from hitwatch.operators.windows import flat_window
-from hitwatch.plans.batch import Query, plain
-from hitwatch.session import pin_utc, state_per_core, work_dir
+from hitwatch.plans import batch
+from hitwatch.plans.batch import Query, in_utc, plain
+from hitwatch.session import state_partitions, work_dir
 from hitwatch.sinks.batches import to_parquet, to_text
 from hitwatch.sinks.streams import parquet_files, text_files
 from hitwatch.sources import derived
-from hitwatch.sources.lines import table_stream
+from hitwatch.sources.lines import table, table_stream
 from hitwatch.streaming import queries
 from hitwatch.streaming.lifecycle import until_done
 
 TO_THE_END = {"availableNow": True}
+#: Files of a table that make up a micro-batch, and state partitions of a query.
+FILES_PER_TRIGGER, STATE_PARTITIONS = 64, 16
+#: Files that the lines of the per-batch queries land in, and those of a micro-batch.
+LANDED_FILES, LANDED_PER_TRIGGER = 8, 2
+
+
+def _events(spark: SparkSession, folder: str) -> DataFrame:
+    return table_stream(spark, folder, "events", FILES_PER_TRIGGER)
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    return derived.access_log_lines(table_stream(pin_utc(spark), folder, "events"))
+    return derived.access_log_lines(_events(spark, folder))
+
+
+def _landed(spark: SparkSession, folder: str, at: str) -> DataFrame:
+    """The lines as a stream of several micro-batches, with whole batches in each."""
+    lines = derived.access_log_lines(table(spark, folder, "events"))
+    derived.spread_lines(lines, LANDED_FILES).write.parquet(f"{at}/lines.parquet")
+    return table_stream(spark, at, "lines", LANDED_PER_TRIGGER)
 
 
 def _closed_windows(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
     at = work_dir(spark, purpose)
     flat = flat_window(rows)
     writer = parquet_files(flat, f"{at}/out")
-    with state_per_core(spark):
+    with state_partitions(spark, STATE_PARTITIONS):
         query = queries.start(writer, f"{at}/checkpoint", TO_THE_END)
     until_done(query)
     return plain(spark.read.schema(flat.schema).parquet(f"{at}/out"))
 
 
+def _exact_errors(spark: SparkSession, folder: str) -> DataFrame:
+    return batch._errors(spark, folder)
+
+
 def stream_error_windows_append(spark: SparkSession, folder: str) -> DataFrame:
-    """Closed windows, with the approximate client count streams keep."""
-    return _closed_windows(spark, queries.window_metrics(_lines(spark, folder)), "windows")
+    """Closed windows; the approximate client count streams keep is held against the exact."""
+    rows = _closed_windows(spark, queries.window_metrics(_lines(spark, folder)), "windows")
+    return plain(batch.checked_counts(_instants(rows), _exact_errors(spark, folder)))
+
+
+def _instants(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({n: F.col(n).cast("timestamp") for n in ("window_start", "window_end")})
 
 
 def stream_window_alerts(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,18 +79,31 @@ def stream_error_window_urls(spark: SparkSession, folder: str) -> DataFrame:
     return _closed_windows(spark, queries.window_urls(_lines(spark, folder)), "window-urls")
 
 
+def stream_window_alert_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """URLs of the closed windows with too many errors."""
+    at = work_dir(spark, "window-alert-urls")
+    lines = _lines(spark, folder)
+    with state_partitions(spark, STATE_PARTITIONS):
+        query = queries.start_alert_urls(lines, to_parquet(f"{at}/out"), f"{at}/checkpoint", TO_THE_END)
+    until_done(query)
+    schema = flat_window(queries.window_urls(lines)).schema
+    return plain(spark.read.schema(schema).parquet(f"{at}/out").select(*schema.names))
+
+
 def stream_error_windows_update(spark: SparkSession, folder: str) -> DataFrame:
-    """Newest count of every window, in update mode: open windows are included."""
+    """Newest counts of every window, in update mode: open windows are included."""
     at = work_dir(spark, "window-updates")
     rows = flat_window(queries.window_metrics(_lines(spark, folder)))
-    with state_per_core(spark):
+    with state_partitions(spark, STATE_PARTITIONS):
         query = queries.start_latest(
             rows, to_parquet(f"{at}/out"), f"{at}/checkpoint", TO_THE_END
         )
     until_done(query)
     updates = spark.read.parquet(f"{at}/out")
-    newest = F.max_by("count_error", "batch").alias("count_error")
-    return plain(updates.groupBy("window_start", "window_end", "status").agg(newest))
+    newest = updates.groupBy("window_start", "window_end", "status").agg(
+        F.max_by(F.struct("count_error", "count_distinct_ip"), "batch").alias("newest")
+    ).select("window_start", "window_end", "status", "newest.*")
+    return plain(batch.checked_counts(newest, _exact_errors(spark, folder)))
 
 
 def stream_errors_json(spark: SparkSession, folder: str) -> DataFrame:
@@ -76,22 +114,21 @@ def stream_errors_json(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_offset_steps(spark: SparkSession, folder: str) -> DataFrame:
-    """Offset steps of the log topics, kept up to date by a stream; closed ticks only."""
+    """Offset steps of the log topics, kept up to date by a stream."""
     at = work_dir(spark, "offset-steps")
-    steps = offset_steps(derived.log_messages(table_stream(pin_utc(spark), folder, "events")))
-    with state_per_core(spark):
-        query = queries.start(
-            parquet_files(steps, f"{at}/out"), f"{at}/checkpoint", TO_THE_END
-        )
-    until_done(query)
-    return spark.read.schema(steps.schema).parquet(f"{at}/out").drop("opened")
+    messages = derived.log_messages(_events(spark, folder))
+    until_done(queries.start_steps(messages, to_parquet(f"{at}/out"), f"{at}/checkpoint", TO_THE_END))
+    parts = spark.read.parquet(f"{at}/out").drop("batch")
+    return merged_steps(parts).drop("opened")
 
 
 def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    """Alerts of each micro-batch, without the time they were raised."""
+    """Alerts of each batch of lines, over several micro-batches, without the time they
+    were raised."""
     at = work_dir(spark, "alerts")
     query = queries.start_alerts(
-        _lines(spark, folder), to_text(f"{at}/out"), f"{at}/checkpoint", trigger=TO_THE_END
+        _landed(spark, folder, at), to_text(f"{at}/out"), f"{at}/checkpoint", trigger=TO_THE_END,
+        key="batch_id",
     )
     until_done(query)
     messages = spark.read.schema("value string").text(f"{at}/out")
@@ -99,10 +136,11 @@ def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Report line of each micro-batch, without its clock."""
+    """Report line of each batch of lines, over several micro-batches, without its clock."""
     at = work_dir(spark, "report")
     query = queries.start_report(
-        _lines(spark, folder), to_text(f"{at}/out"), f"{at}/checkpoint", trigger=TO_THE_END
+        _landed(spark, folder, at), to_text(f"{at}/out", files=1), f"{at}/checkpoint",
+        trigger=TO_THE_END, key="batch_id",
     )
     until_done(query)
     lines = spark.read.schema("value string").text(f"{at}/out")
@@ -110,12 +148,13 @@ def stream_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    query.__name__: query
+    query.__name__: in_utc(query)
     for query in (
         stream_error_windows_append,
         stream_error_windows_update,
         stream_error_window_urls,
         stream_window_alerts,
+        stream_window_alert_urls,
         stream_errors_json,
         stream_offset_steps,
         stream_alerts,

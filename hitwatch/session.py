@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -35,11 +36,17 @@ def build_session(app_name: str, master: str | None = None, **conf: object) -> S
     return spark
 
 
-def pin_utc(spark: SparkSession) -> SparkSession:
-    """Log times are rendered and read in UTC whatever zone the session came with."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
+@contextmanager
+def utc(spark: SparkSession) -> Iterator[None]:
+    """Queries built inside render and read log times in UTC, whatever zone the session
+    came with; the session keeps its own."""
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "UTC")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 @cache
@@ -50,12 +57,13 @@ def _local_root() -> str:
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: on a cluster a path
-    on one machine is not visible to the executors and is lost with its node.
+    Only a session whose executors are threads of the driver may fall back to a temporary
+    folder: on a cluster a path on one machine is not visible to the executors and is lost
+    with its node.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = _local_root()
     return f"{root.rstrip('/')}/hitwatch/{purpose}-{uuid.uuid4().hex}"
@@ -69,16 +77,20 @@ def stored(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
-@contextmanager
-def state_per_core(spark: SparkSession) -> Iterator[None]:
-    """Queries started inside keep their state in one partition per core of the cluster.
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder by the file system it is on."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
-    The number is fixed with a query's first checkpoint, and every partition commits in
-    every batch, so Spark's flat 200 is too many for a few cores and too few for many.
-    """
+
+@contextmanager
+def state_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
+    """Queries started inside keep their state in ``count`` partitions, by default as many
+    as ``spark.sql.shuffle.partitions`` says. The first checkpoint fixes the number for the
+    life of a query, so it is a setting and not taken from the cores of the moment."""
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+    spark.conf.set(key, str(count or before))
     try:
         yield
     finally:

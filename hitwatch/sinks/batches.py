@@ -28,11 +28,11 @@ def to_kafka(topic: str | None, brokers: str | None = None) -> Deliver:
     return deliver
 
 
-def to_text(path: str) -> Deliver:
-    """Lines of the single text column below ``path``."""
+def to_text(path: str, files: int | None = None) -> Deliver:
+    """Lines of the single text column below ``path``, in at most ``files`` files a batch."""
 
     def deliver(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").text(f"{path}/batch={batch_id}")
+        (rows.coalesce(files) if files else rows).write.mode("overwrite").text(f"{path}/batch={batch_id}")
 
     return deliver
 

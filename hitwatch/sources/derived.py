@@ -133,6 +133,23 @@ def log_messages(events: DataFrame, partitions: int = LOG_TOPIC_PARTITIONS) -> D
     )
 
 
+def with_exporters(rows: DataFrame) -> DataFrame:
+    """Adds ``job`` and ``instance``: log topics are scraped by two exporters that share
+    the partitions, alerts by a job of their own."""
+    alerts = F.col("topic") == ALERT_TOPIC
+    return rows.withColumn(
+        "job", F.concat(F.lit("kafka-exporter"), F.when(alerts, F.lit("-alerts")).otherwise(F.lit("")))
+    ).withColumn(
+        "instance",
+        F.concat(F.lit("kafka-exporter-"), (F.col("partition") % 2).cast("string"), F.lit(":9308")),
+    )
+
+
+def spread_lines(lines: DataFrame, files: int) -> DataFrame:
+    """The lines in so many partitions, each with whole batches."""
+    return lines.repartition(files, "batch_id")
+
+
 def batch_end(batch_id: Column) -> Column:
     """Arrival time of the last line of a batch."""
     last_event = batch_id * LINES_PER_BATCH + (LINES_PER_BATCH - 1)

@@ -39,11 +39,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return reader.parquet(f"{folder}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def table_stream(
+    spark: SparkSession, folder: str, name: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
     """A table as a stream of its files; the table may be a folder or a single file.
 
     A stream takes a plain path for a folder; as a pattern, though it has one match
     only, the path may be a file too.
     """
-    schema = table(spark, folder, name).schema
-    return spark.readStream.schema(schema).parquet(f"{folder}/{{{name}}}.parquet")
+    reader = spark.readStream.schema(table(spark, folder, name).schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(f"{folder}/{{{name}}}.parquet")

@@ -18,7 +18,14 @@ from hitwatch.operators.alerts import error_rate_alerts
 from hitwatch.operators.parse import error_requests, parse_access_log
 from hitwatch.operators.records import alerts_as_json, rows_as_json
 from hitwatch.operators.report import batch_report
-from hitwatch.operators.windows import error_window_urls, error_windows, window_alerts
+from hitwatch.operators.throughput import offset_steps
+from hitwatch.operators.windows import (
+    error_window_urls,
+    error_windows,
+    flat_window,
+    window_alert_urls,
+    window_alerts,
+)
 from hitwatch.schema import CLIENT_RSD, ERROR_STATUS_FROM, Thresholds
 from hitwatch.sinks.batches import Deliver
 
@@ -41,18 +48,21 @@ def start_alerts(
     checkpoint: str,
     thresholds: Thresholds = Thresholds(),
     trigger: Trigger = None,
+    key: str | None = None,
 ) -> StreamingQuery:
     """Error-rate alerts of each micro-batch, as JSON messages.
 
-    One aggregation and one write per batch. Batch totals are observed on the way
+    With ``key``, a column of the lines, there are alerts for each of its values in a
+    micro-batch, which take it as batch number. One aggregation and one write per batch. Batch totals are observed on the way
     and appear as ``observedMetrics`` ``requests`` in the query's progress.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        alerts = error_rate_alerts(batch, F.lit(batch_id), F.lit(now_iso()), thresholds)
+        number = F.col(key) if key else F.lit(batch_id)
+        alerts = error_rate_alerts(batch, number, F.lit(now_iso()), thresholds, [key] if key else [])
         deliver(alerts_as_json(alerts), batch_id)
 
-    parsed = parse_access_log(lines).observe(
+    parsed = parse_access_log(lines, keep=[key] if key else []).observe(
         "requests",
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("status") >= ERROR_STATUS_FROM).alias("errors"),
@@ -84,6 +94,34 @@ def window_urls(lines: DataFrame) -> DataFrame:
     return error_window_urls(errors_of(lines))
 
 
+def start_alert_urls(
+    lines: DataFrame, deliver: Deliver, checkpoint: str, trigger: Trigger = EVERY_TEN_SECONDS
+) -> StreamingQuery:
+    """URLs of the windows that raise an alert, once they are closed. All rows of a closed
+    window arrive in one micro-batch, where they are counted and kept or left out."""
+
+    def handle(urls: DataFrame, batch_id: int) -> None:
+        urls.persist()  # used twice
+        try:
+            deliver(flat_window(window_alert_urls(urls)), batch_id)
+        finally:
+            urls.unpersist()
+
+    return start(window_urls(lines).writeStream.outputMode("append").foreachBatch(handle), checkpoint, trigger)
+
+
+def start_steps(
+    messages: DataFrame, deliver: Deliver, checkpoint: str, trigger: Trigger = EVERY_TEN_SECONDS
+) -> StreamingQuery:
+    """Offset steps of each micro-batch. No state is kept and no message is too late: a
+    tick may appear in several batches, and ``merged_steps`` puts them together."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        deliver(offset_steps(batch), batch_id)
+
+    return start(messages.writeStream.foreachBatch(handle), checkpoint, trigger)
+
+
 def start_latest(
     rows: DataFrame, deliver: Deliver, checkpoint: str, trigger: Trigger = EVERY_TEN_SECONDS
 ) -> StreamingQuery:
@@ -92,11 +130,17 @@ def start_latest(
 
 
 def start_report(
-    lines: DataFrame, deliver: Deliver, checkpoint: str, trigger: Trigger = EVERY_TEN_SECONDS
+    lines: DataFrame,
+    deliver: Deliver,
+    checkpoint: str,
+    trigger: Trigger = EVERY_TEN_SECONDS,
+    key: str | None = None,
 ) -> StreamingQuery:
-    """A report line per trigger over the lines that arrived since the one before."""
+    """A report line per trigger over the lines that arrived since the one before, or one
+    for each value of the column ``key`` among them."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        deliver(batch_report(batch, F.current_timestamp()).select("line"), batch_id)
+        report = batch_report(batch, F.current_timestamp(), [key] if key else [])
+        deliver(report.select("line"), batch_id)
 
     return start(lines.writeStream.foreachBatch(handle), checkpoint, trigger)

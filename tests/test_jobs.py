@@ -116,6 +116,27 @@ def test_window_job(spark, folder, lines, in_session, tmp_path):
     assert urls.select("window_start", "status", "url").distinct().count() == error_window_urls(errors).count()
 
 
+def test_window_job_shows_no_urls(spark, folder, in_session, monkeypatch, tmp_path):
+    """Without a folder for them the URLs of windows go nowhere."""
+    ended, shown = in_session(windows_job), []
+    console = windows_job.console
+
+    def watched(rows, mode):
+        shown.append(rows.columns)
+        return console(rows, mode)
+
+    monkeypatch.setattr(windows_job, "console", watched)
+    windows_job.main([
+        "--folder", folder, "--errors", f"{tmp_path}/errors", "--checkpoint", f"{tmp_path}/checkpoint",
+        "--max-files-per-trigger", "1", "--state-partitions", "3",
+    ])
+    assert len(ended) == 3 and not any("url" in columns for columns in shown)
+    # both files came on their own, and the state has the number of partitions asked for
+    assert len([p for p in ended[0].recentProgress if p.numInputRows]) == 2
+    state = json.loads(ended[0].recentProgress[0].json)["stateOperators"][0]
+    assert state["numShufflePartitions"] == 3
+
+
 def test_throughput_job(spark, small, in_session, monkeypatch, tmp_path):
     in_session(throughput_job)
     events = table(spark, small, "events")
@@ -125,7 +146,7 @@ def test_throughput_job(spark, small, in_session, monkeypatch, tmp_path):
     messages.write.parquet(f"{tmp_path}/messages")
     throughput_job.main([f"{tmp_path}/out", "--messages", f"{tmp_path}/messages"])
 
-    # the same from steps that a stream keeps, as far as its ticks are closed
+    # the same from steps that a stream keeps
     monkeypatch.setattr(
         throughput_job, "kafka_stream",
         lambda session, topics, brokers, **options: session.readStream.schema(messages.schema).parquet(
@@ -134,18 +155,41 @@ def test_throughput_job(spark, small, in_session, monkeypatch, tmp_path):
     throughput_job.main(["--follow", f"{tmp_path}/steps", "--checkpoint", f"{tmp_path}/checkpoint"])
     throughput_job.main([f"{tmp_path}/followed", "--steps", f"{tmp_path}/steps"])
     followed = spark.read.parquet(f"{tmp_path}/followed/topic_offsets")
-    last = followed.agg({"sample_sec": "max"}).first()[0]
-    whole = spark.read.parquet(f"{tmp_path}/out/topic_offsets").filter(f"sample_sec <= {last}")
-    assert last == 1704067200 + 165
+    whole = spark.read.parquet(f"{tmp_path}/out/topic_offsets")
     assert sorted(map(tuple, followed.collect())) == sorted(map(tuple, whole.collect()))
     counts = {
         name: spark.read.parquet(f"{tmp_path}/out/{name}").count()
         for name in ("topic_offsets", "topic_rate_1m", "partitions_per_topic", "topic_values",
-                     "topic_rate_legend", "new_alert_rule", "topic_delta_5m", "consumer_delta_5m")
+                     "topic_rate_legend", "new_alert_rule", "topic_delta_5m", "consumer_delta_5m",
+                     "alert_count_series", "topic_delta_legend", "consumer_delta_legend")
     }
     assert counts == {
         "topic_offsets": 135, "topic_rate_1m": 45, "partitions_per_topic": 3, "topic_values": 3,
-        "topic_rate_legend": 3, "new_alert_rule": 3, "topic_delta_5m": 45, "consumer_delta_5m": 45}
+        "topic_rate_legend": 3, "new_alert_rule": 3, "topic_delta_5m": 45, "consumer_delta_5m": 45,
+        "alert_count_series": 15, "topic_delta_legend": 3, "consumer_delta_legend": 3}
+
+    # a range of time and chosen series
+    throughput_job.main([
+        f"{tmp_path}/chosen", "--messages", f"{tmp_path}/messages", "--topic", "http-.*",
+        "--partition", "[01]", "--since", "1704067260", "--until", "1704067300",
+    ])
+    chosen = spark.read.parquet(f"{tmp_path}/chosen/topic_offsets")
+    want = whole.filter("topic like 'http-%' and partition < 2 and sample_sec between 1704067260 and 1704067290")
+    assert sorted(map(tuple, chosen.collect())) == sorted(map(tuple, want.collect())) and want.count() == 12
+
+
+def test_follow_takes_a_limit(spark, in_session, monkeypatch, tmp_path):
+    in_session(throughput_job)
+    asked = {}
+
+    def stream(session, topics, brokers, **options):
+        asked.update(options)
+        raise RuntimeError("enough")
+
+    monkeypatch.setattr(throughput_job, "kafka_stream", stream)
+    with pytest.raises(RuntimeError, match="enough"):
+        throughput_job.main(["--follow", "x", "--checkpoint", "y", "--max-offsets-per-trigger", "9"])
+    assert asked == {"startingOffsets": "earliest", "maxOffsetsPerTrigger": "9"}
 
 
 def test_replay_job(spark, small, in_session, monkeypatch, tmp_path):

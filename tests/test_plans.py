@@ -7,6 +7,7 @@ import re
 import pytest
 
 from hitwatch.plans import batch, streams
+from hitwatch.schema import CLIENT_RSD
 
 
 def physical(frame) -> str:
@@ -21,11 +22,14 @@ def test_no_python_and_no_product(spark, small, name):
 
 
 @pytest.mark.parametrize(
-    "name", ["alerts_all", "error_stats_grouping_sets", "batch_summary", "error_windows_approx",
+    "name", ["alerts_all", "error_stats_grouping_sets", "batch_summary", "approximate windows",
              "error_window_urls", "error_rate_report", "url_error_stats", "ip_error_stats"]
 )
 def test_one_scan_and_one_shuffle_behind_partial_counts(spark, small, name):
-    plan = physical(batch.QUERIES[name](spark, small))
+    if name == "approximate windows":
+        plan = physical(batch.windows.error_windows(batch._errors(spark, small), rsd=CLIENT_RSD))
+    else:
+        plan = physical(batch.QUERIES[name](spark, small))
     assert plan.count("FileScan") == 1
     assert plan.count("Exchange") == 1
     below = plan[plan.index("Exchange"):]
@@ -76,10 +80,40 @@ def test_latest_alerts_are_a_top_k(spark, small):
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
 
 
-def test_only_the_urls_of_a_window_are_joined(spark, small):
-    """Counted before the join, and the join spread over salts."""
-    plan = physical(batch.window_alert_urls(spark, small))
-    assert plan.count("Join") == 1 and "salt" in plan[plan.index("Join"):].splitlines()[0]
+@pytest.mark.parametrize("limit", ["10485760", "-1"])
+def test_url_rows_of_loud_windows_are_not_repeated(spark, small, limit):
+    """One join of the rows as they are, small or not."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        plan = physical(batch.window_alert_urls(spark, small))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Join") == 1 and "Generate" not in plan
+    assert ("BroadcastHashJoin" in plan) == (limit != "-1")
+
+
+@pytest.mark.parametrize("name", ["topic_offsets", "topic_rate_1m", "topic_delta_5m", "new_alert_rule"])
+def test_series_are_windowed_by_block(spark, small, name):
+    plan = physical(batch.QUERIES[name](spark, small))
+    windows = re.findall(r"Window \[.*?\], \[(topic#\d+, partition#\d+.*?)\], \[", plan)
+    # but for the table of one row per series and block, which carries offsets on
+    assert len(windows) >= 2 and sum("block" not in keys for keys in windows) <= 2
+
+
+def test_range_is_pushed_into_the_scan_of_messages(spark, tmp_path):
+    from hitwatch.operators.throughput import recent_steps
+    from hitwatch.schema import MESSAGE_SCHEMA
+
+    spark.createDataFrame([], MESSAGE_SCHEMA).write.parquet(f"{tmp_path}/m")
+    messages = spark.read.schema(MESSAGE_SCHEMA).parquet(f"{tmp_path}/m")
+    plan = physical(recent_steps(messages, 1704067200))
+    assert plan.count("GreaterThan(timestamp,") == 1 and plan.count("LessThanOrEqual(timestamp,") == 1
+
+
+@pytest.mark.parametrize("name", ["topic_values", "job_values", "instance_values", "partitions_per_topic"])
+def test_label_queries_write_nothing(spark, small, name, monkeypatch):
+    monkeypatch.setattr(batch, "stored", None)
+    assert batch.QUERIES[name](spark, small).count() > 0
 
 
 def test_stream_registry():

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from hitwatch.session import work_dir
+from hitwatch.session import remove, utc, work_dir
 from hitwatch.sources import derived
 from hitwatch.sinks.batches import to_kafka
 from hitwatch.sinks.streams import kafka_topics
@@ -140,9 +140,29 @@ class Session:
         self.conf = {"spark.master": master}
 
 
-def test_no_local_folder_on_a_cluster():
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[2,1,1024]", "spark://host:7077"])
+def test_no_local_folder_on_a_cluster(master):
     with pytest.raises(ValueError):
-        work_dir(Session("yarn"), "x")
+        work_dir(Session(master), "x")
+
+
+def test_session_keeps_its_time_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        with utc(spark):
+            assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_removed_folders_are_gone(spark):
+    path = work_dir(spark, "x")
+    spark.range(3).write.parquet(path)
+    remove(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
 
 
 def test_local_master_gets_a_folder():

@@ -12,7 +12,14 @@ from pyspark.sql import functions as F
 
 from hitwatch.operators.alerts import error_rate_alerts
 from hitwatch.operators.parse import error_requests, parse_access_log
-from hitwatch.operators.windows import error_window_urls, error_windows, flat_window, window_alerts
+from hitwatch.operators.throughput import merged_steps, offset_steps
+from hitwatch.operators.windows import (
+    error_window_urls,
+    error_windows,
+    flat_window,
+    window_alert_urls,
+    window_alerts,
+)
 from hitwatch.schema import WATERMARK
 from hitwatch.session import work_dir
 from hitwatch.sinks.batches import to_parquet, to_text
@@ -92,6 +99,41 @@ def test_append_urls(spark, landed):
     assert bag(got) == bag(closed(error_window_urls(errors), errors)) and got.count() > 0
 
 
+def test_urls_of_loud_windows(spark, landed):
+    folder, batch = landed
+    errors = error_requests(parse_access_log(batch))
+    at = work_dir(spark, "test")
+    until_done(queries.start_alert_urls(
+        stream_of(spark, folder), to_parquet(f"{at}/out"), f"{at}/checkpoint", TO_THE_END
+    ))
+    got = spark.read.parquet(f"{at}/out").drop("batch")
+    want = closed(window_alert_urls(error_window_urls(errors)), errors)
+    assert bag(got.select(want.columns)) == bag(want) and got.count() > 0
+
+
+def test_steps_lose_no_late_topic(spark, tmp_path):
+    """One file per micro-batch; topic b lies an hour behind topic a."""
+    rows = [("a", 0, k, 3600.0 + 9 * k) for k in range(20)], [("b", 0, k, 9.0 * k) for k in range(20)]
+    files = [rows[0][:10], rows[1][:5], rows[0][10:], rows[1][5:15], rows[1][15:]]
+    schema = "topic string, partition int, offset long, second double"
+    now = time.time() - 1000
+    for i, part in enumerate(files):
+        frame = spark.createDataFrame(part, schema).withColumn("timestamp", F.timestamp_seconds("second"))
+        frame.coalesce(1).write.parquet(f"{tmp_path}/{i}")
+        name = next(n for n in os.listdir(tmp_path / str(i)) if n.endswith(".parquet"))
+        os.makedirs(tmp_path / "in", exist_ok=True)
+        os.link(tmp_path / str(i) / name, tmp_path / "in" / f"{i}.parquet")
+        os.utime(tmp_path / "in" / f"{i}.parquet", (now + i, now + i))
+    stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    at = work_dir(spark, "test")
+    until_done(queries.start_steps(stream, to_parquet(f"{at}/out"), f"{at}/checkpoint", TO_THE_END))
+    parts = spark.read.parquet(f"{at}/out")
+    assert parts.select("batch").distinct().count() == 5
+    want = offset_steps(spark.read.parquet(f"{tmp_path}/in"))
+    columns = ["topic", "partition", "tick", "offset_after", "opened"]
+    assert bag(merged_steps(parts).select(columns)) == bag(want.select(columns))
+
+
 def test_update_ends_at_the_batch_result(spark, landed):
     folder, batch = landed
     at = work_dir(spark, "test")

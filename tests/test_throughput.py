@@ -103,8 +103,10 @@ def random_series(seed):
     return rows
 
 
+@pytest.mark.parametrize("block", [1024, 7, 3, 1])
 @pytest.mark.parametrize("seconds, resets", [(60, True), (300, False)])
-def test_range_sums_against_definition(messages, seconds, resets):
+def test_range_sums_against_definition(messages, monkeypatch, seconds, resets, block):
+    monkeypatch.setattr(t, "BLOCK_TICKS", block)
     rows = random_series(seconds)
     first = int(min(r[3] for r in rows) // 15 * 15)
     last = int(-(-max(r[3] for r in rows) // 15) * 15)
@@ -117,6 +119,48 @@ def test_range_sums_against_definition(messages, seconds, resets):
     assert not resets or all(v is None or v >= 0 for v in got.values())
 
 
+@pytest.mark.parametrize("block", [1024, 5, 2])
+def test_grid_is_the_same_whatever_the_blocks(messages, monkeypatch, block):
+    monkeypatch.setattr(t, "BLOCK_TICKS", block)
+    test_grid_carries_on_and_starts_at_zero(messages)
+    test_given_range_sees_what_came_before(messages)
+
+
+def test_no_array_is_longer_than_a_block(spark, messages, monkeypatch):
+    """Two messages a year apart."""
+    lengths = []
+    sequence = F.sequence
+
+    def watched(*args):
+        out = sequence(*args)
+        lengths.append(out)
+        return out
+
+    monkeypatch.setattr(t.F, "sequence", watched)
+    frame = messages([("a", 0, 0, 0), ("a", 0, 1, 365 * 86400)])
+    steps = t.offset_steps(frame)
+    got = t.offset_samples(steps, *t.covered_range(steps))
+    assert got.count() == 365 * 86400 // 15 + 1
+    assert {r["current_offset"] for r in got.select("current_offset").distinct().collect()} == {1, 2}
+    # outer and inner sequences of both spreads, and the ticks of a block
+    assert len(lengths) == 5 and all("sequence" in str(column) for column in lengths)
+    by_block = got.groupBy((F.col("sample_sec") / (15 * t.BLOCK_TICKS)).cast("long")).count()
+    assert by_block.agg(F.max("count")).first()[0] <= t.BLOCK_TICKS
+
+
+def test_steps_of_parts_add_up(messages):
+    """Also where a topic comes an hour late."""
+    early = [("a", 0, k, 3600.0 + k) for k in range(40)]
+    late = [("b", 0, k, float(k)) for k in range(40)]
+    parts = [early[:15], early[15:], late[:7] + late[20:], late[7:20]]
+    whole = {tuple(r) for r in t.offset_steps(messages(early + late)).collect()}
+    merged = None
+    for part in parts:
+        steps = t.offset_steps(messages(part))
+        merged = steps if merged is None else merged.unionByName(steps)
+    assert {tuple(r) for r in t.merged_steps(merged).select("topic", "partition", "tick", "offset_after", "opened").collect()} == whole
+
+
 def test_rate_settles(messages):
     rows = [("a", p, i, i / 25) for p in (0, 1) for i in range(25 * 120 + 1)]
     got = as_dict(t.rate_by_topic(samples(messages(rows))), "sample_sec", value="value")
@@ -150,6 +194,13 @@ def test_legend(spark):
     assert {tuple(r) for r in t.legend(frame).collect()} == {("a", 3.0, 5.0), ("b", None, None)}
 
 
+def test_legend_of_several_labels(spark):
+    rows = [(None, "a", 1, 5.0), (None, "a", 2, 3.0), ("g", "a", 1, 4.0)]
+    frame = spark.createDataFrame(rows, "consumergroup string, topic string, sample_sec long, value double")
+    got = {tuple(r) for r in t.legend(frame, ("consumergroup", "topic")).collect()}
+    assert got == {(None, "a", 3.0, 5.0), ("g", "a", 4.0, 4.0)}
+
+
 def test_rule_fires_on_minutes_with_new_messages(messages):
     rows = [("alerts", 0, 0, 3.0), ("alerts", 0, 1, 59.0), ("alerts", 0, 2, 61.0), ("alerts", 0, 3, 290.0)]
     fired = t.new_message_rule(samples(messages(rows))).collect()
