@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 #: can be no more than its inverse of them.
 HOT_SHARE = 1 / 500
 #: Texts are worked on in runs of about this many characters.
-RUN_CHARS = 2_000_000
+RUN_CHARS = 500_000
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -34,7 +34,7 @@ RADIUS = 23
 BLOCK_BITS = 8
 #: Items held against the documents in one pass; more items take more passes.
 ITEMS_AT_ONCE = 20_000
-RUN = 1_000_000
+RUN = 300_000
 
 
 def simhash(shingles: np.ndarray, weights: np.ndarray) -> np.uint64:

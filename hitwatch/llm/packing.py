@@ -41,7 +41,7 @@ SEQUENCE = 2048
 END_ID = 0
 PARTS = 3  # documents of a pattern
 BINS = 128
-KNOWN_WORDS = 1_200_000  # words whose ids a process keeps; beyond, it starts anew
+KNOWN_WORDS = 250_000  # words in either of two generations whose ids a process keeps
 RANK_ROWS = 200_000
 
 
@@ -54,7 +54,7 @@ class Encoder:
     No token crosses white space, nor the border of a word's letters and the punctuation
     that ends it, and letters are lower-cased first; so texts are put together from the
     ids of lower-cased words without their last punctuation, and each of those is encoded
-    once in a process that keeps them.
+    once in a process that keeps them. Words not met for a generation are forgotten.
     """
 
     def __init__(self, path: str):
@@ -65,6 +65,7 @@ class Encoder:
         self.letters.normalizer = None
         self.letters.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def _encode(self, tokenizer: Tokenizer, words: list[str]) -> None:
         for at in range(0, len(words), 10_000):
@@ -73,7 +74,7 @@ class Encoder:
             for word, found in zip(some, encoded, strict=True):
                 self.known[word] = np.array(found.ids, "<u4").tobytes()
 
-    def _learn(self, fresh: list[str]) -> None:
+    def _learn(self, fresh: set[str]) -> None:
         parts, letters, others = {}, set(), set()
         for word in fresh:
             stem = word.rstrip(LAST)
@@ -84,16 +85,22 @@ class Encoder:
             if stem != word:
                 parts[word] = (stem, word[len(stem) :])
                 others.add(word[len(stem) :])
-        self._encode(self.whole, list(others.difference(self.known)))
-        self._encode(self.letters, list(letters.difference(self.known)))
+        for wanted, tokenizer in ((others, self.whole), (letters, self.letters)):
+            wanted = wanted.difference(self.known)
+            again = wanted.intersection(self.before)
+            self.known.update((word, self.before[word]) for word in again)
+            self._encode(tokenizer, list(wanted.difference(again)))
         for word, (stem, end) in parts.items():
             self.known[word] = self.known[stem] + self.known[end]
 
     def __call__(self, texts: Sequence[str]) -> list[bytes]:
         words = [_words(text) for text in texts]
         if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        self._learn(set().union(*words).difference(self.known))
+            self.before, self.known = self.known, {}
+        fresh = set().union(*words).difference(self.known)
+        again = fresh.intersection(self.before)
+        self.known.update((word, self.before[word]) for word in again)
+        self._learn(fresh.difference(again))
         of = self.known.__getitem__
         return [b"".join(map(of, part)) for part in words]
 
