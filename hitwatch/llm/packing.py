@@ -32,8 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
-from tokenizers.pre_tokenizers import ByteLevel
+from tokenizers import Tokenizer, pre_tokenizers
 
 from hitwatch.llm.common import runs, stored
 
@@ -60,20 +59,39 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.whole = Tokenizer.from_file(path)
-        # lower-cased words of letters alone need no rewriting and are never split
+        # lower-cased words of letters alone need no rewriting and are not split further, so
+        # many are encoded at once; the last token of each tells where it ends
         self.letters = Tokenizer.from_file(path)
         self.letters.normalizer = None
-        self.letters.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        vocabulary = self.whole.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
-    def _encode(self, tokenizer: Tokenizer, words: list[str]) -> None:
+    def _encode(self, words: list[str]) -> None:
         for at in range(0, len(words), 10_000):
             some = words[at : at + 10_000]
-            encoded = tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            encoded = self.whole.encode_batch_fast(some, add_special_tokens=False)
             for word, found in zip(some, encoded, strict=True):
                 self.known[word] = np.array(found.ids, "<u4").tobytes()
 
+    def _encode_letters(self, words: list[str]) -> None:
+        for at in range(0, len(words), 2_000):
+            some = words[at : at + 2_000]
+            found = self.letters.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
+            ids = np.array(found.ids, "<u4")
+            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(ends) != len(some):
+                self._encode(some)
+                continue
+            data = ids.tobytes()
+            for word, start, end in zip(some, [0, *ends], ends, strict=False):
+                self.known[word] = data[4 * start : 4 * end]
+
     def _learn(self, fresh: set[str]) -> None:
         parts, letters, others = {}, set(), set()
         for word in fresh:
@@ -85,11 +103,11 @@ class Encoder:
             if stem != word:
                 parts[word] = (stem, word[len(stem) :])
                 others.add(word[len(stem) :])
-        for wanted, tokenizer in ((others, self.whole), (letters, self.letters)):
+        for wanted, encode in ((others, self._encode), (letters, self._encode_letters)):
             wanted = wanted.difference(self.known)
-            again = wanted.intersection(self.before)
+            again = {word for word in wanted if word in self.before}
             self.known.update((word, self.before[word]) for word in again)
-            self._encode(tokenizer, list(wanted.difference(again)))
+            encode(list(wanted.difference(again)))
         for word, (stem, end) in parts.items():
             self.known[word] = self.known[stem] + self.known[end]
 
@@ -98,7 +116,7 @@ class Encoder:
         if len(self.known) > KNOWN_WORDS:
             self.before, self.known = self.known, {}
         fresh = set().union(*words).difference(self.known)
-        again = fresh.intersection(self.before)
+        again = {word for word in fresh if word in self.before}
         self.known.update((word, self.before[word]) for word in again)
         self._learn(fresh.difference(again))
         of = self.known.__getitem__
