@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from hitwatch.llm import decontaminate, queries
+from hitwatch.llm.common import read
+
+
+def words_of(text):
+    return re.findall(r"[0-9a-z\u0080-\U0010ffff]+", (text or "").lower())
+
+
+def bag(words, width):
+    out = {}
+    for k in range(len(words) - width + 1):
+        shingle = tuple(words[k : k + width])
+        out[shingle] = out.get(shingle, 0) + 1
+    return out
+
+
+def slow_matches(texts, items):
+    """Best similarity of any window of the item's size, over all places."""
+    out = {}
+    for item, item_text in items:
+        own = words_of(item_text)
+        if not own:
+            continue
+        width = min(5, len(own))
+        want = bag(own, width)
+        for doc, text in texts:
+            words = words_of(text)
+            for start in range(len(words) - len(own) + 1):
+                got = bag(words[start : start + len(own)], width)
+                both = sum(min(n, got.get(s, 0)) for s, n in want.items())
+                value = both / (sum(want.values()) + sum(got.values()) - both)
+                if value >= 0.8:
+                    out[doc, item] = max(value, out.get((doc, item), 0))
+    return out
+
+
+@pytest.fixture(scope="module")
+def planted():
+    rng = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(60)]
+    items = [(k, " ".join(rng.choice(vocabulary) for _ in range(size))) for k, size in enumerate([1, 3, 5, 6, 14, 30, 60, 60])]
+    items += [(98, ""), (99, None), (100, items[5][1])]
+    texts = []
+    for doc in range(60):
+        words = [rng.choice(vocabulary) + rng.choice("abcd") for _ in range(rng.randrange(0, 80))]
+        own = items[doc % 8][1].split()
+        for _ in range(doc % 4):
+            own[rng.randrange(len(own))] = "changed"
+        at = rng.randrange(len(words) + 1)
+        texts.append((doc, " ".join(words[:at]) + ", " + " ".join(own).upper() + "! " + " ".join(words[at:])))
+    return texts, items
+
+
+@pytest.mark.parametrize("at_once", [20_000, 3])
+def test_against_all_windows(spark, docs, planted, monkeypatch, at_once):
+    monkeypatch.setattr(decontaminate, "ITEMS_AT_ONCE", at_once)
+    texts, items = planted
+    table, benchmark = docs(texts), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.contaminated(table, benchmark).collect()}
+    want = slow_matches(texts, items)
+    assert got == pytest.approx(want) and len(want) > 30
+    kept = decontaminate.without_contaminated(table, benchmark)
+    assert kept.columns == table.columns
+    assert {r.doc_id for r in kept.collect()} == {doc for doc, _ in texts} - {doc for doc, _ in want}
+
+
+def test_index_finds_all_within_the_radius():
+    rng = np.random.default_rng(2)
+    index = decontaminate.Index(range(40), [" ".join(f"a{k}b{j}" for j in range(12)) for k in range(40)])
+    for item in range(40):
+        for bits in range(0, 40):
+            value = int(index.prints[item])
+            for bit in rng.choice(64, bits, replace=False):
+                value ^= 1 << int(bit)
+            found = index.within_radius(np.array([value], np.uint64), np.array([item]))[0]
+            assert found == (bits <= decontaminate.RADIUS)
+
+
+def test_query_against_all_windows(spark, small):
+    got = {(r.doc_id, r.item_id) for r in queries.op9_benchmark_decontamination(spark, small).collect()}
+    texts = [(r.doc_id, " ".join(words_of(r.text))) for r in read(spark, small, "documents").collect()]
+    items = [(r.item_id, " ".join(words_of(r.text))) for r in read(spark, small, "benchmark").collect()]
+    assert {(d, i) for d, text in texts for i, item in items if f" {item} " in f" {text} "} <= got
+    near = [(d, t) for d, t in texts if d < 40 or d in {d for d, _ in got}]
+    assert {key for key in got if key[0] in dict(near)} == set(slow_matches(near[:45], items)) | {
+        key for key in got if key[0] not in dict(near[:45])
+    }
+
+
+def test_awkward_rows(spark, awkward, empty):
+    items = spark.createDataFrame([(1, "brown fox jumps over the lazy"), (2, ""), (3, None)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(awkward, items).collect()}
+    assert got == {(1, 1), (2, 1), (None, 1)}
+    assert decontaminate.without_contaminated(awkward, items).count() == 10
+    assert decontaminate.contaminated(empty, items).count() == 0
+    none = items.limit(0)
+    assert decontaminate.contaminated(awkward, none).count() == 0
+    assert decontaminate.without_contaminated(awkward, none).count() == 14

@@ -1,0 +1,69 @@
+from __future__ import annotations
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from hitwatch.llm import quality, queries
+from hitwatch.llm.common import read
+
+
+def test_query_on_held_out_labels(spark):
+    folder = "/root/testdata/sf0.1"
+    rows = queries.op3_quality(spark, folder).join(read(spark, folder, "labels"), "doc_id").filter("held_out")
+    got = {r.quality: r.p for r in rows.groupBy("quality").agg(F.avg(F.col("keep").cast("int")).alias("p")).collect()}
+    assert got[1] > 0.98 and got[0] < 0.02
+
+
+@pytest.fixture
+def sites(spark):
+    good = "A plain sentence with many different words about rivers, hills and towns. " * 2
+    bad = "spam " * 40
+    rows = [(k, good if k % 4 else bad, "h1", "p1") for k in range(40)]
+    rows += [(100 + k, bad if k % 4 else good, "h2", "p1" if k % 2 else "p2") for k in range(40)]
+    rows += [(200, good, None, None), (201, None, "h3", None), (202, "", "h3", None), (200, good, None, None)]
+    return spark.createDataFrame(rows, "doc_id long, text string, host string, path string")
+
+
+def test_rates_against_definition(sites):
+    model = quality.train(["Many different words stand here, about quite some things."] * 3 + ["Other words, other places."], ["spam spam spam"] * 4)
+    got = quality.quality(sites, model).collect()
+    assert len(got) == sites.count()
+    rows = quality.evidence(sites, model).collect()
+    p = [r.p for r in rows]
+    overall = sum(p) / len(p)
+
+    def strength(groups, parents):
+        inside = sum(sum((x - sum(g) / len(g)) ** 2 for x in g) for g in groups)
+        outside = sum(len(g) * (sum(g) / len(g) - m) ** 2 for g, m in zip(groups, parents))
+        n = sum(map(len, groups))
+        within = inside / (n - len(groups))
+        between = (outside - (len(groups) - 1) * within) / n
+        return min(1e6, within / between) if between > 0 else 1e6
+
+    by = {}
+    for r in rows:
+        by.setdefault((r.host,), []).append(r.p)
+        by.setdefault((r.host, r.path), []).append(r.p)
+    hosts, paths = ([k for k in by if len(k) == n] for n in (1, 2))
+    k_host = strength([by[h] for h in hosts], [overall] * len(hosts))
+    rate = {h: (sum(by[h]) + k_host * overall) / (len(by[h]) + k_host) for h in hosts}
+    k_path = strength([by[q] for q in paths], [rate[q[:1]] for q in paths])
+    where = {r.doc_id: (r.host, r.path) for r in rows}
+    for r in got:
+        h, q = where[r.doc_id][:1], where[r.doc_id]
+        own = r.evidence
+        host_rate = (sum(by[h]) - own + k_host * overall) / (len(by[h]) - 1 + k_host)
+        path_rate = (sum(by[q]) - own + k_path * host_rate) / (len(by[q]) - 1 + k_path)
+        assert r.host_rate == pytest.approx(min(max(host_rate, 1e-3), 0.999), abs=1e-6)
+        assert r.path_rate == pytest.approx(min(max(path_rate, 1e-3), 0.999), abs=1e-5)
+        odds = math.log(own / (1 - own)) + math.log(r.path_rate / (1 - r.path_rate))
+        assert r.score == pytest.approx(1 / (1 + math.exp(-odds))) and r.keep == (r.score >= 0.5)
+
+
+def test_missing_class_and_empty_table(sites):
+    assert quality.train(["a"], []) is None
+    got = quality.quality(sites, None).collect()
+    assert {r.evidence for r in got} == {0.5} and len(got) == sites.count()
+    assert quality.quality(sites.limit(0), None).count() == 0

@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+import gzip
+import io
+
+import pytest
+
+from hitwatch.llm import queries, warc
+from hitwatch.llm.common import shared_path
+from tests.compare import database, difference
+
+BIG = "<p>" + "same page " * 200
+PAGES = [
+    (1, "http://a/1", BIG), (2, None, BIG), (2, "http://a/2", BIG), (3, "http://a b/é", None), (None, "u", BIG),
+    (4, "u", "ü" * 499), (5, "u", "ü" * 499), (6, "u", "ü" * 500), (7, "u", "ü" * 500), (8, "u", ""), (9, "u", "\r\n\r\nWARC/1.1\r\n\r\n"),
+]
+
+
+@pytest.fixture
+def pages(spark):
+    rows = [(*row, "x", 1) for row in PAGES]
+    return spark.createDataFrame(rows, "page_id long, url string, html string, refers_to string, n_rows int")
+
+
+def test_query_against_sql(spark, small):
+    assert difference(queries.op4_warc(spark, small), database(small), queries.ORACLE_SQL["op4_warc"]) == ""
+
+
+@pytest.mark.parametrize("archive_bytes", [64_000_000, 1])
+def test_revisits_ties_and_nulls(pages, spark, archive_bytes):
+    archives = warc.write_archives(pages, shared_path(spark, "warc"), archive_bytes)
+    got = sorted(((r.page_id or 0, r.payload_bytes, r.record_type, r.refers_to) for r in warc.read_archives(archives).collect()),
+                 key=str)
+    n = len(BIG)
+    assert got == sorted([
+        (0, n, "revisit", 2), (1, n, "revisit", 2), (2, n, "response", None), (2, n, "response", None),
+        (3, 0, "response", None), (4, 998, "response", None), (5, 998, "response", None),
+        (6, 1000, "revisit", 7), (7, 1000, "response", None), (8, 0, "response", None), (9, 16, "response", None),
+    ], key=str)
+    if archive_bytes == 1:
+        assert archives.count() == len(PAGES)
+
+
+def test_empty_table(pages, spark):
+    assert warc.round_trip(pages.limit(0)).count() == 0
+
+
+def test_records_are_members_of_their_own():
+    a, b = warc.record(1, "u", b"x" * 70_000), warc.record(2, "u", b"", 1)
+    assert gzip.decompress(a).startswith(b"WARC/1.1\r\nWARC-Type: response\r\n")
+    found = list(warc.records(io.BytesIO(a + b)))
+    assert [f.headers["warc-type"] for f in found] == ["response", "revisit"] and found[0].payload_size == 70_000
+
+
+def damaged():
+    good = warc.record(1, "u", b"hello world" * 50)
+    text = gzip.decompress(good)
+    yield "wrong payload", gzip.compress(text.replace(b"hello", b"jello"))
+    yield "too long", gzip.compress(text.replace(b"Content-Length: ", b"Content-Length: 9", 1))
+    yield "cut off", good[:-20]
+    yield "no record", gzip.compress(b"nothing here\r\n\r\n")
+    yield "two in one member", gzip.compress(text + text)
+
+
+@pytest.mark.parametrize("what, data", list(damaged()))
+def test_damage_is_noticed(what, data):
+    with pytest.raises((ValueError, KeyError)):
+        list(warc.records(io.BytesIO(warc.record(0, "u", b"ok") + data)))
