@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator, Sequence
 from functools import cache
 
@@ -12,6 +11,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hitwatch import session
+from hitwatch.session import work_dir
+
 #: Keys that hold more than this share of all rows are joined by broadcast; there
 #: can be no more than its inverse of them.
 HOT_SHARE = 1 / 500
@@ -24,20 +26,14 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which all executors reach."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return f"{root.rstrip('/')}/llm/{purpose}-{uuid.uuid4().hex}"
+    """A fresh folder below the shared one; see :func:`hitwatch.session.work_dir`."""
+    return work_dir(spark, purpose)
 
 
 def stored(rows: DataFrame, purpose: str) -> DataFrame:
     """The rows as a table in the shared folder: lineage ends there, and a lost
     executor costs no more than reading again."""
-    spark = rows.sparkSession
-    path = shared_path(spark, purpose)
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return session.stored(rows.sparkSession, rows, purpose)
 
 
 def join_hot(
