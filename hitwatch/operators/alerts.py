@@ -33,6 +33,7 @@ def alerts_of(
         .withColumn("thresholds", by_scope(thresholds.everything, thresholds.url, thresholds.ip))
         .filter(F.col("value") > F.col("thresholds"))
     )
+    # fixed values: the wording of the messages
     text = F.concat(
         by_scope(
             F.lit("Global error rate"),

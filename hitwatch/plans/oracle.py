@@ -6,6 +6,7 @@ rendered, parsed, counted and sampled again in SQL.
 
 from __future__ import annotations
 
+from hitwatch.functions.log_line import LOG_PATTERN
 from hitwatch.sources.derived import (
     ERROR_STATUS,
     GOOD_STATUS,
@@ -15,7 +16,7 @@ from hitwatch.sources.derived import (
 )
 from hitwatch.schema import CLIENT_RSD
 
-_PATTERN = r'^(\S+) \S+ \[([^\]]+)\] "(\S+) (\S+) HTTP/\d\.\d" (\d{3})'
+_PATTERN = LOG_PATTERN
 
 
 def _parsed_from(lines: str) -> str:

@@ -12,7 +12,13 @@ TABLE_SCHEMAS = {
 }
 
 
-def socket_stream(spark: SparkSession, host: str = "localhost", port: int = 9999) -> DataFrame:
+# Where lines are served.
+SOCKET_HOST, SOCKET_PORT = "localhost", 9999
+
+
+def socket_stream(
+    spark: SparkSession, host: str = SOCKET_HOST, port: int = SOCKET_PORT
+) -> DataFrame:
     """Lines from a socket; Spark cannot replay them after a failure."""
     return spark.readStream.format("socket").option("host", host).option("port", port).load()
 

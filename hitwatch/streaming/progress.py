@@ -31,8 +31,7 @@ class BatchLog(StreamingQueryListener):
         seen = progress.observedMetrics.get("requests")
         if seen is not None and seen["total"]:
             self._write(
-                f"Batch {progress.batchId} - Total requests: {seen['total']}, "
-                f"Error requests: {seen['errors']}"
+                f"batch {progress.batchId}: {seen['errors']} errors in {seen['total']} requests"
             )
 
     def onQueryIdle(self, event: QueryIdleEvent) -> None:

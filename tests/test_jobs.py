@@ -82,8 +82,8 @@ def test_alert_job(spark, folder, in_session, monkeypatch, tmp_path):
         time.sleep(0.2)
     spark.streams.removeListener(listeners[0])
     assert sorted(logged) == [
-        "Batch 0 - Total requests: 120, Error requests: 30",
-        "Batch 1 - Total requests: 80, Error requests: 20",
+        "batch 0: 30 errors in 120 requests",
+        "batch 1: 20 errors in 80 requests",
     ]
 
 
@@ -216,4 +216,4 @@ def test_batch_log():
     BatchLog(written.append).onQueryProgress(Event)
     Progress.observedMetrics = {}
     BatchLog(written.append).onQueryProgress(Event)
-    assert written == ["Batch 7 - Total requests: 40, Error requests: 2"]
+    assert written == ["batch 7: 2 errors in 40 requests"]
