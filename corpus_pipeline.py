@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hitwatch.llm import decontaminate, line_dedup, packing, simhash, toxicity
 from hitwatch.llm.common import read, stored
-from hitwatch.llm.labelled import training_sample
+from hitwatch.llm.labelled import fitted, training_sample
 from hitwatch.llm.queries import TOKENIZER
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -17,7 +17,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the toxicity threshold."""
     sample = training_sample(docs, read(spark, sf_dir, "labels"), "toxic")
-    return toxicity.without_toxic(docs, toxicity.train(*sample))
+    return toxicity.without_toxic(docs, fitted(sample, toxicity.train))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

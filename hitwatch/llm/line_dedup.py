@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from hitwatch.llm.common import join_hot_keys, stored
 
 SIMILARITY = 0.8
-#: Entries of the table of word counts, a long each on the way to the tasks.
+#: Entries of the table of word counts, a small number each on the way to the tasks.
 RARITY_BUCKETS = 1 << 16
 #: Sides of up to so many rows are broadcast, after counting; larger ones are shuffled.
 BROADCAST_ROWS = 1_000_000
@@ -77,8 +77,7 @@ def _words(value: Column) -> Column:
 
 
 def rarity(rows: DataFrame) -> list[int]:
-    """For every bucket of word hashes its rarity class, twice the logarithm of its count,
-    as the upper bits of a word."""
+    """For every bucket of word hashes its rarity class, twice the logarithm of its count."""
     word = rows.select(F.explode(_words(F.col("value"))).alias("word")).filter("word != ''")
     counts = (
         word.groupBy(F.xxhash64("word").bitwiseAND(RARITY_BUCKETS - 1).alias("bucket"))
@@ -87,19 +86,19 @@ def rarity(rows: DataFrame) -> list[int]:
     )
     classes = [0] * RARITY_BUCKETS
     for row in counts:
-        classes[row.bucket] = min(63, int(2 * math.log2(row.n))) << HASH_BITS
+        classes[row.bucket] = min(63, int(2 * math.log2(row.n)))
     return classes
 
 
 def word_set(value: Column, classes: list[int]) -> Column:
     """The different words of a line, rarest first, as longs."""
-    table = F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
+    table = F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")  # a constant
     hashes = F.transform(F.array_remove(_words(value), ""), lambda word: F.xxhash64(word))
     return F.sort_array(F.array_distinct(F.transform(
         hashes,
-        lambda word: F.get(table, word.bitwiseAND(RARITY_BUCKETS - 1).cast("int")).bitwiseOR(
-            F.shiftrightunsigned(word, 64 - HASH_BITS)
-        ),
+        lambda word: F.shiftleft(
+            F.get(table, word.bitwiseAND(RARITY_BUCKETS - 1).cast("int")), HASH_BITS
+        ).bitwiseOR(F.shiftrightunsigned(word, 64 - HASH_BITS)),
     )))
 
 

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import zlib
 from bisect import bisect_right
 from collections import defaultdict
@@ -40,8 +41,9 @@ SEQUENCE = 2048
 END_ID = 0
 PARTS = 3  # documents of a pattern
 BINS = 128
-KNOWN_WORDS = 250_000  # words in either of two generations whose ids a process keeps
+KNOWN_WORDS = 350_000  # words in either of two generations whose ids a process keeps
 RANK_ROWS = 200_000
+RUN = 2_000_000  # texts are split into words so many characters at a time
 
 
 # -- tokens ----------------------------------------------------------------------------
@@ -96,7 +98,7 @@ class Encoder:
         parts, letters, others = {}, set(), set()
         for word in fresh:
             stem = word.rstrip(LAST)
-            if not (stem.isalpha() and stem == stem.lower()):
+            if not (stem.isalpha() and stem.islower()):
                 others.add(word)
                 continue
             letters.add(stem)
@@ -129,7 +131,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-LAST = ".,;:!?"
+LAST = string.punctuation.replace("'", "")  # an apostrophe may belong to the letters behind it
 
 
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -157,7 +159,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE) -> DataF
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         end = np.array([END_ID], "<u4").tobytes()
-        for batch, texts in runs(batches, "text"):
+        for batch, texts in runs(batches, "text", RUN):
             row, piece, start, length, crc = [], [], [], [], []
             for at, ids in enumerate(encode(texts)):
                 ids += end

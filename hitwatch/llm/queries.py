@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hitwatch.llm import decontaminate, licenses, line_dedup, packing, pii, prefix_hash, quality, simhash, toxicity, warc
 from hitwatch.llm.common import read
-from hitwatch.llm.labelled import training_sample
+from hitwatch.llm.labelled import fitted, training_sample
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,11 +31,11 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document, from its text and from the other documents of its source
     (as host) and language within the source (as path)."""
     documents = read(spark, folder, "documents")
-    good, bad = training_sample(documents, read(spark, folder, "labels"), "quality")
+    model = fitted(training_sample(documents, read(spark, folder, "labels"), "quality"), quality.train)
     sites = documents.select(
         "doc_id", "text", F.col("source").alias("host"), F.col("lang").alias("path")
     )
-    return quality.quality(sites, quality.train(good, bad))
+    return quality.quality(sites, model)
 
 
 def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,7 +77,8 @@ def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of every document, learned from labelled documents not held out."""
     documents = read(spark, folder, "documents")
-    model = toxicity.train(*training_sample(documents, read(spark, folder, "labels"), "toxic"))
+    sample = training_sample(documents, read(spark, folder, "labels"), "toxic")
+    model = fitted(sample, toxicity.train)
     return toxicity.toxicity_scores(documents, model)
 
 

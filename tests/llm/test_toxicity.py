@@ -89,12 +89,24 @@ def test_awkward_rows(awkward, empty, model):
 def test_sample_is_never_held_out(spark, docs):
     rows = docs([(k, f"text {k}") for k in range(300)] + [(None, "nameless")])
     labels = spark.createDataFrame([(k, k % 2) for k in range(300)] + [(None, 1), (7, None), (0, 1)], "doc_id long, toxic int")
-    toxic, clean = labelled.training_sample(rows, labels, "toxic", per_class=60)
+    found = labelled.training_sample(rows, labels, "toxic", per_class=60).collect()
+    toxic, clean = ([r.text for r in found if r.positive == value] for value in (True, False))
     assert len(toxic) == len(clean) == 60 and "text 0" not in clean
     ids = [int(text.split()[1]) for text in toxic + clean]
     assert all(zlib.crc32(str(k).encode()) % 3 != 1 for k in ids)
 
 
+def test_fitting_in_a_task(spark, docs):
+    texts = sentences(40, 1, True) + sentences(40, 2, False)
+    labels = spark.createDataFrame([(k, int(k < 40)) for k in range(80)], "doc_id long, toxic int")
+    sample = labelled.training_sample(docs(list(enumerate(texts))), labels, "toxic")
+    rows = sample.collect()
+    here = toxicity.train(*(sorted(r.text for r in rows if r.positive == value) for value in (True, False)))
+    there = labelled.fitted(sample, toxicity.train)
+    assert np.allclose(here.scores(texts), there.scores(texts))
+    assert labelled.fitted(sample.limit(0), toxicity.train) is None
+
+
 def test_query_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.1"
     rows = queries.op10_toxicity(spark, folder).join(read(spark, folder, "labels"), "doc_id").filter("held_out")
