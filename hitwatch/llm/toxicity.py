@@ -13,6 +13,8 @@ Words are runs without white space; neighbouring words of one or two characters
 one word, which undoes spaced-out spelling. A text is
 scored by its most toxic word, by how far its other words reach, and by its length.
 
+Letters from U+3000 on do not count.
+
 Edge cases: null and empty texts, and texts without a word of three letters, get the
 score of the machine's offset, a low one; repeated rows get equal scores; an empty table
 gives none; without labelled rows of both kinds every score is 0.
@@ -40,6 +42,7 @@ MINED_LANDMARKS = 48
 NEUTRAL_WORDS = 8_000
 MINED_WORDS = 2_000  # clean words nearest to toxic ones, added in each round
 ROUNDS = 5
+MOST_LETTERS = 62  # of the landmarks, the most frequent; the table of triples has their cube
 RUN = 400_000
 
 GAPS = [(j, k) for k in range(2, REACH + 1) for j in range(1, k)]
@@ -204,7 +207,8 @@ class _Kernel:
     """Triple weights of words, over the alphabet of the landmarks."""
 
     def __init__(self, landmarks: Sequence[str]):
-        known = sorted({c for word in landmarks for c in word if ord(c) < len(_LETTER)})
+        counts = Counter(c for word in landmarks for c in word if ord(c) < len(_LETTER))
+        known = sorted(sorted(counts, key=lambda c: (-counts[c], c))[:MOST_LETTERS])
         self.alphabet = np.zeros(len(_LETTER), np.int32)
         self.alphabet[[ord(c) for c in known]] = np.arange(2, len(known) + 2)
         self.size = len(known) + 2
