@@ -69,9 +69,11 @@ def test_alert_job(spark, folder, in_session, monkeypatch, tmp_path):
     monkeypatch.setattr(alerts_job, "to_kafka", lambda topic, brokers: to_text(f"{tmp_path}/{topic}"))
     alerts_job.main([
         "--checkpoint", f"{tmp_path}/checkpoint", "--brokers", "b:1", "--min-partitions", "64",
-        "--url-rate", "0.2",
+        "--url-rate", "0.2", "--max-offsets-per-trigger", "5000",
     ])
-    assert asked == {"topic": "http-logs", "brokers": "b:1", "minPartitions": "64"}
+    assert asked == {
+        "topic": "http-logs", "brokers": "b:1", "minPartitions": "64", "maxOffsetsPerTrigger": "5000"
+    }
     assert len(ended) == 1
     found = [json.loads(r["value"]) for r in spark.read.text(f"{tmp_path}/alerts").collect()]
     assert {a["batch_id"] for a in found} == {0, 1}
