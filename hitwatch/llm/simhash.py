@@ -34,6 +34,7 @@ HASH_SEED = 42
 #: Bound of the sample that the top of a tree is fitted on, and fingerprints per shard.
 SAMPLE = 4096
 SHARD = 8192
+MOST_LEVELS, MOST_TASKS = 14, 10_000  # beyond, shards get larger and tasks take several
 COMPARE = 1 << 19  # pairs compared at once
 BLOCKS = (0x1FFFFF, 0x1FFFFF << 21, 0x3FFFFF << 42)
 
@@ -195,7 +196,7 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     A shard gives at most one link per row, never all pairs of a dense group.
     """
     count = nodes.count()
-    depth = max(0, int(count / SHARD).bit_length())
+    depth = min(MOST_LEVELS, int(count / SHARD).bit_length())
     sample = np.array(
         [row.fp for row in nodes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()],
         np.int64,
@@ -229,7 +230,7 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         to_shards, "shard int, fp long, rep long, home boolean"
     )
     return (
-        routed.repartition(shards, "shard").groupBy("shard").applyInArrow(within, "u long, v long")
+        routed.repartition(min(shards, MOST_TASKS), "shard").groupBy("shard").applyInArrow(within, "u long, v long")
     )
 
 
