@@ -10,8 +10,9 @@ earlier one goes itself does not matter. Only DataFrame functions are used.
    similar lines share one of their first few words (prefix filter), leave room for
    enough common words behind it (positional filter), have similar sizes (length filter)
    and differ in few bits of a parity word of their hashes. These go into a table.
-3. Each line is held against a line of the first document that has its rarest
-   word: that settles large groups of near copies without comparing all their pairs.
+3. Where many lines share a word of their prefix, each is held against a line of the first
+   document that does; what that leaves open, against the first of those again. That
+   settles large groups of near copies without comparing all their pairs.
 4. Lines not settled are joined to all earlier ones on the words of the prefix.
 5. Whatever passes is verified on the whole sets of words.
 
@@ -35,6 +36,9 @@ from hitwatch.llm.common import join_hot_keys, stored
 SIMILARITY = 0.8
 #: Entries of the table of word counts, a small number each on the way to the tasks.
 RARITY_BUCKETS = 1 << 16
+#: More lines than that with a word of their prefix in common are a crowd, which is held
+#: against its first line before all its pairs are; so many times over.
+CROWD, LEADING_ROUNDS = 32, 2
 #: Sides of up to so many rows are broadcast, after counting; larger ones are shuffled.
 BROADCAST_ROWS = 1_000_000
 HASH_BITS = 57
@@ -244,28 +248,40 @@ def similar_lines(rows: DataFrame) -> DataFrame:
     classes = rarity(rows)
     table = stored(prefixes(rows, classes), "prefixes")
 
-    # a line of the first document with the rarest word
+    # a line of the first document with a crowded word, then again for what that leaves
     marks = [*KEY, "size", "even", "odd"]
-    leading = table.select(*marks, F.get("prefix", F.lit(0)).alias("word"))
-    shared = stored(
-        leading.groupBy(F.col("word").alias("k_word"))
-        .agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"),
-        "shared-words",
-    )
-    total = shared.agg(F.sum("n")).first()[0] or 0
-    of_first = join_hot_keys(leading, shared, ["word"], total).filter(F.col("doc").eqNullSafe(F.col("first")))
-    leaders = stored(
-        of_first.groupBy("k_word").agg(F.min_by(F.struct(*marks), "line").alias("e"), F.first("n").alias("n")),
-        "leaders",
-    )
-    total = leaders.agg(F.sum("n")).first()[0] or 0
-    led = join_hot_keys(leading, leaders, ["word"], total).select(
-        F.struct(*marks).alias("l"), "e"
-    )
-    settled = stored(
-        verified(stored(_pairs(led.filter(_alike("l", "e") & (_order("l") > _order("e"))), "l", "e"), "led"), rows, classes),
-        "settled",
-    )
+    settled, tried = None, table
+    for _ in range(LEADING_ROUNDS):
+        held = tried.select(*marks, F.explode("prefix").alias("word"))
+        crowded = stored(
+            held.groupBy(F.col("word").alias("k_word"))
+            .agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > CROWD),
+            "crowded-words",
+        )
+        words, total = crowded.agg(F.count(F.lit(1)), F.sum("n")).first()
+        if not words:
+            break
+        # no more words than the total of their lines over CROWD
+        side = _sized(crowded.select("k_word", "first"), words)
+        leading = stored(held.join(side, held["word"] == side["k_word"]).drop("word"), "crowded-lines")
+        leaders = (
+            leading.filter(F.col("doc").eqNullSafe(F.col("first"))).groupBy("k_word")
+            .agg(F.min_by(F.struct(*marks), "line").alias("e"))
+        )
+        counted = stored(
+            leaders.join(crowded.select("k_word", "n"), "k_word"), "leaders"
+        )
+        led = join_hot_keys(leading.withColumnRenamed("k_word", "word"), counted, ["word"], total).select(
+            F.struct(*marks).alias("l"), "e"
+        )
+        pairs = stored(_pairs(led.filter(_alike("l", "e") & (_order("l") > _order("e"))), "l", "e"), "led")
+        done = stored(verified(pairs, rows, classes), "settled")
+        settled = done if settled is None else settled.unionByName(done)
+        mentioned = leading.select(*KEY).distinct()
+        left = stored(_without(mentioned, done, done.count()), "left")
+        tried = stored(_with(table, left, left.count()), "tried")
+    if settled is None:
+        settled = table.select(*KEY).limit(0)
 
     # all others against all earlier ones; both sides are the same table with the same
     # columns, shuffled once, and the condition on one side names the other so that it
