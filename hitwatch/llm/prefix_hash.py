@@ -202,8 +202,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     to = F.element_at(F.create_map(*[F.lit(v) for pair in before.items() for v in pair]), F.col("_of")) if before else F.lit(0)
     guests = heads.select("doc_id", "text", to.alias("_range"), F.lit(1).alias("_guest"))
     rows = ranged.withColumn("_guest", F.lit(0)).unionByName(guests)
-    parts = max(1, len(numbers))
-    sorted_rows = rows.repartition(parts, "_range").sortWithinPartitions("_range", "_guest", *order)
+    # a task for each range, whatever its number hashes to
+    parts = max(numbers, default=0) + 1
+    sorted_rows = rows.repartitionById(parts, F.col("_range").cast("int")).sortWithinPartitions("_range", "_guest", *order)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the row that waits for its successor, with its range
