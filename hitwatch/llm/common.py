@@ -17,6 +17,8 @@ from hitwatch.session import work_dir
 #: Keys that hold more than this share of all rows are joined by broadcast; there
 #: can be no more than its inverse of them.
 HOT_SHARE = 1 / 500
+#: Sides of up to so many rows are broadcast, after counting; larger ones are shuffled.
+BROADCAST_ROWS = 1_000_000
 #: Texts are worked on in runs of about this many characters.
 RUN_CHARS = 500_000
 
@@ -36,6 +38,11 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
     return session.stored(rows.sparkSession, rows, purpose)
 
 
+def sized(rows: DataFrame, count: int) -> DataFrame:
+    """A side of a join with ``count`` narrow rows: broadcast if there are few."""
+    return F.broadcast(rows) if count <= BROADCAST_ROWS else rows
+
+
 def join_hot(
     rows: DataFrame, keyed: DataFrame, key: str, total: int, how: str = "inner"
 ) -> DataFrame:

@@ -31,25 +31,19 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitwatch.llm.common import join_hot_keys, stored
+from hitwatch.llm.common import join_hot_keys, sized, stored
 
 SIMILARITY = 0.8
 #: Entries of the table of word counts, a small number each on the way to the tasks.
 RARITY_BUCKETS = 1 << 16
 #: More lines than that with a word of their prefix in common are a crowd, which is held
 #: against its first line before all its pairs are; so many times over.
-CROWD, LEADING_ROUNDS = 32, 2
-#: Sides of up to so many rows are broadcast, after counting; larger ones are shuffled.
-BROADCAST_ROWS = 1_000_000
+CROWD, LEADING_ROUNDS = 256, 2
 HASH_BITS = 57
 
 KEY = ["doc", "version", "line"]
 
 
-def _sized(rows: DataFrame, count: int) -> DataFrame:
-    return F.broadcast(rows) if count <= BROADCAST_ROWS else rows
-
-
 def lines(docs: DataFrame) -> DataFrame:
     """``doc, version, line, value``: the lines of every text, numbered from 0. ``version``
     tells texts under one id apart and is 0 where there is only one."""
@@ -68,7 +62,7 @@ def versioned(docs: DataFrame) -> DataFrame:
         .filter("n > 1").select("_id"),
         "several-texts",
     )
-    side = _sized(several, several.count())
+    side = sized(several, several.count())
     version = F.when(F.col("_several"), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
     return docs.join(
         side.withColumn("_several", F.lit(True)), docs["doc_id"].eqNullSafe(side["_id"]), "left"
@@ -196,7 +190,7 @@ def equal_lines(rows: DataFrame) -> DataFrame:
 
 
 def _without(rows: DataFrame, keys: DataFrame, count: int) -> DataFrame:
-    side = _sized(keys.select(*(F.col(name).alias(f"k_{name}") for name in KEY)), count)
+    side = sized(keys.select(*(F.col(name).alias(f"k_{name}") for name in KEY)), count)
     same = F.lit(True)
     for name in KEY:
         same = same & rows[name].eqNullSafe(side[f"k_{name}"])
@@ -204,7 +198,7 @@ def _without(rows: DataFrame, keys: DataFrame, count: int) -> DataFrame:
 
 
 def _with(rows: DataFrame, keys: DataFrame, count: int) -> DataFrame:
-    side = _sized(keys.select(*(F.col(name).alias(f"k_{name}") for name in KEY)), count)
+    side = sized(keys.select(*(F.col(name).alias(f"k_{name}") for name in KEY)), count)
     same = F.lit(True)
     for name in KEY:
         same = same & rows[name].eqNullSafe(side[f"k_{name}"])
@@ -262,7 +256,7 @@ def similar_lines(rows: DataFrame) -> DataFrame:
         if not words:
             break
         # no more words than the total of their lines over CROWD
-        side = _sized(crowded.select("k_word", "first"), words)
+        side = sized(crowded.select("k_word", "first"), words)
         leading = stored(held.join(side, held["word"] == side["k_word"]).drop("word"), "crowded-lines")
         leaders = (
             leading.filter(F.col("doc").eqNullSafe(F.col("first"))).groupBy("k_word")
@@ -286,7 +280,7 @@ def similar_lines(rows: DataFrame) -> DataFrame:
     # all others against all earlier ones; both sides are the same table with the same
     # columns, shuffled once, and the condition on one side names the other so that it
     # stays in the join
-    settled_keys = _sized(
+    settled_keys = sized(
         settled.select(*(F.col(name).alias(f"k_{name}") for name in KEY), F.lit(0).alias("open")), settled.count()
     )
     same = F.lit(True)
@@ -336,7 +330,7 @@ def edited_lines(docs: DataFrame) -> DataFrame:
     by_text = gone.groupBy(F.col("doc").alias("_doc"), F.col("version").alias("_gone_version")).agg(
         F.collect_set("line").alias("_gone")  # no more than the text has lines
     )
-    side = _sized(by_text, gone.count())
+    side = sized(by_text, gone.count())
     own = versioned(docs.select("doc_id", "text", F.struct("*").alias("row")))
     joined = own.join(
         side, own["doc_id"].eqNullSafe(side["_doc"]) & (own["_version"] == side["_gone_version"]), "left"

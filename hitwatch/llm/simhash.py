@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitwatch.llm.common import join_hot, runs, stored
+from hitwatch.llm.common import join_hot, runs, sized, stored
 from hitwatch.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -263,15 +263,17 @@ def one_of_each(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int = MAX
     """The rows, with all their columns, whose id is the smallest of their component. Of
     rows with the same id the one with the least text stays, and all rows without an id."""
     found = near_duplicates(docs, width, max_bits)
-    keep = stored(
+    ids = stored(
         found.filter("doc_id is not null").groupBy("doc_id")
-        .agg(F.count(F.lit(1)).alias("rows"), F.max(F.col("doc_id") == F.col("component_id")).alias("first"))
-        .filter("first"),
+        .agg(F.count(F.lit(1)).alias("rows"), F.max(F.col("doc_id") == F.col("component_id")).alias("first")),
         "kept",
     )
-    single = docs.join(keep.filter("rows = 1").select("doc_id"), "doc_id", "left_semi")
-    repeated = docs.join(keep.filter("rows > 1").select("doc_id"), "doc_id", "left_semi")
+    # the few that go or repeat, not the many that stay
+    others = ids.filter("not first or rows > 1").select("doc_id")
+    several = ids.filter("first and rows > 1").select("doc_id")
+    single = docs.join(sized(others, others.count()), "doc_id", "left_anti")  # null ids stay
+    repeated = docs.join(sized(several, several.count()), "doc_id", "left_semi")
     least = Window.partitionBy("doc_id").orderBy("text", *(c for c in docs.columns if c not in ("doc_id", "text")))
     ranked = repeated.select(F.struct("*").alias("row"), F.row_number().over(least).alias("rank"))
     one = ranked.filter("rank = 1").select(*(F.col(f"row.`{name}`").alias(name) for name in docs.columns))
-    return single.unionByName(one).unionByName(docs.filter("doc_id is null"))
+    return single.unionByName(one)

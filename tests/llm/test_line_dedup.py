@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from hitwatch.llm import line_dedup, queries
+from hitwatch.llm import common, line_dedup, queries
 from hitwatch.llm.common import read
 
 
@@ -42,7 +42,7 @@ def test_against_brute_force_on_documents(spark, small):
 
 @pytest.mark.parametrize("broadcast", [10**6, 0])
 def test_against_brute_force_on_copies(spark, docs, monkeypatch, broadcast):
-    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", broadcast)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast)
     rng = random.Random(3)
     common = [f"w{k}" for k in range(25)]
     lines = []
