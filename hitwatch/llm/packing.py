@@ -41,9 +41,9 @@ SEQUENCE = 2048
 END_ID = 0
 PARTS = 3  # documents of a pattern
 BINS = 128
-KNOWN_WORDS = 450_000  # words in either of two generations whose ids a process keeps
+KNOWN_WORDS = 200_000  # words in either of two generations whose ids a process keeps
 RANK_ROWS = 200_000
-RUN = 2_000_000  # texts are split into words so many characters at a time
+RUN = 1_000_000  # texts are split into words so many characters at a time
 
 
 # -- tokens ----------------------------------------------------------------------------
