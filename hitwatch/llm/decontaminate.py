@@ -1,7 +1,7 @@
 """Benchmark decontamination: SimHash windows of the size of each benchmark item.
 
 An item is its words; a window of a document has as many words as the item it is held
-against. Both have a SimHash over their weighted shingles (runs of words, weighted by how
+against, or is the whole document if that has fewer. Both have a SimHash over their weighted shingles (runs of words, weighted by how
 often they occur). An index over blocks of bits finds for a window's fingerprint every
 item within ``RADIUS`` bits: of the blocks, one at least differs in no more bits than its
 share of the radius. What the index returns is verified by weighted Jaccard similarity of
@@ -124,9 +124,8 @@ class Index:
         first, _, _, words = word_arrays(texts)
         best: dict[tuple[int, int], float] = {}
         for part in self.widths:
-            for text, item, start in self._windows(part, first, words):
-                own = words[start : start + self.words[item]]
-                values, counts = _bag(shingle_hashes(own, part.width))
+            for text, item, start, stop in self._windows(part, first, words):
+                values, counts = _bag(shingle_hashes(words[start:stop], part.width))
                 near = self.within_radius(simhash(values, counts)[None], np.array([item]))
                 if near[0]:
                     found = similarity(dict(zip(values.tolist(), counts.tolist(), strict=True)), self.bags[item])
@@ -134,8 +133,8 @@ class Index:
                         best[text, item] = max(found, best.get((text, item), 0.0))
         return [(text, item, value) for (text, item), value in sorted(best.items())]
 
-    def _windows(self, part: _Width, first: np.ndarray, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """Windows ``(text, item, first word)`` over a shared shingle, each once."""
+    def _windows(self, part: _Width, first: np.ndarray, words: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """Windows ``(text, item, first word, end)`` over a shared shingle, each once."""
         shingles = shingle_hashes(words, part.width)
         at = np.flatnonzero(part.seen[shingles & np.uint64(len(part.seen) - 1)])
         low = np.searchsorted(part.shingles, shingles[at], "left")
@@ -148,11 +147,15 @@ class Index:
             entry, place, of = low[on] + k, at[on], text[on]
             item = part.item[entry]
             size = np.array(self.words)[item]
-            # the window's place, moved inside its text; shorter texts have none
-            start = np.clip(place - part.place[entry], first[of], first[of + 1] - size)
-            inside = (place + part.width <= first[of + 1]) & (start >= first[of])
-            for row in np.unique(np.column_stack([of[inside], item[inside], start[inside]]), axis=0):
-                yield int(row[0]), int(row[1]), int(row[2])
+            # the window's place, moved inside its text; a shorter text is one window
+            start = np.maximum(np.minimum(place - part.place[entry], first[of + 1] - size), first[of])
+            stop = np.minimum(start + size, first[of + 1])
+            # a window with too few shingles is not similar even if the item has them all
+            enough = (stop - start - part.width + 1) / (size - part.width + 1) >= SIMILARITY
+            inside = (place + part.width <= first[of + 1]) & enough
+            found = np.column_stack([of[inside], item[inside], start[inside], stop[inside]])
+            for row in np.unique(found, axis=0):
+                yield int(row[0]), int(row[1]), int(row[2]), int(row[3])
 
 
 def _passes(items: DataFrame) -> Iterator[Index]:

@@ -72,6 +72,40 @@ def test_against_all_windows(spark, docs, planted, monkeypatch, at_once):
     assert {r.doc_id for r in kept.collect()} == {doc for doc, _ in texts} - {doc for doc, _ in want}
 
 
+def slow_shorter(texts, items):
+    """Similarity of whole texts that have fewer words than the item."""
+    out = {}
+    for item, item_text in items:
+        own = words_of(item_text)
+        for doc, text in texts:
+            words = words_of(text)
+            if len(words) < len(own):
+                want, got = bag(own, min(5, len(own))), bag(words, min(5, len(own)))
+                both = sum(min(n, got.get(s, 0)) for s, n in want.items())
+                value = both / (sum(want.values()) + sum(got.values()) - both)
+                if value >= 0.8:
+                    out[doc, item] = value
+    return out
+
+
+def test_texts_shorter_than_the_item(spark, docs):
+    rng = random.Random(5)
+    own = [f"w{rng.randrange(400)}" for _ in range(59)]
+    items = [(1, " ".join(own)), (2, " ".join(own[:9])), (3, "one two three"), (4, " ".join(own[5:45]))]
+    pieces = [own[:size] for size in range(60)] + [own[59 - size :] for size in range(60)]
+    pieces += [own[:k] + own[k + 1 :] for k in range(59)]
+    pieces += [own[1:k] + ["changed"] + own[k + 1 : 57] for k in range(1, 57)]
+    pieces += [["one", "two"], ["x"] * 4]
+    texts = [(doc, " ".join(words)) for doc, words in enumerate(pieces)]
+    table, benchmark = docs(texts), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.contaminated(table, benchmark).collect()}
+    short = slow_shorter(texts, items)
+    assert got == pytest.approx(slow_matches(texts, items) | short) and (50, 1) in short
+    assert len(short) > 50
+    kept = decontaminate.without_contaminated(table, benchmark)
+    assert {r.doc_id for r in kept.collect()} == {doc for doc, _ in texts} - {doc for doc, _ in got}
+
+
 def test_index_finds_all_within_the_radius():
     rng = np.random.default_rng(2)
     index = decontaminate.Index(range(40), [" ".join(f"a{k}b{j}" for j in range(12)) for k in range(40)])
