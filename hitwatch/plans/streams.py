@@ -3,12 +3,19 @@
 The table is read as a stream, the query stops by itself once it has seen
 everything, and its output files are the result. Checkpoints and outputs go to a
 fresh folder below the session's shared one.
+
+Rows that come later than the watermark allows do not count, and the files of a table are
+in no order of time. Queries with windows therefore land the lines by spans of time first
+and take one span after the other, each as a micro-batch of its own.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from hitwatch.operators.records import alerts_from_json
 from hitwatch.operators.throughput import merged_steps
@@ -26,6 +33,8 @@ from hitwatch.streaming.lifecycle import until_done
 TO_THE_END = {"availableNow": True}
 #: Files of a table that make up a micro-batch, and state partitions of a query.
 FILES_PER_TRIGGER, STATE_PARTITIONS = 64, 16
+#: Seconds of the log in a micro-batch of the queries with windows, two million lines.
+SPAN_SECONDS = 40_000
 #: Files that the lines of the per-batch queries land in, and those of a micro-batch.
 LANDED_FILES, LANDED_PER_TRIGGER = 8, 2
 
@@ -45,14 +54,49 @@ def _landed(spark: SparkSession, folder: str, at: str) -> DataFrame:
     return table_stream(spark, at, "lines", LANDED_PER_TRIGGER)
 
 
-def _closed_windows(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
+def _spans(spark: SparkSession, folder: str, at: str) -> Iterator[DataFrame]:
+    """The lines of one span of time after the other, each as a stream of its files.
+
+    A query that is started with each of them and one checkpoint goes on where it stopped,
+    and all rows of a stream are in one micro-batch.
+    """
+    lines = derived.access_log_lines(table(spark, folder, "events"))
+    span = F.floor(F.unix_timestamp("timestamp") / SPAN_SECONDS)
+    (
+        lines.repartitionByRange("timestamp")
+        .select("value", F.coalesce(span, F.lit(0)).alias("span"))
+        .write.partitionBy("span").parquet(f"{at}/lines")
+    )
+    schema = "value string, span long"
+    landed = spark.read.schema(schema).parquet(f"{at}/lines").select("span").distinct().collect()
+    for row in sorted(landed):
+        yield spark.readStream.schema("value string").parquet(f"{at}/lines/span={row.span}")
+    if not landed:  # a table without rows is a stream too
+        yield _lines(spark, folder)
+
+
+def _over_spans(
+    spark: SparkSession, folder: str, at: str, start: Callable[[DataFrame], StreamingQuery]
+) -> None:
+    """Runs a query over the lines in order of time, to the end."""
+    for lines in _spans(spark, folder, at):
+        with state_partitions(spark, STATE_PARTITIONS):
+            query = start(lines)
+        until_done(query)
+
+
+def _closed_windows(
+    spark: SparkSession, folder: str, windows: Callable[[DataFrame], DataFrame], purpose: str
+) -> DataFrame:
     at = work_dir(spark, purpose)
-    flat = flat_window(rows)
-    writer = parquet_files(flat, f"{at}/out")
-    with state_partitions(spark, STATE_PARTITIONS):
-        query = queries.start(writer, f"{at}/checkpoint", TO_THE_END)
-    until_done(query)
-    return plain(spark.read.schema(flat.schema).parquet(f"{at}/out"))
+
+    def start(lines: DataFrame) -> StreamingQuery:
+        writer = parquet_files(flat_window(windows(lines)), f"{at}/out")
+        return queries.start(writer, f"{at}/checkpoint", TO_THE_END)
+
+    _over_spans(spark, folder, at, start)
+    schema = flat_window(windows(_lines(spark, folder))).schema
+    return plain(spark.read.schema(schema).parquet(f"{at}/out"))
 
 
 def _exact_errors(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,7 +105,7 @@ def _exact_errors(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_error_windows_append(spark: SparkSession, folder: str) -> DataFrame:
     """Closed windows; the approximate client count streams keep is held against the exact."""
-    rows = _closed_windows(spark, queries.window_metrics(_lines(spark, folder)), "windows")
+    rows = _closed_windows(spark, folder, queries.window_metrics, "windows")
     return plain(batch.checked_counts(_instants(rows), _exact_errors(spark, folder)))
 
 
@@ -71,34 +115,31 @@ def _instants(rows: DataFrame) -> DataFrame:
 
 def stream_window_alerts(spark: SparkSession, folder: str) -> DataFrame:
     """Closed windows with too many errors; the approximate column is left out."""
-    alerts = queries.window_metrics_alerts(_lines(spark, folder))
-    return _closed_windows(spark, alerts, "window-alerts").drop("count_distinct_ip")
+    alerts = _closed_windows(spark, folder, queries.window_metrics_alerts, "window-alerts")
+    return alerts.drop("count_distinct_ip")
 
 
 def stream_error_window_urls(spark: SparkSession, folder: str) -> DataFrame:
-    return _closed_windows(spark, queries.window_urls(_lines(spark, folder)), "window-urls")
+    return _closed_windows(spark, folder, queries.window_urls, "window-urls")
 
 
 def stream_window_alert_urls(spark: SparkSession, folder: str) -> DataFrame:
     """URLs of the closed windows with too many errors."""
     at = work_dir(spark, "window-alert-urls")
-    lines = _lines(spark, folder)
-    with state_partitions(spark, STATE_PARTITIONS):
-        query = queries.start_alert_urls(lines, to_parquet(f"{at}/out"), f"{at}/checkpoint", TO_THE_END)
-    until_done(query)
-    schema = flat_window(queries.window_urls(lines)).schema
+    _over_spans(spark, folder, at, lambda lines: queries.start_alert_urls(
+        lines, to_parquet(f"{at}/out"), f"{at}/checkpoint", TO_THE_END
+    ))
+    schema = flat_window(queries.window_urls(_lines(spark, folder))).schema
     return plain(spark.read.schema(schema).parquet(f"{at}/out").select(*schema.names))
 
 
 def stream_error_windows_update(spark: SparkSession, folder: str) -> DataFrame:
     """Newest counts of every window, in update mode: open windows are included."""
     at = work_dir(spark, "window-updates")
-    rows = flat_window(queries.window_metrics(_lines(spark, folder)))
-    with state_partitions(spark, STATE_PARTITIONS):
-        query = queries.start_latest(
-            rows, to_parquet(f"{at}/out"), f"{at}/checkpoint", TO_THE_END
-        )
-    until_done(query)
+    _over_spans(spark, folder, at, lambda lines: queries.start_latest(
+        flat_window(queries.window_metrics(lines)), to_parquet(f"{at}/out"), f"{at}/checkpoint",
+        TO_THE_END,
+    ))
     updates = spark.read.parquet(f"{at}/out")
     newest = updates.groupBy("window_start", "window_end", "status").agg(
         F.max_by(F.struct("count_error", "count_distinct_ip"), "batch").alias("newest")

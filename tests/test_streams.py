@@ -20,6 +20,7 @@ from hitwatch.operators.windows import (
     window_alert_urls,
     window_alerts,
 )
+from hitwatch.plans import streams
 from hitwatch.schema import WATERMARK
 from hitwatch.session import work_dir
 from hitwatch.sinks.batches import to_parquet, to_text
@@ -288,6 +289,35 @@ def test_late_errors_are_dropped(spark, tmp_path):
     ) == {(-20, 2): 1, (-10, 2): 1, (0, 2): 1, (280, 1): 1, (290, 1): 1, (300, 1): 1}
 
 
+@pytest.fixture(scope="module")
+def scattered(spark, small, tmp_path_factory):
+    """The small events in more files than two micro-batches take, each with rows of all
+    times; Spark drops late rows from the third micro-batch on."""
+    folder = tmp_path_factory.mktemp("scattered")
+    files = 3 * streams.FILES_PER_TRIGGER
+    events = table(spark, small, "events").repartition(files, F.col("event_id") % 1000)
+    events.write.parquet(f"{folder}/events.parquet")
+    names = [name for name in os.listdir(folder / "events.parquet") if name.endswith(".parquet")]
+    assert len(names) > 2 * streams.FILES_PER_TRIGGER
+    return str(folder)
+
+
+@pytest.mark.parametrize(
+    "name", ["stream_error_windows_append", "stream_error_windows_update", "stream_error_window_urls",
+             "stream_window_alerts", "stream_window_alert_urls"]
+)
+def test_windows_over_many_files_in_no_order(spark, small, scattered, monkeypatch, name):
+    want = bag(streams.QUERIES[name](spark, small))
+    monkeypatch.setattr(streams, "SPAN_SECONDS", 90, raising=False)
+    assert bag(streams.QUERIES[name](spark, scattered)) == want and want
+
+
+def test_windows_of_no_events(spark, small, tmp_path):
+    table(spark, small, "events").limit(0).write.parquet(f"{tmp_path}/events.parquet")
+    for name in ("stream_error_windows_append", "stream_error_windows_update", "stream_window_alert_urls"):
+        assert streams.QUERIES[name](spark, str(tmp_path)).count() == 0
+
+
 def test_running_stops_what_is_left(spark, landed):
     folder, _ = landed
     with pytest.raises(RuntimeError):
