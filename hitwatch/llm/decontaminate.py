@@ -1,15 +1,15 @@
 """Benchmark decontamination: SimHash windows of the size of each benchmark item.
 
 An item is its words; a window of a document has as many words as the item it is held
-against, or is the whole document if that has fewer. Both have a SimHash over their weighted shingles (runs of words, weighted by how
-often they occur). An index over blocks of bits finds for a window's fingerprint every
-item within ``RADIUS`` bits: of the blocks, one at least differs in no more bits than its
-share of the radius. What the index returns is verified by weighted Jaccard similarity of
-the shingles, and a document is contaminated if one window reaches ``SIMILARITY``.
-
-Windows are taken where a document shares a shingle with an item, each at the place that
-lays the shared shingles over each other: other windows have no weight in common with any
-item and cannot be similar.
+against, or is the whole document if that has fewer. Both have a SimHash over their weighted
+shingles (runs of words, weighted by how often they occur). A document is contaminated if
+the weighted Jaccard similarity of one window reaches ``SIMILARITY``.
+
+An exact index of the items' shingles retrieves: windows are taken where a document shares a
+shingle with an item, each at the place that lays the shared shingles over each other. Other
+windows have no weight in common with any item and cannot be similar. SimHash only filters
+these pairs, to ``RADIUS`` bits, before they are verified on the shingles; the tables by
+blocks of bits retrieve nothing.
 
 Edge cases: items without words match nothing; items shorter than a shingle are one
 shingle, as is a window held against them; null and empty texts match nothing; equal items
