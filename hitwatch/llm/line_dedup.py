@@ -40,6 +40,8 @@ RARITY_BUCKETS = 1 << 16
 #: against its first line before all its pairs are; so many times over.
 CROWD, LEADING_ROUNDS = 256, 2
 HASH_BITS = 57
+#: What parts words besides blanks.
+SPACES = "\t\r\x0b\x0c"
 
 KEY = ["doc", "version", "line"]
 
@@ -70,8 +72,7 @@ def versioned(docs: DataFrame) -> DataFrame:
 
 
 def _words(value: Column) -> Column:
-    spaces = "\t\r\x0b\x0c"
-    return F.split(F.translate(F.lower(value), spaces, " " * len(spaces)), " ")
+    return F.split(F.translate(F.lower(value), SPACES, " " * len(SPACES)), " ")
 
 
 def rarity(rows: DataFrame) -> list[int]:
@@ -169,9 +170,10 @@ def _pairs(joined: DataFrame, later: str, earlier: str) -> DataFrame:
 def equal_lines(rows: DataFrame) -> DataFrame:
     """Keys of the lines that repeat an earlier one, but for case and outer spaces."""
     plain = F.lower(F.trim("value"))
-    # two hashes of 64 bits
-    hashed = rows.filter(F.trim("value") != "").select(
-        *KEY, F.xxhash64(plain).alias("a"), F.xxhash64(plain, F.lit(1)).alias("b")
+    # two hashes of 64 bits; the number comes first, as the hash of a column is the seed of
+    # the next one's
+    hashed = rows.filter(F.ltrim("value", F.lit(" " + SPACES)) != "").select(
+        *KEY, F.xxhash64(plain).alias("a"), F.xxhash64(F.lit(1), plain).alias("b")
     )
     first = hashed.groupBy("a", "b").agg(
         F.min(F.struct("doc", "line", "version")).alias("first"), F.count(F.lit(1)).alias("n")

@@ -83,6 +83,44 @@ def test_awkward_rows(awkward, empty):
     assert line_dedup.without_repeated_lines(empty).count() == 0
 
 
+def test_lines_without_words_stay(docs):
+    text = "one two\r\n\r\n\r\n\t\n\t\n \t\x0b\n\x0c\r\none two\r\n"
+    table = docs([(1, text), (2, text)])
+    assert found(table) == slow_repeated([(1, text), (2, text)]) == {(1, 7), (2, 0), (2, 7)}
+
+
+def colliding_lines():
+    """Two lines of 16 bytes with other words but one xxhash64 with Spark's seed."""
+    rng, mask = random.Random(1), (1 << 64) - 1
+    p1, p2, p4, p5 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
+
+    def turn(x, by):
+        return ((x << by) | (x >> (64 - by))) & mask
+
+    def spread(word):
+        return turn(int.from_bytes(word, "little") * p2 & mask, 31) * p1 & mask
+
+    def unspread(x):
+        return (turn(x * pow(p1, -1, 1 << 64) & mask, 33) * pow(p2, -1, 1 << 64) & mask).to_bytes(8, "little")
+
+    def state(word):
+        return (turn((42 + p5 + 16) & mask ^ spread(word), 27) * p1 + p4) & mask
+
+    head, tail = b"ab cd ef", b"ghijklmn"
+    while True:
+        other = bytes(rng.choice(b"opqrstuvwxyz0123456789") for _ in range(8))
+        end = unspread(state(head) ^ spread(tail) ^ state(other))
+        if re.fullmatch(rb"[!-@\[-~]{8}", end):
+            return (head + tail).decode(), (other + end).decode()
+
+
+def test_one_equal_hash_is_not_an_equal_line(spark, docs):
+    one, two = colliding_lines()
+    rows = spark.createDataFrame([(one,), (two,)], "line string")
+    assert rows.selectExpr("count(distinct xxhash64(line)) as n").first().n == 1
+    assert found(docs([(1, one), (2, two), (3, one)])) == {(3, 0)}
+
+
 def test_query_removes_what_is_found(spark, small):
     docs = read(spark, small, "documents").filter("doc_id < 60")
     gone = found(docs)
