@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitwatch.llm import decontaminate, licenses, line_dedup, packing, pii, prefix_hash, quality, simhash, toxicity, warc
+from hitwatch.llm import (
+    decontaminate,
+    licenses,
+    line_dedup,
+    mixing,
+    packing,
+    periodic_runs,
+    pii,
+    prefix_hash,
+    quality,
+    simhash,
+    source_divergence,
+    toxicity,
+    warc,
+)
 from hitwatch.llm.common import read
 from hitwatch.llm.labelled import fitted, training_sample
 
@@ -82,6 +96,21 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_scores(documents, model)
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of every document, with a repetition planted into one in ten."""
+    return periodic_runs.runs_of_documents(read(spark, folder, "documents"), plant=True)
+
+
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """Distances between the sources of each language, and the terms that set them apart."""
+    return source_divergence.divergence(read(spark, folder, "documents"))
+
+
+def op13_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that a mix by source weights takes of every document."""
+    return mixing.mix(read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -95,12 +124,16 @@ QUERIES: dict[str, Query] = {
         op8_simhash_near_duplicates,
         op9_benchmark_decontamination,
         op10_toxicity,
+        op11_periodic_runs,
+        op12_source_divergence,
+        op13_source_mix,
     )
 }
 
 #: SQL of the queries that SQL can express on whole tables.
 ORACLE_SQL: dict[str, str] = {
     "op6_license_scan": licenses.oracle(),
+    "op12_source_divergence": source_divergence.oracle(),
     "op4_warc": """
         with sized as (
             select page_id, coalesce(html, '') as payload, strlen(coalesce(html, '')) as payload_bytes
