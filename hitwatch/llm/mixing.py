@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitwatch.llm.common import stored
@@ -63,10 +63,11 @@ def _ordered(sources: DataFrame) -> DataFrame:
         sources.orderBy(F.col("source").isNull(), "source").withColumn("_id", F.monotonically_increasing_id()),
         "sources",
     ).withColumn("_part", F.shiftright("_id", 33))
-    ahead = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
-    before = ahead.alias("a").join(ahead.alias("b"), F.col("b._part") < F.col("a._part"), "left").groupBy(
-        F.col("a._part").alias("_part")
-    ).agg(F.coalesce(F.sum("b._rows"), F.lit(0)).alias("_before"))
+    # a row for each partition of the sort
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = placed.groupBy("_part").agg(F.count("*").alias("_rows")).select(
+        "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
+    )
     within = F.col("_id").bitwiseAND((1 << 33) - 1)
     return placed.join(F.broadcast(before), "_part").withColumn("place", F.col("_before") + within).drop(
         "_id", "_part", "_before"
@@ -116,8 +117,9 @@ def _solved(sources: DataFrame, sizes: DataFrame) -> DataFrame:
     )
     none = F.lit(None).cast("double")
     duals = sources.join(mean, "key", "left")
-    # at this dual the shortest document, and with it every one, has the highest rate
-    highest = F.lit(_CAP) * F.col("scale") / F.col("_least")
+    # at this dual the shortest document, and with it every one, has the highest rate; a little
+    # more, as products of doubles are rounded
+    highest = F.lit(_CAP * (1 + 1e-9)) * F.col("scale") / F.col("_least")
     duals = stored(duals.select(
         *sources.columns, "scale", none.alias("low"), highest.alias("high"),
         F.when(F.col("full"), highest).otherwise(0.0).alias("dual"),

@@ -44,10 +44,10 @@ def test_against_brute_force_on_documents(spark, small):
 def test_against_brute_force_on_copies(spark, docs, monkeypatch, broadcast):
     monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast)
     rng = random.Random(3)
-    common = [f"w{k}" for k in range(25)]
+    frequent = [f"w{k}" for k in range(25)]
     lines = []
     for size in (1, 2, 4, 5, 9, 10, 30, 90, 160):
-        base = [f"r{rng.randrange(400)}" for _ in range(size // 2)] + [rng.choice(common) for _ in range(size - size // 2)]
+        base = [f"r{rng.randrange(400)}" for _ in range(size // 2)] + [rng.choice(frequent) for _ in range(size - size // 2)]
         for _ in range(14):
             near = list(base)
             for _ in range(rng.randrange(0, max(1, size // 4) + 1)):
