@@ -18,15 +18,13 @@ import argparse
 from pyspark.sql import DataFrame
 
 from hitwatch.operators import throughput
-from hitwatch.schema import ALERT_TOPIC, LOG_TOPIC, MESSAGE_SCHEMA, MONITORING_TOPIC
+from hitwatch.schema import ALERT_TOPIC, LOG_TOPIC, MESSAGE_SCHEMA, MONITORING_TOPIC, STEP_SCHEMA
 from hitwatch.session import build_session, remove, work_dir
 from hitwatch.sinks.batches import to_parquet
 from hitwatch.sources.kafka import kafka_messages, kafka_stream
 from hitwatch.streaming.lifecycle import until_any_ends
 from hitwatch.streaming.queries import start_steps
 
-STEP_SCHEMA = "topic string, partition int, tick long, offset_after long, opened long"
-
 
 def throughput_tables(
     steps: DataFrame, since: int | None = None, until: int | None = None, **labels: str

@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitwatch.functions.rates import error_rate, percent_text
+from hitwatch.functions.times import iso_text
 from hitwatch.operators.records import ALERT_COLUMNS
 from hitwatch.operators.stats import error_stats
-from hitwatch.schema import Thresholds
+from hitwatch.operators.windows import watermarked
+from hitwatch.schema import ALERT_REPEATS_WITHIN, ALERT_SPAN, Thresholds
 
 # What identifies an alert when a batch is delivered again.
 ALERT_KEY = ["batch_id", "type", "url", "ip"]
@@ -68,6 +70,41 @@ def error_rate_alerts(
     return alerts_of(error_stats(parsed, keys), thresholds, batch_id, raised_at)
 
 
+def alerts_by_time(
+    parsed: DataFrame, thresholds: Thresholds = Thresholds(), span: str = ALERT_SPAN
+) -> DataFrame:
+    """All alerts of every span of event time, on a table or, in append mode, on a stream.
+
+    A span takes the place of a micro-batch: ``batch_id`` is its number since the epoch and
+    ``timestamp`` its end. So alerts do not depend on how lines were cut into batches, a query
+    that is run again raises the same ones, and no callback is needed. On a stream the state
+    is a row of counts per span, and per URL and client in it. Lines without a readable time
+    are in no span.
+    """
+    spans = watermarked(parsed).withColumn("window", F.window("timestamp", span))
+    stats = error_stats(spans.filter(F.col("timestamp").isNotNull()), ["window"])
+    start, end = F.unix_seconds(F.col("window.start")), F.unix_seconds(F.col("window.end"))
+    return alerts_of(stats, thresholds, F.floor(start / (end - start)), iso_text(F.col("window.end")))
+
+
+def first_alerts(alerts: DataFrame, within: str = ALERT_REPEATS_WITHIN) -> DataFrame:
+    """The alerts of a stream without those that were there before.
+
+    A repeat is dropped that is raised less than ``within`` after the first one; the key of an
+    alert leaves the state when the watermark, as much behind the newest alert, has passed
+    that. So the state holds the alerts of a bounded time, and not all there ever were.
+    Alerts that come later than ``within`` behind the newest one do not count, nor do records
+    without a readable time.
+    """
+    return (
+        alerts.withColumn("_raised", F.try_to_timestamp("timestamp"))
+        .filter(F.col("_raised").isNotNull())
+        .withWatermark("_raised", within)
+        .dropDuplicatesWithinWatermark(ALERT_KEY)
+        .drop("_raised")
+    )
+
+
 def first_deliveries(alerts: DataFrame) -> DataFrame:
     """One record per alert, the earliest, when batches were delivered more than once."""
     payload = [name for name in ALERT_COLUMNS if name not in ALERT_KEY]

@@ -24,6 +24,7 @@ SCRAPE_JOB = "kafka-exporter"
 SCRAPE_INSTANCE = "kafka-exporter:9308"
 NEW_ALERT_SUMMARY = "New alert message detected"
 NEW_ALERT_SEVERITY = "critical"
+FIRING, NORMAL, NO_DATA = "Alerting", "Normal", "NoData"
 
 SERIES = ["topic", "partition"]
 
@@ -252,6 +253,61 @@ def new_message_rule(samples: DataFrame, every: int = RULE_SECONDS) -> DataFrame
     )
 
 
+def rule_states(samples: DataFrame, first: int, last: int, every: int = RULE_SECONDS) -> DataFrame:
+    """What the rule on new messages says of each series at the full minutes from ``first`` to
+    ``last``: it fires at once where messages were added in the minute before, and has no data
+    where there is no sample, or none before it to compare with."""
+    series = samples.select(*SERIES).distinct()
+    low, high = -(-first // every) * every, last // every * every
+    minutes = _spread(series, "sample_sec", F.lit(low).cast("long"), F.lit(high).cast("long"), every)
+    change = F.col("change")
+    state = F.when(change.isNull(), NO_DATA).when(change > 0, FIRING).otherwise(NORMAL)
+    return minutes.join(
+        increase(samples, every).select(*SERIES, "sample_sec", "change"), [*SERIES, "sample_sec"], "left"
+    ).select(*SERIES, "sample_sec", state.alias("state"))
+
+
+def rule_spans(states: DataFrame, every: int = RULE_SECONDS) -> DataFrame:
+    """The longest stretches of evaluations with the same state, series by series:
+    ``topic, partition, state, since_sec, until_sec, evaluations``.
+
+    Stretches are found in blocks of ``BLOCK_TICKS`` evaluations, each on its own. What a block
+    takes over from those before it is one row: the state at their end and where the stretch
+    began that is in it, which may be many blocks ago. Only a table of one row per series and
+    block is ordered by series.
+    """
+    in_block = Window.partitionBy(*SERIES, "block").orderBy("sample_sec")
+    turned = F.coalesce((F.col("state") != F.lag("state").over(in_block)).cast("int"), F.lit(1))
+    pieces = (
+        states.withColumn("block", F.floor(F.col("sample_sec") / (every * BLOCK_TICKS)))
+        .withColumn("turned", turned)
+        .withColumn("stretch", F.sum("turned").over(in_block))
+        .groupBy(*SERIES, "block", "stretch", "state")
+        .agg(
+            F.min("sample_sec").alias("since"), F.max("sample_sec").alias("until_sec"),
+            F.count(F.lit(1)).alias("evaluations"),
+        )
+    )
+    by_block = Window.partitionBy(*SERIES).orderBy("block")
+    blocks = pieces.groupBy(*SERIES, "block").agg(
+        F.min_by("state", "stretch").alias("state_first"), F.max_by("state", "stretch").alias("state_last"),
+        F.max("since").alias("since_last"), F.max("stretch").alias("stretches"),
+    ).withColumn("before", F.lag("state_last").over(by_block))
+    goes_on = F.coalesce(F.col("before") == F.col("state_first"), F.lit(False))
+    # where the stretch at the end of a block began: in it, or where that of the blocks before did
+    began = F.when((F.col("stretches") > 1) | ~goes_on, F.col("since_last"))
+    carried = (
+        blocks.withColumn("goes_on", goes_on).withColumn("began", F.last(began, True).over(by_block))
+        .withColumn("from_before", F.when(F.col("goes_on"), F.lag("began").over(by_block)))
+        .select(*SERIES, "block", F.lit(1).cast("long").alias("stretch"), "from_before")
+    )
+    return (
+        pieces.join(carried, [*SERIES, "block", "stretch"], "left")
+        .groupBy(*SERIES, "state", F.coalesce("from_before", "since").alias("since_sec"))
+        .agg(F.max("until_sec").alias("until_sec"), F.sum("evaluations").alias("evaluations"))
+    )
+
+
 def latest_messages(messages: DataFrame, n: int, topic: str, partition: int = 0) -> DataFrame:
     """The last ``n`` messages of one topic partition."""
     return (

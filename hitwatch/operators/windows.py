@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitwatch.schema import (
+    CLIENT_SKETCH,
+    TOP_URLS,
+    TRACKED_URLS,
     WATERMARK,
     WINDOW_ALERT_ABOVE,
     WINDOW_ALERT_TEXT,
@@ -16,23 +19,28 @@ from hitwatch.schema import (
 )
 
 
-def _watermarked(errors: DataFrame) -> DataFrame:
+def watermarked(rows: DataFrame) -> DataFrame:
     # without effect on batch input
-    return errors.withWatermark("timestamp", WATERMARK)
+    return rows.withWatermark("timestamp", WATERMARK)
 
 
-def error_windows(errors: DataFrame, rsd: float | None = None) -> DataFrame:
+def error_windows(
+    errors: DataFrame, sketch: int | None = None, size: str = WINDOW_SIZE, slide: str = WINDOW_SLIDE
+) -> DataFrame:
     """Errors and distinct clients per window and status.
 
-    ``rsd`` selects the approximate distinct count with that relative deviation,
-    the only one of fixed size and so the one for streams; without it the count is
+    ``sketch``, the logarithm of its number of registers, selects the approximate distinct
+    count, the only one of fixed size and so the one for streams; without it the count is
     exact. Exact counting shuffles on (window, status, client) first, so that one
     crowded window is spread over many tasks.
     """
-    clients = F.count_distinct("ip") if rsd is None else F.approx_count_distinct("ip", rsd)
+    if sketch is None:
+        clients = F.count_distinct("ip")
+    else:
+        clients = F.hll_sketch_estimate(F.hll_sketch_agg("ip", sketch))
     return (
-        _watermarked(errors)
-        .groupBy(F.window("timestamp", WINDOW_SIZE, WINDOW_SLIDE), "status")
+        watermarked(errors)
+        .groupBy(F.window("timestamp", size, slide), "status")
         .agg(F.count(F.lit(1)).alias("count_error"), clients.alias("count_distinct_ip"))
     )
 
@@ -44,7 +52,7 @@ def error_window_urls(errors: DataFrame) -> DataFrame:
     a list in one cell would gather a crowded window in one task's memory.
     """
     return (
-        _watermarked(errors)
+        watermarked(errors)
         .groupBy(F.window("timestamp", WINDOW_SIZE, WINDOW_SLIDE), "status", "url")
         .agg(F.count(F.lit(1)).alias("occurrences"))
     )
@@ -69,6 +77,93 @@ def window_alert_urls(urls: DataFrame) -> DataFrame:
     return urls.join(alerts.select(*keys), keys).select(urls.columns)
 
 
+# -- panes and sketches ----------------------------------------------------------------
+
+
+def error_panes(errors: DataFrame, sketch: int = CLIENT_SKETCH, tracked: int = TRACKED_URLS) -> DataFrame:
+    """Errors per pane, the step windows slide by, and status: their number, and sketches of
+    their clients and of their most frequent URLs. Sketches have a fixed greatest size and
+    can be merged, so every error is counted once, whatever number of windows it is in."""
+    urls = F.call_function("approx_top_k_accumulate", F.col("url"), F.lit(tracked))
+    return (
+        watermarked(errors)
+        .groupBy(F.window("timestamp", WINDOW_SLIDE).alias("pane"), "status")
+        .agg(
+            F.count(F.lit(1)).alias("errors"),
+            F.hll_sketch_agg("ip", sketch).alias("clients"),
+            urls.alias("urls"),
+        )
+    )
+
+
+def _merged(panes: DataFrame, **merged: Column) -> DataFrame:
+    """Panes put together to the windows they are in, by one copy of a pane for each."""
+    window = F.window(F.col("pane.start"), WINDOW_SIZE, WINDOW_SLIDE)
+    return panes.groupBy(window, "status").agg(
+        F.sum("errors").alias("count_error"), *(column.alias(name) for name, column in merged.items())
+    )
+
+
+def windows_of_panes(panes: DataFrame) -> DataFrame:
+    """As :func:`error_windows` with a sketch, from panes."""
+    return _merged(panes, count_distinct_ip=F.hll_sketch_estimate(F.hll_union_agg("clients")))
+
+
+def _loudest(counted: DataFrame, k: int, tracked: int) -> DataFrame:
+    least = F.coalesce(F.get("urls", F.lit(k - 1))["count"], F.lit(0))
+    # fixed by the sketch: its table has the power of two of places that is above 4/3 of the
+    # tracked items, and counts are off by at most 3.5 of all occurrences over its places
+    places = 1 << (-(-tracked * 4 // 3) - 1).bit_length()
+    off = F.floor(F.col("count_error") * 3.5 / places)
+    loud = F.filter("urls", lambda item: item["count"] >= least)
+    return counted.select("window", "status", F.explode(loud).alias("item"), off.alias("most_off")).select(
+        "window", "status", F.col("item.item").alias("url"), F.col("item.count").alias("occurrences"), "most_off"
+    )
+
+
+def top_urls(errors: DataFrame, k: int = TOP_URLS, tracked: int = TRACKED_URLS) -> DataFrame:
+    """The ``k`` most frequent URLs of each window and status, all of them at a tie, from a
+    sketch of fixed size: ``occurrences`` may be off by ``most_off``, which is 0 in windows
+    of few errors, and counts are exact as long as a window has no more URLs than are
+    ``tracked``. State is a sketch per window and status, however many URLs there are."""
+    urls = F.call_function("approx_top_k", F.col("url"), F.lit(tracked), F.lit(tracked))
+    counted = (
+        watermarked(errors)
+        .groupBy(F.window("timestamp", WINDOW_SIZE, WINDOW_SLIDE), "status")
+        .agg(F.count(F.lit(1)).alias("count_error"), urls.alias("urls"))
+    )
+    return _loudest(counted, k, tracked)
+
+
+def top_urls_of_panes(panes: DataFrame, k: int = TOP_URLS, tracked: int = TRACKED_URLS) -> DataFrame:
+    """As :func:`top_urls`, from panes with as many tracked URLs."""
+    whole = F.call_function("approx_top_k_combine", F.col("urls"), F.lit(tracked))
+    listed = F.call_function("approx_top_k_estimate", whole, F.lit(tracked))
+    return _loudest(_merged(panes, urls=listed), k, tracked)
+
+
+# -- late errors -----------------------------------------------------------------------
+
+
+def _milliseconds(interval: str) -> int:
+    amount, unit = interval.split()
+    return int(amount) * {"second": 1_000, "minute": 60_000, "hour": 3_600_000}[unit.removesuffix("s")]
+
+
+def late_errors(
+    errors: DataFrame, watermark_ms: int, size: str = WINDOW_SIZE, slide: str = WINDOW_SLIDE
+) -> DataFrame:
+    """Errors that come too late for some of their windows, or all, at a watermark, with the
+    number of these as ``windows_missed``; a window is closed once the watermark is at its end."""
+    step, held = _milliseconds(slide), _milliseconds(size) // _milliseconds(slide)
+    moment = F.unix_millis("timestamp")
+    # the windows of an error end one, two, ... steps after the step it is in
+    closed = F.floor((F.lit(watermark_ms) - (moment - F.pmod(moment, F.lit(step)))) / step)
+    missed = F.least(F.lit(held), closed)
+    dated = errors.filter(F.col("timestamp").isNotNull())  # the others are in no window
+    return dated.withColumn("windows_missed", missed.cast("int")).filter("windows_missed > 0")
+
+
 def within_bound(approximate: Column, exact: Column, rsd: float) -> Column:
     """Whether an approximate count lies within three relative deviations of the exact one,
     or one client."""

@@ -39,6 +39,19 @@ def _instant(sec: str) -> str:
 _ISO = "'%Y-%m-%dT%H:%M:%S'"
 _BATCH_END = _instant("1704067200 + (batch_id * 200 + 199) // 50")
 
+
+
+def _alerts_from(stats: str, number: str, raised: str) -> str:
+    return f"""
+    SELECT strftime({raised}, {_ISO}) AS "timestamp", scope || '_ERROR_RATE' AS type,
+           words || coalesce(url, ip, '') || ' too high: '
+               || format('{{:.2f}}%', errors / total * 100) AS message,
+           {number} AS batch_id, url, ip, total AS total_requests, errors AS error_requests,
+           errors / total AS value, above AS thresholds
+    FROM {stats} JOIN limits USING (scope)
+    WHERE total >= min_total AND errors / total > above"""
+
+
 # Named steps; a query lists the last one it needs and gets all before it.
 _STEPS: dict[str, str] = {
     "base": f"""
@@ -77,14 +90,16 @@ _STEPS: dict[str, str] = {
                           ('URL', 5, 0.3::DOUBLE, 'Error rate for URL '),
                           ('IP', 3, 0.4::DOUBLE, 'Error rate for IP '))
            AS l(scope, min_total, above, words)""",
-    "alerts": f"""
-    SELECT strftime({_BATCH_END}, {_ISO}) AS "timestamp", scope || '_ERROR_RATE' AS type,
-           words || coalesce(url, ip, '') || ' too high: '
-               || format('{{:.2f}}%', errors / total * 100) AS message,
-           batch_id, url, ip, total AS total_requests, errors AS error_requests,
-           errors / total AS value, above AS thresholds
-    FROM stats JOIN limits USING (scope)
-    WHERE total >= min_total AND errors / total > above""",
+    "alerts": _alerts_from("stats", "batch_id", _BATCH_END),
+    "timed_stats": """
+    SELECT span, url, ip,
+           CASE WHEN grouping(url) = 1 AND grouping(ip) = 1 THEN 'GLOBAL'
+                WHEN grouping(ip) = 1 THEN 'URL' ELSE 'IP' END AS scope,
+           count(*) AS total, count(*) FILTER (WHERE status >= 400) AS errors
+    FROM (SELECT *, CAST(floor(epoch("timestamp") / 10) AS BIGINT) AS span
+          FROM parsed WHERE "timestamp" IS NOT NULL)
+    GROUP BY GROUPING SETS ((span), (span, url), (span, ip))""",
+    "timed_alerts": _alerts_from("timed_stats", "span", _instant("(span + 1) * 10")),
     "windowed": """
     SELECT time_bucket(INTERVAL 10 SECOND, "timestamp", TIMESTAMP '2000-01-01')
                - to_seconds(back) AS window_start,
@@ -163,6 +178,15 @@ def _sampled(body: str, messages: str = "messages") -> str:
 
 
 _CLOSED = """window_end <= (SELECT max("timestamp") FROM errors) - INTERVAL 30 SECOND"""
+_CLOSED_SPAN = """(batch_id + 1) * 10 <= (SELECT epoch(max("timestamp")) FROM parsed) - 30"""
+_TOP_URLS = """SELECT window_start, window_end, status, url, occurrences,
+           CAST(floor(total * 3.5 / 128) AS BIGINT) AS most_off
+    FROM (SELECT *, sum(occurrences) OVER same_window AS total,
+                 rank() OVER (same_window ORDER BY occurrences DESC) AS place
+          FROM (SELECT window_start, window_end, status, url, count(*) AS occurrences
+                FROM windowed GROUP BY ALL)
+          WINDOW same_window AS (PARTITION BY window_start, status))
+    WHERE place <= 3"""
 _ERROR_JSON = """'{' || concat_ws(',', '"ip":' || to_json(ip),
     '"timestamp":"' || strftime("timestamp", '%Y-%m-%dT%H:%M:%S.') || '000Z"',
     '"method":' || to_json(method), '"url":' || to_json(url), '"status":' || status) || '}'"""
@@ -247,7 +271,10 @@ def oracle_sql() -> dict[str, str]:
             FROM sketched""",
             "sketched",
         ),
-        "error_windows_approx": _with("SELECT * EXCLUDE (sketch) FROM sketched", "sketched"),
+        "error_windows_approx": _with("SELECT * FROM windows", "windows"),
+        "error_windows_panes": _with("SELECT * FROM windows", "windows"),
+        "window_top_urls": _with(_TOP_URLS, "windowed"),
+        "alerts_by_time": _with("SELECT * FROM timed_alerts", "timed_alerts"),
         "error_window_urls": _with(_URL_ROWS, "windowed"),
         "window_alerts": _with(
             """SELECT *, 'Alerte: trop d''erreurs' AS alert FROM windows WHERE count_error > 10""",
@@ -336,11 +363,49 @@ def oracle_sql() -> dict[str, str]:
             FROM alerts ORDER BY "offset" DESC LIMIT 20""",
             "alerts",
         ),
-        "stream_error_windows_update": _with(
-            "SELECT * EXCLUDE (sketch) FROM sketched", "sketched"
+        "alert_rule_spans": _sampled(
+            """SELECT topic, partition, state, min(sample_sec) AS since_sec,
+                   max(sample_sec) AS until_sec, count(*) AS evaluations
+            FROM (SELECT *, row_number() OVER (PARTITION BY topic, partition ORDER BY sample_sec)
+                         - row_number() OVER (PARTITION BY topic, partition, state
+                                              ORDER BY sample_sec) AS stretch
+                  FROM (SELECT topic, partition, sample_sec,
+                               CASE WHEN change IS NULL THEN 'NoData' WHEN change > 0 THEN 'Alerting'
+                                    ELSE 'Normal' END AS state
+                        FROM (SELECT DISTINCT topic, partition FROM samples) CROSS JOIN
+                             (SELECT unnest(range(CAST(ceil(min(sample_sec) / 60.0) AS BIGINT) * 60,
+                                                  max(sample_sec) + 121, 60)) AS sample_sec
+                              FROM samples)
+                             LEFT JOIN minutes USING (topic, partition, sample_sec)))
+            GROUP BY topic, partition, state, stretch""",
+            "alert_messages",
         ),
-        "stream_error_windows_append": _with(
-            f"SELECT * EXCLUDE (sketch) FROM sketched WHERE {_CLOSED}", "sketched"
+        "stream_error_windows_update": _with("SELECT * FROM windows", "windows"),
+        "stream_error_windows_append": _with(f"SELECT * FROM windows WHERE {_CLOSED}", "windows"),
+        "stream_open_windows": _with(f"SELECT * FROM windows WHERE NOT ({_CLOSED})", "windows"),
+        "stream_window_top_urls": _with(f"SELECT * FROM ({_TOP_URLS}) WHERE {_CLOSED}", "windowed"),
+        "stream_alerts_by_time": _with(
+            f"SELECT * FROM timed_alerts WHERE {_CLOSED_SPAN}", "timed_alerts"
+        ),
+        "stream_alerts_dedup": _with(alerts, "alerts"),
+        "stream_topic_rate": _sampled(
+            """SELECT * FROM rates WHERE topic <> 'alerts' AND sample_sec <=
+                   (SELECT max(sample_sec) FROM reached WHERE topic <> 'alerts') - 30"""
+        ),
+        "stream_late_errors": _with(
+            """SELECT * EXCLUDE (part, seen),
+                   least(3, CAST(floor((epoch(seen) - 30 - floor(epoch("timestamp") / 10) * 10) / 10)
+                                 AS INTEGER)) AS windows_missed
+            FROM delivered
+            JOIN (SELECT part, max(max("timestamp")) OVER (
+                             ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+                  FROM delivered GROUP BY part) USING (part)
+            WHERE seen IS NOT NULL AND "timestamp" IS NOT NULL AND windows_missed > 0""",
+            "errors",
+            {"delivered": """
+    SELECT ip, "timestamp", method, url, status,
+           (sec - 1704067200 + CASE WHEN event_id % 53 = 0 THEN 150 ELSE 0 END) // 100 AS part
+    FROM errors"""},
         ),
         "stream_window_alert_urls": _with(
             f"""SELECT u.* FROM ({_URL_ROWS}) u

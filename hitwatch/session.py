@@ -77,10 +77,36 @@ def stored(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def _located(spark: SparkSession, path: str) -> tuple:
+    """A path and the file system it is on, as Hadoop has them."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder by the file system it is on."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    target, files = _located(spark, path)
+    files.delete(target, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    target, files = _located(spark, path)
+    files.mkdirs(target)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Renames a file or folder; the new name must be free."""
+    source, files = _located(spark, path)
+    if not files.rename(source, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"cannot move {path} to {to}")
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of files and folders in a folder, sorted; none if there is no such folder."""
+    target, files = _located(spark, path)
+    if not files.exists(target):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(target))
 
 
 @contextmanager

@@ -18,7 +18,8 @@ log = logging.getLogger("hitwatch")
 
 class BatchLog(StreamingQueryListener):
     """Writes one line per batch with its totals, which the query observes while it
-    computes the alerts; no job of its own is needed."""
+    computes the alerts, and one with the number of rows that came too late for the state
+    they would have gone to; no job of its own is needed."""
 
     def __init__(self, write: Callable[[str], None] = log.info) -> None:
         self._write = write
@@ -34,6 +35,12 @@ class BatchLog(StreamingQueryListener):
                 f"batch {progress.batchId}: {seen['errors']} errors in {seen['total']} requests"
             )
 
+        late = sum(
+            state.numRowsDroppedByWatermark for state in getattr(progress, "stateOperators", None) or ()
+        )
+        if late:
+            self._write(f"batch {progress.batchId}: {late} late rows dropped")
+
     def onQueryIdle(self, event: QueryIdleEvent) -> None:
         pass
 

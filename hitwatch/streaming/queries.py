@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from hitwatch.functions.times import now_iso
-from hitwatch.operators.alerts import error_rate_alerts
+from hitwatch.operators.alerts import alerts_by_time, error_rate_alerts
 from hitwatch.operators.parse import error_requests, parse_access_log
 from hitwatch.operators.records import alerts_as_json, rows_as_json
 from hitwatch.operators.report import batch_report
@@ -23,11 +23,15 @@ from hitwatch.operators.windows import (
     error_window_urls,
     error_windows,
     flat_window,
+    late_errors,
+    top_urls,
+    watermarked,
     window_alert_urls,
     window_alerts,
 )
-from hitwatch.schema import CLIENT_RSD, ERROR_STATUS_FROM, Thresholds
+from hitwatch.schema import CLIENT_SKETCH, ERROR_STATUS_FROM, WINDOW_SIZE, WINDOW_SLIDE, Thresholds
 from hitwatch.sinks.batches import Deliver
+from hitwatch.streaming.state import late_watermark
 
 EVERY_TEN_SECONDS = {"processingTime": "10 seconds"}
 
@@ -81,7 +85,7 @@ def error_json(lines: DataFrame) -> DataFrame:
 
 def window_metrics(lines: DataFrame) -> DataFrame:
     """Sliding error windows; state per window and status is a count and a fixed-size sketch."""
-    return error_windows(errors_of(lines), rsd=CLIENT_RSD)
+    return error_windows(errors_of(lines), CLIENT_SKETCH)
 
 
 def window_metrics_alerts(lines: DataFrame) -> DataFrame:
@@ -94,6 +98,57 @@ def window_urls(lines: DataFrame) -> DataFrame:
     return error_window_urls(errors_of(lines))
 
 
+def window_top_urls(lines: DataFrame) -> DataFrame:
+    """The most frequent URLs of the sliding windows; state is one sketch of fixed size per
+    window and status, however many URLs there are."""
+    return top_urls(errors_of(lines))
+
+
+def timed_alerts(lines: DataFrame, thresholds: Thresholds = Thresholds()) -> DataFrame:
+    """Alerts by spans of event time; in append mode those of a span come once it is closed."""
+    return alerts_by_time(parse_access_log(lines), thresholds)
+
+
+def start_windows_and_late(
+    lines: DataFrame,
+    deliver: Deliver,
+    deliver_late: Deliver,
+    checkpoint: str,
+    trigger: Trigger = EVERY_TEN_SECONDS,
+    size: str = WINDOW_SIZE,
+    slide: str = WINDOW_SLIDE,
+) -> StreamingQuery:
+    """Closed windows to one place, and errors that some of them, or all, no longer counted to
+    another.
+
+    Spark drops late rows inside the aggregation. The errors themselves therefore run beside
+    it through the same query, under the same watermark, and are held in each micro-batch
+    against the watermark that the query noted for it. Lines are read for both.
+    """
+    errors = errors_of(lines)
+    windows = flat_window(error_windows(errors, CLIENT_SKETCH, size, slide))
+    kinds = {"closed": windows.schema, "error": errors.schema}
+
+    def as_kind(rows: DataFrame, kind: str) -> DataFrame:
+        return rows.select(*(
+            (F.struct(*rows.columns) if name == kind else F.lit(None).cast(schema)).alias(name)
+            for name, schema in kinds.items()
+        ))
+
+    def handle(rows: DataFrame, batch_id: int) -> None:
+        rows.persist()  # used twice; holds closed windows and the errors of a micro-batch
+        try:
+            found = {name: rows.filter(F.col(name).isNotNull()).select(f"{name}.*") for name in kinds}
+            deliver(found["closed"], batch_id)
+            now = late_watermark(rows.sparkSession, checkpoint, batch_id)
+            deliver_late(late_errors(found["error"], now, size, slide), batch_id)
+        finally:
+            rows.unpersist()
+
+    both = as_kind(windows, "closed").unionByName(as_kind(watermarked(errors), "error"))
+    return start(both.writeStream.outputMode("append").foreachBatch(handle), checkpoint, trigger)
+
+
 def start_alert_urls(
     lines: DataFrame, deliver: Deliver, checkpoint: str, trigger: Trigger = EVERY_TEN_SECONDS
 ) -> StreamingQuery:

@@ -7,7 +7,7 @@ import re
 import pytest
 
 from hitwatch.plans import batch, streams
-from hitwatch.schema import CLIENT_RSD
+from hitwatch.schema import CLIENT_SKETCH
 
 
 def physical(frame) -> str:
@@ -27,7 +27,7 @@ def test_no_python_and_no_product(spark, small, name):
 )
 def test_one_scan_and_one_shuffle_behind_partial_counts(spark, small, name):
     if name == "approximate windows":
-        plan = physical(batch.windows.error_windows(batch._errors(spark, small), rsd=CLIENT_RSD))
+        plan = physical(batch.windows.error_windows(batch._errors(spark, small), CLIENT_SKETCH))
     else:
         plan = physical(batch.QUERIES[name](spark, small))
     assert plan.count("FileScan") == 1
@@ -118,3 +118,19 @@ def test_label_queries_write_nothing(spark, small, name, monkeypatch):
 
 def test_stream_registry():
     assert set(streams.QUERIES).isdisjoint(batch.QUERIES)
+
+
+@pytest.mark.parametrize("name", ["error_windows_panes", "window_top_urls"])
+def test_panes_are_multiplied_after_counting(spark, small, name):
+    """Windows take copies of panes; errors are counted once, before the first shuffle."""
+    plan = physical(batch.QUERIES[name](spark, small))
+    assert plan.count("Expand") == 1 and plan.count("Exchange") == 2 and plan.count("FileScan") == 1
+    assert plan.index("Expand") < plan.rindex("Exchange")  # plans are printed from the top
+    assert physical(batch.error_windows_approx(spark, small)).index("Exchange") < physical(
+        batch.error_windows_approx(spark, small)).index("Expand")
+
+
+def test_rule_spans_order_only_blocks_by_series(spark, small):
+    plan = physical(batch.alert_rule_spans(spark, small))
+    whole = re.findall(r"Window \[[^\n]*?\], \[topic#\d+, partition#\d+\], \[([^\n]*?)\]", plan)
+    assert whole and all(order.startswith("block") for order in whole)

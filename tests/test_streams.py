@@ -4,24 +4,27 @@ from __future__ import annotations
 
 import json
 import os
+import random
 import time
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from hitwatch.operators.alerts import error_rate_alerts
+from hitwatch.operators.alerts import alerts_by_time, error_rate_alerts, first_alerts
 from hitwatch.operators.parse import error_requests, parse_access_log
-from hitwatch.operators.throughput import merged_steps, offset_steps
+from hitwatch.operators.records import alerts_from_json
+from hitwatch.operators.throughput import covered_range, increase, merged_steps, offset_samples, offset_steps
 from hitwatch.operators.windows import (
     error_window_urls,
     error_windows,
     flat_window,
+    top_urls,
     window_alert_urls,
     window_alerts,
 )
-from hitwatch.plans import streams
-from hitwatch.schema import WATERMARK
+from hitwatch.plans import replay, streams
+from hitwatch.schema import ALERT_SCHEMA, CLIENT_SKETCH, STEP_SCHEMA, WATERMARK
 from hitwatch.session import work_dir
 from hitwatch.sinks.batches import to_parquet, to_text
 from hitwatch.sinks.streams import console, parquet_files, text_files
@@ -29,6 +32,9 @@ from hitwatch.sources import derived
 from hitwatch.sources.lines import line_file_stream, table
 from hitwatch.streaming import queries
 from hitwatch.streaming.lifecycle import running, until_any_ends, until_done
+from hitwatch.streaming.progress import BatchLog
+from hitwatch.streaming.rates import CHANGES, live_increases
+from hitwatch.streaming.state import late_watermark, open_windows
 from tests.logs import line
 
 TO_THE_END = {"availableNow": True}
@@ -85,11 +91,11 @@ def closed(windows, errors):
 def test_append_gives_the_closed_windows(spark, landed):
     folder, batch = landed
     errors = error_requests(parse_access_log(batch))
-    want = closed(error_windows(errors, rsd=0.05), errors)
+    want = closed(error_windows(errors, CLIENT_SKETCH), errors)
     got = finished(spark, queries.window_metrics(stream_of(spark, folder)))
     assert bag(got) == bag(want) and got.count() == 112
     alerts = finished(spark, queries.window_metrics_alerts(stream_of(spark, folder)))
-    want = closed(window_alerts(error_windows(errors, rsd=0.05)), errors)
+    want = closed(window_alerts(error_windows(errors, CLIENT_SKETCH)), errors)
     assert bag(alerts) == bag(want) and alerts.count() == 44
 
 
@@ -145,7 +151,7 @@ def test_update_ends_at_the_batch_result(spark, landed):
     last = updates.groupBy(*keys).agg(
         F.max_by(F.struct("count_error", "count_distinct_ip"), "batch").alias("last")
     ).select(*keys, "last.*")
-    want = flat_window(error_windows(error_requests(parse_access_log(batch)), rsd=0.05))
+    want = flat_window(error_windows(error_requests(parse_access_log(batch)), CLIENT_SKETCH))
     assert bag(last) == bag(want)
     assert updates.select("batch").distinct().count() >= 5
     assert updates.count() > last.count()
@@ -252,7 +258,7 @@ def test_window_state_survives_a_restart(spark, landed, tmp_path):
     for name, lines in zip(names[3:], contents[3:]):
         (tmp_path / "in" / f"later-{name}").write_text("\n".join(lines) + "\n")
     errors = error_requests(parse_access_log(batch))
-    want = closed(error_windows(errors, rsd=0.05), errors)
+    want = closed(error_windows(errors, CLIENT_SKETCH), errors)
     got = run()
     assert 0 < first < got.count() and bag(got) == bag(want)
 
@@ -289,6 +295,213 @@ def test_late_errors_are_dropped(spark, tmp_path):
     ) == {(-20, 2): 1, (-10, 2): 1, (0, 2): 1, (280, 1): 1, (290, 1): 1, (300, 1): 1}
 
 
+def test_late_errors_come_out_beside_the_windows(spark, tmp_path):
+    """The script once more, by windows that do not overlap: one line is late, and one is counted
+    as dropped."""
+    folder = write_files(
+        tmp_path / "in", [[line(second, status) for second, status in batch] for batch in SCRIPT]
+    )
+    at = work_dir(spark, "test")
+    logged = []
+    listener = BatchLog(logged.append)
+    spark.streams.addListener(listener)
+    query = queries.start_windows_and_late(
+        stream_of(spark, folder), to_parquet(f"{at}/windows"), to_parquet(f"{at}/late"), f"{at}/checkpoint",
+        TO_THE_END, "30 seconds", "30 seconds",
+    )
+    until_done(query)
+    deadline = time.time() + 30
+    while not logged and time.time() < deadline:
+        time.sleep(0.2)
+    spark.streams.removeListener(listener)
+    second = F.unix_timestamp("timestamp") - 1704067200
+    late = spark.read.parquet(f"{at}/late").select(second.alias("s"), "status", "windows_missed", "batch").collect()
+    assert [tuple(row) for row in late] == [(8, 500, 1, 5)]
+    assert logged == ["batch 5: 1 late rows dropped"]
+    windows = spark.read.parquet(f"{at}/windows")
+    start = F.unix_timestamp("window_start") - 1704067200
+    assert {tuple(r) for r in windows.select(start, "status", "count_error").collect()} == {(0, 500, 2), (300, 500, 1)}
+    assert late_watermark(spark, f"{at}/checkpoint", 0) == 0
+    assert late_watermark(spark, f"{at}/checkpoint", 5) == (1704067200 + 270) * 1000
+
+
+def test_late_errors_with_overlapping_windows(spark, tmp_path):
+    """At 00:04:30 an error of 00:04:25 has missed one of its windows, one of 00:04:15 two."""
+    batches = [[(300, 500)], [(301, 200)], [(265, 500), (255, 404), (245, 500), (5, 500), (280, 500)], [(900, 500)]]
+    folder = write_files(tmp_path / "in", [[line(*row) for row in batch] for batch in batches])
+    at = work_dir(spark, "test")
+    until_done(queries.start_windows_and_late(
+        stream_of(spark, folder), to_parquet(f"{at}/windows"), to_parquet(f"{at}/late"), f"{at}/checkpoint", TO_THE_END
+    ))
+    second = F.unix_timestamp("timestamp") - 1704067200
+    late = spark.read.parquet(f"{at}/late").select(second.alias("s"), "windows_missed").collect()
+    assert {tuple(row) for row in late} == {(265, 1), (255, 2), (245, 3), (5, 3)}
+    # what was not missed was counted
+    windows = spark.read.parquet(f"{at}/windows")
+    counted = windows.agg(F.sum("count_error")).first()[0]
+    assert counted == 6 * 3 - sum(row.windows_missed for row in late)
+
+
+def test_closed_and_open_windows_are_all_windows(spark, landed):
+    folder, batch = landed
+    at = work_dir(spark, "test")
+    rows = flat_window(queries.window_metrics(stream_of(spark, folder)))
+    assert open_windows(spark, f"{at}/checkpoint").count() == 0  # before the query has run
+    until_done(queries.start(parquet_files(rows, f"{at}/out"), f"{at}/checkpoint", TO_THE_END))
+    shown = spark.read.schema(rows.schema).parquet(f"{at}/out")
+    waiting = flat_window(open_windows(spark, f"{at}/checkpoint"))
+    errors = error_requests(parse_access_log(batch))
+    assert bag(shown.unionByName(waiting)) == bag(flat_window(error_windows(errors)))
+    assert (shown.count(), waiting.count()) == (112, 42)
+    # after the first micro-batch nothing was closed yet, and two fifths of the log were to come
+    early = flat_window(open_windows(spark, f"{at}/checkpoint", 0))
+    first = error_windows(error_requests(parse_access_log(spark.read.text(f"{folder}/000.log"))))
+    assert bag(early) == bag(flat_window(first))
+
+
+def alert(batch, raised, url=None):
+    return json.dumps({"timestamp": raised, "type": "URL_ERROR_RATE" if url else "GLOBAL_ERROR_RATE",
+                       "message": "m", "batch_id": batch, "url": url, "total_requests": 5, "error_requests": 4,
+                       "value": 0.8, "thresholds": 0.3})
+
+
+def test_repeated_alerts_are_dropped_until_they_expire(spark, tmp_path):
+    folder = write_files(tmp_path / "in", [
+        [alert(1, "2024-01-01T00:00:00"), alert(1, "2024-01-01T00:00:00", "/a"), "no alert", alert(1, "not a time")],
+        [alert(1, "2024-01-01T01:00:00.25"), alert(1, "2024-01-01T01:00:00", "/b")],  # one repeat
+        [alert(2, "2024-01-01T01:30:00"), alert(2, "2024-01-01T01:30:00")],  # twice in a batch
+        [alert(3, "2024-01-01T06:00:00")],  # the watermark goes to four o'clock
+        [alert(4, "2024-01-01T06:00:01")],
+        [alert(1, "2024-01-01T06:00:02"), alert(3, "2024-01-01T06:30:00")],  # forgotten; still known
+    ])
+    at = work_dir(spark, "test")
+    rows = first_alerts(alerts_from_json(stream_of(spark, folder)))
+    query = queries.start(parquet_files(rows, f"{at}/out"), f"{at}/checkpoint", TO_THE_END)
+    until_done(query)
+    got = spark.read.schema(ALERT_SCHEMA).parquet(f"{at}/out").select("batch_id", "url", "timestamp").collect()
+    assert Counter(map(tuple, got)) == Counter([
+        (1, None, "2024-01-01T00:00:00"), (1, "/a", "2024-01-01T00:00:00"), (1, "/b", "2024-01-01T01:00:00"),
+        (2, None, "2024-01-01T01:30:00"), (3, None, "2024-01-01T06:00:00"), (4, None, "2024-01-01T06:00:01"),
+        (1, None, "2024-01-01T06:00:02"),
+    ])
+    kept = [json.loads(p.json)["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert kept[-1] == 3  # of seven
+
+
+def test_alerts_by_time_on_a_stream(spark, landed):
+    folder, batch = landed
+    at = work_dir(spark, "test")
+    rows = queries.timed_alerts(stream_of(spark, folder))
+    until_done(queries.start(parquet_files(rows, f"{at}/out"), f"{at}/checkpoint", TO_THE_END))
+    parsed = parse_access_log(batch)
+    newest = parsed.agg(F.max(F.unix_seconds("timestamp"))).first()[0]
+    want = alerts_by_time(parsed).filter((F.col("batch_id") + 1) * 10 <= newest - 30)
+    got = spark.read.schema(ALERT_SCHEMA).parquet(f"{at}/out")
+    assert bag(got) == bag(want) and 0 < got.count() < alerts_by_time(parsed).count()
+
+
+def test_late_lines_raise_no_alert(spark, tmp_path):
+    """Ten good requests of each span; errors that come after it is closed do not count."""
+    good = [(second, 200) for second in range(10)]
+    folder = write_files(tmp_path / "in", [
+        [line(*row) for row in batch] for batch in
+        (good + [(3, 500)], [(100, 200)], [(101, 200)], [(4, 500)] * 30, [(300, 200)])
+    ])
+    at = work_dir(spark, "test")
+    rows = queries.timed_alerts(stream_of(spark, folder))
+    until_done(queries.start(parquet_files(rows, f"{at}/out"), f"{at}/checkpoint", TO_THE_END))
+    got = spark.read.schema(ALERT_SCHEMA).parquet(f"{at}/out").filter("type like 'GLOBAL%'").collect()
+    assert [(r.total_requests, r.error_requests, r.timestamp) for r in got] == [(11, 1, "2024-01-01T00:00:10")]
+
+
+def test_top_urls_keep_state_of_one_size(spark, tmp_path):
+    """A window with 20 000 URLs takes no more state than one with 2 000, and counts are within
+    their bound."""
+    sizes = {}
+    for urls in (2_000, 20_000):
+        loud = [line(5, 404, f"/loud{k}") for k in range(4) for _ in range(urls // (4 + k))]
+        quiet = [line(k % 9, 404, f"/quiet{k}") for k in range(urls)]
+        folder = write_files(tmp_path / str(urls), [loud[::2] + quiet[::2], loud[1::2] + quiet[1::2]])
+        at = work_dir(spark, "test")
+        rows = flat_window(queries.window_top_urls(stream_of(spark, folder)))
+        query = queries.start_latest(rows, to_parquet(f"{at}/out"), f"{at}/checkpoint", TO_THE_END)
+        until_done(query)
+        state = spark.read.format("statestore").load(f"{at}/checkpoint")
+        sizes[urls] = state.agg(F.max(F.length(F.col("value.buf")))).first()[0]
+        last = spark.read.parquet(f"{at}/out").filter("batch = 1")
+        exact = flat_window(error_window_urls(error_requests(parse_access_log(spark.read.text(folder)))))
+        keys = ["window_start", "window_end", "status", "url"]
+        both = last.join(exact.withColumnRenamed("occurrences", "exact"), keys).collect()
+        assert len(both) == last.count() > 0
+        assert all(abs(r.occurrences - r.exact) <= r.most_off for r in both)
+        loudest = {r.url for r in both if r.window_start.second == 0}
+        assert {"/loud0", "/loud1", "/loud2"} <= loudest
+    assert sizes[20_000] <= 1.2 * sizes[2_000] and sizes[20_000] < 128 * 40
+
+
+def test_top_urls_on_a_stream(spark, landed):
+    folder, batch = landed
+    errors = error_requests(parse_access_log(batch))
+    got = finished(spark, queries.window_top_urls(stream_of(spark, folder)))
+    assert bag(got) == bag(closed(top_urls(errors), errors)) and got.count() > 0
+
+
+def silent_series(seed):
+    """Offsets of three partitions with long silences and one fresh start."""
+    rng, rows = random.Random(seed), []
+    for topic, partition, restart in (("a", 0, 900), ("a", 1, None), ("b", 0, None)):
+        offset, second = 0, rng.randrange(40)
+        while second < 1500:
+            if restart and second > restart:
+                offset, restart = 0, None
+            rows.append((topic, partition, offset, float(second)))
+            offset += 1
+            second += rng.choice([0, 1, 1, 7, 60, 200])
+    return sorted(rows, key=lambda row: row[3])
+
+
+@pytest.mark.parametrize("parts, seconds", [(1, 60), (6, 300)])
+def test_live_rates_are_those_of_the_closed_ticks(spark, parts, seconds):
+    rows = silent_series(parts)
+    frame = spark.createDataFrame(rows, "topic string, partition int, offset long, second double").withColumn(
+        "timestamp", F.timestamp_seconds(F.col("second") + 1704067200)
+    )
+    at = work_dir(spark, "test")
+    steps = offset_steps(frame)
+    order = F.floor((F.col("tick") - 1704067200) * parts / 1530)
+    replay.land_by_number(steps, at, order)
+    query = replay.feed(spark, at, STEP_SCHEMA, lambda stream: queries.start(
+        parquet_files(live_increases(stream, seconds), f"{at}/out"), f"{at}/checkpoint", None
+    ))
+    assert sum(p.numInputRows > 0 for p in query.recentProgress) == steps.select(order).distinct().count()
+    got = bag(spark.read.schema(CHANGES).parquet(f"{at}/out").select("topic", "partition", "sample_sec", "change"))
+    # a series starts with its own first message
+    last = covered_range(steps)[1] - 30
+    want = Counter()
+    for topic, partition in (("a", 0), ("a", 1), ("b", 0)):
+        own = steps.filter((F.col("topic") == topic) & (F.col("partition") == partition))
+        first, end = covered_range(own)
+        samples = offset_samples(own, first, max(end, last))
+        want += bag(increase(samples, seconds).filter(F.col("sample_sec") <= last).select(
+            "topic", "partition", "sample_sec", "change"))
+    assert got == want and len(got) > 250
+
+
+def test_a_part_is_a_micro_batch_of_bounded_rows(spark, small):
+    at = work_dir(spark, "test")
+    lines = derived.access_log_lines(table(spark, small, "events"))
+    replay.land_by_range(lines.select("value", "timestamp", "event_id"), at, 700, "timestamp", "event_id")
+    seen = []
+    query = replay.feed(spark, at, "value string, event_id long", lambda stream: queries.start(
+        stream.writeStream.foreachBatch(lambda rows, _: seen.append(rows.agg(F.min("event_id"), F.max("event_id"), F.count("*")).first())),
+        f"{at}/checkpoint", None,
+    ))
+    assert not query.isActive
+    assert len(seen) == 15 and sum(row[2] for row in seen) == 10_000
+    assert all(row[2] <= 1050 for row in seen)
+    assert all(a[1] < b[0] for a, b in zip(seen, seen[1:]))  # in order of time
+
+
 @pytest.fixture(scope="module")
 def scattered(spark, small, tmp_path_factory):
     """The small events in more files than two micro-batches take, each with rows of all
@@ -308,13 +521,15 @@ def scattered(spark, small, tmp_path_factory):
 )
 def test_windows_over_many_files_in_no_order(spark, small, scattered, monkeypatch, name):
     want = bag(streams.QUERIES[name](spark, small))
-    monkeypatch.setattr(streams, "SPAN_SECONDS", 90, raising=False)
+    monkeypatch.setattr(replay, "ROWS_PER_PART", 1500)
     assert bag(streams.QUERIES[name](spark, scattered)) == want and want
 
 
 def test_windows_of_no_events(spark, small, tmp_path):
     table(spark, small, "events").limit(0).write.parquet(f"{tmp_path}/events.parquet")
-    for name in ("stream_error_windows_append", "stream_error_windows_update", "stream_window_alert_urls"):
+    for name in ("stream_error_windows_append", "stream_error_windows_update", "stream_window_alert_urls",
+                 "stream_window_top_urls", "stream_open_windows", "stream_late_errors", "stream_topic_rate",
+                 "stream_alerts_dedup", "stream_alerts_by_time"):
         assert streams.QUERIES[name](spark, str(tmp_path)).count() == 0
 
 

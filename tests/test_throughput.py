@@ -212,3 +212,49 @@ def test_latest(messages):
     frame = messages([("alerts", p, i, float(i)) for p in (0, 1) for i in range(10)])
     got = t.latest_messages(frame, 3, "alerts").collect()
     assert [(r["partition"], r["offset"]) for r in got] == [(0, 9), (0, 8), (0, 7)]
+
+
+def brute_spans(states):
+    """Stretches of equal states, evaluation by evaluation."""
+    out = []
+    for series in sorted({row[:2] for row in states}):
+        own = sorted((second, state) for *key, second, state in states if tuple(key) == series)
+        for second, state in own:
+            if out and out[-1][:3] == [*series, state]:
+                out[-1][4:] = [second, out[-1][5] + 1]
+            else:
+                out.append([*series, state, second, second, 1])
+    return sorted(map(tuple, out))
+
+
+@pytest.mark.parametrize("block", [1024, 5, 2, 1])
+def test_rule_spans_against_brute_force(spark, monkeypatch, block):
+    """Stretches of up to thirty evaluations, over many borders of small blocks."""
+    monkeypatch.setattr(t, "BLOCK_TICKS", block)
+    rng, states = random.Random(block), []
+    for series in (("alerts", 0), ("alerts", 1), ("b", 0)):
+        second = EPOCH + 60 * rng.randrange(5)
+        while second < EPOCH + 60 * 200:
+            state = rng.choice([t.FIRING, t.NORMAL, t.NO_DATA])
+            for _ in range(rng.choice([1, 2, 7, 30])):
+                states.append((*series, second, state))
+                second += 60
+    frame = spark.createDataFrame(states, "topic string, partition int, sample_sec long, state string")
+    columns = ["topic", "partition", "state", "since_sec", "until_sec", "evaluations"]
+    got = sorted(map(tuple, t.rule_spans(frame.repartition(3)).select(columns).collect()))
+    assert got == brute_spans(states)
+
+
+def test_rule_has_no_data_without_samples(messages):
+    rows = [("alerts", 0, 0, 3.0), ("alerts", 0, 1, 61.0), ("alerts", 0, 2, 290.0)]
+    states = t.rule_states(samples(messages(rows)), EPOCH - 90, EPOCH + 420)
+    got = {r["sample_sec"] - EPOCH: r["state"] for r in states.collect()}
+    assert got == {-60: "NoData", 0: "NoData", 60: "Alerting", 120: "Alerting", 180: "Normal", 240: "Normal",
+                   300: "Alerting", 360: "NoData", 420: "NoData"}
+    spans = t.rule_spans(states).select("state", "since_sec", "evaluations").orderBy("since_sec").collect()
+    assert [(r[0], r[1] - EPOCH, r[2]) for r in spans] == [
+        ("NoData", -60, 2), ("Alerting", 60, 2), ("Normal", 180, 2), ("Alerting", 300, 1), ("NoData", 360, 2)]
+
+
+def test_rule_of_no_series(messages):
+    assert t.rule_spans(t.rule_states(samples(messages([])), EPOCH, EPOCH + 600)).count() == 0

@@ -7,11 +7,16 @@ from pyspark.sql import functions as F
 
 from hitwatch.operators.parse import error_requests, parse_access_log
 from hitwatch.operators.windows import (
+    error_panes,
     error_window_urls,
     error_windows,
     flat_window,
+    late_errors,
+    top_urls,
+    top_urls_of_panes,
     window_alert_urls,
     window_alerts,
+    windows_of_panes,
 )
 from tests.logs import START, line
 
@@ -99,8 +104,63 @@ def test_bad_dates_fall_out(lines):
 
 def test_approximate_clients(lines):
     exact = error_windows(errors(lines, random_lines(seed=6)))
-    approx = error_windows(errors(lines, random_lines(seed=6)), rsd=0.05)
+    approx = error_windows(errors(lines, random_lines(seed=6)), 9)
     both = exact.join(approx.withColumnRenamed("count_distinct_ip", "near"), ["window", "status"])
     off = (F.col("near") - F.col("count_distinct_ip")) / F.col("count_distinct_ip")
     row = both.agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(off * off)).alias("rsd")).first()
     assert row["n"] == exact.count() and row["rsd"] <= 0.05
+
+
+def test_panes_add_up_to_windows(lines):
+    found = errors(lines, random_lines(seed=8) + [(3, 404, "/a", "10.9.9.9")] * 40)
+    exact = flat_window(error_windows(found))
+    assert Counter(map(tuple, flat_window(windows_of_panes(error_panes(found))).collect())) == Counter(
+        map(tuple, exact.collect()))
+
+
+def test_sketches_of_many_clients_stay_within_their_deviation(spark):
+    """3000 clients of one window: panes merge to the same sketch as the whole."""
+    found = spark.range(9000).select(
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 30).alias("timestamp"), F.lit(500).alias("status"),
+        F.concat(F.lit("10.0."), (F.col("id") * 7919 % 3000).cast("string")).alias("ip"), F.lit("/").alias("url"),
+    )
+    whole = flat_window(error_windows(found, 12)).filter("second(window_start) = 0").first()
+    panes = flat_window(windows_of_panes(error_panes(found))).filter("second(window_start) = 0").first()
+    assert whole.count_error == panes.count_error == 9000
+    for row in (whole, panes):
+        assert abs(row.count_distinct_ip - 3000) <= 3 * 0.016 * 3000
+
+
+def expected_top(rows, k=3):
+    out = set()
+    for (start, status), hits in expected(rows).items():
+        counts = Counter(url for url, _ in hits)
+        least = sorted(counts.values(), reverse=True)[:k][-1]
+        off = len(hits) * 35 // 1280
+        out |= {(start, status, url, n, off) for url, n in counts.items() if n >= least}
+    return out
+
+
+def test_top_urls_with_ties(lines):
+    rows = random_lines(seed=9)
+    found = errors(lines, rows)
+    columns = ["status", "url", "occurrences", "most_off"]
+    for got in (top_urls(found), top_urls_of_panes(error_panes(found))):
+        flat = flat_window(got)
+        listed = flat.select(start_second(flat), *columns).collect()
+        assert len(listed) == len(set(listed)) and set(map(tuple, listed)) == expected_top(rows)
+
+
+def test_late_by_how_many_windows(lines):
+    rows = [(245, 500), (250, 500), (259, 404), (260, 500), (269, 500), (270, 500), (0, 500), (400, 500)]
+    bad_date = line(status=404).replace("01/Jan", "99/Jan")
+    found = error_requests(parse_access_log(lines([*(line(*row) for row in rows), bad_date])))
+    got = late_errors(found, (int(START.timestamp()) + 270) * 1000)
+    second = F.unix_seconds("timestamp") - int(START.timestamp())
+    brute = {
+        second: sum(start + 30 <= 270 for start in range(-20, 410, 10) if start <= second < start + 30)
+        for second, _ in rows
+    }
+    assert {tuple(r) for r in got.select(second, "windows_missed").collect()} == {
+        (second, missed) for second, missed in brute.items() if missed}
+    assert late_errors(found, 0).count() == 0
