@@ -59,6 +59,36 @@ def test_against_brute_force_on_copies(spark, docs, monkeypatch, broadcast):
     assert found(docs(texts)) == slow_repeated(texts)
 
 
+@pytest.mark.parametrize("size", [20, 100, 250])
+def test_pairs_of_near_copies_in_proportion_to_lines(docs, monkeypatch, size):
+    """Clusters of documents with 20 lines each, of which every copy changes some words."""
+    rng = random.Random(size)
+    texts = []
+    for cluster in range(4):
+        base = [[f"c{cluster}w{rng.randrange(300)}" for _ in range(rng.randint(8, 40))] for _ in range(20)]
+        for _ in range(size):
+            near = [list(words) for words in base]
+            for words in near:
+                for _ in range(rng.choice([0, 1, 1, 2, 3])):
+                    words[rng.randrange(len(words))] = f"x{rng.randrange(4000)}"
+            texts.append((len(texts), "\n".join(" ".join(words) for words in near)))
+    counts = {}
+    keep = line_dedup.stored
+
+    def watched(rows, purpose):
+        out = keep(rows, purpose)
+        counts[purpose] = out.count()
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", watched)
+    got = found(docs(texts))
+    n = sum(len(text.split("\n")) for _, text in texts)
+    assert counts["likely"] <= n and counts["likely"] + counts["pairs"] <= 3 * n
+    if size == 20:
+        assert got == slow_repeated(texts)
+    assert len(got) > 0.7 * n
+
+
 def test_word_set_puts_rare_words_first(spark):
     rows = spark.createDataFrame([(0, 0, k, "the cat") for k in range(9)] + [(1, 0, 0, "the the rare")], "doc long, version long, line int, value string")
     classes = line_dedup.rarity(rows)
