@@ -19,7 +19,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -169,15 +170,34 @@ def candidates(text: str) -> list[Candidate]:
     if has_digit:
         loose += [(kind, *m.span()) for kind in ("ip", "card", "phone") for m in LOOSE[kind].finditer(text)]
     # of overlapping candidates the earlier kind and start counts, base before loose
-    taken = sorted((start, end) for _, start, end in base)
+    taken = _united((start, end) for _, start, end in base)
     out = [_candidate(span, text, True) for span in base]
-    for span in loose:
-        if not any(start < span[2] and span[1] < end for start, end in taken):
-            taken.append(span[1:])
-            out.append(_candidate(span, text, False))
+    for kind in dict.fromkeys(span[0] for span in loose):
+        free = _free([span for span in loose if span[0] == kind], taken)
+        out += [_candidate(span, text, False) for span in free]
+        taken = sorted([*taken, *(span[1:] for span in free)])  # two sorted runs
     return out
 
 
+def _united(ranges: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The ranges, sorted, those that overlap put together."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(ranges):
+        if out and start < out[-1][1]:
+            out[-1] = out[-1][0], max(end, out[-1][1])
+        else:
+            out.append((start, end))
+    return out
+
+
+def _free(spans: list[Span], taken: list[tuple[int, int]]) -> list[Span]:
+    """The spans of one pattern, which do not overlap each other, that overlap none of the
+    taken ranges, which are sorted and do not overlap either."""
+    starts = [start for start, _ in taken]
+    before = ((span, bisect_left(starts, span[2])) for span in spans)  # so many start before its end
+    return [span for span, at in before if not at or taken[at - 1][1] <= span[1]]
+
+
 def _candidate(span: Span, text: str, base: bool) -> Candidate:
     kind, start, end = span
     votes = _votes(kind, text, start, end, base)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 
@@ -39,6 +40,37 @@ def test_long_runs_take_linear_time():
         pii.candidates(text)
 
 
+def slow_candidates(text):
+    """Spans that overlap nothing taken so far, one by one."""
+    base = pii.base_spans(text)
+    loose = []
+    for kind in ("email", "ip", "card", "phone"):
+        if kind != "email" or "@" in text or re.search(r"\bdot\b|[(\[{]at[)\]}]", text, re.I):
+            loose += [(kind, *m.span()) for m in pii.LOOSE[kind].finditer(text)]
+    taken = [span[1:] for span in base]
+    for span in loose:
+        if not any(start < span[2] and span[1] < end for start, end in taken):
+            taken.append(span[1:])
+            base.append(span)
+    return base
+
+
+def test_candidates_against_all_pairs():
+    rng = random.Random(2)
+    for alphabet in ("12 345.678-()+90", "a1.@ (at)dot.com 2", "+1 (202) 555-0123 4111 1111 1.2.3.4 "):
+        pieces = [alphabet, "4111 1111 1111 1111", "+1 (202) 555-0123", "10.0.0.1", "a at b dot com", "x@y.org", "202-555-0123"]
+        for _ in range(2000):
+            text = "".join(rng.choice(pieces) if rng.random() < 0.3 else rng.choice(alphabet) for _ in range(rng.randrange(40)))
+            assert [c.span for c in pii.candidates(text)] == slow_candidates(text), text
+
+
+def test_many_candidates_in_one_text_take_seconds():
+    text = " ".join(f"{k % 90 + 10}.0.0.{k % 200}, 202-555-{k % 10_000:04}; 4111-1111-1111-{k % 10_000:04}" for k in range(50_000))
+    began = time.perf_counter()
+    found = pii.candidates(text)
+    assert len(found) >= 100_000 and time.perf_counter() - began < 20
+
+
 def test_estimated_reliabilities():
     rng = np.random.default_rng(3)
     truth = rng.random(20_000) < 0.3
