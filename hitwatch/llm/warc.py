@@ -13,7 +13,8 @@ digests are checked. A damaged archive is an error that names the file and the r
 
 Edge cases: a null html is an empty payload; a null id stays null; rows with equal ids and
 payloads are one page each, and if theirs is the largest id all of them are responses; an
-empty table gives no archives and no records; other columns are not looked at.
+empty table gives no archives and no records; other columns are not looked at. Addresses may have
+any length and any characters.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import BinaryIO
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -39,10 +41,17 @@ CHUNK = 1 << 16
 LEVEL = 6
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
+#: What stays of an address, besides letters and digits: all visible ASCII characters.
+ADDRESS = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum())
 
 
 def filesystem(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path if ":/" in path else f"file://{path}")
+    """File system and path of an address, by the schemes pyarrow has; ``s3a`` and ``s3n`` are
+    other names of ``s3``. Other schemes are an error that names them."""
+    if ":/" not in path:
+        path = f"file://{path}"
+    scheme, rest = path.split(":", 1)
+    return fs.FileSystem.from_uri(f"s3:{rest}" if scheme in ("s3a", "s3n") else path)
 
 
 # -- writing ---------------------------------------------------------------------------
@@ -61,7 +70,8 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     revisit = refers_to is not None
     block = http if revisit else http + payload
-    address = "".join(c if c.isprintable() and c != " " else "%20" for c in url or "")
+    # bytes that an address cannot hold are escaped, each in its own way
+    address = quote(url or "", safe=ADDRESS, errors="surrogatepass")
     head = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
@@ -181,10 +191,12 @@ class _Members:
             self.raw, self.ended = self.inflate.unused_data, True
         return True
 
-    def until(self, mark: bytes, most: int = 1 << 20) -> bytes:
-        """Everything up to and with the mark."""
-        while (at := self.ready.find(mark)) < 0:
-            if len(self.ready) > most or not self.more():
+    def until(self, mark: bytes) -> bytes:
+        """Everything up to and with the mark, however far into the member it is."""
+        seen = 0
+        while (at := self.ready.find(mark, max(0, seen - len(mark)))) < 0:
+            seen = len(self.ready)
+            if not self.more():
                 raise ValueError("a header has no end")
         out = bytes(self.ready[: at + len(mark)])
         del self.ready[: at + len(mark)]
@@ -280,8 +292,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
                 yield _batch(rows)
 
     count = max(1, archives.count())
-    # one archive after the other to each task
-    numbered = archives.select("path").repartition(min(count, 10_000), "path")
+    # names are all different, so ranges of them hold equal numbers of archives
+    numbered = archives.select("path").repartitionByRange(min(count, 10_000), "path")
     return numbered.mapInArrow(scan, READ)
 
 

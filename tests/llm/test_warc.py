@@ -41,6 +41,25 @@ def test_revisits_ties_and_nulls(pages, spark, archive_bytes):
         assert archives.count() == len(PAGES)
 
 
+def test_addresses_of_any_length_and_kind(spark):
+    urls = ["http://a/" + "x" * 2_000_000, "http://a/b c", "http://a/b\x01c", "http://a/b\tc", "http://ä/\u2028é", "a%20b", "", None]
+    table = spark.createDataFrame([(k, url, "p") for k, url in enumerate(urls)], "page_id long, url string, html string")
+    got = {r.page_id: r.record_type for r in warc.round_trip(table).collect()}
+    assert got == {k: "response" for k in range(len(urls))}
+    heads = [gzip.decompress(warc.record(k, url, b"p")).split(b"\r\n")[4] for k, url in enumerate(urls[:6])]
+    assert len(set(heads)) == 6 and heads[1] == b"WARC-Target-URI: http://a/b%20c"
+    assert heads[3].endswith(b"b%09c") and heads[4].endswith(b"http://%C3%A4/%E2%80%A8%C3%A9")
+    assert heads[0].endswith(b"x" * 2_000_000) and all(byte in range(0x20, 0x7F) for head in heads for byte in head)
+
+
+def test_file_systems_by_scheme(tmp_path):
+    target, path = warc.filesystem(str(tmp_path))
+    assert path == str(tmp_path) and target.type_name == "local"
+    assert warc.filesystem(f"file:{tmp_path}")[1] == str(tmp_path)
+    with pytest.raises(Exception, match="nowhere"):
+        warc.filesystem("nowhere://a/b")
+
+
 def test_empty_table(pages, spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
