@@ -13,7 +13,10 @@ Words are runs without white space; neighbouring words of one or two characters
 one word, which undoes spaced-out spelling. A text is
 scored by its most toxic word, by how far its other words reach, and by its length.
 
-Letters from U+3000 on do not count.
+Texts are taken in compatibility form (NFKC), so full-width and other variants of letters
+are those letters. The most frequent letters of the landmarks have codes of their own; all
+other letters of all scripts share some codes by a hash, so a text of a script with very many
+letters has triples too.
 
 Edge cases: null and empty texts, and texts without a word of three letters, get the
 score of the machine's offset, a low one; repeated rows get equal scores; an empty table
@@ -22,6 +25,7 @@ gives none; without labelled rows of both kinds every score is 0.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -42,7 +46,8 @@ MINED_LANDMARKS = 48
 NEUTRAL_WORDS = 8_000
 MINED_WORDS = 2_000  # clean words nearest to toxic ones, added in each round
 ROUNDS = 5
-MOST_LETTERS = 62  # of the landmarks, the most frequent; the table of triples has their cube
+MOST_LETTERS = 62  # of the landmarks, the most frequent, have codes of their own
+SHARED_LETTERS = 48  # codes of all other letters; the table of triples has the cube of all codes
 RUN = 400_000
 
 GAPS = [(j, k) for k in range(2, REACH + 1) for j in range(1, k)]
@@ -57,16 +62,19 @@ class Letters:
     sizes: np.ndarray  # places of each word; may be none
 
 
-_LETTER = np.array([chr(c).isalnum() for c in range(0x3000)])
-_SPACE = np.array([chr(c).isspace() for c in range(0x3000)])
+_LETTER = np.array([chr(c).isalnum() for c in range(0x110000)])
+_SPACE = np.array([chr(c).isspace() for c in range(0x110000)])
+
+
+def _folded(text: str) -> str:
+    return (text if text.isascii() else unicodedata.normalize("NFKC", text)).lower()
 
 
 def letters(texts: Sequence[str], alphabet: np.ndarray) -> tuple[Letters, np.ndarray]:
     """Letter codes by ``alphabet``, a table by code point, and the text of each word."""
-    lowered = [text.lower() for text in texts]
+    lowered = [_folded(text) for text in texts]
     joined = "\n".join(["", *lowered, ""])
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    points = np.minimum(points, len(alphabet) - 1)
     space = _SPACE[points]
     edge = np.diff(space, prepend=True)
     begins = np.flatnonzero(edge & ~space)
@@ -154,7 +162,7 @@ def _words(texts: Sequence[str]) -> list[Counter]:
     out = []
     for text in texts:
         parts, run = [], []
-        for part in text.lower().split():
+        for part in _folded(text).split():
             if len(part) <= 2:
                 run.append(part)
                 continue
@@ -207,16 +215,18 @@ class _Kernel:
     """Triple weights of words, over the alphabet of the landmarks."""
 
     def __init__(self, landmarks: Sequence[str]):
-        counts = Counter(c for word in landmarks for c in word if ord(c) < len(_LETTER))
+        counts = Counter(c for word in landmarks for c in word)
         known = sorted(sorted(counts, key=lambda c: (-counts[c], c))[:MOST_LETTERS])
-        self.alphabet = np.zeros(len(_LETTER), np.int32)
+        self.size = len(known) + 2 + SHARED_LETTERS
+        other = np.flatnonzero(_LETTER)
+        self.alphabet = np.zeros(len(_LETTER), np.uint8)
+        self.alphabet[other] = self.size - 1 - (other * 2_654_435_761 >> 16) % SHARED_LETTERS
         self.alphabet[[ord(c) for c in known]] = np.arange(2, len(known) + 2)
-        self.size = len(known) + 2
         self.maps = [self.triples(word) for word in landmarks]
 
     def triples(self, word: str) -> dict[int, float]:
         """Weight of each letter triple of one word, by its length norm."""
-        codes = [1, *(int(self.alphabet[min(ord(c), len(self.alphabet) - 1)]) for c in word)]
+        codes = [1, *(int(self.alphabet[ord(c)]) for c in word)]
         norm = NORMS[min(len(codes), len(NORMS) - 1)]
         out: dict[int, float] = {}
         for i in range(len(codes)):

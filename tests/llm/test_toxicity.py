@@ -64,6 +64,32 @@ def test_gapped_and_inserted(model, hidden):
     assert model.scores([f"{clean} {hidden} {clean}"])[0] > 0.7 > model.scores([f"{clean} {clean}"])[0]
 
 
+def test_full_width_letters_are_letters(model):
+    wide = {c: c + 0xFEE0 for c in range(0x21, 0x7F)}
+    clean = sentences(1, 9, False)[0]
+    texts = [f"{clean} {word} {clean}" for word in (*INSULTS, "b-l-o-c-k-h-e-a-d")]
+    assert np.allclose(model.scores([text.translate(wide) for text in texts]), model.scores(texts))
+    assert model.scores([text.translate(wide) for text in texts]).min() > 0.7
+
+
+def test_scripts_of_many_letters():
+    """Words of 3000 different ideographs; the insults are five of them."""
+    rng = np.random.default_rng(12)
+    words = ["".join(map(chr, rng.integers(0x4E00, 0x4E00 + 3000, rng.integers(3, 6)))) for _ in range(400)]
+    insults = words[:5]
+
+    def texts(n, toxic):
+        out = []
+        for k in range(n):
+            own = [str(w) for w in rng.choice(words[5:], 14)]
+            out.append(" ".join(own[:7] + [insults[k % 5]] * toxic + own[7:]))
+        return out
+
+    model = toxicity.train(texts(80, True), texts(160, False))
+    bad, good = model.scores(texts(50, True)), model.scores(texts(50, False))
+    assert (bad >= toxicity.THRESHOLD).mean() > 0.9 and (good < toxicity.THRESHOLD).mean() > 0.9
+
+
 def test_score_does_not_depend_on_the_run(model):
     texts = sentences(20, 5, True) + ["", "a", "ü 漢 \U0001f600"] + sentences(20, 6, False)
     alone = np.concatenate([model.scores([text]) for text in texts])
