@@ -5,11 +5,13 @@ against, or is the whole document if that has fewer. Both have a SimHash over th
 shingles (runs of words, weighted by how often they occur). A document is contaminated if
 the weighted Jaccard similarity of one window reaches ``SIMILARITY``.
 
-An exact index of the items' shingles retrieves: windows are taken where a document shares a
-shingle with an item, each at the place that lays the shared shingles over each other. Other
-windows have no weight in common with any item and cannot be similar. SimHash only filters
-these pairs, to ``RADIUS`` bits, before they are verified on the shingles; the tables by
-blocks of bits retrieve nothing.
+Windows of every item's size at every place are candidates. Left out are only those with too
+few shingles that occur in any item at all, by a bitmap of the items' shingles: they cannot
+reach the similarity with any of them. The fingerprints of the others, from prefix sums of
+shingle bits, are looked up in an index of the items of their size: tables by blocks of bits,
+which miss no item within ``RADIUS`` bits (one of the blocks differs by no more than its share
+of the radius). What the index finds is verified on the shingles, weight by weight. The radius
+is wide: similarity 0.8 lies 9.7 bits apart on average, with a deviation of 2.9.
 
 Edge cases: items without words match nothing; items shorter than a shingle are one
 shingle, as is a window held against them; null and empty texts match nothing; equal items
@@ -34,6 +36,9 @@ RADIUS = 23
 BLOCK_BITS = 8
 #: Items held against the documents in one pass; more items take more passes.
 ITEMS_AT_ONCE = 20_000
+#: Bits of a shingle that the bitmap of the items' shingles goes by, windows looked up at once, and
+#: shingles of a text worked on at once.
+KNOWN_BITS, AT_ONCE, PIECE = 22, 20_000, 50_000
 RUN = 300_000
 
 
@@ -54,108 +59,131 @@ def _bag(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(shingles, return_counts=True)
 
 
-@dataclass(frozen=True)
-class _Width:
-    """Items of one shingle width, with their shingles sorted for look-up."""
+def _block(prints: np.ndarray, block: int) -> np.ndarray:
+    return ((prints >> np.uint64(BLOCK_BITS * block)) & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
 
+
+class _Prints:
+    """Fingerprints by blocks of bits."""
+
+    def __init__(self, prints: np.ndarray):
+        self.prints = prints
+        # for each block and each of its values, the fingerprints not too far away in that block
+        blocks, reach = 64 // BLOCK_BITS, RADIUS // (64 // BLOCK_BITS)
+        values = np.arange(1 << BLOCK_BITS)
+        self.tables = [
+            np.packbits(np.bitwise_count(values[:, None] ^ _block(prints, b)[None, :]) <= reach, axis=1)
+            for b in range(blocks)
+        ]
+
+    def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(place, number)`` of all pairs within the radius of the given fingerprints and those
+        of the index."""
+        row = np.zeros((len(prints), self.tables[0].shape[1]), np.uint8)
+        for b, table in enumerate(self.tables):
+            row |= table[_block(prints, b)]
+        place, number = np.nonzero(np.unpackbits(row, axis=1, count=len(self.prints)))
+        close = np.bitwise_count(prints[place] ^ self.prints[number]) <= RADIUS
+        return place[close], number[close]
+
+
+@dataclass
+class _Size:
+    """Items of one number of words."""
+
+    words: int
     width: int
-    shingles: np.ndarray
-    item: np.ndarray
-    place: np.ndarray
-    seen: np.ndarray  # bitmap over the low bits of the shingles
+    items: np.ndarray
+    index: _Prints
 
 
 class Index:
-    """Items by their shingles and by blocks of their fingerprints."""
+    """Items by the blocks of their fingerprints, and a bitmap of their shingles."""
 
     def __init__(self, ids: Sequence[object], texts: Sequence[str], width: int = SHINGLE_WORDS):
         first, _, _, words = word_arrays(texts)
-        self.ids, self.words, self.bags, self.widths = [], [], [], []
-        prints, parts = [], {}
+        self.ids, self.bags = [], []
+        prints, sizes = [], []
+        self.known: dict[int, np.ndarray] = {}  # by width, over the low bits of shingles
         for k, item in enumerate(ids):
             own = words[first[k] : first[k + 1]]
             if not len(own):
                 continue
-            shingles = shingle_hashes(own, min(width, len(own)))
+            span = min(width, len(own))
+            shingles = shingle_hashes(own, span)
             values, counts = _bag(shingles)
-            number = len(self.ids)
             self.ids.append(item)
-            self.words.append(len(own))
             self.bags.append(dict(zip(values.tolist(), counts.tolist(), strict=True)))
             prints.append(simhash(values, counts))
-            # repeated shingles are looked up at each of their places
-            parts.setdefault(min(width, len(own)), []).append(
-                (shingles, np.full(len(shingles), number), np.arange(len(shingles)))
-            )
+            sizes.append(len(own))
+            self.known.setdefault(span, np.zeros(1 << KNOWN_BITS, bool))[shingles & np.uint64((1 << KNOWN_BITS) - 1)] = True
         self.prints = np.array(prints, np.uint64)
-        for size, found in sorted(parts.items()):
-            shingles, item, place = (np.concatenate(x) for x in zip(*found, strict=True))
-            order = np.argsort(shingles, kind="stable")
-            seen = np.zeros(1 << 22, bool)
-            seen[shingles & np.uint64(len(seen) - 1)] = True
-            self.widths.append(_Width(size, shingles[order], item[order], place[order], seen))
-        # for each block and each of its values, the items not too far away in that block
-        blocks, reach = 64 // BLOCK_BITS, RADIUS // (64 // BLOCK_BITS)
-        values = np.arange(1 << BLOCK_BITS, dtype=np.uint64)
-        self.blocks = [
-            np.packbits(
-                np.bitwise_count(values[:, None] ^ self._block(self.prints, b)[None, :]) <= reach, axis=1
-            )
-            for b in range(blocks)
+        of = np.array(sizes, np.int64)
+        self.sizes = [
+            _Size(int(n), min(width, int(n)), np.flatnonzero(of == n), _Prints(self.prints[of == n])) for n in np.unique(of)
         ]
 
-    @staticmethod
-    def _block(prints: np.ndarray, block: int) -> np.ndarray:
-        return (prints >> np.uint64(BLOCK_BITS * block)) & np.uint64((1 << BLOCK_BITS) - 1)
-
-    def within_radius(self, prints: np.ndarray, items: np.ndarray) -> np.ndarray:
-        """Whether each fingerprint lies within the radius of the item it stands beside,
-        by the index: first the blocks, then all bits."""
-        found = np.zeros(len(prints), bool)
-        for number, table in enumerate(self.blocks):
-            row = table[self._block(prints, number).astype(int), items >> 3]
-            found |= (row >> (7 - (items & 7))) & 1 == 1
-        return found & (np.bitwise_count(prints ^ self.prints[items]) <= RADIUS)
-
     def matches(self, texts: Sequence[str]) -> list[tuple[int, int, float]]:
         """``(text, item, similarity)``, the best window of each item in each text."""
-        if not self.ids:
-            return []
         first, _, _, words = word_arrays(texts)
         best: dict[tuple[int, int], float] = {}
-        for part in self.widths:
-            for text, item, start, stop in self._windows(part, first, words):
-                values, counts = _bag(shingle_hashes(words[start:stop], part.width))
-                near = self.within_radius(simhash(values, counts)[None], np.array([item]))
-                if near[0]:
-                    found = similarity(dict(zip(values.tolist(), counts.tolist(), strict=True)), self.bags[item])
-                    if found >= SIMILARITY:
-                        best[text, item] = max(found, best.get((text, item), 0.0))
+        for width, known in self.known.items():
+            sizes = [size for size in self.sizes if size.width == width]
+            for texts_, places, counts, votes, shingles in self._regions(width, known, sizes, first, words):
+                for size in sizes:
+                    self._match(size, texts_, places, counts, votes, shingles, best)
         return [(text, item, value) for (text, item), value in sorted(best.items())]
 
-    def _windows(self, part: _Width, first: np.ndarray, words: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """Windows ``(text, item, first word, end)`` over a shared shingle, each once."""
-        shingles = shingle_hashes(words, part.width)
-        at = np.flatnonzero(part.seen[shingles & np.uint64(len(part.seen) - 1)])
-        low = np.searchsorted(part.shingles, shingles[at], "left")
-        high = np.searchsorted(part.shingles, shingles[at], "right")
-        shared = high > low
-        at, low, high = at[shared], low[shared], high[shared]
-        text = np.searchsorted(first, at, "right") - 1
-        for k in range(int((high - low).max(initial=0))):
-            on = low + k < high
-            entry, place, of = low[on] + k, at[on], text[on]
-            item = part.item[entry]
-            size = np.array(self.words)[item]
-            # the window's place, moved inside its text; a shorter text is one window
-            start = np.maximum(np.minimum(place - part.place[entry], first[of + 1] - size), first[of])
-            stop = np.minimum(start + size, first[of + 1])
-            # a window with too few shingles is not similar even if the item has them all
-            enough = (stop - start - part.width + 1) / (size - part.width + 1) >= SIMILARITY
-            inside = (place + part.width <= first[of + 1]) & enough
-            found = np.column_stack([of[inside], item[inside], start[inside], stop[inside]])
-            for row in np.unique(found, axis=0):
-                yield int(row[0]), int(row[1]), int(row[2]), int(row[3])
+    @staticmethod
+    def _regions(
+        width: int, known: np.ndarray, sizes: list[_Size], first: np.ndarray, words: np.ndarray
+    ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Each piece of a text with enough known shingles for the smallest item: the text's number,
+        and prefix sums over the shingles of known ones and of bits."""
+        shingles = shingle_hashes(words, width)
+        flag = known[shingles & np.uint64(len(known) - 1)]
+        total = np.concatenate([[0], np.cumsum(flag)])
+        ends = np.maximum(first[1:] - width + 1, first[:-1])  # of the shingles inside a text
+        ends, begins = np.minimum(ends, len(shingles)), np.minimum(first[:-1], len(shingles))
+        least = min(_least_shared(size.words - width + 1, size.words - width + 1, True) for size in sizes)
+        longest = max(size.words for size in sizes)
+        for text in np.flatnonzero(total[ends] - total[begins] >= max(1, least)):
+            # a long text in pieces that overlap by a window, all longer than one
+            for begin in range(begins[text], max(begins[text] + 1, ends[text] - longest), PIECE):
+                end = min(ends[text], begin + PIECE + longest)
+                counts = total[begin : end + 1] - total[begin]
+                if counts[-1] < max(1, least):
+                    continue
+                own = shingles[begin:end]
+                bits = np.unpackbits(mix(own).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                votes = np.zeros((len(own) + 1, 64), np.int32)
+                np.cumsum(bits, axis=0, dtype=np.int32, out=votes[1:])
+                yield int(text), np.arange(len(own)), counts, votes, own
+
+    def _match(
+        self, size: _Size, text: int, places: np.ndarray, counts: np.ndarray, votes: np.ndarray,
+        shingles: np.ndarray, best: dict[tuple[int, int], float],
+    ) -> None:
+        whole = size.words - size.width + 1
+        span = min(whole, len(shingles))  # a shorter text is one window
+        start = places[: len(shingles) - span + 1]
+        start = start[counts[start + span] - counts[start] >= _least_shared(whole, span)]
+        for at in range(0, len(start), AT_ONCE):
+            part = start[at : at + AT_ONCE]
+            ones = votes[part + span] - votes[part]
+            prints = np.packbits(2 * ones > span, axis=1, bitorder="little").view(np.uint64).ravel()
+            for place, number in zip(*size.index.near(prints), strict=True):
+                item, begin = int(size.items[number]), int(part[place])
+                values, seen = _bag(shingles[begin : begin + span])
+                found = similarity(dict(zip(values.tolist(), seen.tolist(), strict=True)), self.bags[item])
+                if found >= SIMILARITY:
+                    best[text, item] = max(found, best.get((text, item), 0.0))
+
+
+def _least_shared(a: int, b: int, shorter: bool = False) -> int:
+    """Shingles that windows of ``a`` and ``b`` shingles must share; with ``shorter``, the second
+    may also have fewer."""
+    return int(np.ceil((SIMILARITY * a if shorter else SIMILARITY / (1 + SIMILARITY) * (a + b)) - 1e-9))
 
 
 def _passes(items: DataFrame) -> Iterator[Index]:

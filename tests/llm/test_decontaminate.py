@@ -107,15 +107,47 @@ def test_texts_shorter_than_the_item(spark, docs):
 
 
 def test_index_finds_all_within_the_radius():
+    """Random changes, and the worst ones, spread evenly over the blocks."""
     rng = np.random.default_rng(2)
     index = decontaminate.Index(range(40), [" ".join(f"a{k}b{j}" for j in range(12)) for k in range(40)])
+    prints = decontaminate._Prints(index.prints)
+    even = [block * 8 + place for place in range(8) for block in range(8)]
     for item in range(40):
         for bits in range(0, 40):
-            value = int(index.prints[item])
-            for bit in rng.choice(64, bits, replace=False):
-                value ^= 1 << int(bit)
-            found = index.within_radius(np.array([value], np.uint64), np.array([item]))[0]
-            assert found == (bits <= decontaminate.RADIUS)
+            for chosen in (rng.choice(64, bits, replace=False).tolist(), even[:bits]):
+                value = int(index.prints[item])
+                for bit in chosen:
+                    value ^= 1 << bit
+                _, numbers = prints.near(np.array([value], np.uint64))
+                want = {k for k in range(40) if (value ^ int(index.prints[k])).bit_count() <= decontaminate.RADIUS}
+                assert set(numbers.tolist()) == want and (item in want) == (bits <= decontaminate.RADIUS)
+
+
+def test_radius_loses_no_similar_window():
+    """Items with words changed, dropped and added, to similarities down to 0.8."""
+    rng = random.Random(21)
+    apart = []
+    for _ in range(400):
+        own = [f"w{rng.randrange(3000)}" for _ in range(rng.randint(15, 60))]
+        near = list(own)
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(near))
+            near[at : at + 1] = rng.choice([["changed"], [], [near[at], "added"]])
+        near = (near + [f"x{rng.randrange(3000)}" for _ in range(9)])[: len(own)]
+        found = decontaminate.Index([0], [" ".join(own)])
+        other = decontaminate.Index([0], [" ".join(near)])
+        if decontaminate.similarity(found.bags[0], other.bags[0]) >= 0.8:
+            apart.append((int(found.prints[0]) ^ int(other.prints[0])).bit_count())
+    assert len(apart) > 80 and max(apart) <= decontaminate.RADIUS
+
+
+def test_fingerprints_from_prefix_sums_are_those_of_windows():
+    """A window laid exactly over an item has its fingerprint, repeated shingles and all."""
+    rng = random.Random(4)
+    words = [rng.choice("abc") for _ in range(60)]
+    for start, size in ((0, 20), (7, 15), (30, 30), (41, 6)):
+        index = decontaminate.Index([0], [" ".join(words[start : start + size])])
+        assert index.matches([" ".join(words)])[0][2] == 1.0
 
 
 def test_query_against_all_windows(spark, small):
@@ -123,10 +155,31 @@ def test_query_against_all_windows(spark, small):
     texts = [(r.doc_id, " ".join(words_of(r.text))) for r in read(spark, small, "documents").collect()]
     items = [(r.item_id, " ".join(words_of(r.text))) for r in read(spark, small, "benchmark").collect()]
     assert {(d, i) for d, text in texts for i, item in items if f" {item} " in f" {text} "} <= got
-    near = [(d, t) for d, t in texts if d < 40 or d in {d for d, _ in got}]
-    assert {key for key in got if key[0] in dict(near)} == set(slow_matches(near[:45], items)) | {
-        key for key in got if key[0] not in dict(near[:45])
-    }
+    # all documents that share a shingle with an item, against all windows
+    shingles = {tuple(words[k : k + 5]) for _, item in items for words in [item.split()] for k in range(len(words) - 4)}
+    near = [(d, t) for d, t in texts if any(tuple(w[k : k + 5]) in shingles for w in [t.split()] for k in range(len(w) - 4))]
+    assert got == set(slow_matches(near, items) | slow_shorter(near, items)) and len(near) < len(texts)
+
+
+@pytest.mark.parametrize("piece", [1, 7, 40])
+def test_pieces_of_long_texts_do_not_matter(planted, monkeypatch, piece):
+    texts, items = planted
+    given = [(item, text) for item, text in items if text]
+    index = decontaminate.Index([item for item, _ in given], [text for _, text in given])
+    want = index.matches([text for _, text in texts])
+    monkeypatch.setattr(decontaminate, "PIECE", piece)
+    assert index.matches([text for _, text in texts]) == want and want
+
+
+def test_many_items(spark, docs, monkeypatch):
+    """More items than one pass takes, in one plan."""
+    monkeypatch.setattr(decontaminate, "ITEMS_AT_ONCE", 9_000)
+    rng = random.Random(6)
+    items = [(k, " ".join(f"v{rng.randrange(5000)}" for _ in range(rng.randint(8, 20)))) for k in range(21_000)]
+    texts = [(k, f"before {items[k * 997][1]} after") for k in range(21)] + [(100, "nothing of the kind is here at all")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs(texts), benchmark).collect()}
+    assert got == {(k, k * 997) for k in range(21)}
 
 
 def test_awkward_rows(spark, awkward, empty):
