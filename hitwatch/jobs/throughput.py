@@ -6,7 +6,8 @@
 
 Writes one parquet table per query below the output folder. With ``--steps`` it starts
 from stored offset steps and reads no messages; with ``--follow DIR`` it writes such
-steps from Kafka as messages come in, micro-batch by micro-batch, and nothing else.
+steps from Kafka as messages come in, micro-batch by micro-batch, and nothing else; readers
+of ``DIR`` see whole micro-batches only, and ``compact.py`` keeps its files few.
 ``--topic`` and ``--partition`` choose series by whole patterns, ``--since`` and
 ``--until`` a range of time in epoch seconds.
 """
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from hitwatch.operators import throughput
 from hitwatch.schema import ALERT_TOPIC, LOG_TOPIC, MESSAGE_SCHEMA, MONITORING_TOPIC, STEP_SCHEMA
 from hitwatch.session import build_session, remove, work_dir
-from hitwatch.sinks.batches import to_parquet
+from hitwatch.sinks.ledger import listed, read_ledger, to_ledger
 from hitwatch.sources.kafka import kafka_messages, kafka_stream
 from hitwatch.streaming.lifecycle import until_any_ends
 from hitwatch.streaming.queries import start_steps
@@ -54,6 +55,7 @@ def throughput_tables(
         "partitions_per_topic": throughput.partitions_per_topic(steps),
         "topic_values": throughput.label_values(steps, "topic", throughput.INTERNAL_TOPICS),
         "new_alert_rule": throughput.new_message_rule(alerts),
+        "alert_rule_spans": throughput.rule_spans(throughput.rule_states(alerts, first, last)),
     }
 
 
@@ -83,12 +85,16 @@ def main(argv: list[str] | None = None) -> None:
             messages = kafka_stream(
                 spark, args.topics, args.brokers, startingOffsets="earliest", **options
             )
-            until_any_ends(spark, start_steps(messages, to_parquet(args.follow), args.checkpoint))
+            until_any_ends(spark, start_steps(messages, to_ledger(args.follow), args.checkpoint))
             return
         own = None
         if args.steps:
             # parts of micro-batches or whole steps
-            steps = throughput.merged_steps(spark.read.schema(STEP_SCHEMA).parquet(args.steps))
+            if listed(spark, args.steps):
+                parts = read_ledger(spark, args.steps, STEP_SCHEMA)
+            else:
+                parts = spark.read.schema(STEP_SCHEMA).parquet(args.steps)
+            steps = throughput.merged_steps(parts)
         else:
             if args.messages:
                 messages = spark.read.schema(MESSAGE_SCHEMA).parquet(args.messages)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hitwatch.functions.times import tick_at_or_after, tick_at_or_before
@@ -27,6 +27,10 @@ NEW_ALERT_SEVERITY = "critical"
 FIRING, NORMAL, NO_DATA = "Alerting", "Normal", "NoData"
 
 SERIES = ["topic", "partition"]
+SERIES_SCHEMA = "topic string, partition int"
+
+#: Seconds of messages in a folder of an archive, a day.
+ARCHIVE_SECONDS = 86_400
 
 #: Ticks of a series that one task and one array hold at most.
 BLOCK_TICKS = 1024
@@ -77,6 +81,45 @@ def recent_steps(messages: DataFrame, since: int, step: int = SCRAPE_SECONDS) ->
     return before.unionByName(offset_steps(messages.filter(F.col("timestamp") > moment), step))
 
 
+def archive(messages: DataFrame, path: str, seconds: int = ARCHIVE_SECONDS) -> None:
+    """Writes messages as a table below ``path`` with a folder for each span of so many seconds,
+    and where each topic partition stands at the end of the spans it has messages in.
+
+    A range of time then opens the files of its own spans and, for what came before it, a row per
+    series and span, however long ago the archive begins.
+    """
+    spanned = messages.withColumn("span", F.floor(F.unix_seconds("timestamp") / seconds))
+    # ranges of time, so that a task writes to few folders
+    spanned.repartitionByRange("timestamp").write.partitionBy("span").parquet(f"{path}/messages")
+    written = spanned.sparkSession.read.schema(spanned.schema).parquet(f"{path}/messages")
+    written.groupBy(*SERIES, "span").agg(
+        (F.max("offset") + 1).alias("offset_after"),
+        F.min("timestamp").alias("first"), F.max("timestamp").alias("last"),
+    ).write.parquet(f"{path}/reached")
+
+
+def archived_range(spark: SparkSession, path: str, step: int = SCRAPE_SECONDS) -> tuple[int, int]:
+    """As :func:`covered_range`, from the ends of the spans; opens no messages."""
+    return covered_range(spark.read.parquet(f"{path}/reached").agg(
+        tick_at_or_before(F.min("first"), step).alias("opened"), tick_at_or_after(F.max("last"), step).alias("tick")
+    ))
+
+
+def archived_steps(
+    spark: SparkSession, path: str, since: int, seconds: int = ARCHIVE_SECONDS, step: int = SCRAPE_SECONDS
+) -> DataFrame:
+    """As :func:`recent_steps`, from an archive: reads the spans from ``since`` on, and of those
+    before it where the series stood at their end."""
+    span = since // seconds
+    own = spark.read.schema(f"{SERIES_SCHEMA}, offset long, timestamp timestamp, span long").parquet(f"{path}/messages")
+    ended = spark.read.parquet(f"{path}/reached").filter(F.col("span") < span)
+    before = ended.groupBy(*SERIES).agg(F.max("offset_after").alias("offset_after")).select(
+        *SERIES, F.lit(since).cast("long").alias("tick"), "offset_after", F.lit(since).cast("long").alias("opened")
+    )
+    recent = recent_steps(own.filter(F.col("span") >= span).drop("span"), since, step)
+    return merged_steps(before.unionByName(recent))
+
+
 def covered_range(steps: DataFrame) -> tuple[int, int]:
     """First and last tick of the whole table, both 0 if it is empty; runs a job."""
     first, last = steps.agg(F.min("opened"), F.max("tick")).first()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from hitwatch.operators import alerts as alerting
 from hitwatch.operators import parse, records, report, stats, throughput, windows
 from hitwatch.schema import ALERT_TOPIC, CLIENT_RSD, CLIENT_SKETCH
-from hitwatch.session import stored, utc
+from hitwatch.session import stored, utc, work_dir
 from hitwatch.sources import derived
 from hitwatch.sources.lines import table
 
@@ -19,6 +19,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 LATEST_ALERTS = 20
 TIME_RANGE_SECONDS = 60
+ARCHIVE_SECONDS = 600  # the log is dense: a day of it would be one folder
 
 
 def plain(rows: DataFrame) -> DataFrame:
@@ -244,14 +245,14 @@ def topic_offsets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def topic_offsets_recent(spark: SparkSession, folder: str) -> DataFrame:
-    """The last minute, counted back from the newest tick, as far as there are samples."""
-    messages = _messages(spark, folder)
-    first, now = throughput.covered_range(messages.agg(
-        throughput.tick_at_or_before(F.min("timestamp"), throughput.SCRAPE_SECONDS).alias("opened"),
-        throughput.tick_at_or_after(F.max("timestamp"), throughput.SCRAPE_SECONDS).alias("tick"),
-    ))
+    """The last minute, counted back from the newest tick, as far as there are samples, from an
+    archive of the messages."""
+    at = work_dir(spark, "messages")
+    throughput.archive(_messages(spark, folder).drop("value"), at, ARCHIVE_SECONDS)
+    first, now = throughput.archived_range(spark, at)
     since = max(first, now - TIME_RANGE_SECONDS)
-    return throughput.offset_samples(throughput.recent_steps(messages, since), since, now)
+    steps = throughput.archived_steps(spark, at, since, ARCHIVE_SECONDS)
+    return throughput.offset_samples(steps, since, now)
 
 
 def alert_count_series(spark: SparkSession, folder: str) -> DataFrame:

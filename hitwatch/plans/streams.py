@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import LongType, StructType
 
 from hitwatch.operators.alerts import first_alerts
 from hitwatch.operators.records import alerts_as_json, alerts_from_json
@@ -24,7 +24,7 @@ from hitwatch.plans import replay
 from hitwatch.plans.batch import Query, in_utc, plain
 from hitwatch.schema import ALERT_SCHEMA, STEP_SCHEMA
 from hitwatch.session import make_folder, work_dir
-from hitwatch.sinks.batches import to_parquet, to_text
+from hitwatch.sinks.ledger import read_ledger, to_ledger
 from hitwatch.sinks.streams import parquet_files, text_files
 from hitwatch.sources import derived
 from hitwatch.sources.lines import table, table_stream
@@ -135,20 +135,20 @@ def stream_window_alert_urls(spark: SparkSession, folder: str) -> DataFrame:
     """URLs of the closed windows with too many errors."""
     at = work_dir(spark, "window-alert-urls")
     _in_order(spark, folder, at, lambda lines: queries.start_alert_urls(
-        lines, to_parquet(f"{at}/out"), f"{at}/checkpoint", None
+        lines, to_ledger(f"{at}/out"), f"{at}/checkpoint", None
     ))
     schema = flat_window(queries.window_urls(_lines(spark, folder))).schema
-    return plain(_output(spark, f"{at}/out", schema))
+    return plain(read_ledger(spark, f"{at}/out", schema))
 
 
 def stream_error_windows_update(spark: SparkSession, folder: str) -> DataFrame:
     """Newest counts of every window, in update mode: open windows are included."""
     at = work_dir(spark, "window-updates")
     _in_order(spark, folder, at, lambda lines: queries.start_latest(
-        flat_window(queries.window_metrics(lines)), to_parquet(f"{at}/out"), f"{at}/checkpoint", None
+        flat_window(queries.window_metrics(lines)), to_ledger(f"{at}/out"), f"{at}/checkpoint", None
     ))
-    schema = flat_window(queries.window_metrics(_lines(spark, folder))).schema.add("batch", IntegerType())
-    updates = _output(spark, f"{at}/out", schema)
+    schema = flat_window(queries.window_metrics(_lines(spark, folder))).schema.add("batch", LongType())
+    updates = read_ledger(spark, f"{at}/out", schema)
     newest = updates.groupBy("window_start", "window_end", "status").agg(
         F.max_by(F.struct("count_error", "count_distinct_ip"), "batch").alias("newest")
     ).select("window_start", "window_end", "status", "newest.*")
@@ -164,9 +164,9 @@ def stream_late_errors(spark: SparkSession, folder: str) -> DataFrame:
     late = F.when(F.col("event_id") % LATE_ONE_IN == 0, LATE_BY).otherwise(0)
     replay.land_by_number(lines.select("value", "timestamp", "event_id"), at, F.floor((second + late) / DELIVERED_EVERY))
     replay.feed(spark, at, "value string", lambda stream: queries.start_windows_and_late(
-        stream, to_parquet(f"{at}/windows"), to_parquet(f"{at}/late"), f"{at}/checkpoint", None
+        stream, to_ledger(f"{at}/windows"), to_ledger(f"{at}/late"), f"{at}/checkpoint", None
     ))
-    return plain(_output(spark, f"{at}/late", LATE_SCHEMA))
+    return plain(read_ledger(spark, f"{at}/late", LATE_SCHEMA))
 
 
 def stream_errors_json(spark: SparkSession, folder: str) -> DataFrame:
@@ -180,9 +180,8 @@ def stream_offset_steps(spark: SparkSession, folder: str) -> DataFrame:
     """Offset steps of the log topics, kept up to date by a stream."""
     at = work_dir(spark, "offset-steps")
     messages = derived.log_messages(_events(spark, folder))
-    until_done(queries.start_steps(messages, to_parquet(f"{at}/out"), f"{at}/checkpoint", TO_THE_END))
-    parts = spark.read.parquet(f"{at}/out").drop("batch")
-    return merged_steps(parts).drop("opened")
+    until_done(queries.start_steps(messages, to_ledger(f"{at}/out"), f"{at}/checkpoint", TO_THE_END))
+    return merged_steps(read_ledger(spark, f"{at}/out", STEP_SCHEMA)).drop("opened")
 
 
 def stream_topic_rate(spark: SparkSession, folder: str) -> DataFrame:
@@ -218,11 +217,11 @@ def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
     were raised."""
     at = work_dir(spark, "alerts")
     query = queries.start_alerts(
-        _landed(spark, folder, at), to_text(f"{at}/out"), f"{at}/checkpoint", trigger=TO_THE_END,
+        _landed(spark, folder, at), to_ledger(f"{at}/out", "text"), f"{at}/checkpoint", trigger=TO_THE_END,
         key="batch_id",
     )
     until_done(query)
-    messages = spark.read.schema("value string").text(f"{at}/out")
+    messages = read_ledger(spark, f"{at}/out", "value string", "text")
     return alerts_from_json(messages).drop("timestamp")
 
 
@@ -230,11 +229,11 @@ def stream_report(spark: SparkSession, folder: str) -> DataFrame:
     """Report line of each batch of lines, over several micro-batches, without its clock."""
     at = work_dir(spark, "report")
     query = queries.start_report(
-        _landed(spark, folder, at), to_text(f"{at}/out", files=1), f"{at}/checkpoint",
+        _landed(spark, folder, at), to_ledger(f"{at}/out", "text", files=1), f"{at}/checkpoint",
         trigger=TO_THE_END, key="batch_id",
     )
     until_done(query)
-    lines = spark.read.schema("value string").text(f"{at}/out")
+    lines = read_ledger(spark, f"{at}/out", "value string", "text")
     return lines.select(F.substring_index("value", ", ", -3).alias("line"))
 
 

@@ -94,6 +94,18 @@ def make_folder(spark: SparkSession, path: str) -> None:
     files.mkdirs(target)
 
 
+def make_file(spark: SparkSession, path: str) -> None:
+    """An empty file under a new name."""
+    target, files = _located(spark, path)
+    if not files.createNewFile(target):
+        raise FileExistsError(path)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    target, files = _located(spark, path)
+    return files.getContentSummary(target).getLength()
+
+
 def move(spark: SparkSession, path: str, to: str) -> None:
     """Renames a file or folder; the new name must be free."""
     source, files = _located(spark, path)

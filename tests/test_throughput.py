@@ -258,3 +258,47 @@ def test_rule_has_no_data_without_samples(messages):
 
 def test_rule_of_no_series(messages):
     assert t.rule_spans(t.rule_states(samples(messages([])), EPOCH, EPOCH + 600)).count() == 0
+
+
+def opened_files(frame):
+    """Files that the scans of messages of an executed plan have opened."""
+    frame.collect()
+    leaves = frame._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [leaves.apply(k) for k in range(leaves.size())]
+    own = [scan for scan in scans if "FileScan" in scan.toString() and "PartitionFilters: [isnotnull(span" in scan.toString()]
+    assert own
+    return sum(scan.metrics().apply("numFiles").value() for scan in own)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_ranges_of_an_archive_open_their_own_files(spark, messages, tmp_path, seed):
+    rows = [row for row in random_series(seed) if row[0] != "a" or row[1] == 1]  # no fresh starts
+    frame = messages(rows)
+    path = f"{tmp_path}/archive"
+    t.archive(frame, path, 100)
+    whole = t.offset_steps(frame)
+    assert t.archived_range(spark, path) == t.covered_range(whole)
+    first, last = t.covered_range(whole)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # for plans whose scans can be asked
+    try:
+        files = {}
+        for since in (first, first + 90, first + 405, last - 60):
+            steps = t.archived_steps(spark, path, since, 100)
+            got = as_dict(t.offset_samples(steps, since, last), "topic", "partition", "sample_sec")
+            want = as_dict(t.offset_samples(whole, since, last), "topic", "partition", "sample_sec")
+            assert got == want
+            plan = steps._jdf.queryExecution().executedPlan().toString()
+            assert "PartitionFilters: [isnotnull(span" in plan
+            files[since] = opened_files(steps)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spans = {row.span for row in spark.read.parquet(f"{path}/messages").select("span").distinct().collect()}
+    assert len(spans) >= 7
+    assert files[last - 60] <= 2 * 2 * len([span for span in spans if span >= (last - 60) // 100])
+    assert files[last - 60] < files[first + 405] < files[first]
+
+
+def test_archive_of_nothing(spark, messages, tmp_path):
+    t.archive(messages([]), f"{tmp_path}/archive", 100)
+    assert t.archived_range(spark, f"{tmp_path}/archive") == (0, 0)
+    assert t.archived_steps(spark, f"{tmp_path}/archive", 0, 100).count() == 0
