@@ -1,19 +1,25 @@
 """Alerts from a Kafka topic to a Kafka topic.
 
-    spark-submit --packages <kafka connector> hitwatch/jobs/alerts.py --checkpoint DIR
+    spark-submit --packages <kafka connector> hitwatch/jobs/alerts.py --checkpoint DIR [--by-time]
+
+With ``--by-time`` alerts are counted by spans of event time instead of micro-batches.
 """
 
 from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import functions as F
+
+from hitwatch.operators.records import alerts_as_json
 from hitwatch.schema import ALERT_TOPIC, LOG_TOPIC, Thresholds
 from hitwatch.session import build_session
 from hitwatch.sinks.batches import to_kafka
+from hitwatch.sinks.streams import kafka_topics
 from hitwatch.sources.kafka import kafka_stream
 from hitwatch.streaming.lifecycle import until_any_ends
 from hitwatch.streaming.progress import BatchLog
-from hitwatch.streaming.queries import start_alerts
+from hitwatch.streaming.queries import start, start_alerts, timed_alerts
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -28,6 +34,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--global-rate", type=float, default=normal.everything)
     parser.add_argument("--url-rate", type=float, default=normal.url)
     parser.add_argument("--ip-rate", type=float, default=normal.ip)
+    parser.add_argument("--by-time", action="store_true", help="alerts by spans of event time")
     args = parser.parse_args(argv)
 
     spark = build_session("access-log-alerts")
@@ -39,8 +46,12 @@ def main(argv: list[str] | None = None) -> None:
         options = {name: value for name, value in given.items() if value}
         lines = kafka_stream(spark, args.topic, args.brokers, **options)
         thresholds = Thresholds(args.global_rate, args.url_rate, args.ip_rate)
-        deliver = to_kafka(args.alert_topic, args.brokers)
-        until_any_ends(spark, start_alerts(lines, deliver, args.checkpoint, thresholds))
+        if args.by_time:
+            messages = alerts_as_json(timed_alerts(lines, thresholds)).withColumn("topic", F.lit(args.alert_topic))
+            query = start(kafka_topics(messages, args.brokers), args.checkpoint, None)
+        else:
+            query = start_alerts(lines, to_kafka(args.alert_topic, args.brokers), args.checkpoint, thresholds)
+        until_any_ends(spark, query)
     finally:
         spark.stop()
 

@@ -2,13 +2,15 @@
 
     spark-submit hitwatch/jobs/throughput.py OUTPUT_DIR --messages DIR
     spark-submit --packages <kafka connector> hitwatch/jobs/throughput.py OUTPUT_DIR --topics a,b
+    spark-submit hitwatch/jobs/throughput.py --live DIR --steps DIR --checkpoint DIR
     spark-submit hitwatch/jobs/throughput.py OUTPUT_DIR --steps DIR
 
 Writes one parquet table per query below the output folder. With ``--steps`` it starts
 from stored offset steps and reads no messages; with ``--follow DIR`` it writes such
 steps from Kafka as messages come in, micro-batch by micro-batch, and nothing else; readers
 of ``DIR`` see whole micro-batches only, and ``compact.py`` keeps its files few.
-``--topic`` and ``--partition`` choose series by whole patterns, ``--since`` and
+``--live DIR`` follows such steps and writes the increases of each topic partition over the last
+minute as soon as a tick is closed. ``--topic`` and ``--partition`` choose series by whole patterns, ``--since`` and
 ``--until`` a range of time in epoch seconds.
 """
 
@@ -22,9 +24,11 @@ from hitwatch.operators import throughput
 from hitwatch.schema import ALERT_TOPIC, LOG_TOPIC, MESSAGE_SCHEMA, MONITORING_TOPIC, STEP_SCHEMA
 from hitwatch.session import build_session, remove, work_dir
 from hitwatch.sinks.ledger import listed, read_ledger, to_ledger
+from hitwatch.sinks.streams import parquet_files
 from hitwatch.sources.kafka import kafka_messages, kafka_stream
 from hitwatch.streaming.lifecycle import until_any_ends
-from hitwatch.streaming.queries import start_steps
+from hitwatch.streaming.queries import EVERY_TEN_SECONDS, start, start_steps
+from hitwatch.streaming.rates import live_increases
 
 
 def throughput_tables(
@@ -65,7 +69,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--messages", help="parquet folder of a messages table")
     parser.add_argument("--steps", help="parquet folder of offset steps")
     parser.add_argument("--follow", help="folder to write offset steps to, for as long as it runs")
-    parser.add_argument("--checkpoint", help="shared folder of the query behind --follow")
+    parser.add_argument("--live", help="folder to write increases to, for as long as it runs; needs --steps")
+    parser.add_argument("--checkpoint", help="shared folder of the query behind --follow or --live")
     parser.add_argument("--topics", default=f"{LOG_TOPIC},{MONITORING_TOPIC},{ALERT_TOPIC}")
     parser.add_argument("--brokers", help="default: the environment's")
     parser.add_argument("--max-offsets-per-trigger", help="messages of a micro-batch, default all")
@@ -74,8 +79,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--since", type=int, help="first second shown")
     parser.add_argument("--until", type=int, help="last second shown")
     args = parser.parse_args(argv)
-    if args.follow and not args.checkpoint:
-        parser.error("--follow needs --checkpoint")
+    if (args.follow or args.live) and not args.checkpoint:
+        parser.error("--follow and --live need --checkpoint")
+    if args.live and not args.steps:
+        parser.error("--live needs --steps")
 
     spark = build_session("topic-throughput")
     try:
@@ -87,6 +94,13 @@ def main(argv: list[str] | None = None) -> None:
             )
             until_any_ends(spark, start_steps(messages, to_ledger(args.follow), args.checkpoint))
             return
+        if args.live:
+            # an attempt that does not count has the steps of the one that does, which are put
+            # together by their maximum, and what compaction writes once more is late
+            steps = spark.readStream.schema(STEP_SCHEMA).option("recursiveFileLookup", "true").parquet(f"{args.steps}/data")
+            rows = live_increases(steps)
+            until_any_ends(spark, start(parquet_files(rows, args.live), args.checkpoint, EVERY_TEN_SECONDS))
+            return
         own = None
         if args.steps:
             # parts of micro-batches or whole steps

@@ -14,10 +14,12 @@ from hitwatch.operators.parse import error_requests, parse_access_log
 from hitwatch.operators.records import fan_out
 from hitwatch.operators.windows import error_window_urls
 from hitwatch.sinks.batches import to_text
+from hitwatch.sinks.ledger import read_ledger
 from hitwatch.sinks.streams import text_files
 from hitwatch.sources import derived
 from hitwatch.sources.lines import line_file_stream, table
 from hitwatch.streaming.progress import BatchLog
+from hitwatch.streaming.rates import CHANGES, rates_of
 from tests.logs import line
 from tests.test_streams import write_files
 
@@ -89,6 +91,30 @@ def test_alert_job(spark, folder, in_session, monkeypatch, tmp_path):
     ]
 
 
+def test_alert_job_by_time(spark, in_session, monkeypatch, tmp_path):
+    in_session(alerts_job)
+    monkeypatch.setattr(alerts_job, "BatchLog", lambda write: BatchLog(lambda text: None))
+    folder = write_files(tmp_path / "in", [VALUES[:120], VALUES[120:]])
+    monkeypatch.setattr(
+        alerts_job, "kafka_stream",
+        lambda session, topic, brokers, **options: line_file_stream(spark, folder, max_files_per_trigger=1),
+    )
+    topics = []
+
+    def files(rows, brokers):
+        topics.append(rows.columns)
+        return text_files(rows.select("value"), f"{tmp_path}/out")
+
+    monkeypatch.setattr(alerts_job, "kafka_topics", files)
+    alerts_job.main(["--checkpoint", f"{tmp_path}/checkpoint", "--by-time"])
+    found = [json.loads(r["value"]) for r in spark.read.text(f"{tmp_path}/out").collect()]
+    # spans of ten lines, of which two or three fail; those that end by 00:02:49 are closed
+    everything = [a for a in found if a["type"] == "GLOBAL_ERROR_RATE"]
+    assert topics == [["value", "topic"]] and len(everything) == 16
+    assert {a["total_requests"] for a in everything} == {10}
+    assert min(a["timestamp"] for a in everything) == "2024-01-01T00:00:10"
+
+
 def test_report_job(spark, folder, in_session, monkeypatch, tmp_path):
     in_session(report_job)
     monkeypatch.setattr(
@@ -118,6 +144,29 @@ def test_window_job(spark, folder, lines, in_session, tmp_path):
     assert urls.select("window_start", "status", "url").distinct().count() == error_window_urls(errors).count()
 
 
+def test_window_job_with_late_errors_and_open_windows(spark, in_session, monkeypatch, tmp_path, capsys):
+    in_session(windows_job)
+    listeners = []
+    monkeypatch.setattr(windows_job, "BatchLog", lambda write: listeners.append(BatchLog(write)) or listeners[0])
+    folder = write_files(tmp_path / "in", [[line(*row) for row in batch] for batch in (
+        [(300, 500), (295, 500)], [(301, 200)], [(5, 500)], [(302, 404)])])
+    windows_job.main([
+        "--folder", folder, "--errors", f"{tmp_path}/errors", "--checkpoint", f"{tmp_path}/checkpoint",
+        "--late", f"{tmp_path}/late", "--top", f"{tmp_path}/top", "--max-files-per-trigger", "1",
+    ])
+    spark.streams.removeListener(listeners[0])
+    late = read_ledger(spark, f"{tmp_path}/late/errors", "url string, status int, windows_missed int").collect()
+    assert [tuple(row) for row in late] == [("/home", 500, 3)]
+    capsys.readouterr()
+    windows_job.main(["--open", f"{tmp_path}/checkpoint/metrics"])
+    shown = [json.loads(text) for text in capsys.readouterr().out.splitlines()]
+    # windows that end after 00:04:32, of errors at 00:04:55, 00:05:00 and 00:05:02
+    assert sum(row["count_error"] for row in shown) == 3 * 3
+    assert {row["status"] for row in shown} == {404, 500}
+    with pytest.raises(SystemExit):
+        windows_job.main(["--folder", folder])
+
+
 def test_window_job_shows_no_urls(spark, folder, in_session, monkeypatch, tmp_path):
     """Without a folder for them the URLs of windows go nowhere."""
     ended, shown = in_session(windows_job), []
@@ -156,6 +205,10 @@ def test_throughput_job(spark, small, in_session, monkeypatch, tmp_path):
     )
     throughput_job.main(["--follow", f"{tmp_path}/steps", "--checkpoint", f"{tmp_path}/checkpoint"])
     throughput_job.main([f"{tmp_path}/followed", "--steps", f"{tmp_path}/steps"])
+    throughput_job.main(["--live", f"{tmp_path}/live", "--steps", f"{tmp_path}/steps", "--checkpoint", f"{tmp_path}/live-checkpoint"])
+    live = rates_of(spark.read.schema(CHANGES).parquet(f"{tmp_path}/live")).filter("topic != 'alerts'")
+    rates = spark.read.parquet(f"{tmp_path}/out/topic_rate_1m").filter("topic != 'alerts' and sample_sec <= 1704067380")
+    assert sorted(map(tuple, live.collect())) == sorted(map(tuple, rates.select(live.columns).collect())) and live.count() == 26
     followed = spark.read.parquet(f"{tmp_path}/followed/topic_offsets")
     whole = spark.read.parquet(f"{tmp_path}/out/topic_offsets")
     assert sorted(map(tuple, followed.collect())) == sorted(map(tuple, whole.collect()))
