@@ -10,6 +10,10 @@ a quarter with its window, and so is missed with a probability below 0.0002 in o
 and it lies in up to four. What a shared band retrieves is verified: the share of the
 template's shingles that the window contains must reach ``CONTAINMENT``.
 
+A long template, such as the text of a whole license, is cut into parts of ``PART_WORDS`` words
+that overlap by a quarter. Each part is matched like a notice, and a document has the license
+with as many ``parts`` as it holds: a text with the disclaimer alone has some of them.
+
 Only DataFrame functions are used. Nothing is gathered by document before the matches are.
 
 Edge cases: null and empty texts have no matches, nor have texts of fewer than three words;
@@ -28,6 +32,7 @@ SHINGLE_WORDS = 3
 CONTAINMENT = 0.8
 BANDS = 32
 WINDOWS = (4, 8, 16, 32, 64)  # words; a template has the first size of which it is at most 3/4
+PART_WORDS = 48
 
 #: Notices as licenses word them.
 TEMPLATES = {
@@ -55,6 +60,63 @@ TEMPLATES = {
     "reserved": "All rights reserved",
 }
 
+#: License texts as they stand in files.
+WHOLE_TEXTS = {
+    "apache-2.0-header": (
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
+        "except in compliance with the License. You may obtain a copy of the License at "
+        "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to "
+        "in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License "
+        "for the specific language governing permissions and limitations under the License."
+    ),
+    "bsd-3-text": (
+        "Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that the following conditions are met: 1. Redistributions of source "
+        "code must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution. 3. Neither the name of the copyright holder nor "
+        "the names of its contributors may be used to endorse or promote products derived from this "
+        "software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE "
+        "COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS "
+        "BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+        "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS "
+        "OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+        "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR "
+        "OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE "
+        "POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "gpl-3-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of "
+        "the GNU General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version. This program is "
+        "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+        "General Public License for more details. You should have received a copy of the GNU "
+        "General Public License along with this program."
+    ),
+    "mit-text": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+        "software and associated documentation files (the \"Software\"), to deal in the Software "
+        "without restriction, including without limitation the rights to use, copy, modify, merge, "
+        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons "
+        "to whom the Software is furnished to do so, subject to the following conditions: The above "
+        "copyright notice and this permission notice shall be included in all copies or substantial "
+        "portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, "
+        "EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS "
+        "FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT "
+        "HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+        "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE "
+        "USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+}
+
+#: What a document is held against.
+LICENSES = TEMPLATES | WHOLE_TEXTS
+
 _MARKS = ".,;:!?()[]{}<>\"'`*#/|&-_=+%$\\\t\r\n\x0b\x0c"
 
 
@@ -98,26 +160,32 @@ def window_size(words: int) -> int:
     raise ValueError(f"no window holds a notice of {words} words; cut it")
 
 
-def templates(spark: SparkSession, texts: dict[str, str] = TEMPLATES) -> DataFrame:
-    """``license, window, notice``: the notices' shingles and window sizes."""
-    rows = []
+def parts(texts: dict[str, str]) -> list[tuple[str, int, int, list[str]]]:
+    """``(license, part, window, shingles)`` of every template, long ones cut."""
+    out = []
     for name, text in texts.items():
         words = plain_words(text)
         if len(words) < SHINGLE_WORDS:
             raise ValueError(f"{name} is shorter than a shingle")
-        found = [" ".join(words[k : k + SHINGLE_WORDS]) for k in range(len(words) - SHINGLE_WORDS + 1)]
-        rows.append((name, window_size(len(words)), sorted(set(found))))
-    return spark.createDataFrame(rows, "license string, window int, notice array<string>")
+        last = max(0, len(words) - PART_WORDS)
+        for number, start in enumerate([*range(0, last, PART_WORDS * 3 // 4), last]):
+            own = words[start : start + PART_WORDS]
+            found = {" ".join(own[k : k + SHINGLE_WORDS]) for k in range(len(own) - SHINGLE_WORDS + 1)}
+            out.append((name, number, window_size(len(own)), sorted(found)))
+    return out
+
 
+def templates(spark: SparkSession, texts: dict[str, str] = LICENSES) -> DataFrame:
+    """``license, part, window, notice``: shingles and window sizes of the templates' parts."""
+    return spark.createDataFrame(parts(texts), "license string, part int, window int, notice array<string>")
 
-def windows(docs: DataFrame, texts: dict[str, str] = TEMPLATES) -> DataFrame:
+
+def windows(docs: DataFrame, texts: dict[str, str] = LICENSES) -> DataFrame:
     """``doc_id, window, start, words``: windows that hold a shingle of a template of their
     size, by size and first word."""
     sizes: dict[int, set[str]] = {}
-    for text in texts.values():
-        words = plain_words(text)
-        for k in range(len(words) - SHINGLE_WORDS + 1):
-            sizes.setdefault(window_size(len(words)), set()).add(" ".join(words[k : k + SHINGLE_WORDS]))
+    for _, _, size, found in parts(texts):
+        sizes.setdefault(size, set()).update(found)
     known = sorted(set().union(*sizes.values()))
     rows = docs.select("doc_id", _once(_words(F.col("text"))).alias("words"))
 
@@ -159,12 +227,13 @@ def windows(docs: DataFrame, texts: dict[str, str] = TEMPLATES) -> DataFrame:
     )
 
 
-def licenses(docs: DataFrame, texts: dict[str, str] = TEMPLATES) -> DataFrame:
-    """``doc_id, license, containment, start``: the notices in every document, with the best
-    containment in a window and the first word of the first window that passes."""
+def licenses(docs: DataFrame, texts: dict[str, str] = LICENSES) -> DataFrame:
+    """``doc_id, license, parts, containment, start``: the licenses in every document, with the
+    number of parts it holds, the best containment of one in a window, and the first word of the
+    first window that passes."""
     known = templates(docs.sparkSession, texts)
     by_band = known.select(
-        "license", "window", "notice", F.posexplode(_signature(F.col("notice"))).alias("band", "least")
+        "license", "part", "window", "notice", F.posexplode(_signature(F.col("notice"))).alias("band", "least")
     )
     by_window = windows(docs, texts).select(
         "doc_id", "window", "start", _once(_shingles(F.col("words"))).alias("shingles")
@@ -172,28 +241,31 @@ def licenses(docs: DataFrame, texts: dict[str, str] = TEMPLATES) -> DataFrame:
     banded = by_window.select(
         "doc_id", "window", "start", "shingles", F.posexplode(_signature(F.col("shingles"))).alias("band", "least")
     )
-    # one row per template and band
+    # one row per part of a template and band
     hits = banded.join(F.broadcast(by_band), ["window", "band", "least"])
     common = F.size(F.array_intersect("shingles", "notice")) / F.size("notice")
     return (
-        hits.select("doc_id", "license", "start", common.alias("containment"))
+        hits.select("doc_id", "license", "part", "start", common.alias("containment"))
         .filter(F.col("containment") >= CONTAINMENT)
         .groupBy("doc_id", "license")
-        .agg(F.max("containment").alias("containment"), F.min("start").cast("long").alias("start"))
+        .agg(
+            # different parts are few
+            F.count_distinct("part").alias("parts"),
+            F.max("containment").alias("containment"), F.min("start").cast("long").alias("start"),
+        )
     )
 
 
-def oracle(texts: dict[str, str] = TEMPLATES) -> str:
+def oracle(texts: dict[str, str] = LICENSES) -> str:
     """The same matches in SQL, by containment in every window."""
-    rows = []
-    for name, text in texts.items():
-        words = plain_words(text)
-        found = sorted({" ".join(words[k : k + SHINGLE_WORDS]) for k in range(len(words) - SHINGLE_WORDS + 1)})
-        rows += [f"('{name}', {window_size(len(words))}, {len(found)}, '{shingle}')" for shingle in found]
+    rows = [
+        f"('{name}', {number}, {size}, {len(found)}, '{shingle}')"
+        for name, number, size, found in parts(texts) for shingle in found
+    ]
     marks = _MARKS.replace("'", "''")
     spaces = " " * len(_MARKS)
     return f"""
-        with template(license, size, total, shingle) as (values {", ".join(rows)}),
+        with template(license, part, size, total, shingle) as (values {", ".join(rows)}),
         words as (
             select doc_id, list_filter(string_split(translate(lower(text), '{marks}', '{spaces}'), ' '),
                 lambda x: x <> '') as w
@@ -203,16 +275,16 @@ def oracle(texts: dict[str, str] = TEMPLATES) -> str:
         ), placed as (
             select doc_id, pos, array_to_string(list_slice(w, pos + 1, pos + 3), ' ') as shingle from shingles
         ), hits as (
-            select doc_id, pos, license, size, total, shingle from placed join template using (shingle)
+            select doc_id, pos, license, part, size, total, shingle from placed join template using (shingle)
         ), windowed as (
-            select doc_id, license, size, total, shingle, unnest(range(
+            select doc_id, license, part, size, total, shingle, unnest(range(
                 greatest(0, cast(ceil((pos + 3 - size) / (size / 4)) as bigint)),
                 cast(floor(pos / (size / 4)) as bigint) + 1)) * (size // 4) as start
             from hits
         ), contained as (
-            select doc_id, license, start, count(distinct shingle) / any_value(total) as containment
-            from windowed group by doc_id, license, start
+            select doc_id, license, part, start, count(distinct shingle) / any_value(total) as containment
+            from windowed group by doc_id, license, part, start
         )
-        select doc_id, license, max(containment) as containment, min(start) as start
+        select doc_id, license, count(distinct part) as parts, max(containment) as containment, min(start) as start
         from contained where containment >= {CONTAINMENT} group by doc_id, license
     """
