@@ -30,6 +30,7 @@ from hitwatch.llm.labelled import held_out
 THRESHOLD = 0.5
 FLOOR = 1e-3  # no probability is surer than that before groups are summed
 MOST_STRENGTH = 1e6
+FARTHEST = 8  # deviations from the mean that a feature counts for at most
 
 _CLASS = np.full(256, 4, np.int64)  # lower-case and other letters, capitals, digits, space, marks
 _CLASS[[*range(97, 123), *range(128, 256)]] = 0
@@ -63,11 +64,17 @@ class Model:
     weights: np.ndarray
 
     def probability(self, texts: Sequence[str]) -> np.ndarray:
-        x = (np.array([features(text) for text in texts]) - self.mean) / self.scale
-        x = np.column_stack([x, x * x, np.ones(len(x))])
+        x = _inputs(np.array([features(text) for text in texts]), self.mean, self.scale)
         return 1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30)))
 
 
+def _inputs(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Features and their squares, at most ``FARTHEST`` deviations from the mean, in training and
+    in use: an odd text does not run away with the squares."""
+    x = np.clip((x - mean) / scale, -FARTHEST, FARTHEST)
+    return np.column_stack([x, x * x, np.ones(len(x))])
+
+
 def train(good: Sequence[str], bad: Sequence[str], penalty: float = 1.0) -> Model | None:
     """A classifier of texts of both kinds; none if one of them is missing."""
     if not good or not bad:
@@ -75,8 +82,7 @@ def train(good: Sequence[str], bad: Sequence[str], penalty: float = 1.0) -> Mode
     x = np.array([features(text) for text in [*good, *bad]])
     y = np.r_[np.ones(len(good)), np.zeros(len(bad))]
     mean, scale = x.mean(0), x.std(0) + 1e-6
-    x = np.clip((x - mean) / scale, -8, 8)
-    x = np.column_stack([x, x * x, np.ones(len(x))])
+    x = _inputs(x, mean, scale)
     weight = np.where(y == 1, len(y) / (2 * len(good)), len(y) / (2 * len(bad)))
     w = np.zeros(x.shape[1])
     for _ in range(50):

@@ -26,8 +26,55 @@ def sites(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, host string, path string")
 
 
+@pytest.fixture
+def sparse_sites(spark):
+    """Some 300 sites of one to three documents, next to one that holds a third of all."""
+    rows = []
+    for k in range(300):
+        for n in range(1 + k % 3):
+            words = [f"word{(k * 31 + n * 17 + j * (k % 5)) % 97}" for j in range(30)]
+            rows.append((len(rows), " ".join(words), f"h{k}", f"p{n % 2}"))
+    rows += [(1000 + k, "spam " * (20 + k % 9) if k % 3 else "Many different words, all about rivers and hills.", "large", f"p{k % 4}") for k in range(300)]
+    return spark.createDataFrame(rows, "doc_id long, text string, host string, path string")
+
+
+MODEL = quality.train(
+    ["Many different words stand here, about quite some things."] * 3 + ["Other words, other places."], ["spam spam spam"] * 4
+)
+
+
+def test_sparse_sites_shrink_towards_all(sparse_sites):
+    """By the definition, and so that a lone document's site says little of it."""
+    check_rates(sparse_sites, MODEL)
+    rows = quality.quality(sparse_sites, MODEL).collect()
+    overall = sum(r.evidence for r in rows) / len(rows)
+    of_site = {}
+    host = {r.doc_id: r.host for r in sparse_sites.select("doc_id", "host").collect()}
+    for r in rows:
+        of_site.setdefault(host[r.doc_id], []).append(r)
+    alone = [own[0] for own in of_site.values() if len(own) == 1]
+    assert len(alone) == 100
+    # without its own document nothing is left of such a site but the rate of all
+    assert all(r.host_rate == pytest.approx(overall, abs=0.01) for r in alone)
+    large = [r.host_rate for r in of_site["large"]]
+    own_mean = sum(r.evidence for r in of_site["large"]) / 300
+    assert all(abs(rate - own_mean) < abs(rate - overall) for rate in large)
+
+
+def test_odd_texts_do_not_run_away():
+    odd = ["x" * 500_000, "\U0001f600" * 10_000, "1 " * 50_000, "\n" * 1000, ""]
+    raw = (quality.np.array([quality.features(text) for text in odd]) - MODEL.mean) / MODEL.scale
+    assert abs(raw).max() > 1000
+    inputs = quality._inputs(quality.np.array([quality.features(text) for text in odd]), MODEL.mean, MODEL.scale)
+    assert abs(inputs).max() <= quality.FARTHEST**2
+    assert ((MODEL.probability(odd) >= 0) & (MODEL.probability(odd) <= 1)).all()
+
+
 def test_rates_against_definition(sites):
-    model = quality.train(["Many different words stand here, about quite some things."] * 3 + ["Other words, other places."], ["spam spam spam"] * 4)
+    check_rates(sites, MODEL)
+
+
+def check_rates(sites, model):
     got = quality.quality(sites, model).collect()
     assert len(got) == sites.count()
     rows = quality.evidence(sites, model).collect()
