@@ -253,19 +253,26 @@ class Screen:
             least = min(_least_shared(size - width + 1, size - width + 1, True) for size in sizes)
             for text in np.flatnonzero(total[ends] - total[begins] >= max(1, least)):
                 counts = total[begins[text] : ends[text] + 1] - total[begins[text]]
-                lower = texts[text].lower().encode("utf-8", "surrogatepass")
-                _, start, end, _ = word_arrays([texts[text]])
-                for size in sizes:
-                    for begin, to in _together(counts, size - width + 1):
+                spans = []
+                for size in sizes:  # ascending, and larger items need more
+                    whole = size - width + 1
+                    need = _least_shared(whole, min(whole, len(counts) - 1))
+                    if need > counts[-1]:
+                        break
+                    spans += [(size, *span) for span in _together(counts, whole, need)]
+                if spans:
+                    lower = texts[text].lower().encode("utf-8", "surrogatepass")
+                    _, start, end, _ = word_arrays([texts[text]])
+                    for size, begin, to in spans:
                         part = lower[start[begin] : end[to + width - 2]]
                         yield int(text), size, begin, part.decode("utf-8", "surrogatepass")
 
 
-def _together(counts: np.ndarray, whole: int) -> Iterator[tuple[int, int]]:
-    """Begin and end, in shingles, of the regions for items of ``whole`` shingles; ``counts`` are
-    prefix sums of known ones."""
+def _together(counts: np.ndarray, whole: int, need: int) -> Iterator[tuple[int, int]]:
+    """Begin and end, in shingles, of the regions for items of ``whole`` shingles, by windows with
+    ``need`` known ones; ``counts`` are prefix sums of those."""
     span = min(whole, len(counts) - 1)  # a shorter text is one window
-    places = np.flatnonzero(counts[span:] - counts[:-span] >= _least_shared(whole, span))
+    places = (counts[span:] - counts[:-span] >= need).nonzero()[0]
     if not len(places):
         return
     breaks = np.flatnonzero(np.diff(places) > max(1, span // 2)) + 1

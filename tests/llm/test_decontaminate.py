@@ -72,6 +72,52 @@ def test_against_all_windows(spark, docs, planted, monkeypatch, at_once):
     assert {r.doc_id for r in kept.collect()} == {doc for doc, _ in texts} - {doc for doc, _ in want}
 
 
+@pytest.mark.parametrize("name, value", [("REGION_CHARS", 300), ("ITEM_SHINGLES", 20), ("PIECE", 2)])
+def test_groups_do_not_matter(spark, docs, planted, monkeypatch, name, value):
+    """More parts of the regions, more chunks of the items, shorter regions."""
+    texts, items = planted
+    table, benchmark = docs(texts * 2), spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated(table, benchmark).orderBy("doc_id", "item_id").collect()
+    monkeypatch.setattr(decontaminate, name, value)
+    again = decontaminate.contaminated(table, benchmark).orderBy("doc_id", "item_id").collect()
+    assert again == found and len(found) > 60
+
+
+def test_regions_hold_every_similar_window(planted):
+    texts, items = planted
+    given = [(item, text) for item, text in items if text]
+    first, _, _, words = decontaminate.word_arrays([text for _, text in given])
+    known, sizes = {}, set()
+    for k in range(len(given)):
+        own = words[first[k] : first[k + 1]]
+        width = min(5, len(own))
+        bitmap = known.setdefault(width, np.zeros(1 << 13, np.uint8))
+        places = (decontaminate.shingle_hashes(own, width) & np.uint64((1 << 16) - 1)).astype(np.int64)
+        np.bitwise_or.at(bitmap, places >> 3, (1 << (places & 7)).astype(np.uint8))
+        sizes.add(len(own))
+    screen = decontaminate.Screen(sorted(sizes), known, 16)
+    regions = list(screen.regions([text for _, text in texts]))
+    for (doc, item), _ in slow_matches(texts, given).items():
+        size = len(words_of(dict(given)[item]))
+        parts = [words_of(part) for text, of, _, part in regions if texts[text][0] == doc and of == size]
+        whole = words_of(texts[doc][1])
+        assert slow_matches([(doc, " ".join(part)) for part in parts], [(item, dict(given)[item])])
+        for text, of, at, part in regions:
+            if texts[text][0] == doc:
+                assert whole[at : at + len(words_of(part))] == words_of(part) and len(words_of(part)) >= min(of, len(whole))
+
+
+def test_items_and_texts_with_many_copies(spark, docs):
+    """Copies of a text and of an item, under ids of their own, all match each other."""
+    passage = "one two three four five six seven eight nine ten"
+    table = docs([(k, f"here is {passage} again") for k in range(300)] + [(300, "nothing of it")])
+    benchmark = spark.createDataFrame([(k, passage) for k in range(7)], "item_id long, text string")
+    got = decontaminate.contaminated(table, benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(d, i) for d in range(300) for i in range(7)}
+    assert len(got) == 2100 and {r.similarity for r in got} == {1.0}
+    assert decontaminate.similar_texts(table, benchmark).count() == 1
+
+
 def slow_shorter(texts, items):
     """Similarity of whole texts that have fewer words than the item."""
     out = {}
