@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from hitwatch import session
 from hitwatch.session import work_dir
@@ -17,8 +18,9 @@ from hitwatch.session import work_dir
 #: Keys that hold more than this share of all rows are joined by broadcast; there
 #: can be no more than its inverse of them.
 HOT_SHARE = 1 / 500
-#: Sides of up to so many rows are broadcast, after counting; larger ones are shuffled.
-BROADCAST_ROWS = 1_000_000
+#: Sides of up to so many rows are broadcast, after counting, if their texts have no more than so
+#: many bytes; larger ones are shuffled.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 #: Texts are worked on in runs of about this many characters.
 RUN_CHARS = 500_000
 
@@ -39,8 +41,16 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
 
 
 def sized(rows: DataFrame, count: int) -> DataFrame:
-    """A side of a join with ``count`` narrow rows: broadcast if there are few."""
-    return F.broadcast(rows) if count <= BROADCAST_ROWS else rows
+    """A side of a join with ``count`` narrow rows: broadcast if they are few and, where columns
+    have no fixed width, measure few bytes."""
+    if count > BROADCAST_ROWS:
+        return rows
+    loose = [field.name for field in rows.schema if isinstance(field.dataType, (StringType, BinaryType))]
+    if loose:
+        width = sum((F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) for name in loose), F.lit(0))
+        if (rows.agg(F.sum(width)).first()[0] or 0) > BROADCAST_BYTES:
+            return rows
+    return F.broadcast(rows)
 
 
 def join_hot(
