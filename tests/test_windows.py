@@ -18,6 +18,7 @@ from hitwatch.operators.windows import (
     window_alerts,
     windows_of_panes,
 )
+from hitwatch.plans import batch
 from tests.logs import START, line
 
 
@@ -164,3 +165,19 @@ def test_late_by_how_many_windows(lines):
     assert {tuple(r) for r in got.select(second, "windows_missed").collect()} == {
         (second, missed) for second, missed in brute.items() if missed}
     assert late_errors(found, 0).count() == 0
+
+
+def test_approximate_windows_are_held_against_exact_counts(spark, small):
+    """A window whose sketch is far off keeps its exact count, and the flag says so."""
+    second = F.timestamp_seconds(1704067200 + F.floor(F.col("id") / 3000) * 60)
+    errors = spark.range(3010).select(
+        second.alias("timestamp"), F.lit(500).alias("status"), F.concat(F.lit("c"), F.col("id")).alias("ip")
+    )
+    near = flat_window(error_windows(errors, 12))
+    far = near.withColumn("count_distinct_ip", F.expr("if(count_error = 3000, 1500, count_distinct_ip)"))
+    for rows, flag in ((near, True), (far, False)):
+        got = batch.checked_counts(rows, errors).select("count_error", "count_distinct_ip", "within_bound")
+        assert Counter(map(tuple, got.collect())) == {(3000, 3000, flag): 3, (10, 10, True): 3}
+    checked = batch.error_windows_approx(spark, small)
+    assert checked.columns[-2:] == ["count_distinct_ip", "within_bound"]
+    assert checked.count() == checked.filter("within_bound").count() == batch.error_windows(spark, small).count() > 0
