@@ -525,7 +525,7 @@ def test_windows_over_many_files_in_no_order(spark, small, scattered, monkeypatc
     assert bag(streams.QUERIES[name](spark, scattered)) == want and want
 
 
-@pytest.mark.parametrize("name", ["stream_error_windows_append"])
+@pytest.mark.parametrize("name", ["stream_error_windows_append", "stream_error_windows_update"])
 def test_stream_windows_are_held_against_exact_counts(spark, small, monkeypatch, name):
     """With sketches of 16 registers some windows are off by more than the bound; the counts are
     exact all the same."""
