@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from hitwatch.session import names_in
 
@@ -43,3 +45,26 @@ def late_watermark(spark: SparkSession, checkpoint: str, batch_id: int) -> int:
         if text.startswith("{") and "batchWatermarkMs" in text:
             return json.loads(text)["batchWatermarkMs"]
     raise ValueError(f"no watermark is noted for micro-batch {batch_id - 1} in {checkpoint}")
+
+
+def note_deliveries(
+    spark: SparkSession, checkpoint: str, batch_id: int, found: Callable[[int], DataFrame], least_ms: int
+) -> tuple[DataFrame, DataFrame]:
+    """The watermarks of the deliveries of a micro-batch, and of all deliveries so far, a row each.
+
+    ``found`` makes the first from the watermark that the micro-batches before have reached,
+    ``least_ms`` or more. They are noted beside the checkpoint; a micro-batch that runs again
+    replaces its own.
+    """
+    at = f"{checkpoint}/deliveries"
+    own = found(least_ms)
+    schema, dated = own.schema, StructType([*own.schema, StructField("batch", LongType())])
+    if names_in(spark, at):
+        noted = spark.read.schema(dated).parquet(at)
+        reached = noted.filter(F.col("batch") < batch_id).agg(F.max("reached_ms")).first()[0]
+        own = found(max(least_ms, reached or 0))
+    own.write.mode("overwrite").parquet(f"{at}/batch={batch_id}")
+    return (
+        spark.read.schema(schema).parquet(f"{at}/batch={batch_id}"),
+        spark.read.schema(dated).parquet(at).filter(F.col("batch") <= batch_id).drop("batch"),
+    )

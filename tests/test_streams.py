@@ -27,6 +27,7 @@ from hitwatch.plans import replay, streams
 from hitwatch.schema import ALERT_SCHEMA, CLIENT_SKETCH, STEP_SCHEMA, WATERMARK
 from hitwatch.session import work_dir
 from hitwatch.sinks.batches import to_parquet, to_text
+from hitwatch.sinks.ledger import read_ledger, to_ledger
 from hitwatch.sinks.streams import console, parquet_files, text_files
 from hitwatch.sources import derived
 from hitwatch.sources.lines import line_file_stream, table
@@ -342,6 +343,39 @@ def test_late_errors_with_overlapping_windows(spark, tmp_path):
     assert counted == 6 * 3 - sum(row.windows_missed for row in late)
 
 
+def test_deliveries_in_one_micro_batch_are_late_as_one_by_one(spark, lines):
+    """Late errors and closed windows do not depend on how many deliveries a micro-batch holds."""
+    rng = random.Random(3)
+    rows = [(second, rng.choice([200, 404, 500, 500])) for second in range(1200) for _ in range(2)]
+    came = [(line(*row), (row[0] + rng.choice([0, 0, 0, 0, 45, 70, 200])) // 50) for row in rows]
+    landed = spark.createDataFrame(came, "value string, delivery long")
+
+    def run(delivery, land):
+        at = work_dir(spark, "test")
+        land(at)
+        batches = sum(name.startswith("part=") for name in os.listdir(f"{at}/landing"))
+        replay.feed(spark, at, "value string, delivery long", lambda stream: queries.start_windows_and_late(
+            stream, to_ledger(f"{at}/windows"), to_ledger(f"{at}/late"), f"{at}/checkpoint", None, delivery=delivery
+        ))
+        schema = "window_start timestamp, window_end timestamp, status int, count_error long, count_distinct_ip long"
+        late = read_ledger(spark, f"{at}/late", streams.LATE_SCHEMA)
+        return batches, bag(read_ledger(spark, f"{at}/windows", schema)), bag(late)
+
+    one, windows, late = run(None, lambda at: replay.land_by_number(landed, at, F.col("delivery")))
+    assert one > 20 and windows and sum(late.values()) > 20
+    for size, most in ((10_000, 1), (900, 3)):
+        fewer, *got = run("delivery", lambda at: replay.land_by_range(landed, at, size, "delivery"))
+        assert fewer <= most and got == [windows, late]
+
+
+def test_late_errors_take_few_micro_batches(spark, small, monkeypatch):
+    """Their number goes by rows, not by deliveries."""
+    moved = []
+    move = replay.move
+    monkeypatch.setattr(replay, "move", lambda *args: (moved.append(args), move(*args)))
+    assert streams.stream_late_errors(spark, small).count() > 0 and len(moved) == 1
+
+
 def test_closed_and_open_windows_are_all_windows(spark, landed):
     folder, batch = landed
     at = work_dir(spark, "test")
