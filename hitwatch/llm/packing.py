@@ -41,9 +41,9 @@ SEQUENCE = 2048
 END_ID = 0
 PARTS = 3  # documents of a pattern
 BINS = 128
-KNOWN_WORDS = 200_000  # words in either of two generations whose ids a process keeps
+KNOWN_WORDS = 100_000  # words in either of two generations whose ids a process keeps
 RANK_ROWS = 200_000
-RUN = 1_000_000  # texts are split into words so many characters at a time
+RUN = 250_000  # texts are split into words so many characters at a time
 
 
 # -- tokens ----------------------------------------------------------------------------
@@ -62,9 +62,9 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.whole = Tokenizer.from_file(path)
         # lower-cased words of letters alone need no rewriting and are not split further, so
-        # many are encoded at once; the last token of each tells where it ends
-        self.letters = Tokenizer.from_file(path)
-        self.letters.normalizer = None
+        # many are encoded at once, by the same model, which is in memory once; the last token of
+        # each tells where it ends
+        self.letters = Tokenizer(self.whole.model)
         self.letters.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
@@ -75,8 +75,8 @@ class Encoder:
         self.before: dict[str, bytes] = {}
 
     def _encode(self, words: list[str]) -> None:
-        for at in range(0, len(words), 10_000):
-            some = words[at : at + 10_000]
+        for at in range(0, len(words), 2_000):
+            some = words[at : at + 2_000]
             encoded = self.whole.encode_batch_fast(some, add_special_tokens=False)
             for word, found in zip(some, encoded, strict=True):
                 self.known[word] = np.array(found.ids, "<u4").tobytes()

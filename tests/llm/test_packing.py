@@ -38,6 +38,29 @@ def test_encoder_equals_the_tokenizer():
         assert np.frombuffer(encode([text])[0], "<u4").tolist() == want, repr(text)
 
 
+def test_a_process_loads_the_tokenizer_once_and_keeps_few_words(monkeypatch):
+    """Several workers of an executor have an encoder each."""
+    loaded = []
+
+    class Counted:
+        def __new__(cls, model):
+            return Tokenizer(model)
+
+        @staticmethod
+        def from_file(path):
+            loaded.append(path)
+            return Tokenizer.from_file(path)
+
+    monkeypatch.setattr(packing, "Tokenizer", Counted)
+    encode = packing.Encoder(queries.TOKENIZER)
+    assert len(loaded) == 1
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 100)
+    for number in range(50):
+        encode([" ".join(f"w{number}x{k}" for k in range(50))])
+        assert len(encode.known) <= 150 and len(encode.before) <= 150
+    assert packing.RUN <= 250_000  # characters whose words are apart at a time
+
+
 def test_least_squares_against_projected_gradient():
     rng = np.random.default_rng(2)
     for _ in range(5):
