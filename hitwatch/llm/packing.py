@@ -18,7 +18,6 @@ no rows; other columns are not looked at.
 from __future__ import annotations
 
 import os
-import re
 import string
 import zlib
 from bisect import bisect_right
@@ -31,6 +30,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
@@ -56,6 +56,7 @@ class Encoder:
     that ends it, and letters are lower-cased first; so texts are put together from the
     ids of lower-cased words without their last punctuation, and each of those is encoded
     once in a process that keeps them. Words not met for a generation are forgotten.
+    Python looks up the different words of a run of texts, not every word.
     """
 
     def __init__(self, path: str):
@@ -94,35 +95,50 @@ class Encoder:
             for word, start, end in zip(some, [0, *ends], ends, strict=False):
                 self.known[word] = data[4 * start : 4 * end]
 
-    def _learn(self, fresh: set[str]) -> None:
-        parts, letters, others = {}, set(), set()
-        for word in fresh:
-            stem = word.rstrip(LAST)
-            if not (stem.isalpha() and stem.islower()):
-                others.add(word)
-                continue
-            letters.add(stem)
-            if stem != word:
-                parts[word] = (stem, word[len(stem) :])
-                others.add(word[len(stem) :])
-        for wanted, encode in ((others, self._encode), (letters, self._encode_letters)):
-            wanted = wanted.difference(self.known)
-            again = {word for word in wanted if word in self.before}
-            self.known.update((word, self.before[word]) for word in again)
-            encode(list(wanted.difference(again)))
-        for word, (stem, end) in parts.items():
-            self.known[word] = self.known[stem] + self.known[end]
-
-    def __call__(self, texts: Sequence[str]) -> list[bytes]:
-        words = [_words(text) for text in texts]
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """The ids of different words; words of letters have no punctuation behind them."""
         if len(self.known) > KNOWN_WORDS:
             self.before, self.known = self.known, {}
-        fresh = set().union(*words).difference(self.known)
-        again = {word for word in fresh if word in self.before}
-        self.known.update((word, self.before[word]) for word in again)
-        self._learn(fresh.difference(again))
-        of = self.known.__getitem__
-        return [b"".join(map(of, part)) for part in words]
+        found = [*map(self.known.get, words)]
+        places = [at for at, ids in enumerate(found) if ids is None]
+        fresh = [words[at] for at in places]
+        again = [*map(self.before.get, fresh)]
+        self.known.update((word, ids) for word, ids in zip(fresh, again, strict=True) if ids is not None)
+        letters, others = [], []
+        for word, ids in zip(fresh, again, strict=True):
+            if ids is None:
+                (letters if word.isalpha() and word.islower() else others).append(word)
+        self._encode_letters(letters)
+        self._encode(others)
+        for at, word in zip(places, fresh, strict=True):
+            found[at] = self.known[word]
+        return found
+
+    def __call__(self, texts: Sequence[str]) -> list[bytes]:
+        # words become numbers outside Python, which only sees the different ones
+        plain = [_plain(text) for text in texts]
+        parts = pc.ascii_split_whitespace(pa.array([text or "" for text in plain], pa.string()))
+        words = parts.flatten().dictionary_encode()
+        stem, ends = _parted(words.dictionary)
+        stems = stem.dictionary_encode()
+        numbers = {end: number for number, end in enumerate(dict.fromkeys(ends))}
+        found = self._ids(_spelled(stems.dictionary))
+        ids, starts, sizes = _joined(found + self._ids([*numbers]))
+        # a word is its letters and what ends it
+        word = words.indices.to_numpy()
+        end = np.fromiter(map(numbers.__getitem__, ends), np.int64, len(ends)) + len(found)
+        piece = np.stack([stems.indices.to_numpy(), end], 1)[word].ravel()
+        size = sizes[piece]
+        to = np.concatenate([[0], np.cumsum(size)])
+        data = ids[np.repeat(starts[piece] - to[:-1], size) + np.arange(to[-1])].tobytes()
+        bounds = (4 * to[2 * parts.offsets.to_numpy().astype(np.int64)]).tolist()
+        return [
+            data[start:stop] if kept is not None else self._whole(text)
+            for text, kept, start, stop in zip(texts, plain, bounds, bounds[1:], strict=False)
+        ]
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 @cache
@@ -134,20 +150,38 @@ def encoder(path: str) -> Encoder:
 LAST = string.punctuation.replace("'", "")  # an apostrophe may belong to the letters behind it
 
 
-_SEPARATORS = re.compile("[\x1c-\x1f]")
+def _plain(text: str) -> str | None:
+    """The text, lower-cased where case folds letter by letter; None if it is not to be split."""
+    if not is_normalized("NFC", text):
+        return None
+    if "\u03a3" in text or "\u0130" in text or "<|" in text:
+        return text  # as it is; lower-case words of letters are still what they would become
+    return text.lower()
+
+
+def _parted(words: pa.Array) -> tuple[pa.Array, list[str]]:
+    """The words without the punctuation behind their letters, and that punctuation."""
+    stem = pc.utf8_rtrim(words, LAST)
+    stem = pc.if_else(pc.match_substring_regex(stem, r"^\p{Ll}+$"), stem, words)
+    over = pc.subtract(pc.binary_length(words), pc.binary_length(stem)).to_numpy()  # all ASCII
+    ends = [""] * len(words)
+    rows = np.flatnonzero(over)
+    for at, word, n in zip(rows.tolist(), _spelled(words.take(pa.array(rows))), over[rows].tolist(), strict=True):
+        ends[at] = word[-n:]
+    return stem, ends
 
 
-def _words(text: str) -> list[str]:
-    """The text split at white space, lower-cased where case folds letter by letter."""
-    if not is_normalized("NFC", text) or "\u03a3" in text or "\u0130" in text or "<|" in text:
-        # as they are; lower-case words of letters are still what they would become
-        return _split(text) if is_normalized("NFC", text) else [text] if text else []
-    return _split(text.lower())
+def _spelled(words: pa.Array) -> list[str]:
+    """Words as strings: they hold no line ends, and splitting is faster than ``to_pylist``."""
+    if not len(words):
+        return []
+    return pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), "\n")[0].as_py().split("\n")
 
 
-def _split(text: str) -> list[str]:
-    # four control characters are white space to Python alone
-    return re.split(r"[ \t\r\n]+", text) if _SEPARATORS.search(text) else text.split()
+def _joined(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All ids in a row, and where those of each part start and how many they are."""
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+    return np.frombuffer(b"".join(parts), "<u4"), np.cumsum(sizes) - sizes, sizes
 
 
 PIECES = "piece int, start long, length long, ids_crc32 long"

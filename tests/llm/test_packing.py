@@ -61,6 +61,29 @@ def test_a_process_loads_the_tokenizer_once_and_keeps_few_words(monkeypatch):
     assert packing.RUN <= 250_000  # characters whose words are apart at a time
 
 
+def test_words_are_looked_up_once_a_run_and_kept_without_punctuation():
+    """Every word of every text was looked up, and each word kept with each end it had."""
+
+    class Counted(dict):
+        seen = 0
+
+        def __getitem__(self, word):
+            self.seen += 1
+            return super().__getitem__(word)
+
+        def get(self, word, other=None):
+            self.seen += 1
+            return super().get(word, other)
+
+    encode = packing.Encoder(queries.TOKENIZER)
+    encode.known = Counted()
+    text = "cat dog, cat. x2, bird! dog\x0bbird " * 500
+    want = encode.whole.encode(text, add_special_tokens=False).ids
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in encode([text, "", "dog"])] == [want, [], encode.whole.encode("dog").ids]
+    assert encode.known.seen < 50
+    assert set(encode.known) == {"cat", "dog", "bird", "x2,", "", ",", ".", "!"}
+
+
 def test_least_squares_against_projected_gradient():
     rng = np.random.default_rng(2)
     for _ in range(5):
