@@ -29,6 +29,7 @@ no rows.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +41,8 @@ SIMILARITY = 0.8
 RARITY_BUCKETS = 1 << 16
 #: Words of a line's prefix by which it is held against single earlier lines.
 LEADING_WORDS = 4
+#: Lines meet on words of the prefix within classes of sizes, each up to so many times the least.
+SIZE_RATIO = SIMILARITY**-3
 HASH_BITS = 57
 #: What parts words besides blanks.
 SPACES = "\t\r\x0b\x0c"
@@ -50,9 +53,9 @@ KEY = ["doc", "version", "line"]
 def several_texts(docs: DataFrame) -> DataFrame | None:
     """Ids that have more than one text, as ``_id``, None if there are none."""
     several = stored(
-        docs.select("doc_id", F.xxhash64("text").alias("v")).distinct()
-        .groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("n"))
-        .filter("n > 1").select("_id"),
+        docs.groupBy(F.col("doc_id").alias("_id"))
+        .agg(F.min(F.xxhash64("text")).alias("least"), F.max(F.xxhash64("text")).alias("most"))
+        .filter("least != most").select("_id"),
         "several-texts",
     )
     count = several.count()
@@ -105,65 +108,79 @@ def rarity(rows: DataFrame) -> list[int]:
 def word_set(value: Column, classes: list[int]) -> Column:
     """The different words of a line, rarest first, as longs."""
     table = F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")  # a constant
-    none = F.lit(0).cast("long")  # keeps the array free of nulls, which are slow to sort
-    hashes = F.transform(F.array_remove(_words(value), ""), lambda word: F.xxhash64(word))
-    return F.sort_array(F.array_distinct(F.transform(
-        hashes,
-        lambda word: F.shiftleft(
-            F.coalesce(F.get(table, word.bitwiseAND(RARITY_BUCKETS - 1).cast("int")), none), HASH_BITS
-        ).bitwiseOR(F.shiftrightunsigned(word, 64 - HASH_BITS)),
-    )))
+    # keeps the array free of nulls, which are slow to sort; where Spark knows that the table has
+    # every entry it leaves this out
+    none = F.lit(0).cast("long")
+
+    def ordered(word: Column) -> Column:
+        return F.shiftleft(
+            F.coalesce(table[word.bitwiseAND(RARITY_BUCKETS - 1).cast("int")], none), HASH_BITS
+        ).bitwiseOR(F.shiftrightunsigned(word, 64 - HASH_BITS))
+
+    # functions of words are interpreted, and with them what they are applied to: what can be
+    # compiled is applied to them
+    hashes = F.transform(_words(value), lambda word: F.xxhash64(word))
+    every = F.sort_array(F.array_distinct(F.transform(hashes, ordered)))
+    return F.array_remove(every, ordered(F.xxhash64(F.lit(""))))
 
 
 def _once(value: Column) -> Column:
     """A column that is computed once: as the output of a generator it is not copied into
-    the expressions that use it."""
+    the expressions that use it. Generators of functions of words are interpreted, so those come
+    in a step before."""
     return F.explode(F.array(value))
 
 
-def _parity(words: Column, half: int) -> Column:
-    """For each of 64 places whether an odd number of the words fall on it, of the words that
-    a bit of their hash puts into this half: 128 places in two halves do not fill up before
-    lines have some hundred words."""
-    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+def _parity(words: Column, bit: Callable[[Column], Column] | None = None) -> Column:
+    """For each of 64 places whether an odd number of the words fall on it; of the words with a
+    one in ``bit``, a function of a word, if there is one."""
+    one = F.lit(1).cast("long")
     return F.aggregate(
-        words, none,
-        lambda bits, word: bits.bitwiseXOR(F.when(
-            word.bitwiseAND(64) == 64 * half, F.call_function("shiftleft", one, word.bitwiseAND(63).cast("int"))
-        ).otherwise(none)),
+        words, F.lit(0).cast("long"),
+        lambda bits, word: bits.bitwiseXOR(
+            F.call_function("shiftleft", bit(word) if bit else one, word.bitwiseAND(63).cast("int"))
+        ),
     )
 
 
 def _needed(a: Column, b: Column) -> Column:
     """Common words that sets of sizes ``a`` and ``b`` must have: the smallest whole number
     from ``s / (1 + s)`` of their sum."""
-    return F.ceil((a + b) * F.lit(SIMILARITY / (1 + SIMILARITY)) - 1e-9)
+    return F.ceil(_share(a, b))
+
+
+def _share(a: Column, b: Column) -> Column:
+    """What :func:`_needed` rounds up: whole numbers are above both or neither."""
+    return (a + b) * F.lit(SIMILARITY / (1 + SIMILARITY)) - 1e-9
 
 
 def prefixes(rows: DataFrame, classes: list[int]) -> DataFrame:
-    """``doc, version, line, a, b, size, even, odd, prefix`` of every line that has words; ``a``
-    and ``b`` are hashes that equal lines share, ``even`` and ``odd`` parities."""
+    """``doc, version, line, a, b, size, every, odd, prefix`` of every line that has words; ``a``
+    and ``b`` are hashes that equal lines share, ``every`` and ``odd`` the parities of all words
+    and of the half of them that a bit of their hash picks."""
     plain = F.lower(F.trim("value"))
     # two hashes of 64 bits; the number comes first, as the hash of a column is the seed of
     # the next one's
     sets = rows.select(
         *KEY, F.xxhash64(plain).alias("a"), F.xxhash64(F.lit(1), plain).alias("b"),
-        _once(word_set(F.col("value"), classes)).alias("words"),
-    )
+        word_set(F.col("value"), classes).alias("set"),
+    ).select(*KEY, "a", "b", _once(F.col("set")).alias("words"))
     size = F.size("words")
     length = size - F.ceil(size * SIMILARITY - 1e-9).cast("int") + 1
     return sets.filter("size(words) > 0").select(
-        *KEY, "a", "b", size.alias("size"), _parity(F.col("words"), 0).alias("even"), _parity(F.col("words"), 1).alias("odd"),
+        *KEY, "a", "b", size.alias("size"), _parity(F.col("words")).alias("every"),
+        _parity(F.col("words"), lambda word: F.shiftrightunsigned(word, 6).bitwiseAND(1)).alias("odd"),
         # 31 bits of a hash do here: what meets by chance is found out on the whole sets
         F.transform(F.slice("words", F.lit(1), length), lambda word: word.bitwiseAND(0x7FFFFFFF).cast("int")).alias("prefix"),
     )
 
 
 def _apart(a: str, b: str) -> Column:
-    """Places in which the parities of two lines differ: no more than words they differ on."""
-    return sum(
-        (F.bit_count(F.col(f"{a}.{name}").bitwiseXOR(F.col(f"{b}.{name}"))) for name in ("even", "odd")), F.lit(0)
-    )
+    """Places in which the parities of two lines differ: no more than words they differ on. There
+    are 128, as those of all words and of one half tell those of the other: 64 do not do for lines
+    of a hundred words."""
+    every, odd = (F.col(f"{a}.{name}").bitwiseXOR(F.col(f"{b}.{name}")) for name in ("every", "odd"))
+    return F.bit_count(odd) + F.bit_count(every.bitwiseXOR(odd))
 
 
 def _alike(a: str, b: str, size_a: Column, size_b: Column) -> Column:
@@ -191,8 +208,8 @@ def distinct_lines(table: DataFrame) -> DataFrame:
     outer spaces, so that all else is the same."""
     return table.groupBy("a", "b").agg(
         F.min(F.struct("doc", "line", "version")).alias("first"), F.count(F.lit(1)).alias("n"),
-        *(F.first(name).alias(name) for name in ("size", "even", "odd", "prefix")),
-    ).select("a", "b", "n", "first.doc", "first.version", "first.line", "size", "even", "odd", "prefix")
+        *(F.first(name).alias(name) for name in ("size", "every", "odd", "prefix")),
+    ).select("a", "b", "n", "first.doc", "first.version", "first.line", "size", "every", "odd", "prefix")
 
 
 def equal_lines(table: DataFrame, distinct: DataFrame) -> DataFrame:
@@ -258,7 +275,7 @@ def _likely(table: DataFrame) -> DataFrame:
     fewest differing parities among those that pass the filters. The words are those of the
     prefix with the smallest hashes: similar lines agree on most of them, and words that only
     one line has, such as slips of the pen, are no more often among them than others."""
-    marks = F.struct(*KEY, "size", "even", "odd")
+    marks = F.struct(*KEY, "size", "every", "odd")
     held = table.select(
         marks.alias("l"), F.floor(F.log("size") / math.log(1 / SIMILARITY)).alias("sizes"),
         F.explode(F.slice(F.sort_array("prefix"), 1, LEADING_WORDS)).alias("word"),
@@ -275,6 +292,34 @@ def _likely(table: DataFrame) -> DataFrame:
     )
 
 
+def _size_class(size: Column) -> Column:
+    return F.floor(F.log(size) / math.log(SIZE_RATIO) + 1e-9).cast("int")
+
+
+def meeting_places(table: DataFrame) -> DataFrame:
+    """The lines of ``table`` once for each of their ``meet``, a word of the prefix and a class of
+    sizes in one number, with the ``place`` of the word.
+
+    A line is in its own class with its whole prefix. If larger lines similar to it may be in
+    the next class, it is there too, with the words on which it may meet them: the first word
+    that two lines have in common leaves room for all others in the smaller one, which is at
+    best as large as the larger one.
+    """
+    size, own = F.col("size"), F.size("prefix")
+    short = F.slice("prefix", F.lit(1), (size - _needed(size, size) + 1).cast("int"))
+    above = _size_class(F.floor(size / SIMILARITY + 1e-9)) > _size_class(size)
+    second = F.col("at") >= own
+    return (
+        table.withColumn("class", _size_class(size))
+        .select("*", F.posexplode(F.when(above, F.concat("prefix", short)).otherwise(F.col("prefix"))).alias("at", "word"))
+        .withColumn("place", F.col("at") - F.when(second, own).otherwise(0))
+        .withColumn("meet", F.shiftleft(F.col("word").cast("long"), 8).bitwiseOR(
+            (F.col("class") + second.cast("int")).cast("long")
+        ))
+        .drop("at", "word", "class", "prefix")
+    )
+
+
 def similar_lines(table: DataFrame, rows: DataFrame, classes: list[int]) -> DataFrame:
     """Keys of the lines of ``table``, different ones, that are similar to an earlier one."""
     likely = stored(_likely(table), "likely")
@@ -290,11 +335,9 @@ def similar_lines(table: DataFrame, rows: DataFrame, classes: list[int]) -> Data
     for name in KEY:
         same = same & table[name].eqNullSafe(settled_keys[f"k_{name}"])
     size_and_place = F.shiftleft(F.col("size").cast("long"), 32).bitwiseOR(F.col("place").cast("long"))
-    words = (
-        table.join(settled_keys, same, "left")
-        .select(*KEY, "size", "even", "odd", F.coalesce("open", F.lit(1)).alias("open"), F.posexplode("prefix").alias("place", "word"))
-        .select(*KEY, "even", "odd", "word", (size_and_place * 2 + F.col("open")).alias("packed"))
-    )
+    words = meeting_places(
+        table.join(settled_keys, same, "left").withColumn("open", F.coalesce("open", F.lit(1)))
+    ).select(*KEY, "every", "odd", "meet", (size_and_place * 2 + F.col("open")).alias("packed"))
     later, earlier = words.alias("l"), words.alias("e")
 
     def unpacked(of: str) -> tuple[Column, Column, Column]:
@@ -308,9 +351,9 @@ def similar_lines(table: DataFrame, rows: DataFrame, classes: list[int]) -> Data
     (size_l, place_l, open_l), (size_e, place_e, _) = unpacked("l"), unpacked("e")
     joined = later.join(
         earlier,
-        (F.col("l.word") == F.col("e.word"))
+        (F.col("l.meet") == F.col("e.meet"))
         & (open_l >= F.least(size_e, F.lit(1)))
-        & (F.least(size_l - place_l, size_e - place_e) >= _needed(size_l, size_e))
+        & (F.least(size_l - place_l, size_e - place_e) >= _share(size_l, size_e))
         & _alike("l", "e", size_l, size_e)
         & (_order("l") > _order("e")),
     )
@@ -318,10 +361,12 @@ def similar_lines(table: DataFrame, rows: DataFrame, classes: list[int]) -> Data
     return settled.unionByName(rest)
 
 
-def repeated_lines(docs: DataFrame, several: DataFrame | None = None) -> DataFrame:
-    """``doc, version, line`` of every line that goes; ``several`` as of :func:`several_texts`."""
-    if several is None:
-        several = several_texts(docs)
+def repeated_lines(docs: DataFrame) -> DataFrame:
+    """``doc, version, line`` of every line that goes."""
+    return _repeated_lines(docs, several_texts(docs))
+
+
+def _repeated_lines(docs: DataFrame, several: DataFrame | None) -> DataFrame:
     classes = rarity(docs.select(F.replace("text", F.lit("\n"), F.lit(" ")).alias("value")))
     rows = lines(docs, several)
     table = stored(prefixes(rows, classes), "prefixes")
@@ -333,7 +378,7 @@ def edited_lines(docs: DataFrame) -> DataFrame:
     """``doc_id, n_removed, text`` of every row, ``text`` being without the lines that go,
     and the row itself as ``row``. Texts that lose all lines are empty."""
     several = several_texts(docs)
-    gone = stored(repeated_lines(docs.select("doc_id", "text"), several), "repeated-lines")
+    gone = stored(_repeated_lines(docs.select("doc_id", "text"), several), "repeated-lines")
     by_text = gone.groupBy(F.col("doc").alias("_doc"), F.col("version").alias("_gone_version")).agg(
         F.collect_set("line").alias("_gone")  # no more than the text has lines
     )
