@@ -14,6 +14,10 @@ Differences of all pairs of sources are the result asked for; they are worked ou
 of ``TILE`` sources by ``TILE`` sources and about ``SLICE`` terms. A tile is a group of bounded
 size, however frequent a term, however large a source, and however many sources there are.
 
+Spark takes the compressed files of a table for its size, which may be a thirtieth of what it has
+in memory. So joins do not go by that: a table of sources is broadcast if it measures few bytes,
+and all else is merged.
+
 Rows: null text, language and source count as empty strings. Repeated rows count each time,
 whatever their ids, which are not looked at. Texts without terms make their source appear.
 A language that keeps no term has pairs of value 0 and no term rows, and a source alone in its
@@ -24,7 +28,7 @@ Texts are read whole; other columns are not looked at, whatever their names.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +49,8 @@ TILE = 64
 SLICE = 4096
 #: Bytes of text whose counters are summed before they leave the task.
 COUNT_BYTES = 4_000_000
+#: A table of sources is broadcast up to so many bytes, names and this for the rest of a row.
+BROADCAST_BYTES, SOURCE_BYTES = 16 << 20, 150
 
 _TABLE = bytes(
     code + 32 if 65 <= code <= 90 else code if 97 <= code <= 122 or code >= 128 else 32
@@ -137,19 +143,28 @@ def _pair_sums(key: tuple, rows: pa.Table) -> pa.Table:
     })
 
 
-def _pairs(shares: DataFrame, groups: DataFrame) -> DataFrame:
-    """``lang, source, item, value`` for all ordered pairs of sources of a language."""
+def _numbered(groups: DataFrame) -> DataFrame:
+    """The sources with their number in their language, and its tiles and slices."""
     by_lang = Window.partitionBy("lang")
-    numbered = groups.withColumns({
+    return groups.withColumns({
         "number": F.row_number().over(by_lang.orderBy("source")) - 1,
         "tiles": F.ceil(F.count("*").over(by_lang) / TILE),
         "slices": F.greatest(F.lit(1), F.ceil(F.col("kept") / SLICE)),
     })
-    place = numbered.select("lang", "source", "number", "tiles", "slices")
-    listed = shares.join(place, ["lang", "source"]).select(
-        "lang", "number", "tiles", "term", "p", F.pmod(F.xxhash64("term"), "slices").alias("slice")
-    )
-    lacking = numbered.select(
+
+
+def _beside(groups: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Makes a side of a join from columns of the sources: broadcast if they measure few bytes,
+    else merged, whatever Spark takes them for."""
+    width = F.octet_length("lang") + F.octet_length("source") + SOURCE_BYTES
+    few = (groups.agg(F.sum(width.cast("long"))).first()[0] or 0) <= BROADCAST_BYTES
+    return F.broadcast if few else lambda side: side.hint("merge")
+
+
+def _pairs(shares: DataFrame, groups: DataFrame, beside: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``lang, source, item, value`` for all ordered pairs of sources of a language."""
+    listed = shares.select("lang", "number", "tiles", "term", "p", F.pmod(F.xxhash64("term"), "slices").alias("slice"))
+    lacking = groups.select(
         "lang", "number", "tiles", F.lit(None).cast("string").alias("term"), F.col("lacking").alias("p"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"),
     )
@@ -165,10 +180,10 @@ def _pairs(shares: DataFrame, groups: DataFrame) -> DataFrame:
         .applyInArrow(_pair_sums, "lang string, a long, b long, differences long, seen long")
         .groupBy("lang", "a", "b").agg(F.sum("differences").alias("differences"), F.sum("seen").alias("seen"))
     )
-    first = numbered.select("lang", F.col("number").alias("a"), F.col("source").alias("source_a"),
-                            F.col("lacking").alias("lacking_a"), "kept")
-    second = numbered.select("lang", F.col("number").alias("b"), F.col("source").alias("source_b"),
-                             F.col("lacking").alias("lacking_b"))
+    first = groups.select("lang", F.col("number").alias("a"), F.col("source").alias("source_a"),
+                          F.col("lacking").alias("lacking_a"), "kept")
+    second = groups.select("lang", F.col("number").alias("b"), F.col("source").alias("source_b"),
+                           F.col("lacking").alias("lacking_b"))
     # terms that neither source has differ by the same amount each
     value = F.col("differences") + (F.col("kept") - F.col("seen")) * F.abs(F.col("lacking_a") - F.col("lacking_b"))
     ways = F.array(
@@ -176,7 +191,7 @@ def _pairs(shares: DataFrame, groups: DataFrame) -> DataFrame:
         F.struct(F.col("source_b").alias("source"), F.col("source_a").alias("item")),
     )
     return (
-        sums.join(first, ["lang", "a"]).join(second, ["lang", "b"])
+        sums.join(beside(first), ["lang", "a"]).join(beside(second), ["lang", "b"])
         .select("lang", value.alias("value"), F.explode(ways).alias("way"))
         .select("lang", "way.source", "way.item", "value")
     )
@@ -194,7 +209,7 @@ def divergence(docs: DataFrame) -> DataFrame:
         .agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n"))
         .filter(F.col("docs") >= LEAST_DOCUMENTS).drop("docs")
     )
-    listed = stored(counts.join(kept, ["lang", "term"]).drop("docs"), "kept-terms")
+    listed = stored(counts.join(kept.hint("merge"), ["lang", "term"]).drop("docs"), "kept-terms")
     langs = (
         listed.dropDuplicates(["lang", "term"]).groupBy("lang")
         .agg(F.count("*").alias("kept"), F.sum("lang_n").alias("lang_total"))
@@ -203,12 +218,14 @@ def divergence(docs: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("long")
     groups = (
         counts.filter("term = ''").select("lang", "source")
-        .join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
+        .join(totals.hint("merge"), ["lang", "source"], "left").join(langs.hint("merge"), "lang", "left")
         .withColumns({name: F.coalesce(F.col(name), zero) for name in ("total", "kept", "lang_total")})
         .withColumn("lacking", share(zero, F.col("total"), F.col("kept")))
     )
-    shares = listed.join(groups, ["lang", "source"]).select(
-        "lang", "source", "term",
+    groups = stored(_numbered(groups), "sources")
+    beside = _beside(groups)
+    shares = listed.join(beside(groups), ["lang", "source"]).select(
+        "lang", "source", "term", "number", "tiles", "slices",
         share(F.col("n"), F.col("total"), F.col("kept")).alias("p"),
         share(F.col("lang_n"), F.col("lang_total"), F.col("kept")).alias("q"),
     )
@@ -219,7 +236,7 @@ def divergence(docs: DataFrame) -> DataFrame:
         .withColumn("part", F.lit("term"))
     )
     pairs = (
-        _pairs(shares.drop("q"), groups)
+        _pairs(shares, groups, beside)
         .withColumn("rank", F.row_number().over(order)).withColumn("part", F.lit("pair"))
     )
     columns = ["lang", "source", "part", "item", "value", "rank"]

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from itertools import takewhile
 
 import duckdb
 import pytest
@@ -124,3 +125,36 @@ def test_query_runs_on_the_given_table(spark):
     got = queries.op12_source_divergence(spark, "/root/testdata/sf0.001")
     assert got.columns == ["lang", "source", "part", "item", "value", "rank"]
     assert got.filter("part = 'term'").count() and got.filter("part = 'pair'").count()
+
+
+def broadcast_sides(frame):
+    """What stands below each broadcast of a plan, as text."""
+    lines = frame._jdf.queryExecution().executedPlan().toString().splitlines()
+    sides = []
+    for k, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            depth = line.index("BroadcastExchange")
+            below = takewhile(lambda later: re.search(r"\w", later).start() > depth, lines[k + 1:])
+            sides.append("\n".join(below))
+    return sides
+
+
+@pytest.mark.parametrize("most", [16 << 20, 0])
+def test_only_measured_sources_are_broadcast(spark, some_rows, monkeypatch, most):
+    """The files of these tables are small enough for Spark to broadcast any of them."""
+    plans = {}
+
+    def seen(rows, purpose):
+        plans[purpose] = rows
+        return stored(rows, purpose)
+
+    stored = source_divergence.stored
+    monkeypatch.setattr(source_divergence, "stored", seen)
+    monkeypatch.setattr(source_divergence, "BROADCAST_BYTES", most, raising=False)
+    found = divergence(table(spark, some_rows))
+    assert [len(broadcast_sides(plan)) for plan in plans.values()] == [0] * len(plans)
+    sides = broadcast_sides(found)
+    assert bool(sides) == (most > 0)
+    for side in sides:
+        assert "source:string" in side and "term" not in side
+    assert rows_of(found) == brute(some_rows)
