@@ -116,7 +116,8 @@ def share(count: Column, total: Column, kept: Column) -> Column:
 
 
 def _pair_sums(key: tuple, rows: pa.Table) -> pa.Table:
-    """Summed differences of one tile: a row for each pair of its sources."""
+    """Summed differences of one tile: a row for each pair of its sources, of which ``left`` and
+    ``right`` are the first numbers of the two sides."""
     left, right = key[1].as_py(), key[2].as_py()
     number = rows["number"].to_numpy()
     term = rows["term"].combine_chunks().dictionary_encode()
@@ -128,8 +129,8 @@ def _pair_sums(key: tuple, rows: pa.Table) -> pa.Table:
     shares[np.searchsorted(sources, number[own])] = value[own][:, None]
     shares[np.searchsorted(sources, number[~own]), code[~own]] = value[~own]
     out: list[tuple[int, int, int]] = []
-    second = np.flatnonzero(sources // TILE == right)
-    for a in np.flatnonzero(sources // TILE == left):
+    second = np.flatnonzero(sources >= right)
+    for a in second if left == right else np.flatnonzero(sources < right):
         later = second[sources[second] > sources[a]]
         differences = np.abs(shares[later] - shares[a]).sum(axis=1)
         out += zip([int(sources[a])] * len(later), sources[later].tolist(), differences.tolist(), strict=True)
@@ -172,7 +173,7 @@ def _pairs(shares: DataFrame, groups: DataFrame, beside: Callable[[DataFrame], D
     tiled = (
         listed.unionByName(lacking)
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-        .select("lang", F.least(own, "other").alias("left"), F.greatest(own, "other").alias("right"),
+        .select("lang", (F.least(own, "other") * TILE).alias("left"), (F.greatest(own, "other") * TILE).alias("right"),
                 "slice", F.col("number").cast("long"), "term", "p")
     )
     sums = (
