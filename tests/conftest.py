@@ -37,3 +37,12 @@ def lines(spark):
         return spark.createDataFrame([(value,) for value in values], "value string")
 
     return make
+
+
+@pytest.fixture(autouse=True)
+def told(request):
+    """Listeners hear all that a test's queries report before the next test adds its own."""
+    session = request.getfixturevalue("spark") if "spark" in request.fixturenames else None
+    yield
+    if session:
+        session.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
